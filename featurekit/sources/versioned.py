@@ -3,8 +3,8 @@
 Layout under ``path``:
 
 * ``data/_snapshot_id=<id>/`` – the rows added by one commit (Parquet, zstd)
-* ``commits/`` – one row per snapshot (``schemas.COMMITS``)
-* ``refs/``    – one row per ref move (``schemas.REFS``); a ref's head is its
+* ``commits/`` – one JSON row per snapshot (``schemas.COMMITS``)
+* ``refs/``    – one JSON row per ref move (``schemas.REFS``); a ref's head is its
   row with the greatest ``seq``
 
 Write order is data → commit row → ref row, so a reader only sees a commit
@@ -20,6 +20,9 @@ of the whole table) and keep ``_snapshot_id IN (...)`` as a partition filter.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -87,12 +90,12 @@ class VersionedTable:
         """S8 input: the commit log as a DataFrame."""
         if not self._exists(self.commits_path):
             return self.spark.createDataFrame([], schemas.COMMITS)
-        return self.spark.read.schema(schemas.COMMITS).parquet(self.commits_path)
+        return self.spark.read.schema(schemas.COMMITS).json(self.commits_path)
 
     def refs(self) -> DataFrame:
         if not self._exists(self.refs_path):
             return self.spark.createDataFrame([], schemas.REFS)
-        return self.spark.read.schema(schemas.REFS).parquet(self.refs_path)
+        return self.spark.read.schema(schemas.REFS).json(self.refs_path)
 
     def heads(self) -> DataFrame:
         """Head snapshot of every ref (latest ``seq`` per name)."""
@@ -141,8 +144,25 @@ class VersionedTable:
 
     # ----------------------------------------------------------------- writes
     def _append_meta(self, path: str, rows: list, schema: T.StructType) -> None:
-        (self.spark.createDataFrame(rows, schema).coalesce(1)
-         .write.mode("append").parquet(path))
+        """Append metadata rows as one JSON-lines file through the Hadoop
+        FileSystem API (any shared FS: HDFS, S3A, NFS). Written under a hidden
+        name then renamed, so readers never see a partial file."""
+        def enc(v):
+            if isinstance(v, (dt.datetime, dt.date)):
+                return v.isoformat()
+            return v
+        text = "".join(json.dumps({f.name: enc(r[f.name]) for f in schema.fields}) + "\n" for r in rows)
+        sc = self.spark.sparkContext
+        jvm = sc._jvm
+        name = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}.json"
+        tmp = jvm.org.apache.hadoop.fs.Path(f"{path}/.{name}.tmp")
+        dst = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        fs = tmp.getFileSystem(sc._jsc.hadoopConfiguration())
+        out = fs.create(tmp, False)
+        out.write(bytearray(text.encode("utf-8")))
+        out.close()
+        if not fs.rename(tmp, dst):
+            raise IOError(f"could not publish metadata file {name} in {path}")
 
     def _add_ref(self, name: str, sid: int | None, kind: str, at: dt.datetime | None) -> None:
         self._load()
@@ -346,6 +366,20 @@ class VersionedTable:
         df = self._read_parts(self._parts(end, stop_at=start_exclusive, appends_only=True))
         return (df if with_snapshot_id else df.drop(SNAPSHOT_COL)), "incremental"
 
+    def provenance(self, ref: str = "main") -> DataFrame:
+        """Per visible data snapshot of ``ref``: run id and how it reached the
+        ref (direct commit, fast-forward or cherry-pick). Built from metadata,
+        one row per commit, so it is safe to broadcast."""
+        rows = []
+        for data_id, _ in self._parts(self.head(ref)):
+            c = self._commit(data_id)
+            picked = any(x.source_snapshot_id == data_id and x.snapshot_id in self.ancestors(self.head(ref))
+                         for x in self._commits)
+            how = "cherry_pick" if picked else ("direct" if c.branch == ref else "fast_forward")
+            rows.append((data_id, c.summary.get("run-id"), how))
+        schema = "_snapshot_id bigint, run_id string, published string"
+        return F.broadcast(self.spark.createDataFrame(rows, schema))
+
     def history(self) -> DataFrame:
         """Commits newest first with lineage properties from the summary."""
         return (self.commits()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["features"]
+AREAS = ["features", "versioned"]
 
 
 def all_queries() -> dict:
