@@ -20,9 +20,6 @@ of the whole table) and keep ``_snapshot_id IN (...)`` as a partition filter.
 from __future__ import annotations
 
 import datetime as dt
-import json
-import time
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -30,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featurekit import schemas
+from featurekit.sources import metalog
 
 SNAPSHOT_COL = "_snapshot_id"
 
@@ -80,22 +78,15 @@ class VersionedTable:
         return f"{self.path}/refs"
 
     def _exists(self, p: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(p)
-        fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(jpath)
+        return metalog.exists(self.spark, p)
 
     # --------------------------------------------------------------- metadata
     def commits(self) -> DataFrame:
         """S8 input: the commit log as a DataFrame."""
-        if not self._exists(self.commits_path):
-            return self.spark.createDataFrame([], schemas.COMMITS)
-        return self.spark.read.schema(schemas.COMMITS).json(self.commits_path)
+        return metalog.read(self.spark, self.commits_path, schemas.COMMITS)
 
     def refs(self) -> DataFrame:
-        if not self._exists(self.refs_path):
-            return self.spark.createDataFrame([], schemas.REFS)
-        return self.spark.read.schema(schemas.REFS).json(self.refs_path)
+        return metalog.read(self.spark, self.refs_path, schemas.REFS)
 
     def heads(self) -> DataFrame:
         """Head snapshot of every ref (latest ``seq`` per name)."""
@@ -144,25 +135,7 @@ class VersionedTable:
 
     # ----------------------------------------------------------------- writes
     def _append_meta(self, path: str, rows: list, schema: T.StructType) -> None:
-        """Append metadata rows as one JSON-lines file through the Hadoop
-        FileSystem API (any shared FS: HDFS, S3A, NFS). Written under a hidden
-        name then renamed, so readers never see a partial file."""
-        def enc(v):
-            if isinstance(v, (dt.datetime, dt.date)):
-                return v.isoformat()
-            return v
-        text = "".join(json.dumps({f.name: enc(r[f.name]) for f in schema.fields}) + "\n" for r in rows)
-        sc = self.spark.sparkContext
-        jvm = sc._jvm
-        name = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}.json"
-        tmp = jvm.org.apache.hadoop.fs.Path(f"{path}/.{name}.tmp")
-        dst = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-        fs = tmp.getFileSystem(sc._jsc.hadoopConfiguration())
-        out = fs.create(tmp, False)
-        out.write(bytearray(text.encode("utf-8")))
-        out.close()
-        if not fs.rename(tmp, dst):
-            raise IOError(f"could not publish metadata file {name} in {path}")
+        metalog.append(self.spark, path, rows, schema)
 
     def _add_ref(self, name: str, sid: int | None, kind: str, at: dt.datetime | None) -> None:
         self._load()

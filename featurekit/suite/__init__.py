@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["features", "versioned"]
+AREAS = ["features", "versioned", "serving"]
 
 
 def all_queries() -> dict:
