@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["features", "versioned", "serving", "scoring"]
+AREAS = ["features", "versioned", "serving", "scoring", "registry"]
 
 
 def all_queries() -> dict:
