@@ -322,11 +322,12 @@ def prediction_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     commit (run) that wrote it; both lookup sides are size-checked broadcasts."""
     mv, _ = model_versions(spark, sf_dir)
     h = history.standard(spark, sf_dir)
-    prod = reg.production(mv).select(F.col("model_name").alias("_model_name"),
-                                     F.col("version").alias("_model_version"))
-    # one prediction per (row, production model): the models table is tiny and
-    # its size is checked before it is broadcast into the scoring plan
-    preds = scoring.rule_score(h.table.scan()).join(broadcast_if_small(prod, 10_000), how="inner", on=F.lit(True))
+    # every row is scored by each production model: the production list is
+    # registry metadata (one row per model), expanded with an explode, no join
+    prod = [(r.model_name, r.version) for r in reg.production(mv).select("model_name", "version").collect()]
+    models = F.array(*[F.struct(F.lit(n).alias("_model_name"), F.lit(v).alias("_model_version")) for n, v in prod])
+    preds = (scoring.rule_score(h.table.scan())
+             .select("*", F.inline(models)))
     versions = mv.select(F.col("model_name").alias("_model_name"), F.col("version").alias("_model_version"),
                          F.col("metadata")["feature_snapshot_id"].alias("feature_snapshot_id"),
                          F.col("metadata")["training_run_id"].alias("training_run_id"))
