@@ -155,11 +155,13 @@ class VersionedTable:
         self._load()
         return (max(c.snapshot_id for c in self._commits) + 1) if self._commits else 1
 
-    def create_branch(self, name: str, from_ref: str = "main", at: dt.datetime | None = None) -> bool:
-        """K2: branch at the head of ``from_ref``; a no-op when it exists."""
+    def create_branch(self, name: str, from_ref: str = "main", at: dt.datetime | None = None,
+                      at_snapshot: int | None = None) -> bool:
+        """K2: branch at the head of ``from_ref`` (or at ``at_snapshot``); a
+        no-op when it exists."""
         if self.has_ref(name):
             return False
-        self._add_ref(name, self.head(from_ref), "create", at)
+        self._add_ref(name, at_snapshot if at_snapshot is not None else self.head(from_ref), "create", at)
         return True
 
     def write(self, df: DataFrame, branch: str = "main", operation: str = "append",
@@ -181,7 +183,8 @@ class VersionedTable:
         (out.withColumn(SNAPSHOT_COL, F.lit(sid).cast("long"))
          .write.mode("append").partitionBy(SNAPSHOT_COL).parquet(self.data_path))
         added = int(obs.get["rows"])
-        total = added + (int(self._commit(parent).summary.get("total-records", "0")) if parent else 0)
+        total = added + (int(self._commit(parent).summary.get("total-records", "0"))
+                         if parent and operation != "replace" else 0)
         summary = {"operation": operation, "added-records": str(added), "total-records": str(total)}
         if replace_range is not None:
             summary["replace-from"], summary["replace-to"] = str(replace_range[0]), str(replace_range[1])

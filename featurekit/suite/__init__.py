@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["features", "versioned", "serving", "scoring", "registry", "metrics", "alerts"]
+AREAS = ["features", "versioned", "serving", "scoring", "registry", "metrics", "alerts", "maintenance"]
 
 
 def all_queries() -> dict:
