@@ -135,3 +135,18 @@ def check_outcomes_by_partition(df: DataFrame, checks: dict, partition_col: str)
                              F.when(F.col(f"b{i}") == 0, "passed").otherwise("failed").alias("result"))
                     for i, (c, req) in enumerate(checks.items())])
     return g.select(partition_col, F.inline(arr))
+
+
+def schema_changes(spark, old, new, table: str) -> DataFrame:
+    """(table, column, change_type ∈ add|drop|retype, old_type, new_type).
+
+    Column lists are schema metadata (one row per column)."""
+    o = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in old.fields],
+                              "column string, old_type string")
+    n = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in new.fields],
+                              "column string, new_type string")
+    j = o.join(n, "column", "full_outer")
+    kind = (F.when(F.col("old_type").isNull(), "add").when(F.col("new_type").isNull(), "drop")
+            .when(F.col("old_type") != F.col("new_type"), "retype"))
+    return (j.withColumn("change_type", kind).filter(F.col("change_type").isNotNull())
+            .select(F.lit(table).alias("table"), "column", "change_type", "old_type", "new_type"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from featurekit.operators import quality
@@ -40,12 +40,14 @@ def run_backfill(table: VersionedTable, events: DataFrame, start: dt.date, end:
     exception's args for callers that log it).
     """
     group = group or UserFeaturesDaily()
-    features = group.compute(filter_dates(events, start, end))
+    src_obs = Observation(f"source_{run_id}")
+    source = filter_dates(events, start, end).observe(src_obs, F.count(F.lit(1)).alias("rows"))
+    features = group.compute(source)
     branch = f"audit_{run_id}"
     props = {"code-version": code_version, "run-id": run_id, "pipeline-user": user}
     table.create_branch(branch, "main", committed_at)
     sid = table.write(features, branch, "overwrite" if idempotent else "append", committed_at, props,
-                      (start, end) if idempotent else None)
+                      (start, end) if idempotent else None, observed={"source-records": (src_obs, "rows")})
     ok = quality.validate(table.scan(ref=branch), checks or DEFAULT_CHECKS)
     if not ok:
         raise PublishRejected({"run_id": run_id, "branch": branch, "snapshot_id": sid, "status": "rejected"})

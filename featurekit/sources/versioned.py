@@ -166,7 +166,7 @@ class VersionedTable:
 
     def write(self, df: DataFrame, branch: str = "main", operation: str = "append",
               committed_at: dt.datetime | None = None, properties: dict | None = None,
-              replace_range: tuple | None = None) -> int:
+              replace_range: tuple | None = None, observed: dict | None = None) -> int:
         """K3/K4/K6: write ``df`` as a new snapshot on ``branch``.
 
         ``operation='overwrite'`` with ``replace_range=(first_date, last_date)``
@@ -189,6 +189,7 @@ class VersionedTable:
         if replace_range is not None:
             summary["replace-from"], summary["replace-to"] = str(replace_range[0]), str(replace_range[1])
         summary.update({k: str(v) for k, v in (properties or {}).items()})
+        summary.update({k: str(o.get[m]) for k, (o, m) in (observed or {}).items()})
         self._add_commit(Commit(sid, parent, None, branch, operation, committed_at, summary))
         self._add_ref(branch, sid, "commit", committed_at)
         return sid

@@ -193,3 +193,35 @@ def quality_check_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = quality.check_outcomes_by_partition(f, {"user_id": "not_null", "total_value": "not_null"}, "date")
     return (o.groupBy(F.lit("user_features_daily").alias("table"), "check", "result")
             .agg(F.count(F.lit(1)).alias("checks")))
+
+
+@register("daily_features_stream", f"SELECT {feature_cols_sql()} FROM ({FEATURES_SQL})")
+def daily_features_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming aggregation over two arrivals of event files (first
+    half of the dates, then the rest) equals the batch daily features."""
+    from featurekit.session import fresh_dir
+    from featurekit.streaming import features as sf
+    ev = tables.raw_events(spark, sf_dir)
+    root = fresh_dir(spark, "features_stream")
+    lo, hi = feat.date_bounds(ev.select(F.to_date("timestamp").alias("date")))
+    mid = lo + (hi - lo) / 2
+    day = F.to_date("timestamp")
+    ckpt, out = f"{root}/checkpoint", f"{root}/out"
+    for part in (ev.filter(day <= F.lit(mid)), ev.filter(day > F.lit(mid))):
+        part.write.mode("append").parquet(f"{root}/input")
+        sf.run_daily_features_stream(spark, f"{root}/input", ev.schema, out, ckpt)
+    return sf.current_features(spark, out)
+
+
+@register("schema_changes", """
+SELECT * FROM (VALUES ('user_features_daily', 'avg_value', 'add', NULL, 'double'),
+                      ('user_features_daily', 'event_count', 'retype', 'bigint', 'double'),
+                      ('user_features_daily', 'total_value', 'drop', 'double', NULL))
+       t("table", "column", change_type, old_type, new_type)""")
+def schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column changes between two versions of the feature table schema
+    (full outer join of the two column lists; a rename shows as drop + add)."""
+    v1 = feat.UserFeaturesDaily().compute(tables.raw_events(spark, sf_dir))
+    v2 = v1.select("user_id", "date", F.col("event_count").cast("double"),
+                   (F.col("total_value") / F.col("event_count")).alias("avg_value"))
+    return quality.schema_changes(spark, v1.schema, v2.schema, "user_features_daily")

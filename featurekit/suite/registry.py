@@ -337,3 +337,20 @@ def prediction_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(broadcast_if_small(commits), "feature_snapshot_id", "left")
             .select("user_id", "date", "_model_name", "_model_version", "feature_snapshot_id",
                     "training_run_id", "snapshot_run_id"))
+
+
+@register("artifact_hash_audit")
+def artifact_hash_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model artifacts (one JSON file of version metrics per model, written
+    by Spark) hashed from their bytes: SHA-256, first 12 hex characters."""
+    from featurekit.session import fresh_dir
+    mv, _ = model_versions(spark, sf_dir)
+    root = fresh_dir(spark, "artifacts")
+    (mv.select("model_name", "version", F.to_json("metrics").alias("metrics"))
+     .repartition(1, "model_name").sortWithinPartitions("model_name", "version")
+     .write.partitionBy("model_name").json(root))
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.json").load(root))
+    return files.select(F.regexp_extract("path", r"model_name=([^/]+)", 1).alias("model_name"),
+                        F.col("length").alias("bytes"),
+                        F.substring(F.sha2(F.col("content"), 256), 1, 12).alias("sha256_12"))

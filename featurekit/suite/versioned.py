@@ -249,3 +249,18 @@ def schema_evolution_read(spark: SparkSession, sf_dir: str) -> DataFrame:
      .withColumn("avg_value", F.col("total_value") / F.col("event_count"))
      .write.parquet(f"{path}/v=2"))
     return spark.read.option("mergeSchema", "true").parquet(path).drop("v")
+
+
+@register("row_counts", f"""
+WITH e AS (SELECT b.batch, count(*) AS n FROM events e JOIN ({B}) b
+           ON e.user_id = b.user_id AND CAST(e.ts AS DATE) = b.date GROUP BY b.batch)
+SELECT CASE e.batch WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS run_id,
+       CAST(e.n AS BIGINT) AS source_records, CAST(c.n AS BIGINT) AS added_records
+FROM e JOIN ({COUNTS}) c ON c.batch = e.batch""")
+def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: rows read and rows written per backfill run, both observed during
+    the single write job (no extra count passes)."""
+    t = history.standard(spark, sf_dir).table
+    return t.commits().select(F.col("summary")["run-id"].alias("run_id"),
+                              F.col("summary")["source-records"].cast("long").alias("source_records"),
+                              F.col("summary")["added-records"].cast("long").alias("added_records"))
