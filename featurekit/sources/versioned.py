@@ -325,7 +325,9 @@ class VersionedTable:
 
     def as_of_time(self, ts: dt.datetime, ref: str = "main", with_snapshot_id: bool = False) -> DataFrame:
         """The ref as it was published at ``ts`` (publish time, not commit time)."""
-        return self.scan(snapshot_id=self.head_at(ts, ref), with_snapshot_id=with_snapshot_id)
+        sid = self.head_at(ts, ref)
+        df = self._read_parts(self._parts(sid) if sid is not None else [])
+        return df if with_snapshot_id else df.drop(SNAPSHOT_COL)
 
     def head_at(self, ts: dt.datetime, ref: str = "main") -> int | None:
         self._load()
