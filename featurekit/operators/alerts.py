@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featurekit import schemas
-from featurekit.functions.labels import labels_key  # noqa: F401 - re-exported helper
+from featurekit.functions.labels import labels_key
 from featurekit.operators import metrics as M
 
 # The six default rules (name, condition over tick aggregates,
@@ -48,28 +48,32 @@ def rules_df(spark: SparkSession, rules=DEFAULT_RULES) -> DataFrame:
 def tick_aggregates(metrics: DataFrame, tick: str = "hour") -> DataFrame:
     """Per-tick aggregate columns the rule predicates refer to.
 
-    Gauges use their last value per series inside the tick; counters are
-    summed; the latency p99 is the bucket estimate of the tick's histogram.
+    One scan: metrics are first reduced to one row per (tick, series) — sum,
+    last value, histogram bucket counts — with partial aggregation, then
+    folded per tick from that small table. Gauges use their last value per
+    series inside the tick; counters are summed; the latency p99 is the bucket
+    estimate of the tick's histogram.
     """
-    m = metrics.withColumn("t", F.date_trunc(tick, F.col("ts").cast("timestamp")).cast("timestamp_ntz"))
-    name = F.col("name")
-    g = (m.filter(F.col("type") == "gauge")
-         .groupBy("t", "name", "labels").agg(F.max_by("value", F.struct("ts", "seq")).alias("last"))
-         .groupBy("t").agg(
-             F.max(F.when(name.contains("null_rate"), F.col("last"))).alias("max_null_rate"),
-             F.max(F.when(name.contains("drift_detected"), F.col("last"))).alias("max_drift_detected"),
-             F.max(F.when(name.contains("model_age_hours"), F.col("last"))).alias("max_model_age"),
-             F.count_if(name.contains("online_store_keys") & (F.col("last") == 0)).alias("store_zero")))
-    v = F.col("value")
-    lat = (name == "prediction_latency_seconds") & (F.col("type") == "histogram")
-    c = m.groupBy("t").agg(
-        F.coalesce(F.sum(F.when((F.col("type") == "counter") & name.contains("failure"), v)), F.lit(0.0))
+    v, name, typ = F.col("value"), F.col("name"), F.col("type")
+    series = (metrics
+              .withColumn("t", F.date_trunc(tick, F.col("ts").cast("timestamp")).cast("timestamp_ntz"))
+              .groupBy("t", "name", "type", labels_key().alias("labels_key"))
+              .agg(F.sum(v).alias("s"), F.count(v).alias("n"),
+                   F.max_by(v, F.struct("ts", "seq")).alias("last"),
+                   *[F.count_if(v <= F.lit(b)).alias(f"c{i}") for i, b in enumerate(M.DEFAULT_BUCKETS)]))
+    gauge = typ == "gauge"
+    lat = (name == "prediction_latency_seconds") & (typ == "histogram")
+    per_tick = series.groupBy("t").agg(
+        F.coalesce(F.sum(F.when((typ == "counter") & name.contains("failure"), F.col("s"))), F.lit(0.0))
         .alias("failures"),
-        F.array(*[F.count_if(lat & (v <= F.lit(b))) for b in M.DEFAULT_BUCKETS]).alias("_cum"),
-        F.count_if(lat).alias("_n"))
-    return (c.join(g, "t", "left")
-            .withColumn("p99_latency", M.percentile_from_buckets(F.col("_cum"), F.col("_n"), 0.99))
-            .withColumn("store_zero", F.coalesce("store_zero", F.lit(0)))
+        F.max(F.when(gauge & name.contains("null_rate"), F.col("last"))).alias("max_null_rate"),
+        F.max(F.when(gauge & name.contains("drift_detected"), F.col("last"))).alias("max_drift_detected"),
+        F.max(F.when(gauge & name.contains("model_age_hours"), F.col("last"))).alias("max_model_age"),
+        F.count_if(gauge & name.contains("online_store_keys") & (F.col("last") == 0)).alias("store_zero"),
+        F.array(*[F.coalesce(F.sum(F.when(lat, F.col(f"c{i}"))), F.lit(0)).cast("long")
+                  for i in range(len(M.DEFAULT_BUCKETS))]).alias("_cum"),
+        F.coalesce(F.sum(F.when(lat, F.col("n"))), F.lit(0)).cast("long").alias("_n"))
+    return (per_tick.withColumn("p99_latency", M.percentile_from_buckets(F.col("_cum"), F.col("_n"), 0.99))
             .drop("_cum", "_n"))
 
 

@@ -150,3 +150,23 @@ def schema_changes(spark, old, new, table: str) -> DataFrame:
             .when(F.col("old_type") != F.col("new_type"), "retype"))
     return (j.withColumn("change_type", kind).filter(F.col("change_type").isNotNull())
             .select(F.lit(table).alias("table"), "column", "change_type", "old_type", "new_type"))
+
+
+# rules whose verdict over a table equals the verdict over its newly added rows
+# when the existing rows already passed (row-local rules)
+ROW_LOCAL = ("not_null", "range", "accepted_values")
+
+
+def observe(df: DataFrame, rules: Sequence[Rule], name: str):
+    """Attach row-local rules to ``df`` as an ``Observation``: the audit runs
+    inside the job that writes the rows (no second scan). Returns
+    ``(observed_df, verdicts)`` where ``verdicts()`` → ``{rule name: failures}``
+    after the write action has run."""
+    from pyspark.sql import Observation
+    local = [r for r in rules if r.kind in ROW_LOCAL]
+    if not local:
+        return df, lambda: {}
+    obs = Observation(name)
+    exprs = [_metric(r)[1].cast("long").alias(f"b{i}") for i, r in enumerate(local)]
+    out = df.observe(obs, *exprs)
+    return out, lambda: {r.name: int(obs.get[f"b{i}"]) for i, r in enumerate(local)}

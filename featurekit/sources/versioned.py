@@ -96,12 +96,13 @@ class VersionedTable:
 
     def _load(self) -> None:
         if self._commits is None:
+            rows = self.commits().collect() if self._exists(self.commits_path) else []
             self._commits = [Commit(r.snapshot_id, r.parent_id, r.source_snapshot_id, r.branch, r.operation,
-                                    r.committed_at, dict(r.summary or {}))
-                             for r in self.commits().collect()]
+                                    r.committed_at, dict(r.summary or {})) for r in rows]
             self._commits.sort(key=lambda c: c.snapshot_id)
         if self._refs is None:
-            self._refs = sorted(self.refs().collect(), key=lambda r: r.seq)
+            rows = self.refs().collect() if self._exists(self.refs_path) else []
+            self._refs = sorted(rows, key=lambda r: r.seq)
 
     def commit_list(self) -> list[Commit]:
         self._load()
