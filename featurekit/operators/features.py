@@ -120,7 +120,9 @@ def asof_join(labels: DataFrame, features: DataFrame, key: str = "user_id",
     per_bucket = (feat.withColumn("_b", bucket_of("_t"))
                   .groupBy("_k", "_b").agg(F.max_by("_f", "_t").alias("_c"))
                   .withColumn("_side", F.lit(1)))
-    need = (within.filter(F.col("_m").isNull()).select("_k", "_b").distinct()
+    # every label bucket gets its carry row (computed from the labels' keys, not
+    # from the window above, so that window runs once)
+    need = (lab.select("_k", bucket_of("_t").alias("_b")).distinct()
             .withColumn("_c", F.lit(None).cast(ftype)).withColumn("_side", F.lit(0)))
     wb = Window.partitionBy("_k").orderBy("_b", "_side").rowsBetween(Window.unboundedPreceding, -1)
     fallback = (need.unionByName(per_bucket)
