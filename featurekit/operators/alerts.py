@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featurekit import schemas
+from featurekit.functions import timeutil as tu
 from featurekit.functions.labels import labels_key
 from featurekit.operators import metrics as M
 
@@ -45,7 +46,7 @@ def rules_df(spark: SparkSession, rules=DEFAULT_RULES) -> DataFrame:
     return spark.createDataFrame(rows, schemas.ALERT_RULES)
 
 
-def tick_aggregates(metrics: DataFrame, tick: str = "hour") -> DataFrame:
+def tick_aggregates(metrics: DataFrame, tick_seconds: int = 3600) -> DataFrame:
     """Per-tick aggregate columns the rule predicates refer to.
 
     One scan: metrics are first reduced to one row per (tick, series) — sum,
@@ -56,7 +57,7 @@ def tick_aggregates(metrics: DataFrame, tick: str = "hour") -> DataFrame:
     """
     v, name, typ = F.col("value"), F.col("name"), F.col("type")
     series = (metrics
-              .withColumn("t", F.date_trunc(tick, F.col("ts").cast("timestamp")).cast("timestamp_ntz"))
+              .withColumn("t", tu.trunc_seconds("ts", tick_seconds))
               .groupBy("t", "name", "type", labels_key().alias("labels_key"))
               .agg(F.sum(v).alias("s"), F.count(v).alias("n"),
                    F.max_by(v, F.struct("ts", "seq")).alias("last"),
@@ -104,7 +105,7 @@ def remove_silenced(conds: DataFrame, silences: DataFrame, bucket_seconds: int =
     it covers (bounded by its length), joined on (rule, bucket), then the exact
     range is checked — no pairs beyond one bucket per silence are formed."""
     def bucket(c: Column) -> Column:
-        return F.floor(F.unix_seconds(c.cast("timestamp")) / bucket_seconds).cast("long")
+        return F.floor(tu.epoch_seconds(c) / bucket_seconds).cast("long")
 
     s = silences.select(F.col("rule_name").alias("rule"), F.col("from").alias("_from"), F.col("until").alias("_until"),
                         F.explode(F.sequence(bucket(F.col("from")), bucket(F.col("until")))).alias("_b"))
@@ -127,7 +128,7 @@ def fold_events(conds: DataFrame, rules: DataFrame) -> DataFrame:
     false tick resolves an active alert (reported with its firing time).
     """
     c = (conds.filter(F.col("cond").isNotNull())
-         .select("rule", F.struct(F.unix_seconds(F.col("t").cast("timestamp")).alias("ts"), "cond").alias("x")))
+         .select("rule", F.struct(tu.epoch_seconds("t").alias("ts"), "cond").alias("x")))
     per_rule = (c.groupBy("rule").agg(F.array_sort(F.collect_list("x")).alias("xs"))
                 .join(F.broadcast(rules.select(F.col("name").alias("rule"), "for_duration", "cooldown")), "rule"))
     init = F.struct(F.lit(None).cast("bigint").alias("first"), F.lit(0).cast("bigint").alias("last"),
@@ -150,7 +151,7 @@ def fold_events(conds: DataFrame, rules: DataFrame) -> DataFrame:
 
     folded = per_rule.select("rule", F.aggregate("xs", init, step)["ev"].alias("ev"))
     e = folded.select(F.col("rule").alias("rule_name"), F.inline("ev"))
-    ts = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
+    ts = tu.from_epoch_seconds
     return e.select("rule_name", "status", ts(F.col("fired_at")).alias("fired_at"),
                     F.when(F.col("status") == "resolved", ts(F.col("t"))).alias("resolved_at"),
                     F.col("t").alias("event_ts"))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featurekit.functions import timeutil as tu
 from featurekit.sources.versioned import SNAPSHOT_COL, VersionedTable
 
 
@@ -56,7 +57,7 @@ def expire_plan(table: VersionedTable, older_than: dt.datetime, retain_last: int
         [Row(snapshot_id=c.snapshot_id, data_deletable=c.snapshot_id not in live) for c in table.commit_list()],
         schema)
     return (table.commits()
-            .filter((F.col("committed_at") < F.lit(older_than)) & ~F.col("snapshot_id").isin(list(heads | keep)))
+            .filter((F.col("committed_at") < tu.ntz(older_than)) & ~F.col("snapshot_id").isin(list(heads | keep)))
             .join(F.broadcast(flags), "snapshot_id")  # one row per commit: metadata-sized
             .select("snapshot_id", "committed_at", "operation", "data_deletable"))
 

@@ -12,6 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from featurekit.functions import timeutil as tu
 from featurekit.functions.labels import labels_key, prometheus_labels
 
 # Default latency histogram upper bounds (seconds), in order.
@@ -68,7 +69,7 @@ def percentile_from_buckets(cum: Column, count: Column, p: float,
             .otherwise(F.lit(float(buckets[-1]))))
 
 
-def running_total(metrics: DataFrame, chunk: str = "hour") -> DataFrame:
+def running_total(metrics: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
     """Running total of each counter series in (ts, seq) order.
 
     Two-level prefix sum so a hot series is never one window partition: (1)
@@ -78,7 +79,7 @@ def running_total(metrics: DataFrame, chunk: str = "hour") -> DataFrame:
     """
     c = (metrics.filter(F.col("type") == "counter")
          .withColumn("labels_key", labels_key())
-         .withColumn("_chunk", F.date_trunc(chunk, F.col("ts").cast("timestamp"))))
+         .withColumn("_chunk", F.floor(tu.epoch_seconds("ts") / chunk_seconds)))
     per_chunk = c.groupBy("name", "labels_key", "_chunk").agg(F.sum("value").alias("_s"))
     wc = Window.partitionBy("name", "labels_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_chunk.select("name", "labels_key", "_chunk",

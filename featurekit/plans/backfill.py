@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from featurekit.functions import timeutil as tu
 from featurekit.operators import quality
 from featurekit.operators.features import FeatureGroup, UserFeaturesDaily
 from featurekit.sources.versioned import PublishRejected, VersionedTable
@@ -25,7 +26,7 @@ def filter_dates(events: DataFrame, start: dt.date, end: dt.date, ts_col: str =
     pushed min/max filters (row-group skipping)."""
     lo = dt.datetime.combine(start, dt.time())
     hi = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
-    return events.filter((F.col(ts_col) >= F.lit(lo)) & (F.col(ts_col) < F.lit(hi)))
+    return events.filter((F.col(ts_col) >= tu.ntz(lo)) & (F.col(ts_col) < tu.ntz(hi)))
 
 
 def run_backfill(table: VersionedTable, events: DataFrame, start: dt.date, end: dt.date, run_id: str,

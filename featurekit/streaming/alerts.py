@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from featurekit.functions import timeutil as tu
+
 OUT_SCHEMA = "rule_name string, status string, fired_at timestamp_ntz, resolved_at timestamp_ntz"
 STATE_SCHEMA = "first_true long, last_fired long, active boolean"
 
@@ -49,7 +51,7 @@ def run_alert_stream(spark: SparkSession, conds: DataFrame, rules: DataFrame, ro
                      chunks: int = 3, timeout_s: int = 600) -> DataFrame:
     """Feed ``conds`` (rule, t, cond) as a file stream in time chunks and
     return the emitted alert events."""
-    c = conds.withColumn("ts", F.unix_seconds(F.col("t").cast("timestamp")))
+    c = conds.withColumn("ts", tu.epoch_seconds("t"))
     lo, hi = c.agg(F.min("ts"), F.max("ts")).first()
     span = (hi - lo + 1) / chunks
     for i in range(chunks):  # arrive in time order, one file per chunk

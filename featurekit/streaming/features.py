@@ -10,18 +10,21 @@ idempotent batch backfill of their dates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window  # noqa: F401
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.operators.serving import latest_per_key  # noqa: F401
+from featurekit.functions import timeutil as tu
 
 
 def daily_features_stream(source: DataFrame, watermark: str = "2 days") -> DataFrame:
-    ev = source.withColumn("event_time", F.col("timestamp").cast("timestamp"))
+    # the wall clock read as UTC: day windows align with wall-clock midnight in
+    # any session time zone
+    ev = source.withColumn("event_time", tu.as_utc_instant("timestamp"))
+    day = F.to_date(tu.from_epoch_seconds(F.unix_seconds(F.col("window.start"))))
     return (ev.withWatermark("event_time", watermark)
             .groupBy(F.window("event_time", "1 day"), "user_id")
             .agg(F.count(F.lit(1)).alias("event_count"), F.sum("value").alias("total_value"))
-            .select("user_id", F.to_date(F.col("window.start")).alias("date"), "event_count", "total_value"))
+            .select("user_id", day.alias("date"), "event_count", "total_value"))
 
 
 def run_daily_features_stream(spark: SparkSession, input_path: str, schema, out_path: str, checkpoint: str,

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from featurekit.functions import timeutil as tu
 from featurekit.functions.sizing import broadcast_if_small
 from featurekit.operators import registry as reg
 from featurekit.operators import scoring
@@ -292,7 +293,7 @@ def model_age_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     mv, _ = model_versions(spark, sf_dir)
     asof = tables.raw_events(spark, sf_dir).agg(F.max("timestamp").alias("asof")).first()["asof"]
     created = F.to_timestamp_ntz(F.col("created_at"))
-    secs = F.unix_seconds(F.lit(asof).cast("timestamp")) - F.unix_seconds(created.cast("timestamp"))
+    secs = tu.epoch_seconds(tu.ntz(asof)) - tu.epoch_seconds(created)
     return reg.production(mv).select("model_name", "version", (secs / 3600.0).alias("age_hours"))
 
 
