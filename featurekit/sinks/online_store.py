@@ -1,68 +1,101 @@
-"""A Parquet-backed key-value online store with versioned state.
-
-Each upsert writes a complete new state version (``v=<n>``) computed by the
-executors (merge of the previous state and the updates), then records the
-version in a metadata log; readers take the latest recorded version. A re-run
-of the same version number overwrites that folder, so a retried upsert is
-idempotent. Any external store can implement ``OnlineStore.write_batch`` with a
-``foreachPartition`` writer instead.
+"""A Parquet-backed key-value online store with versioned, hash-bucketed state.
+
+The state is split into ``buckets`` by ``pmod(xxhash64(key), buckets)``. An
+upsert reads only the buckets its updates touch, merges them (latest record
+per key, computed by the executors) and writes those buckets as a new version
+folder ``v=<n>/bucket=<b>/``; untouched buckets keep pointing at the version
+that last wrote them. A metadata log row per (version, bucket) publishes the
+write, so readers never see a half-written version, and a retried upsert of
+the same version number overwrites its own folder (idempotent). The cost of
+an upsert is therefore proportional to the touched buckets, not the whole
+store. Any external store can instead implement a ``foreachPartition``
+writer over ``merge_latest`` output.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featurekit.operators import serving
 from featurekit.sources import metalog
 
-VERSIONS = T.StructType([T.StructField("version", T.LongType()), T.StructField("rows", T.LongType())])
+VERSIONS = T.StructType([T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType()),
+                         T.StructField("rows", T.LongType())])
 
 
 class ParquetOnlineStore:
     store_type = "parquet"
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "user_id",
-                 order: Sequence[str] = ("date", "_snapshot_id"), partitions: int | None = None):
+                 order: Sequence[str] = ("date", "_snapshot_id"), buckets: int = 16):
         self.spark, self.path, self.schema, self.key, self.order = spark, path.rstrip("/"), schema, key, list(order)
-        self.partitions = partitions
+        self.buckets = buckets
+
+    def _log(self) -> list[Row]:
+        if not metalog.exists(self.spark, f"{self.path}/_versions"):
+            return []
+        return metalog.read(self.spark, f"{self.path}/_versions", VERSIONS).collect()
 
-    def _versions(self) -> list[Row]:
-        return sorted(metalog.read(self.spark, f"{self.path}/_versions", VERSIONS).collect(),
-                      key=lambda r: r.version)
+    def _layout(self, before: int | None = None) -> dict[int, Row]:
+        """bucket → log row of the newest version (older than ``before``) that wrote it."""
+        out: dict[int, Row] = {}
+        for r in sorted(self._log(), key=lambda r: r.version):
+            if before is None or r.version < before:
+                out[r.bucket] = r
+        return out
 
     def version(self) -> int | None:
-        v = self._versions()
-        return v[-1].version if v else None
+        log = self._log()
+        return max(r.version for r in log) if log else None
 
-    def current(self, before: int | None = None) -> DataFrame:
-        """Latest state version (or the latest one older than ``before``)."""
-        vs = [r.version for r in self._versions() if before is None or r.version < before]
-        v = vs[-1] if vs else None
-        if v is None:
+    def _bucket_of(self, c: str) -> F.Column:
+        return F.pmod(F.xxhash64(F.col(c)), F.lit(self.buckets)).cast("int")
+
+    def _read(self, layout: dict[int, Row], buckets=None) -> DataFrame:
+        paths = [f"{self.path}/v={r.version}/bucket={b}" for b, r in sorted(layout.items())
+                 if r.rows and (buckets is None or b in buckets)]
+        if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={v}")
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def current(self, before: int | None = None) -> DataFrame:
+        """The whole state (or as it was before version ``before``)."""
+        return self._read(self._layout(before))
 
     def upsert(self, updates: DataFrame, version: int | None = None) -> int:
-        """Merge ``updates`` into the state; returns the new version number."""
+        """Merge ``updates`` into the touched buckets; returns the new version."""
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in updates.columns
                 else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        u = serving.valid_keys(updates.select(*cols), self.key).withColumn("_bucket", self._bucket_of(self.key))
+        touched = sorted(r[0] for r in u.select("_bucket").distinct().collect())  # at most `buckets` ints
         v = version if version is not None else (self.version() or 0) + 1
-        merged = serving.merge_latest(self.current(before=v), updates.select(*cols), self.key, self.order)
-        out = merged.repartition(self.partitions, self.key) if self.partitions else merged
-        obs = Observation(f"store_v{v}")
-        out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.path}/v={v}")
-        n = int(obs.get["rows"])
-        metalog.append(self.spark, f"{self.path}/_versions", [Row(version=v, rows=n)], VERSIONS)
+        if not touched:
+            return v
+        base = self._read(self._layout(before=v), set(touched)).withColumn("_bucket", self._bucket_of(self.key))
+        merged = serving.merge_latest(base, u, self.key, self.order)
+        out = f"{self.path}/v={v}"
+        (merged.repartition("_bucket").withColumnRenamed("_bucket", "bucket")
+         .write.mode("overwrite").partitionBy("bucket").parquet(out))
+        counts = dict.fromkeys(touched, 0)
+        written = [f"{out}/bucket={b}" for b in touched if metalog.exists(self.spark, f"{out}/bucket={b}")]
+        if written:
+            for r in (self.spark.read.schema(self.schema).parquet(*written)
+                      .groupBy(self._bucket_of(self.key).alias("b")).count().collect()):
+                counts[r["b"]] = r["count"]
+        metalog.append(self.spark, f"{self.path}/_versions",
+                       [Row(version=v, bucket=b, rows=counts[b]) for b in touched], VERSIONS)
         return v
 
     def size(self) -> int:
-        """Number of keys (recorded with the version, no scan)."""
-        v = self._versions()
-        return v[-1].rows if v else 0
+        """Number of keys, from the version log (no data scan)."""
+        return sum(r.rows for r in self._layout().values())
 
     def lookup(self, keys: DataFrame) -> DataFrame:
-        return serving.lookup(keys, self.current(), self.key)
+        """Bulk lookup reading only the buckets the requested keys fall in."""
+        k = keys.withColumn("_bucket", self._bucket_of(self.key))
+        wanted = {r[0] for r in k.select("_bucket").distinct().collect()}
+        return serving.lookup(k.drop("_bucket"), self._read(self._layout(), wanted), self.key)

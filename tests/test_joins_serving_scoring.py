@@ -60,3 +60,24 @@ def test_rule_score_bands(spark):
     for r in scoring.rule_score(df).collect():
         lo, hi = (0.7, 1.0) if r.total_value > 50 else (0.3, 0.7) if r.total_value > 10 else (0.1, 0.3)
         assert lo <= r.prediction < hi
+
+
+def test_online_store_touches_only_updated_buckets(spark, tmp_table_dir):
+    from featurekit.sinks.online_store import ParquetOnlineStore
+    schema = "user_id long, date date, x int"
+    store = ParquetOnlineStore(spark, tmp_table_dir, spark.createDataFrame([], schema).schema,
+                               order=["date"], buckets=8)
+    d = dt.date(2024, 1, 1)
+    store.upsert(spark.createDataFrame([(i, d, i) for i in range(200)], schema))
+    assert store.size() == 200
+    v2 = store.upsert(spark.createDataFrame([(7, d + dt.timedelta(1), -7), (None, d, 0)], schema))
+    touched = {r.bucket for r in store._log() if r.version == v2}
+    assert len(touched) == 1  # one key → one bucket rewritten
+    assert store.size() == 200
+    state = {r.user_id: r.x for r in store.current().collect()}
+    assert state[7] == -7 and state[8] == 8 and None not in state
+    # a retried upsert of the same version is idempotent
+    store.upsert(spark.createDataFrame([(7, d + dt.timedelta(1), -7)], schema), version=v2)
+    assert store.size() == 200 and {r.user_id: r.x for r in store.current().collect()}[7] == -7
+    found = {r.user_id: r.found for r in store.lookup(spark.createDataFrame([(7,), (999,)], "user_id long")).collect()}
+    assert found == {7: True, 999: False}
