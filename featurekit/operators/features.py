@@ -30,6 +30,7 @@ class UserFeaturesDaily:
 
     name = "user_features_daily"
     description = "Daily user activity aggregates"
+    source_count_column = "event_count"  # sum over groups = source rows read
 
     def compute(self, source_df: DataFrame) -> DataFrame:
         return (source_df

@@ -46,17 +46,24 @@ def run_backfill(table: VersionedTable, events: DataFrame, start: dt.date, end:
     """
     group = group or UserFeaturesDaily()
     rules = quality.rules_from_checks(checks or DEFAULT_CHECKS)
-    src_obs = Observation(f"source_{run_id}")
-    source = filter_dates(events, start, end).observe(src_obs, F.count(F.lit(1)).alias("rows"))
     # row-local audit rules ride along the write as an Observation: the new rows
     # are audited in the job that writes them; rows already on main were
     # audited when they were published, so the branch is never re-scanned.
-    features, verdicts = quality.observe(group.compute(source), rules, f"audit_{run_id}")
+    # Observations sit in the final (result) stage, so task or stage retries
+    # after a lost executor cannot count a row twice.
+    features, verdicts = quality.observe(group.compute(filter_dates(events, start, end)), rules,
+                                         f"audit_{run_id}")
+    observed = {}
+    count_col = getattr(group, "source_count_column", None)
+    if count_col:  # rows read = sum of the per-group counts, observed after the shuffle
+        src_obs = Observation(f"source_{run_id}")
+        features = features.observe(src_obs, F.sum(count_col).alias("rows"))
+        observed["source-records"] = (src_obs, "rows")
     branch = f"audit_{run_id}"
     props = {"code-version": code_version, "run-id": run_id, "pipeline-user": user}
     table.create_branch(branch, "main", committed_at)
     sid = table.write(features, branch, "overwrite" if idempotent else "append", committed_at, props,
-                      (start, end) if idempotent else None, observed={"source-records": (src_obs, "rows")})
+                      (start, end) if idempotent else None, observed=observed)
     failures = verdicts()
     ok = all(v == 0 for v in failures.values())
     rest = [r for r in rules if r.kind not in quality.ROW_LOCAL]
