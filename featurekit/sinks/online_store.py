@@ -23,8 +23,7 @@ from pyspark.sql import types as T
 from featurekit.operators import serving
 from featurekit.sources import metalog
 
-VERSIONS = T.StructType([T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType()),
-                         T.StructField("rows", T.LongType())])
+VERSIONS = T.StructType([T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType())])
 
 
 class ParquetOnlineStore:
@@ -34,11 +33,14 @@ class ParquetOnlineStore:
                  order: Sequence[str] = ("date", "_snapshot_id"), buckets: int = 16):
         self.spark, self.path, self.schema, self.key, self.order = spark, path.rstrip("/"), schema, key, list(order)
         self.buckets = buckets
+        self._cache: list[Row] | None = None
 
     def _log(self) -> list[Row]:
-        if not metalog.exists(self.spark, f"{self.path}/_versions"):
-            return []
-        return metalog.read(self.spark, f"{self.path}/_versions", VERSIONS).collect()
+        """Version log rows (cached: one writer per store)."""
+        if self._cache is None:
+            self._cache = (metalog.read(self.spark, f"{self.path}/_versions", VERSIONS).collect()
+                           if metalog.exists(self.spark, f"{self.path}/_versions") else [])
+        return self._cache
 
     def _layout(self, before: int | None = None) -> dict[int, Row]:
         """bucket → log row of the newest version (older than ``before``) that wrote it."""
@@ -57,7 +59,7 @@ class ParquetOnlineStore:
 
     def _read(self, layout: dict[int, Row], buckets=None) -> DataFrame:
         paths = [f"{self.path}/v={r.version}/bucket={b}" for b, r in sorted(layout.items())
-                 if r.rows and (buckets is None or b in buckets)]
+                 if buckets is None or b in buckets]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
@@ -80,19 +82,14 @@ class ParquetOnlineStore:
         out = f"{self.path}/v={v}"
         (merged.repartition("_bucket").withColumnRenamed("_bucket", "bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(out))
-        counts = dict.fromkeys(touched, 0)
-        written = [f"{out}/bucket={b}" for b in touched if metalog.exists(self.spark, f"{out}/bucket={b}")]
-        if written:
-            for r in (self.spark.read.schema(self.schema).parquet(*written)
-                      .groupBy(self._bucket_of(self.key).alias("b")).count().collect()):
-                counts[r["b"]] = r["count"]
-        metalog.append(self.spark, f"{self.path}/_versions",
-                       [Row(version=v, bucket=b, rows=counts[b]) for b in touched], VERSIONS)
+        rows = [Row(version=v, bucket=b) for b in touched]
+        metalog.append(self.spark, f"{self.path}/_versions", rows, VERSIONS)
+        self._log().extend(rows)
         return v
 
     def size(self) -> int:
-        """Number of keys, from the version log (no data scan)."""
-        return sum(r.rows for r in self._layout().values())
+        """Number of keys (a count over Parquet footers of the current buckets)."""
+        return self.current().count()
 
     def lookup(self, keys: DataFrame) -> DataFrame:
         """Bulk lookup reading only the buckets the requested keys fall in."""
