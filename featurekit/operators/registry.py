@@ -119,3 +119,58 @@ def lineage(mv: DataFrame) -> DataFrame:
         F.col("model_path").alias("artifact_path"),
         F.col("model_format").alias("artifact_format"),
     )
+
+
+PROMOTIONS = "model_name string, version string, seq long, kind string"
+
+
+def metadata(**fields) -> Column:
+    """A full ``metadata`` struct; unspecified lineage fields are NULL."""
+    from featurekit import schemas
+    parts = []
+    for f in schemas.MODEL_METADATA.fields:
+        v = fields.get(f.name)
+        c = v if isinstance(v, Column) else F.lit(v)
+        parts.append(c.cast(f.dataType).alias(f.name))
+    return F.struct(*parts)
+
+
+class RegistryTable:
+    """A model registry stored as two Parquet tables: ``versions`` (one row per
+    registered version, ``schemas.MODEL_VERSIONS``) and ``promotions`` (the
+    lifecycle event log). Registering or promoting appends rows; stages are
+    derived by ``stages`` on read, so nothing is rewritten in place."""
+
+    def __init__(self, spark, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _read(self, name: str, schema) -> DataFrame:
+        from featurekit.sources import metalog
+        p = f"{self.path}/{name}"
+        if not metalog.exists(self.spark, p):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(p)
+
+    def raw_versions(self) -> DataFrame:
+        from featurekit import schemas
+        return self._read("versions", schemas.MODEL_VERSIONS)
+
+    def promotions(self) -> DataFrame:
+        return self._read("promotions", PROMOTIONS)
+
+    def versions(self) -> DataFrame:
+        """Every version with its stage derived from the promotion log."""
+        return stages(self.raw_versions(), self.promotions())
+
+    def register(self, new_versions: DataFrame) -> None:
+        """Append version rows (callers compute ``version`` with ``next_version``)."""
+        from featurekit import schemas
+        cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in new_versions.columns
+                else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.MODEL_VERSIONS.fields]
+        new_versions.select(*cols).withColumn("stage", F.lit("none")) \
+            .write.mode("append").parquet(f"{self.path}/versions")
+
+    def promote(self, events: DataFrame) -> None:
+        """Append promotion events (model_name, version, seq, kind)."""
+        events.select("model_name", "version", F.col("seq").cast("long"), "kind") \
+            .write.mode("append").parquet(f"{self.path}/promotions")

@@ -126,6 +126,16 @@ SEMVER = ("CAST(split_part(version, '.', 1) AS INTEGER), CAST(split_part(version
           "CAST(split_part(version, '.', 3) AS INTEGER)")
 
 
+def _stored_registry(spark, sf_dir) -> reg.RegistryTable:
+    """The derived versions and promotion events written to a registry table."""
+    from featurekit.session import fresh_dir
+    mv, events = model_versions(spark, sf_dir)
+    r = reg.RegistryTable(spark, fresh_dir(spark, "registry"))
+    r.register(mv.drop("k", "date"))
+    r.promote(events)
+    return r
+
+
 @register("registry_list_versions", f"""
 SELECT model_name, version, stage, round(auc, 6) AS auc, round(f1, 6) AS f1, round("precision", 6) AS "precision",
        feature_snapshot_id AS feature_snapshot, created_at,
@@ -134,7 +144,7 @@ FROM ({STAGED})""")
 def registry_list_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S11/T-4: every version with stage, key metrics and snapshot, and its
     position in numeric semver order."""
-    mv, _ = model_versions(spark, sf_dir)
+    mv = _stored_registry(spark, sf_dir).versions()
     w = Window.partitionBy("model_name").orderBy(reg.semver_key("version"))
     return mv.select("model_name", "version", "stage", F.col("metrics")["auc"].alias("auc"),
                      F.col("metrics")["f1"].alias("f1"), F.col("metrics")["precision"].alias("precision"),
@@ -226,16 +236,23 @@ SELECT m.model_name,
 FROM m JOIN l ON m.model_name = l.model_name""")
 def registry_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register one new version per model (patch bump) trained on all
-    events, bound to the current head of main (snapshot 2)."""
-    mv, _ = model_versions(spark, sf_dir)
+    events, bound to the current head of main (snapshot 2): rows are appended
+    to the registry table and read back."""
+    r = _stored_registry(spark, sf_dir)
+    before = reg.latest_versions(r.raw_versions())
     ev = tables.raw_events(spark, sf_dir)
     metrics = (ev.groupBy(F.concat("event_type", F.lit("_ctr_model")).alias("model_name"))
                .agg((0.5 + 0.5 * F.count_if(F.col("value") > 50) / F.count(F.lit(1))).alias("auc")))
-    latest = reg.latest_versions(mv)
-    new = (metrics.join(latest, "model_name")
+    new = (metrics.join(before, "model_name")
            .select("model_name", reg.next_version(F.col("latest_version"), F.lit("patch")).alias("version"),
-                   F.lit("none").alias("stage"), "auc", F.lit("2").alias("feature_snapshot_id")))
-    return new
+                   F.create_map(F.lit("auc"), F.col("auc")).alias("metrics"),
+                   reg.metadata(feature_snapshot_id="2", git_commit_hash=history.CODE_VERSION).alias("metadata")))
+    r.register(new)
+    after = r.versions()
+    added = after.join(before.select("model_name", "latest_version"), "model_name") \
+        .filter(reg.semver_key("version") > reg.semver_key("latest_version"))
+    return added.select("model_name", "version", "stage", F.col("metrics")["auc"].alias("auc"),
+                        F.col("metadata")["feature_snapshot_id"].alias("feature_snapshot_id"))
 
 
 @register("registry_compare_versions", f"""
