@@ -81,3 +81,34 @@ def test_online_store_touches_only_updated_buckets(spark, tmp_table_dir):
     assert store.size() == 200 and {r.user_id: r.x for r in store.current().collect()}[7] == -7
     found = {r.user_id: r.found for r in store.lookup(spark.createDataFrame([(7,), (999,)], "user_id long")).collect()}
     assert found == {7: True, 999: False}
+
+
+class _FileClient:
+    """Test stand-in for an external store: one JSON-lines file per partition."""
+
+    def __init__(self, root):
+        import os
+        import uuid
+        self.path = os.path.join(root, f"{uuid.uuid4().hex}.jsonl")
+
+    def batch_write(self, records):
+        import json
+        with open(self.path, "a") as f:
+            for r in records:
+                f.write(json.dumps(r) + "\n")
+
+
+def test_kv_writer_pushes_latest_records(spark, tmp_path):
+    import json
+    from featurekit.sinks.kv_writer import write_partitions
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 1), 5), (1, dt.date(2024, 1, 2), 6), (2, dt.date(2024, 1, 1), 7),
+                                (None, dt.date(2024, 1, 3), 9)], "user_id long, date date, x int")
+    latest = serving.latest_per_key(df, "user_id", ["date"])
+    root = str(tmp_path)
+    write_partitions(latest, lambda: _FileClient(root), batch_size=1)
+    got = {}
+    for p in tmp_path.iterdir():
+        for line in p.read_text().splitlines():
+            r = json.loads(line)
+            got[r["user_id"]] = (r["date"], r["x"])
+    assert got == {1: ("2024-01-02", 6), 2: ("2024-01-01", 7)}
