@@ -144,6 +144,3 @@ def label_spine(events: DataFrame, event_type: str = "purchase") -> DataFrame:
             .select("user_id", F.to_date("timestamp").alias("label_date"))
             .distinct())
 
-
-def col_or_null(df: DataFrame, name: str, dtype: str) -> Column:
-    return F.col(name) if name in df.columns else F.lit(None).cast(dtype).alias(name)

@@ -41,7 +41,9 @@ class Batch:
 
 
 def batches(events: DataFrame, n: int = 3) -> list[Batch]:
-    lo, hi = date_bounds(events.select(F.to_date("timestamp").alias("date")))
+    # min/max of the raw timestamp column: a one-column scan with partial aggregation
+    lo, hi = date_bounds(events, "timestamp")
+    lo, hi = lo.date(), hi.date()
     span = (hi - lo).days + 1
     out = []
     for i in range(n):

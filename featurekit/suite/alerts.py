@@ -8,7 +8,6 @@ day from 02:00 to 04:00 inclusive, for each day that has events.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
