@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from featurekit import schemas
 from featurekit.functions import timeutil as tu
-from featurekit.functions.labels import labels_key
 from featurekit.operators import metrics as M
 
 # The six default rules (name, condition over tick aggregates,
@@ -56,15 +55,18 @@ def tick_aggregates(metrics: DataFrame, tick_seconds: int = 3600) -> DataFrame:
     estimate of the tick's histogram.
     """
     v, name, typ = F.col("value"), F.col("name"), F.col("type")
+    # tick as an integer (epoch seconds // tick) and labels grouped as a map
+    # (order-insensitive): both stay cheap per row; the timestamp is rebuilt
+    # once per tick at the end
     series = (metrics
-              .withColumn("t", tu.trunc_seconds("ts", tick_seconds))
-              .groupBy("t", "name", "type", labels_key().alias("labels_key"))
+              .withColumn("_tick", F.floor(tu.epoch_seconds("ts") / tick_seconds))
+              .groupBy("_tick", "name", "type", "labels")
               .agg(F.sum(v).alias("s"), F.count(v).alias("n"),
                    F.max_by(v, F.struct("ts", "seq")).alias("last"),
                    *[F.count_if(v <= F.lit(b)).alias(f"c{i}") for i, b in enumerate(M.DEFAULT_BUCKETS)]))
     gauge = typ == "gauge"
     lat = (name == "prediction_latency_seconds") & (typ == "histogram")
-    per_tick = series.groupBy("t").agg(
+    per_tick = series.groupBy("_tick").agg(
         F.coalesce(F.sum(F.when((typ == "counter") & name.contains("failure"), F.col("s"))), F.lit(0.0))
         .alias("failures"),
         F.max(F.when(gauge & name.contains("null_rate"), F.col("last"))).alias("max_null_rate"),
@@ -75,7 +77,8 @@ def tick_aggregates(metrics: DataFrame, tick_seconds: int = 3600) -> DataFrame:
                   for i in range(len(M.DEFAULT_BUCKETS))]).alias("_cum"),
         F.coalesce(F.sum(F.when(lat, F.col("n"))), F.lit(0)).cast("long").alias("_n"))
     return (per_tick.withColumn("p99_latency", M.percentile_from_buckets(F.col("_cum"), F.col("_n"), 0.99))
-            .drop("_cum", "_n"))
+            .withColumn("t", tu.from_epoch_seconds(F.col("_tick") * tick_seconds))
+            .drop("_cum", "_n", "_tick"))
 
 
 def conditions(ticks: DataFrame, rules: DataFrame) -> DataFrame:

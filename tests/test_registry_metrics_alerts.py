@@ -135,3 +135,14 @@ def test_running_total_matches_brute_force(spark):
         key = r.labels["k"]
         run[key] = run.get(key, 0.0) + r.value
         assert got[r.seq] == run[key]
+
+
+def test_alert_null_condition_neither_fires_nor_resolves(spark):
+    rules = A.rules_df(spark, [("r", "x", "info", "m", {}, 0.0, 0.0)])
+    t0 = dt.datetime(2024, 1, 1)
+    seq = [True, None, False, None, True]
+    conds = spark.createDataFrame([("r", t0 + dt.timedelta(hours=i), c) for i, c in enumerate(seq)],
+                                  "rule string, t timestamp_ntz, cond boolean")
+    ev = [(r.status, r.event_ts) for r in A.fold_events(conds, rules).orderBy("event_ts").collect()]
+    hours = [(s, (t - int(t0.replace(tzinfo=dt.timezone.utc).timestamp())) // 3600) for s, t in ev]
+    assert hours == [("firing", 0), ("resolved", 2), ("firing", 4)]
