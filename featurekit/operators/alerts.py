@@ -55,27 +55,27 @@ def tick_aggregates(metrics: DataFrame, tick_seconds: int = 3600) -> DataFrame:
     estimate of the tick's histogram.
     """
     v, name, typ = F.col("value"), F.col("name"), F.col("type")
-    # tick as an integer (epoch seconds // tick) and labels grouped as a map
-    # (order-insensitive): both stay cheap per row; the timestamp is rebuilt
-    # once per tick at the end
-    series = (metrics
-              .withColumn("_tick", F.floor(tu.epoch_seconds("ts") / tick_seconds))
-              .groupBy("_tick", "name", "type", "labels")
-              .agg(F.sum(v).alias("s"), F.count(v).alias("n"),
-                   F.max_by(v, F.struct("ts", "seq")).alias("last"),
-                   *[F.count_if(v <= F.lit(b)).alias(f"c{i}") for i, b in enumerate(M.DEFAULT_BUCKETS)]))
-    gauge = typ == "gauge"
+    m = metrics.withColumn("_tick", F.floor(tu.epoch_seconds("ts") / tick_seconds))
     lat = (name == "prediction_latency_seconds") & (typ == "histogram")
-    per_tick = series.groupBy("_tick").agg(
-        F.coalesce(F.sum(F.when((typ == "counter") & name.contains("failure"), F.col("s"))), F.lit(0.0))
-        .alias("failures"),
-        F.max(F.when(gauge & name.contains("null_rate"), F.col("last"))).alias("max_null_rate"),
-        F.max(F.when(gauge & name.contains("drift_detected"), F.col("last"))).alias("max_drift_detected"),
-        F.max(F.when(gauge & name.contains("model_age_hours"), F.col("last"))).alias("max_model_age"),
-        F.count_if(gauge & name.contains("online_store_keys") & (F.col("last") == 0)).alias("store_zero"),
-        F.array(*[F.coalesce(F.sum(F.when(lat, F.col(f"c{i}"))), F.lit(0)).cast("long")
-                  for i in range(len(M.DEFAULT_BUCKETS))]).alias("_cum"),
-        F.coalesce(F.sum(F.when(lat, F.col("n"))), F.lit(0)).cast("long").alias("_n"))
+    # counters and histograms: one hash aggregate per tick (fixed-width buffers)
+    sums = m.filter(typ != "gauge").groupBy("_tick").agg(
+        F.coalesce(F.sum(F.when((typ == "counter") & name.contains("failure"), v)), F.lit(0.0)).alias("failures"),
+        F.array(*[F.count_if(lat & (v <= F.lit(b))) for b in M.DEFAULT_BUCKETS]).alias("_cum"),
+        F.count_if(lat).alias("_n"))
+    # gauges: last value per (tick, series) — the (ts, seq) order needs a struct
+    # buffer (sort-based aggregate), so only gauge rows take that path
+    last = (m.filter(typ == "gauge").groupBy("_tick", "name", "labels")
+            .agg(F.max_by(v, F.struct("ts", "seq")).alias("last"))
+            .groupBy("_tick").agg(
+                F.max(F.when(name.contains("null_rate"), F.col("last"))).alias("max_null_rate"),
+                F.max(F.when(name.contains("drift_detected"), F.col("last"))).alias("max_drift_detected"),
+                F.max(F.when(name.contains("model_age_hours"), F.col("last"))).alias("max_model_age"),
+                F.count_if(name.contains("online_store_keys") & (F.col("last") == 0)).alias("store_zero")))
+    per_tick = (sums.join(last, "_tick", "full_outer")
+                .withColumn("failures", F.coalesce("failures", F.lit(0.0)))
+                .withColumn("store_zero", F.coalesce("store_zero", F.lit(0)).cast("long"))
+                .withColumn("_n", F.coalesce("_n", F.lit(0)).cast("long"))
+                .withColumn("_cum", F.coalesce("_cum", F.array(*[F.lit(0).cast("long")] * len(M.DEFAULT_BUCKETS)))))
     return (per_tick.withColumn("p99_latency", M.percentile_from_buckets(F.col("_cum"), F.col("_n"), 0.99))
             .withColumn("t", tu.from_epoch_seconds(F.col("_tick") * tick_seconds))
             .drop("_cum", "_n", "_tick"))

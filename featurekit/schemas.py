@@ -2,6 +2,14 @@
 
 from pyspark.sql import types as T
 
+# input tables (explicit, so scans skip footer-based schema inference)
+INPUT_TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+}
+
 # raw event contract of a feature group: (user_id, timestamp, event_type, value).
 RAW_EVENTS = T.StructType([
     T.StructField("user_id", T.LongType()),

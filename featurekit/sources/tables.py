@@ -17,7 +17,9 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    schema = schemas.INPUT_TABLES.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(table_path(sf_dir, name))
 
 
 def raw_events(spark: SparkSession, sf_dir: str, null_errors: bool = False) -> DataFrame:
