@@ -134,3 +134,67 @@ def metrics_json(metrics: DataFrame) -> DataFrame:
         percentile_from_buckets(F.col("cum"), F.col("count"), 0.95).alias("p95"),
         percentile_from_buckets(F.col("cum"), F.col("count"), 0.99).alias("p99"))).alias("json"))
     return cg.unionByName(hj)
+
+
+def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, ps: Sequence[float],
+                      accuracy: int = 10_000, delta: float | None = None) -> DataFrame:
+    """A10 (exact, scale-safe): linearly interpolated percentiles, equal to
+    ``percentile`` / DuckDB ``quantile_cont``, without holding a whole group.
+
+    1. ``percentile_approx`` (fixed-size sketch, rank error ≤ n/accuracy)
+       brackets each target rank: [q(p − δ), q(p + δ)];
+    2. one pass counts the rows below each bracket and pre-aggregates the rows
+       inside it to (value, count) — the bracket holds about 2δ·n rows, and
+       repeated values collapse;
+    3. a window over the small bracket table finds the exact values at ranks
+       floor/ceil of p·(n − 1) and interpolates.
+    A bracket that misses its rank (not expected from the sketch guarantee) is
+    recomputed with the full value range, so the result is always exact.
+    Output: group columns, ``p``, ``value``.
+    """
+    g = list(group)
+    v = F.col(value)
+    delta = 3.0 / accuracy if delta is None else delta  # bracket half-width in rank fraction
+    lo_ps = [max(0.0, p - delta) for p in ps]
+    hi_ps = [min(1.0, p + delta) for p in ps]
+    x = df.select(*g, v.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    sk = x.groupBy(*g).agg(F.percentile_approx("_v", lo_ps + hi_ps, accuracy).alias("_q"),
+                           F.count(F.lit(1)).alias("_n"))
+    k = len(ps)
+    br = sk.select(*g, "_n", F.inline(F.array(*[
+        F.struct(F.lit(p).alias("p"),
+                 (F.lit(float("-inf")) if lo_ps[i] == 0.0 else F.col("_q")[i]).alias("_lo"),
+                 (F.lit(float("inf")) if hi_ps[i] == 1.0 else F.col("_q")[k + i]).alias("_hi"))
+        for i, p in enumerate(ps)])))
+
+    def solve(brackets: DataFrame) -> DataFrame:
+        j = x.join(brackets, g) if g else x.crossJoin(F.broadcast(brackets))  # no group: one bracket row per p
+        below = j.groupBy(*g, "p").agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
+        inside = (j.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+                  .groupBy(*g, "p", "_v").agg(F.count(F.lit(1)).alias("_c")))
+        w = Window.partitionBy(*g, "p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        t = (inside.join(below, g + ["p"]).join(brackets.select(*g, "p", "_n"), g + ["p"])
+             .withColumn("_cum", F.col("_below") + F.sum("_c").over(w)))
+        pos = F.col("p") * (F.col("_n") - 1)
+        r_lo, r_hi = F.floor(pos), F.ceil(pos)
+        res = (t.groupBy(*g, "p").agg(
+            F.min(F.when(F.col("_cum") >= r_lo + 1, F.col("_v"))).alias("_a"),
+            F.min(F.when(F.col("_cum") >= r_hi + 1, F.col("_v"))).alias("_b"),
+            F.first("_below").alias("_below"), F.max("_cum").alias("_top"), F.first("_n").alias("_n")))
+        pos2 = F.col("p") * (F.col("_n") - 1)
+        ok = (F.col("_below") <= F.floor(pos2)) & (F.col("_top") >= F.ceil(pos2) + 1)
+        return res.select(*g, "p", (F.col("_a") + (pos2 - F.floor(pos2)) * (F.col("_b") - F.col("_a"))).alias("value"),
+                          ok.alias("_ok"))
+
+    # the result is one row per (group, p): materialise it once in the shared
+    # checkpoint folder (cuts lineage, no recomputation for the miss check)
+    from featurekit.session import shared_root
+    shared_root(df.sparkSession)
+    first = solve(br).checkpoint(eager=True)
+    missed = first.filter(~F.col("_ok")).select(*g, "p")
+    if missed.limit(1).count() == 0:
+        return first.drop("_ok")
+    # fallback for (unexpected) misses: full-range brackets for those only
+    wide = (br.join(missed, g + ["p"], "left_semi")
+            .withColumn("_lo", F.lit(float("-inf"))).withColumn("_hi", F.lit(float("inf"))))
+    return first.filter(F.col("_ok")).drop("_ok").unionByName(solve(wide).drop("_ok"))

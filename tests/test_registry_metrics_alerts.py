@@ -146,3 +146,29 @@ def test_alert_null_condition_neither_fires_nor_resolves(spark):
     ev = [(r.status, r.event_ts) for r in A.fold_events(conds, rules).orderBy("event_ts").collect()]
     hours = [(s, (t - int(t0.replace(tzinfo=dt.timezone.utc).timestamp())) // 3600) for s, t in ev]
     assert hours == [("firing", 0), ("resolved", 2), ("firing", 4)]
+
+
+def test_exact_percentiles_match_numpy_with_hot_group_and_ties(spark):
+    import random
+
+    import numpy as np
+    rnd = random.Random(3)
+    rows = [("hot", float(rnd.randint(0, 50))) for _ in range(3000)]           # many ties
+    rows += [("warm", rnd.random()) for _ in range(500)]
+    rows += [("tiny", 5.0), ("tiny", 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ps = [0.0, 0.1, 0.5, 0.95, 0.99, 1.0]
+    got = {(r.g, r.p): r.value for r in M.exact_percentiles(df, ["g"], "v", ps, accuracy=100).collect()}
+    for g in ("hot", "warm", "tiny"):
+        vals = np.array([v for k, v in rows if k == g])
+        for p in ps:
+            assert abs(got[(g, p)] - np.quantile(vals, p)) < 1e-9, (g, p)
+
+
+def test_exact_percentiles_fallback_when_brackets_miss(spark):
+    import numpy as np
+    vals = [float(i % 97) * 1.5 + i / 1000.0 for i in range(2000)]
+    df = spark.createDataFrame([("a", v) for v in vals], "g string, v double")
+    ps = [0.25, 0.5, 0.75]
+    got = {r.p: r.value for r in M.exact_percentiles(df, ["g"], "v", ps, accuracy=10, delta=0.0).collect()}
+    assert all(abs(got[p] - np.quantile(vals, p)) < 1e-9 for p in ps)
