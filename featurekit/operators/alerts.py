@@ -6,10 +6,10 @@
   resolves, L5) and silenced ticks are removed with a bucketed range anti-join
   (J7/L4);
 * firing/resolution semantics (``for_duration``, ``cooldown``, last firing
-  surviving resolution) are sequential, so they run as a fold
-  (``aggregate``) over each rule's ticks sorted by time — JVM-side, one array
-  per rule whose length is the number of ticks, never the number of metric
-  rows (L2/L3).
+  surviving resolution) are sequential, so one small state machine runs per
+  rule over that rule's ticks (``applyInPandas``; the streaming evaluator
+  keeps the same state between micro-batches) — linear in the number of
+  ticks, never touching metric rows (L2/L3).
 """
 
 from __future__ import annotations
@@ -119,45 +119,69 @@ def remove_silenced(conds: DataFrame, silences: DataFrame, bucket_seconds: int =
     return c.join(hit, ["rule", "t"], "left_anti").drop("_b")
 
 
-_EVENT = "struct<t:bigint,status:string,fired_at:bigint>"
+EVENTS_SCHEMA = "rule_name string, status string, fired_at timestamp_ntz, resolved_at timestamp_ntz, event_ts long"
+
+
+def run_rule(ts, conds, for_duration: float, cooldown: float, state=(None, 0, False)):
+    """The alert state machine for one rule over its ticks in time order.
+
+    ``state`` = (first_true, last_fired, active); returns (events, state) with
+    events as (status, fired_at, resolved_at, event_ts) in epoch seconds. A
+    true tick fires when ``t - first_true >= for_duration`` and ``t -
+    last_fired >= cooldown``; a false tick resets first_true and resolves an
+    active alert; a missing condition (evaluation error) is skipped. Linear in
+    the number of ticks; shared by the batch and the streaming evaluator.
+    """
+    first, last, active = state
+    out = []
+    for t, cond in zip(ts, conds):
+        if cond is None or cond != cond:  # None or NaN: neither fires nor resolves
+            continue
+        t = int(t)
+        if cond:
+            first = t if first is None else first
+            if t - first >= for_duration and t - last >= cooldown:
+                out.append(("firing", t, None, t))
+                last, active = t, True
+        else:
+            first = None
+            if active:
+                out.append(("resolved", last, t, t))
+                active = False
+    return out, (first, last, active)
+
+
+def events_frame(rule: str, events: list):
+    import pandas as pd
+    df = pd.DataFrame(events, columns=["status", "fired_at", "resolved_at", "event_ts"])
+    df.insert(0, "rule_name", rule)
+    df["fired_at"] = pd.to_datetime(df["fired_at"], unit="s")
+    df["resolved_at"] = pd.to_datetime(df["resolved_at"], unit="s")
+    df["event_ts"] = df["event_ts"].astype("int64")
+    return df
+
+
+def _fold_group(pdf):
+    pdf = pdf.sort_values("ts")
+    events, _ = run_rule(pdf["ts"].tolist(), pdf["cond"].tolist(),
+                         float(pdf["for_duration"].iloc[0]), float(pdf["cooldown"].iloc[0]))
+    return events_frame(pdf["rule"].iloc[0], events)
 
 
 def fold_events(conds: DataFrame, rules: DataFrame) -> DataFrame:
     """Firing and resolution events per rule.
 
-    State per rule: first_true (reset on a false tick), last_fired (starts at
-    0, survives resolution), active. A true tick fires when
-    ``t - first_true >= for_duration`` and ``t - last_fired >= cooldown``; a
-    false tick resolves an active alert (reported with its firing time).
+    Spark reduces metrics to one row per (rule, tick) first; the sequential
+    state machine (``run_rule``) then runs once per rule over its ticks in an
+    ``applyInPandas`` group — linear in ticks (a fold that accumulates an
+    array of events would copy it at every step, quadratic for long
+    histories). Only ticks reach Python, never metric rows.
     """
+    r = rules.select(F.col("name").alias("rule"), "for_duration", "cooldown")
     c = (conds.filter(F.col("cond").isNotNull())
-         .select("rule", F.struct(tu.epoch_seconds("t").alias("ts"), "cond").alias("x")))
-    per_rule = (c.groupBy("rule").agg(F.array_sort(F.collect_list("x")).alias("xs"))
-                .join(F.broadcast(rules.select(F.col("name").alias("rule"), "for_duration", "cooldown")), "rule"))
-    init = F.struct(F.lit(None).cast("bigint").alias("first"), F.lit(0).cast("bigint").alias("last"),
-                    F.lit(False).alias("active"), F.array().cast(f"array<{_EVENT}>").alias("ev"))
-
-    def step(acc: Column, x: Column) -> Column:
-        t, cond = x["ts"], x["cond"]
-        first = F.when(cond, F.coalesce(acc["first"], t))
-        fire = cond & ((t - F.coalesce(acc["first"], t)) >= F.col("for_duration")) & \
-            ((t - acc["last"]) >= F.col("cooldown"))
-        resolve = (~cond) & acc["active"]
-        ev = (F.when(fire, F.concat(acc["ev"], F.array(F.struct(t.alias("t"), F.lit("firing").alias("status"),
-                                                                 t.alias("fired_at")))))
-              .when(resolve, F.concat(acc["ev"], F.array(F.struct(t.alias("t"), F.lit("resolved").alias("status"),
-                                                                   acc["last"].alias("fired_at")))))
-              .otherwise(acc["ev"]))
-        return F.struct(first.alias("first"), F.when(fire, t).otherwise(acc["last"]).alias("last"),
-                        F.when(fire, F.lit(True)).when(~cond, F.lit(False)).otherwise(acc["active"]).alias("active"),
-                        ev.alias("ev"))
-
-    folded = per_rule.select("rule", F.aggregate("xs", init, step)["ev"].alias("ev"))
-    e = folded.select(F.col("rule").alias("rule_name"), F.inline("ev"))
-    ts = tu.from_epoch_seconds
-    return e.select("rule_name", "status", ts(F.col("fired_at")).alias("fired_at"),
-                    F.when(F.col("status") == "resolved", ts(F.col("t"))).alias("resolved_at"),
-                    F.col("t").alias("event_ts"))
+         .select("rule", tu.epoch_seconds("t").alias("ts"), "cond")
+         .join(F.broadcast(r), "rule"))  # rules: one row per rule
+    return c.groupBy("rule").applyInPandas(_fold_group, EVENTS_SCHEMA)
 
 
 def fingerprint(name: Column, labels: Column) -> Column:

@@ -16,35 +16,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from featurekit.functions import timeutil as tu
+from featurekit.operators.alerts import events_frame, run_rule
 
 OUT_SCHEMA = "rule_name string, status string, fired_at timestamp_ntz, resolved_at timestamp_ntz"
 STATE_SCHEMA = "first_true long, last_fired long, active boolean"
 
 
 def _evaluate(key, pdfs: Iterator[pd.DataFrame], state):
-    first, last, active = state.get if state.exists else (None, 0, False)
-    first = None if first is None or pd.isna(first) else int(first)
-    out = []
+    prev = state.get if state.exists else (None, 0, False)
+    first = None if prev[0] is None or pd.isna(prev[0]) else int(prev[0])
     rows = pd.concat(list(pdfs)).sort_values("ts")
-    for t, cond, for_d, cool in zip(rows["ts"], rows["cond"], rows["for_duration"], rows["cooldown"]):
-        if cond is None or pd.isna(cond):
-            continue  # an evaluation error neither fires nor resolves
-        t = int(t)
-        if cond:
-            first = t if first is None else first
-            if t - first >= for_d and t - last >= cool:
-                out.append((key[0], "firing", t, None))
-                last, active = t, True
-        else:
-            first = None
-            if active:
-                out.append((key[0], "resolved", last, t))
-                active = False
-    state.update((first, last, active))
-    df = pd.DataFrame(out, columns=["rule_name", "status", "fired_at", "resolved_at"])
-    df["fired_at"] = pd.to_datetime(df["fired_at"], unit="s")
-    df["resolved_at"] = pd.to_datetime(df["resolved_at"], unit="s")
-    yield df
+    events, new = run_rule(rows["ts"].tolist(), rows["cond"].tolist(), float(rows["for_duration"].iloc[0]),
+                           float(rows["cooldown"].iloc[0]), (first, int(prev[1]), bool(prev[2])))
+    state.update(new)
+    yield events_frame(key[0], events).drop(columns=["event_ts"])
 
 
 def run_alert_stream(spark: SparkSession, conds: DataFrame, rules: DataFrame, root: str,
