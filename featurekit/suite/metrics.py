@@ -236,15 +236,25 @@ UNION ALL SELECT name || '_bucket{{le="+Inf"}} ' || CAST(n AS VARCHAR) FROM h
 UNION ALL SELECT name || '_sum ' || printf('%.6f', s) FROM h
 UNION ALL SELECT name || '_count ' || CAST(n AS VARCHAR) FROM h""")
 def prometheus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prometheus exposition lines with full names and labels."""
-    return M.prometheus_lines(metrics_from_events(spark, sf_dir))
+    """Prometheus exposition lines with full names and labels, written
+    as a text file set and read back."""
+    from featurekit.session import fresh_dir
+    from featurekit.sinks import exports
+    path = fresh_dir(spark, "prometheus")
+    exports.write_prometheus(M.prometheus_lines(metrics_from_events(spark, sf_dir)), path)
+    return exports.read_prometheus(spark, path)
 
 
 @register("metrics_json")
 def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON document per series (rows-only check: JSON number
-    formatting differs between engines)."""
-    return M.metrics_json(metrics_from_events(spark, sf_dir))
+    """One JSON document per series, written as JSON lines and read back
+    (rows-only check: JSON number formatting differs between engines)."""
+    from featurekit.session import fresh_dir
+    from featurekit.sinks import exports
+    path = fresh_dir(spark, "metrics_json")
+    exports.write_json(M.metrics_json(metrics_from_events(spark, sf_dir)), path)
+    return spark.read.schema("name string, type string, labels string, value double, count long, sum double, "
+                             "mean double, p50 double, p95 double, p99 double").json(path)
 
 
 # ---------------------------------------------------------------------- drift
