@@ -177,6 +177,8 @@ def fold_events(conds: DataFrame, rules: DataFrame) -> DataFrame:
     array of events would copy it at every step, quadratic for long
     histories). Only ticks reach Python, never metric rows.
     """
+    from featurekit.session import ship_package
+    ship_package(conds.sparkSession)
     r = rules.select(F.col("name").alias("rule"), "for_duration", "cooldown")
     c = (conds.filter(F.col("cond").isNotNull())
          .select("rule", tu.epoch_seconds("t").alias("ts"), "cond")

@@ -53,6 +53,8 @@ def mean_of(arr: Column) -> Column:
 
 
 def _udf_for(df: DataFrame, model, use_proba: bool):
+    from featurekit.session import ship_package
+    ship_package(df.sparkSession)  # the broadcast model may be a featurekit class
     bc = df.sparkSession.sparkContext.broadcast(model)
 
     @pandas_udf("double")

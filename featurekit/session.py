@@ -70,3 +70,39 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared root for one job run."""
     return f"{shared_root(spark)}/featurekit/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``featurekit`` importable in the Python workers (pandas UDFs,
+    ``applyInPandas``, ``foreachPartition`` closures and broadcast models
+    reference it). The package is zipped once per application into the shared
+    root and added with ``addPyFile``; a cluster that already ships it with
+    ``--py-files`` or an installed wheel loses nothing."""
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    dest = f"{shared_root(spark)}/featurekit/_pyfiles/featurekit-{app}.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(dest)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, True)
+        out.write(bytearray(buf.getvalue()))
+        out.close()
+    sc.addPyFile(dest)
+    _SHIPPED.add(app)

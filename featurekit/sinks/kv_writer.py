@@ -25,6 +25,9 @@ def _plain(v):
 
 def write_partitions(df: DataFrame, client_factory: Callable[[], KeyValueClient], key: str = "user_id",
                      batch_size: int = 10_000) -> None:
+    from featurekit.session import ship_package
+    ship_package(df.sparkSession)
+
     def run(rows) -> None:
         client = client_factory()
         batch: list[dict] = []

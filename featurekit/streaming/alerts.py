@@ -36,6 +36,8 @@ def run_alert_stream(spark: SparkSession, conds: DataFrame, rules: DataFrame, ro
                      chunks: int = 3, timeout_s: int = 600) -> DataFrame:
     """Feed ``conds`` (rule, t, cond) as a file stream in time chunks and
     return the emitted alert events."""
+    from featurekit.session import ship_package
+    ship_package(spark)
     c = conds.withColumn("ts", tu.epoch_seconds("t"))
     lo, hi = c.agg(F.min("ts"), F.max("ts")).first()
     span = (hi - lo + 1) / chunks
