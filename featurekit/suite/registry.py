@@ -357,18 +357,29 @@ def prediction_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "training_run_id", "snapshot_run_id"))
 
 
+def artifact_hashes(spark: SparkSession, root: str) -> DataFrame:
+    """SHA-256 (first 12 hex chars) of every artifact file under ``root``,
+    computed on the executors from the file bytes (``binaryFile``)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.json").load(root))
+    return files.select(F.regexp_extract("path", r"model_name=([^/]+)", 1).alias("model_name"),
+                        F.col("length").alias("bytes"),
+                        F.substring(F.sha2(F.col("content"), 256), 1, 12).alias("sha256_12"))
+
+
 @register("artifact_hash_audit")
 def artifact_hash_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model artifacts (one JSON file of version metrics per model, written
-    by Spark) hashed from their bytes: SHA-256, first 12 hex characters."""
+    by Spark) are hashed at registration and the hashes recorded; the audit
+    re-hashes the stored files and compares with the record."""
     from featurekit.session import fresh_dir
     mv, _ = model_versions(spark, sf_dir)
     root = fresh_dir(spark, "artifacts")
     (mv.select("model_name", "version", F.to_json("metrics").alias("metrics"))
      .repartition(1, "model_name").sortWithinPartitions("model_name", "version")
-     .write.partitionBy("model_name").json(root))
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.json").load(root))
-    return files.select(F.regexp_extract("path", r"model_name=([^/]+)", 1).alias("model_name"),
-                        F.col("length").alias("bytes"),
-                        F.substring(F.sha2(F.col("content"), 256), 1, 12).alias("sha256_12"))
+     .write.partitionBy("model_name").json(f"{root}/files"))
+    artifact_hashes(spark, f"{root}/files").write.parquet(f"{root}/recorded")
+    recorded = spark.read.parquet(f"{root}/recorded").select("model_name", F.col("sha256_12").alias("recorded"))
+    now = artifact_hashes(spark, f"{root}/files")
+    return (now.join(recorded, "model_name", "full_outer")
+            .withColumn("verified", F.coalesce(F.col("sha256_12") == F.col("recorded"), F.lit(False))))
