@@ -23,12 +23,17 @@ def valid_keys(df: DataFrame, key: str) -> DataFrame:
     return df.filter(cond)
 
 
-def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``order`` tuple per key (last write wins)."""
-    others = [c for c in df.columns if c != key]
+def latest_per_key(df: DataFrame, key: str, order: Sequence[str], with_keys: Sequence[str] = ()) -> DataFrame:
+    """The row with the greatest ``order`` tuple per key (last write wins).
+
+    ``with_keys`` are columns functionally dependent on the key (e.g. its hash
+    bucket) kept as extra grouping keys, so an input already partitioned by
+    them is aggregated without another shuffle."""
+    extra = list(with_keys)
+    others = [c for c in df.columns if c != key and c not in extra]
     best = F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(*[F.col(c) for c in order]))
-    return (valid_keys(df, key).groupBy(key).agg(best.alias("_r"))
-            .select(key, *[F.col("_r")[c].alias(c) for c in others]))
+    return (valid_keys(df, key).groupBy(*extra, key).agg(best.alias("_r"))
+            .select(*extra, key, *[F.col("_r")[c].alias(c) for c in others]))
 
 
 def merge_latest(state: DataFrame, updates: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

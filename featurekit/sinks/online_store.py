@@ -73,20 +73,42 @@ class ParquetOnlineStore:
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in updates.columns
                 else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         u = serving.valid_keys(updates.select(*cols), self.key).withColumn("_bucket", self._bucket_of(self.key))
-        touched = sorted(r[0] for r in u.select("_bucket").distinct().collect())  # at most `buckets` ints
+        # updates are reduced to one row per key first (partial aggregation, so a
+        # hot key costs one row per task), then merged with the touched state
+        u = serving.latest_per_key(u, self.key, self.order, with_keys=["_bucket"])
         v = version if version is not None else (self.version() or 0) + 1
-        if not touched:
-            return v
-        base = self._read(self._layout(before=v), set(touched)).withColumn("_bucket", self._bucket_of(self.key))
-        merged = serving.merge_latest(base, u, self.key, self.order)
+        layout = self._layout(before=v)
+        if layout:  # read back only the buckets the updates touch (at most `buckets` ints to the driver)
+            touched = sorted(r[0] for r in u.select("_bucket").distinct().collect())
+            if not touched:
+                return v
+            base = self._read(layout, set(touched)).withColumn("_bucket", self._bucket_of(self.key))
+            both = base.unionByName(u)
+        else:
+            both = u
+        # the state takes one shuffle: hash-partition by bucket, then the
+        # latest-per-key aggregate (grouped by bucket and key) runs without
+        # another exchange, and each bucket is written by exactly one task
+        merged = serving.latest_per_key(both.repartition("_bucket"), self.key, self.order, with_keys=["_bucket"])
         out = f"{self.path}/v={v}"
-        (merged.repartition("_bucket").withColumnRenamed("_bucket", "bucket")
-         .write.mode("overwrite").partitionBy("bucket").parquet(out))
+        merged.withColumnRenamed("_bucket", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
+        if not layout:
+            touched = self._written_buckets(out)
         rows = [Row(version=v, bucket=b) for b in touched]
         metalog.append(self.spark, f"{self.path}/_versions", rows, VERSIONS)
         self._log().extend(rows)
         return v
 
+    def _written_buckets(self, out: str) -> list[int]:
+        """Bucket folders of a written version (a metadata listing, no data read)."""
+        sc = self.spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(out)
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("bucket="))
+
     def size(self) -> int:
         """Number of keys (a count over Parquet footers of the current buckets)."""
         return self.current().count()
