@@ -69,17 +69,33 @@ def percentile_from_buckets(cum: Column, count: Column, p: float,
             .otherwise(F.lit(float(buckets[-1]))))
 
 
-def running_total(metrics: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
+def running_total(metrics: DataFrame, chunk_seconds: int = 3600, max_chunk_rows: int = 2_000_000) -> DataFrame:
     """Running total of each counter series in (ts, seq) order.
 
-    Two-level prefix sum so a hot series is never one window partition: (1)
-    per (series, time chunk) sums and their exclusive prefix over chunks —
-    a window over chunk rows only; (2) the running sum inside each chunk,
-    partitioned by (series, chunk), plus the chunk offset.
+    Two-level prefix sum so a hot series is never one window partition:
+    (1) rows are cut into time chunks per series — an hour, or finer for the
+    (series, hour) pairs holding more than ``max_chunk_rows`` rows (their chunk
+    width shrinks so each part holds about that many rows; only those hot pairs
+    are looked up, a size-checked broadcast); (2) per-chunk sums and their
+    exclusive prefix over chunks — a window over chunk rows only; (3) the
+    running sum inside each chunk, partitioned by (series, chunk), plus the
+    chunk offset.
     """
+    from featurekit.functions.sizing import broadcast_if_small
+    e = tu.epoch_seconds("ts")
     c = (metrics.filter(F.col("type") == "counter")
          .withColumn("labels_key", labels_key())
-         .withColumn("_chunk", F.floor(tu.epoch_seconds("ts") / chunk_seconds)))
+         .withColumn("_e", e)
+         .withColumn("_hour", F.floor(F.col("_e") / chunk_seconds)))
+    hot = (c.groupBy("name", "labels_key", "_hour").agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > max_chunk_rows)
+           .select("name", "labels_key", "_hour",
+                   F.greatest(F.lit(1), F.floor(F.lit(chunk_seconds).cast("double") * max_chunk_rows / F.col("_n")))
+                   .cast("long").alias("_w")))
+    cs = F.lit(chunk_seconds).cast("long")
+    width = F.coalesce("_w", cs)
+    c = (c.join(broadcast_if_small(hot, 100_000), ["name", "labels_key", "_hour"], "left")
+         .withColumn("_chunk", F.col("_hour") * cs + F.floor((F.col("_e") - F.col("_hour") * cs) / width) * width))
     per_chunk = c.groupBy("name", "labels_key", "_chunk").agg(F.sum("value").alias("_s"))
     wc = Window.partitionBy("name", "labels_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_chunk.select("name", "labels_key", "_chunk",

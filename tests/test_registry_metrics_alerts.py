@@ -172,3 +172,15 @@ def test_exact_percentiles_fallback_when_brackets_miss(spark):
     ps = [0.25, 0.5, 0.75]
     got = {r.p: r.value for r in M.exact_percentiles(df, ["g"], "v", ps, accuracy=10, delta=0.0).collect()}
     assert all(abs(got[p] - np.quantile(vals, p)) < 1e-9 for p in ps)
+
+
+def test_running_total_splits_hot_hours(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [Row(ts=t0 + dt.timedelta(seconds=3 * i), seq=i, name="c", type="counter",
+                labels={"k": "hot"}, value=float(i % 5)) for i in range(2400)]
+    m = spark.createDataFrame(rows, schemas.METRICS)
+    got = {r.seq: r.running_total for r in M.running_total(m, max_chunk_rows=100).collect()}
+    run = 0.0
+    for r in rows:
+        run += r.value
+        assert got[r.seq] == run
