@@ -92,8 +92,10 @@ def asof_join(labels: DataFrame, features: DataFrame, key: str = "user_id",
     equal time sort before features, so the match is strictly earlier.
     (2) For labels with no earlier feature inside their bucket, carry the last
     feature of earlier buckets: one row per (key, bucket) aggregated with
-    ``max_by`` and forward-filled over buckets. Work per window partition is
-    bounded by one bucket of one key, so a hot key is split by time.
+    ``max_by`` and forward-filled over buckets. Labels enter the windows as
+    distinct (key, time) pairs and the matches are joined back, so repeated
+    labels of a hot key never pile up in one window partition; work per
+    window partition is bounded by one bucket of one key's distinct times.
     """
     if feature_cols is None:
         feature_cols = [c for c in features.columns if c not in (key, feature_time)]
@@ -104,8 +106,8 @@ def asof_join(labels: DataFrame, features: DataFrame, key: str = "user_id",
 
     fstruct = F.struct(*[F.col(c) for c in [feature_time] + fcols])
     ftype = features.select(fstruct.alias("_f")).schema["_f"].dataType
-    lab = labels.select("*", F.col(key).alias("_k"), F.col(label_time).alias("_t"),
-                        F.lit(0).alias("_side"), F.lit(None).cast(ftype).alias("_f"))
+    lab = (labels.select(F.col(key).alias("_k"), F.col(label_time).alias("_t")).distinct()
+           .select("_k", "_t", F.lit(0).alias("_side"), F.lit(None).cast(ftype).alias("_f")))
     feat = features.select(F.col(key).alias("_k"), F.col(feature_time).alias("_t"),
                            F.lit(1).alias("_side"), fstruct.alias("_f"))
     u = lab.unionByName(feat, allowMissingColumns=True).withColumn("_b", bucket_of("_t"))
@@ -130,8 +132,10 @@ def asof_join(labels: DataFrame, features: DataFrame, key: str = "user_id",
                 .withColumn("_fb", F.last("_c", ignorenulls=True).over(wb))
                 .filter(F.col("_side") == 0)
                 .select("_k", "_b", "_fb"))
-    out = (within.join(fallback, ["_k", "_b"], "left")
-           .withColumn("_match", F.coalesce("_m", "_fb")))
+    matches = (within.join(fallback, ["_k", "_b"], "left")
+               .select("_k", "_t", F.coalesce("_m", "_fb").alias("_match")))
+    out = (labels.withColumn("_k", F.col(key)).withColumn("_t", F.col(label_time))
+           .join(matches, ["_k", "_t"], "left"))
     sel = [F.col(c) for c in labels.columns]
     sel += [F.col("_match")[c].alias(f"feature_{c}" if c == feature_time else c)
             for c in [feature_time] + fcols]

@@ -112,3 +112,13 @@ def test_kv_writer_pushes_latest_records(spark, tmp_path):
             r = json.loads(line)
             got[r["user_id"]] = (r["date"], r["x"])
     assert got == {1: ("2024-01-02", 6), 2: ("2024-01-01", 7)}
+
+
+def test_asof_join_keeps_duplicate_and_null_labels(spark):
+    f = spark.createDataFrame([(1, dt.date(2024, 1, 1), 1.0), (1, dt.date(2024, 1, 5), 5.0)],
+                              "user_id long, date date, v double")
+    lab = spark.createDataFrame([(1, dt.date(2024, 1, 6), "x"), (1, dt.date(2024, 1, 6), "y"),
+                                 (1, dt.date(2024, 1, 1), "z"), (None, dt.date(2024, 1, 6), "n")],
+                                "user_id long, label_date date, tag string")
+    got = sorted((r.tag, r.v) for r in asof_join(lab, f, feature_cols=["v"]).collect())
+    assert got == [("n", None), ("x", 5.0), ("y", 5.0), ("z", None)]
