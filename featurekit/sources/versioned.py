@@ -203,22 +203,17 @@ class VersionedTable:
         example one commit per day) without one Spark job per commit.
         """
         self._load()
-        keys = [r[0] for r in df.select(key_col).distinct().orderBy(key_col).collect()]
+        # one small aggregate lists the keys and their row counts (one row per
+        # future snapshot), then one job writes every snapshot directory
+        key_counts = {r[0]: r[1] for r in df.groupBy(key_col).count().collect()}
+        keys = sorted(key_counts)
         first = self._next_id()
         ids = {k: first + i for i, k in enumerate(keys)}
         mapping = F.create_map(*[x for k, v in ids.items() for x in (F.lit(k), F.lit(v).cast("long"))])
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         tagged = df.select(*cols, mapping[F.col(key_col)].alias(SNAPSHOT_COL))
         tagged.write.mode("append").partitionBy(SNAPSHOT_COL).parquet(self.data_path)
-        # per-snapshot row counts from the written files (footer-only reads of
-        # the partition column), one small row per snapshot
-        written = [f"{self.data_path}/{SNAPSHOT_COL}={i}" for i in ids.values()]
-        full = schemas.with_field(self.schema, SNAPSHOT_COL, T.LongType())
-        existing = [p for p in written if self._exists(p)]
-        counts = {}
-        if existing:
-            counts = {r[0]: r[1] for r in (self.spark.read.schema(full).option("basePath", self.data_path)
-                                           .parquet(*existing).groupBy(SNAPSHOT_COL).count().collect())}
+        counts = {ids[k]: n for k, n in key_counts.items()}
         parent = self.head(branch)
         total = int(self._commit(parent).summary.get("total-records", "0")) if parent else 0
         out = []
