@@ -94,7 +94,7 @@ FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events)"""
 def fold_sql(conds_sql: str) -> str:
     """The sequential rule semantics as a recursive CTE (oracle only)."""
     return f"""
-WITH RECURSIVE c AS (
+WITH RECURSIVE c AS MATERIALIZED (
   SELECT rule, date_diff('second', TIMESTAMP '1970-01-01', t) AS ts, cond,
          row_number() OVER (PARTITION BY rule ORDER BY t) AS rn
   FROM ({conds_sql}) WHERE cond IS NOT NULL),
