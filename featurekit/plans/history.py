@@ -12,7 +12,6 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from featurekit import schemas
 from featurekit.operators.features import date_bounds
