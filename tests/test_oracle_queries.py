@@ -15,7 +15,9 @@ from tests.conftest import SMOKE
 
 SUBSET = ["daily_user_features", "wap_publish_fast_forward", "training_set_asof", "online_sync_two_rounds",
           "predict_linear_udf", "registry_promote_production", "histogram_percentiles", "feature_drift_psi",
-          "alert_firings", "alert_silenced", "expire_snapshots_plan", "quality_rules"]
+          "alert_firings", "alert_silenced", "expire_snapshots_plan", "quality_rules",
+          "latency_percentiles_exact", "alert_stream", "counter_running_total", "compact_preserves_rows",
+          "wap_publish_cherry_pick", "time_travel_timestamp", "registry_compare_versions"]
 NAMES = sorted(E.oracle_sql()) if os.environ.get("FEATUREKIT_FULL_ORACLE") else SUBSET
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
