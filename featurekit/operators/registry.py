@@ -42,7 +42,8 @@ def stages(versions: DataFrame, events: DataFrame) -> DataFrame:
     Fold semantics, evaluated set-wise: a version's last event decides; a
     production version is archived once another version reaches production
     later; a staging version drops to none once another version is staged
-    later (promotion to production clears it through its own later event).
+    later (promotion to production clears it through its own later event);
+    an explicit ``archive`` event archives a version directly.
     """
     last = events.groupBy("model_name", "version").agg(F.max_by("kind", "seq").alias("_kind"),
                                                        F.max("seq").alias("_seq"))
@@ -53,6 +54,7 @@ def stages(versions: DataFrame, events: DataFrame) -> DataFrame:
                     F.when(F.col("_mp") > F.col("_seq"), "archived").otherwise("production"))
              .when(F.col("_kind") == "staging",
                    F.when(F.col("_ms") > F.col("_seq"), "none").otherwise("staging"))
+             .when(F.col("_kind") == "archive", "archived")
              .otherwise("none"))
     return (versions.drop("stage").join(last, ["model_name", "version"], "left")
             .join(mx, "model_name", "left")
@@ -170,6 +172,19 @@ class RegistryTable:
         new_versions.select(*cols).withColumn("stage", F.lit("none")) \
             .write.mode("append").parquet(f"{self.path}/versions")
 
+    def import_json_documents(self, path: str) -> None:
+        """Load version documents (one JSON object per version, as a
+        file-based registry keeps them) into the versions table. The stage
+        recorded in a document becomes a promotion event, so derived stages
+        match the documents."""
+        from featurekit import schemas
+        docs = self.spark.read.schema(schemas.MODEL_VERSIONS).json(path)
+        self.register(docs)
+        seq = F.unix_seconds(F.to_timestamp("created_at"))
+        kind = F.when(F.col("stage") == "archived", "archive").otherwise(F.col("stage"))
+        self.promote(docs.filter(F.col("stage").isin("staging", "production", "archived"))
+                     .select("model_name", "version", seq.alias("seq"), kind.alias("kind")))
+
     def promote(self, events: DataFrame) -> None:
         """Append promotion events (model_name, version, seq, kind)."""
         events.select("model_name", "version", F.col("seq").cast("long"), "kind") \

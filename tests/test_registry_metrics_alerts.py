@@ -184,3 +184,23 @@ def test_running_total_splits_hot_hours(spark):
     for r in rows:
         run += r.value
         assert got[r.seq] == run
+
+
+def test_registry_imports_json_documents(spark, tmp_table_dir):
+    import json
+    import os
+    import tempfile
+    docs = [
+        {"model_name": "m", "version": "1.0.0", "stage": "archived", "model_path": "a", "model_format": "pickle",
+         "metrics": {"auc": 0.8}, "metadata": {"feature_snapshot_id": "1"}, "created_at": "2024-01-01T00:00:00"},
+        {"model_name": "m", "version": "1.0.1", "stage": "production", "model_path": "b", "model_format": "pickle",
+         "metrics": {"auc": 0.9}, "metadata": {"feature_snapshot_id": "2"}, "created_at": "2024-01-02T00:00:00"},
+    ]
+    d = tempfile.mkdtemp()
+    for i, doc in enumerate(docs):
+        with open(os.path.join(d, f"{i}.json"), "w") as f:
+            f.write(json.dumps(doc))
+    r = reg.RegistryTable(spark, tmp_table_dir)
+    r.import_json_documents(d)
+    st = {x.version: (x.stage, x.metadata.feature_snapshot_id) for x in r.versions().collect()}
+    assert st == {"1.0.0": ("archived", "1"), "1.0.1": ("production", "2")}
