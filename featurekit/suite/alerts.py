@@ -16,20 +16,14 @@ from featurekit.operators import alerts as A
 from featurekit.session import fresh_dir
 from featurekit.sources import tables
 from featurekit.streaming.alerts import run_alert_stream
-from featurekit.suite.common import norm
+from featurekit.suite.common import registrar
 from featurekit.suite.metrics import BOUNDS, METRICS_SQL, metrics_from_events
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: norm(fn(spark, sf_dir))
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
+register = registrar(QUERIES, ORACLES)
 
 
 def _ctx(spark, sf_dir):

@@ -59,3 +59,19 @@ def batch_dates_sql() -> str:
     return f"""
 SELECT batch, min(date) AS start_date, max(date) AS end_date
 FROM ({batched_sql()}) GROUP BY batch"""
+
+
+def registrar(queries: dict, oracles: dict):
+    """``@register(name, sql)`` for a suite module: the query's result is
+    normalised with ``norm`` and its oracle SQL (if any) recorded."""
+    def register(name: str, sql: str | None = None):
+        def deco(fn):
+            def run(spark, sf_dir):
+                return norm(fn(spark, sf_dir))
+            run.__doc__ = fn.__doc__
+            queries[name] = run
+            if sql is not None:
+                oracles[name] = sql
+            return fn
+        return deco
+    return register

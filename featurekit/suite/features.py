@@ -9,20 +9,13 @@ from featurekit.operators import features as feat
 from featurekit.operators import quality
 from featurekit.plans import history
 from featurekit.sources import tables
-from featurekit.suite.common import (FEATURES_NULLS_SQL, FEATURES_SQL, batched_sql, feature_cols_sql, norm)
+from featurekit.suite.common import (registrar, FEATURES_NULLS_SQL, FEATURES_SQL, batched_sql, feature_cols_sql)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: norm(fn(spark, sf_dir))
-        QUERIES[name].__doc__ = fn.__doc__
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
+register = registrar(QUERIES, ORACLES)
 
 
 @register("raw_events", """

@@ -14,19 +14,13 @@ from featurekit.plans import history
 from featurekit.session import fresh_dir
 from featurekit.sources import tables
 from featurekit.sources.versioned import SNAPSHOT_COL, VersionedTable
-from featurekit.suite.common import batched_sql, feature_cols_sql, norm
+from featurekit.suite.common import registrar, batched_sql, feature_cols_sql
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: norm(fn(spark, sf_dir))
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
+register = registrar(QUERIES, ORACLES)
 
 
 def daily_history(spark: SparkSession, sf_dir: str):

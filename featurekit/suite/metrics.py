@@ -18,19 +18,13 @@ from featurekit.operators import drift
 from featurekit.operators import metrics as M
 from featurekit.operators.features import UserFeaturesDaily, date_batches
 from featurekit.sources import tables
-from featurekit.suite.common import batched_sql, norm
+from featurekit.suite.common import registrar, batched_sql
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: norm(fn(spark, sf_dir))
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
+register = registrar(QUERIES, ORACLES)
 
 
 # Label vocabularies of the derived metrics.

@@ -21,19 +21,13 @@ from featurekit.operators import scoring
 from featurekit.operators.features import date_bounds
 from featurekit.plans import history
 from featurekit.sources import tables
-from featurekit.suite.common import BOUNDS_SQL, batched_sql, feature_cols_sql, norm
+from featurekit.suite.common import registrar, BOUNDS_SQL, batched_sql, feature_cols_sql
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: norm(fn(spark, sf_dir))
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
+register = registrar(QUERIES, ORACLES)
 
 
 def model_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -10,19 +10,13 @@ from featurekit.operators.features import UserFeaturesDaily, with_feature_vector
 from featurekit.plans import batch_predict, history
 from featurekit.session import fresh_dir
 from featurekit.sources import tables
-from featurekit.suite.common import FEATURES_SQL, batched_sql, norm
+from featurekit.suite.common import registrar, FEATURES_SQL, batched_sql
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: norm(fn(spark, sf_dir))
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
+register = registrar(QUERIES, ORACLES)
 
 
 # fixed model parameters of the test queries

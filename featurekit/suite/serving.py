@@ -14,19 +14,13 @@ from featurekit.session import fresh_dir
 from featurekit.sinks.online_store import ParquetOnlineStore
 from featurekit.sources import tables
 from featurekit.streaming.online_sync import run_sync_stream
-from featurekit.suite.common import FEATURES_SQL, batched_sql, feature_cols_sql, norm
+from featurekit.suite.common import registrar, FEATURES_SQL, batched_sql, feature_cols_sql
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: norm(fn(spark, sf_dir))
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
+register = registrar(QUERIES, ORACLES)
 
 
 B = batched_sql()
