@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,16 +23,56 @@ def valid_keys(df: DataFrame, key: str) -> DataFrame:
     return df.filter(cond)
 
 
+_FIXED = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType, T.FloatType, T.DateType,
+          T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def packed_order(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """One ``long`` that sorts like the ``order`` tuple, when that is exact:
+    a single integral/date column, or (date, non-negative id < 2^31); else None.
+    NULLs sort first (as in struct ordering); an id outside the range fails the
+    job rather than mis-order rows."""
+    types = [df.schema[c].dataType for c in order]
+    lowest = F.lit(-(2**63)).cast("long")  # a NULL sorts first, as in struct ordering
+    if len(order) == 1 and isinstance(types[0], (T.LongType, T.IntegerType, T.ShortType, T.DateType)):
+        c = F.col(order[0])
+        v = F.unix_date(c).cast("long") if isinstance(types[0], T.DateType) else c.cast("long")
+        return F.coalesce(v, lowest)
+    if (len(order) == 2 and isinstance(types[0], T.DateType)
+            and isinstance(types[1], (T.LongType, T.IntegerType))):
+        sid = F.col(order[1]).cast("long")
+        sid = F.when(sid.between(0, 2**31 - 1) | sid.isNull(), F.coalesce(sid, F.lit(0).cast("long"))) \
+            .otherwise(F.raise_error(F.lit(f"{order[1]} out of range for packed ordering")).cast("long"))
+        day = F.coalesce(F.unix_date(F.col(order[0])).cast("long"), F.lit(-(2**31)).cast("long"))
+        return day * F.lit(2**31).cast("long") + sid
+    return None
+
+
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str], with_keys: Sequence[str] = ()) -> DataFrame:
     """The row with the greatest ``order`` tuple per key (last write wins).
 
+    When every column is fixed-width and the order packs exactly into one
+    ``long`` (``packed_order``), each column is taken with ``max_by(col,
+    packed)`` — fixed-width buffers, so Spark plans a hash aggregate; rows are
+    assumed unique per (key, order), as for feature rows (a repeated row is
+    identical, so columns cannot mix). Otherwise the whole row is kept with
+    ``max_by(struct, struct)`` (sort-based aggregate). Both combine map side,
+    so a hot key is reduced before the shuffle.
+
     ``with_keys`` are columns functionally dependent on the key (e.g. its hash
     bucket) kept as extra grouping keys, so an input already partitioned by
     them is aggregated without another shuffle."""
     extra = list(with_keys)
     others = [c for c in df.columns if c != key and c not in extra]
+    packed = packed_order(df, order)
+    fixed = all(isinstance(df.schema[c].dataType, _FIXED) for c in others)
+    src = valid_keys(df, key)
+    if packed is not None and fixed:
+        src = src.withColumn("_ord", packed)
+        return (src.groupBy(*extra, key).agg(*[F.max_by(c, "_ord").alias(c) for c in others])
+                .select(*extra, key, *others))
     best = F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(*[F.col(c) for c in order]))
-    return (valid_keys(df, key).groupBy(*extra, key).agg(best.alias("_r"))
+    return (src.groupBy(*extra, key).agg(best.alias("_r"))
             .select(*extra, key, *[F.col("_r")[c].alias(c) for c in others]))
 
 
