@@ -122,3 +122,17 @@ def test_asof_join_keeps_duplicate_and_null_labels(spark):
                                 "user_id long, label_date date, tag string")
     got = sorted((r.tag, r.v) for r in asof_join(lab, f, feature_cols=["v"]).collect())
     assert got == [("n", None), ("x", 5.0), ("y", 5.0), ("z", None)]
+
+
+def test_latest_per_key_hash_path_equals_struct_path(spark):
+    rnd = random.Random(11)
+    rows = list({(rnd.randint(1, 30), dt.date(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 40)),
+                  rnd.randint(0, 5)): rnd.random() for _ in range(600)}.items())
+    df = spark.createDataFrame([(k, d, s, v) for (k, d, s), v in rows] + [(99, None, 1, 0.5), (99, None, None, 0.7)],
+                               "user_id long, date date, _snapshot_id long, v double")
+    fast = serving.latest_per_key(df, "user_id", ["date", "_snapshot_id"])
+    assert serving.packed_order(df, ["date", "_snapshot_id"]) is not None
+    slow = df.groupBy("user_id").agg(F.max_by(F.struct("date", "_snapshot_id", "v"), F.struct("date", "_snapshot_id"))
+                                     .alias("r")).select("user_id", "r.*")
+    key = lambda r: (r.user_id, r.date, r._snapshot_id, r.v)
+    assert sorted(map(key, fast.collect()), key=str) == sorted(map(key, slow.collect()), key=str)
