@@ -73,7 +73,7 @@ def source_targets(laid: DataFrame) -> DataFrame:
     weight = F.sum("w").over(by_ratio.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     per = per.withColumn("total", 1.5 * F.sum("words").over(everything))
     per = per.withColumn("level", (F.col("total") - capped) / weight)
-    per = per.withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything))
+    per = per.withColumn("level", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything))
     target = F.when(F.col("level").isNull() | (F.col("ratio") <= F.col("level")), F.col("cap")).otherwise(
         F.col("level") * F.col("w"))
     return per.select("sid", "source", "words", target.alias("target"))
