@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.llm import mixing, sharding
+from featurekit.llm import decontam, mixing, sharding, winnow
 from featurekit.llm.common import read, utf8_bytes
 from featurekit.session import fresh_dir
 
@@ -23,6 +23,39 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+k AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, w[i:i + least(10, len(w)) - 1] AS win
+      FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM k),
+dw AS (SELECT doc_id, n, i, w[i:i + n - 1] AS win
+       FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, lens WHERE len(w) >= n)),
+m AS (SELECT dw.doc_id, k.item_id, dw.i, dw.n FROM dw JOIN k ON dw.n = k.n AND dw.win = k.win),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM m) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(d.w), 0) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(it.n_items, 0) AS n_items,
+       sha256(coalesce(it.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)"""
+
+
+@register("op2_decontamination", OP2_SQL)
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.annotate(docs, read(spark, sf_dir, "benchmark"))
+    hit = F.aggregate(F.zip_with("leak.starts", "leak.ends", lambda a, b: b - a), F.lit(0).cast("long"),
+                      lambda a, b: a + b)
+    return found.select("doc_id", F.col("leak.n_words").alias("n_words"), hit.alias("n_hit"),
+                        F.size("leak.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("leak.items", ","), 256).alias("items_sha256"),
+                        (F.size("leak.starts") > 0).alias("contaminated"))
+
+
 @register("op3_mixing")
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a 3:1:2 mix of 1.5 times the corpus takes of every document."""
@@ -38,3 +71,22 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", (utf8_bytes(F.col("text")) + 1).alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
                        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op9_fingerprints")
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprints of every document, of its edited text and of its neighbour."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = winnow.with_next(docs, ["text", "hashes"],
+                            lambda d: winnow.fingerprint(d, "text", "hashes", "positions"))
+    cut = F.floor(F.col("n_chars") / 3).cast("int")
+    rows = rows.withColumn("n_chars", F.length("text").cast("long"))
+    rows = rows.withColumn("edited", F.concat(
+        F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")),
+        F.substring("next_text", F.lit(1), cut)))
+    rows = rows.withColumn("near_next", winnow.likeness("hashes", "next_hashes")).drop("next_text", "next_hashes", "text")
+    rows = winnow.fingerprint(rows, "edited", "edited_hashes", "edited_positions")
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                       winnow.as_string("hashes", "positions").alias("fingerprint"),
+                       winnow.as_string("edited_hashes", "edited_positions").alias("edited_fingerprint"),
+                       winnow.likeness("hashes", "edited_hashes").alias("near_edited"), "near_next")
