@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.llm import decontam, mixing, sharding, winnow
+from featurekit.llm import decontam, jaccard, mixing, sharding, winnow
 from featurekit.llm.common import read, utf8_bytes
 from featurekit.session import fresh_dir
 
@@ -62,6 +62,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read(spark, sf_dir, "documents"))
 
 
+@register("op5_jaccard_join")
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 3-word shingles have a Jaccard similarity of 0.9."""
+    return jaccard.components(read(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 @register("op8_sharding")
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents shuffled, written as 16 shards and read back."""
