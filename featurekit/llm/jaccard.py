@@ -171,7 +171,7 @@ def _wanted_sets(n: int, shared):
                 s = token_set(t, n)
                 if len(s):
                     fp = xxh3_128_digest(s.tobytes())
-                    if bits[int.from_bytes(fp[:4], "little") % len(bits)]:
+                    if bits[int.from_bytes(fp[:4], "big") % len(bits)]:
                         fps.append(fp)
                         sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), pa.array(sets, pa.binary())],
@@ -240,7 +240,7 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     several = sigs.groupBy("sig").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("sig")
     groups = written(sigs.join(several, "sig"), "groups")  # signatures of two classes or more
 
-    slot = F.conv(F.hex(F.reverse(F.substring("fp", 1, 4))), 16, 10).cast("long") % BITMAP_BITS
+    slot = F.conv(F.hex(F.substring("fp", 1, 4)), 16, 10).cast("long") % BITMAP_BITS
     wanted = _bitmap(spark, groups.select("fp").distinct().select(slot), BITMAP_BITS)
     tokens = written(docs.select("text").mapInArrow(_wanted_sets(n, wanted), "fp binary, tokens binary")
                      .dropDuplicates(["fp"]), "tokens")
