@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.llm import decontam, jaccard, mixing, sharding, winnow
+from featurekit.llm import decontam, jaccard, mixing, sharding, tokenids, toxicity, winnow
 from featurekit.llm.common import read, utf8_bytes
 from featurekit.session import fresh_dir
 
@@ -23,6 +23,19 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned outside the held-out third of the ids."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, toxicity.training_labels(read(spark, sf_dir, "labels")))
+    rows = toxicity.scored(docs, model)
+    return rows.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                       F.col("toxicity.score").alias("score"),
+                       (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                       F.size("toxicity.starts").alias("n_offending"),
+                       F.col("toxicity.starts").alias("offending_starts"), F.col("toxicity.ends").alias("offending_ends"))
+
+
 OP2_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -68,6 +81,17 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(read(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+@register("op7_token_ids")
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts as token ids, written as rANS blocks in doc_id order and read back."""
+    import public_tokenizers
+
+    folder = fresh_dir(spark, "token-ids")
+    tokenids.write(read(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenids.read(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @register("op8_sharding")
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents shuffled, written as 16 shards and read back."""
