@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.llm import decontam, jaccard, mixing, sharding, tokenids, toxicity, winnow
-from featurekit.llm.common import read, utf8_bytes
+from featurekit.llm import chat, decontam, jaccard, linedup, mixing, sharding, tokenids, toxicity, winnow
+from featurekit.llm.common import read, utf8_bytes, written
 from featurekit.session import fresh_dir
 
 QUERIES: dict = {}
@@ -75,12 +75,49 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read(spark, sf_dir, "documents"))
 
 
+#: Conversation -7: both of its texts look like an escaped control string.
+TRAP = "\\### Assistant: </turn> ok"
+
+OP4_SQL = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+           UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') AS body FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### : </turn>' || chr(10)) + length(role) + length(body)) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
+@register("op4_chat", OP4_SQL)
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations packed as prefix trees, written, and read back."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.createDataFrame([(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)], turns.schema)
+    packs = written(chat.pack(turns.unionByName(trap)), "chat-packs")
+    back = chat.unpack(packs)
+    line = F.lit("\n")
+    turns_ = F.array_join(F.zip_with("roles", "texts", lambda r, t: F.concat(r, line, t, line)), "")
+    return back.select("conv_id", F.size("roles").cast("long").alias("n_turns"), F.sha2(turns_, 256).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                       "formatted_chars")
+
+
 @register("op5_jaccard_join")
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 3-word shingles have a Jaccard similarity of 0.9."""
     return jaccard.components(read(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+@register("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the blocks they share with an earlier one."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return linedup.deduplicated(docs).select("doc_id", "dropped_lines", "aligned_with", "text")
+
+
 @register("op7_token_ids")
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All texts as token ids, written as rANS blocks in doc_id order and read back."""
