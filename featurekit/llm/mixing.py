@@ -22,6 +22,8 @@ out of the plan and cannot clash.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,13 +47,12 @@ def layout(docs: DataFrame, carry: tuple = ()) -> DataFrame:
     rows = docs.select("doc_id", "source", *carry, word_count(F.col("text")).alias("size"),
                        F.xxhash64("text").alias("_th"))
     rows = rows.withColumn("_b", F.pmod(F.xxhash64("doc_id", "_th"), F.lit(LAYOUT_BUCKETS)))
+    if not carry:
+        rows = written(rows, "mix-sizes")  # narrow: cheaper than counting the words twice
+    totals = rows.groupBy("source", F.col("_b").alias("_b2")).agg(F.sum("size").alias("n"))
     within = Window.partitionBy("source", "_b").orderBy("doc_id", "_th")
     rows = rows.withColumn("_before", F.sum("size").over(
         within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size"))
-    totals = (docs.select("doc_id", "source", "text")
-              .select("source", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(LAYOUT_BUCKETS)).alias("_b2"),
-                      word_count(F.col("text")).alias("n"))
-              .groupBy("source", "_b2").agg(F.sum("n").alias("n")))
     upto = Window.partitionBy("source").orderBy("_b2").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = totals.select(F.col("source").alias("_s2"), "_b2", (F.sum("n").over(upto) - F.col("n")).alias("_base"))
     return (rows.join(totals, F.col("source").eqNullSafe(F.col("_s2")) & (F.col("_b") == F.col("_b2")))
@@ -106,7 +107,9 @@ def slots(targets: DataFrame, n_shards: int, block_words: int, seed: int) -> Dat
     per = per.withColumn("tail_slot", permuted(F.col("nb") - 1, seed, inverse=True))
     per = per.withColumn("n", F.least(F.col("nb"), F.expr(f"pass_words div {block_words}") + 2))
     chunks = per.select("*", F.explode(F.expr(f"sequence(0L, (n - 1) div {SLOT_CHUNK})")).alias("chunk"))
-    chunks = chunks.repartition("sid", "pass", "chunk")
+    # a fixed number of tasks: the rows are few and small, what they make is not
+    goal = targets.agg(F.sum("target")).first()[0] or 0
+    chunks = chunks.repartition(max(1, math.ceil(goal / block_words / (4 * SLOT_CHUNK))), "sid", "pass", "chunk")
     made = chunks.select("*", F.explode(F.expr(
         f"sequence(chunk * {SLOT_CHUNK}, least(n, (chunk + 1) * {SLOT_CHUNK}) - 1)")).alias("slot"))
     made = made.withColumn("have", F.col("slot") * L - F.when(
@@ -137,7 +140,8 @@ def mix(docs: DataFrame, n_shards: int = 16, block_words: int = BLOCK_WORDS, see
         .withColumn("first_word", F.greatest(F.lit(0).cast("long"), F.col("block") * L - F.col("start")))
         .withColumn("offset", F.col("start") + F.col("first_word") - F.col("block") * L)
         .withColumn("len", F.least(F.col("size") - F.col("first_word"), L - F.col("offset"))))
-    pieces = (slots(targets, n_shards, L, seed).join(blocks, ["sid", "block"])
+    # both sides grow with the corpus, though the slots come from few rows: never broadcast
+    pieces = (slots(targets, n_shards, L, seed).hint("merge").join(blocks.hint("merge"), ["sid", "block"])
               .withColumn("n_words", F.least(F.col("len"), F.col("take") - F.col("offset")))
               .where("n_words > 0")
               .select("shard", "sid", "pass", "slot", "block", "start", "first_word", "n_words"))
