@@ -4,28 +4,31 @@ A document's set holds its distinct word n-grams (64-bit hashes). Documents of e
 sets form a class; only classes are joined. Two sets link when
 100 * intersection >= percent * union.
 
-Tokens (n-grams) are of two kinds, by the number of sets whose first prefix has them:
-rare, or frequent. The global order is rare tokens first, then frequent ones, each by
-hash. A set of n tokens can lack at most e = n - ceil(percent * n / 100) of them in any
-set it links with, so its prefix must offer e + 1 signatures that an opponent has to
-break one by one: a rare token is one signature of its own; frequent tokens are dealt
-to hash buckets, every 2-combination within a bucket is a signature, and c tokens of a
-bucket cost the opponent c - 1 misses. The prefix is extended until the misses exceed
-e. As the buckets depend on the set's size, combinations are made for its size class
-and the next one: linked sets differ by one class at most. Sets of under 16 tokens use
-single tokens only.
-
-Sets that share a signature are candidates. They are not paired with each other: each
-signature's sets are compared with one pivot (chosen by hash, a few different ones per
-group), links verified, components formed, and only signatures that still span several
-components go on: more pivots, then every pair from different components. No link that
-would join two components is missed, and a group of m near copies costs about m
-comparisons. A candidate is verified by size, by a 512-bit parity sketch whose distance
-never exceeds the symmetric difference, then by the sets themselves.
-
-Whether a token is frequent is read from a fixed-size bitmap; the threshold doubles
-until the frequent tokens fill an eighth of it at most. Any bitmap gives the same
-result, a fuller one only moves tokens from one kind to the other.
+1. Head. A set of n tokens can lack at most e = n - ceil(percent * n / 100) of them in a
+   set it links with, so of its first c = e + 1 + n/8 tokens by hash at least c - e stand
+   in the other's head too (of the two, take the set whose head ends first). The heads'
+   tokens are counted over all documents; one in a single head is in no such overlap. A
+   set with too few shared head tokens links with nothing and is done: no row of it is
+   ever shuffled.
+2. Signatures. What remains of a head is ordered rare tokens first, then frequent ones
+   (in more than ``FREQUENT`` heads), each by hash. A prefix of it must offer one signature
+   more than the set may miss: a rare token is a signature of its own; frequent tokens
+   are dealt to hash buckets, every 2-combination within a bucket is a signature, and c
+   tokens of a bucket cost the opponent c - 1 misses. The prefix is extended until that
+   suffices. As the buckets depend on the set's size, combinations are made for its size
+   class and the next one: linked sets differ by one class at most. Size classes of
+   under 16 tokens use single tokens only.
+3. Candidates. Sets that share a signature are not paired with each other: each
+   signature's sets are compared with one pivot (chosen by hash, a few different ones per
+   group), links verified, components formed, and only signatures that still span several
+   components go on: more pivots, then every pair from different components. No link that
+   would join two components is missed, and a group of m near copies costs about m
+   comparisons. A candidate is verified by size, by a 512-bit parity sketch whose distance
+   never exceeds the symmetric difference, then by the sets themselves.
+
+Which tokens are shared and which frequent is read from two bitmaps of fixed size. A bit
+that another token set only adds work: the result is the same with any bitmap that holds
+all shared tokens.
 
 Words: A-Z lower-cased, runs of non-white-space. Defined results: texts without words
 (null, empty, white space) have empty sets and link with nothing; a text of fewer words
@@ -48,8 +51,9 @@ from featurekit.llm.common import written
 from featurekit.llm.components import connected
 from featurekit.session import ship_package
 
-BITMAP_BITS = 1 << 22
-LEAST_FREQUENT = 32
+#: Bits of each bitmap (packed: 16 MB).
+BITMAP_BITS = 1 << 27
+FREQUENT = 32
 SMALL = 16
 SKETCH_BITS = 512
 PIVOT_KINDS = 8
@@ -89,26 +93,41 @@ def size_class(n: int, percent: int) -> int:
     return int(math.log(n) / (math.log(100 / percent) + 1e-9))
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """Signature hashes (int64) of one set; ``frequent`` flags its tokens."""
-    need = misses(len(tokens), percent) + 1
-    rare, often = tokens[~frequent], tokens[frequent]
+def overlap(n: int, percent: int) -> int:
+    """Tokens of a set's head that stand in the head of a set it links with, at least."""
+    return min(n - misses(n, percent), 1 + -(-n // 8))
+
+
+def head(tokens: np.ndarray, percent: int) -> np.ndarray:
+    n = len(tokens)
+    return tokens[:misses(n, percent) + overlap(n, percent)]
+
+
+def signatures(tokens: np.ndarray, shared, frequent, percent: int):
+    """Signature hashes (int64) of one set, or None where it links with nothing."""
+    n = len(tokens)
+    kept = head(tokens, percent)
+    kept = kept[flagged(kept, shared)]
+    # the linked set's head may be the one that ends first, and its set the smaller one
+    need = len(kept) - overlap(-(-percent * n // 100), percent) + 1
+    if need <= 0:
+        return None
+    is_frequent = flagged(kept, frequent)
+    rare, often = kept[~is_frequent], kept[is_frequent]
     out = [rare[:need]]
     short = need - len(rare)
     if short > 0:
-        c = size_class(len(tokens), percent)
+        c = size_class(n, percent)
         for g in (c, c + 1):
             like = math.exp(g * (math.log(100 / percent) + 1e-9))  # least size of the class
-            if like < SMALL:
+            if like < SMALL or percent < 71:
                 out.append(often[:short])
                 continue
-            n_buckets = max(1, int(like) // 8)
+            n_buckets = int(like) // 16
             bucket = (_mix(often * _ODD) % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            sorted_b = bucket[order]
-            first = np.r_[True, sorted_b[1:] != sorted_b[:-1]]
             counts = np.ones(len(often), np.int64)
-            counts[order[first]] = 0  # the first token of a bucket costs the opponent nothing
+            counts[order[np.r_[True, np.diff(bucket[order]) != 0]]] = 0  # a bucket's first token costs nothing
             length = int(np.searchsorted(np.cumsum(counts), short)) + 1
             order = np.argsort(bucket[:length], kind="stable")
             groups = np.split(often[:length][order], np.flatnonzero(np.diff(bucket[:length][order])) + 1)
@@ -119,6 +138,11 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
+def flagged(tokens: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    slot = (tokens & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
 def sketch(tokens: np.ndarray) -> bytes:
     """Bit i: whether an odd number of tokens fall on i."""
     odd = np.bincount((_mix(tokens) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
@@ -127,55 +151,36 @@ def sketch(tokens: np.ndarray) -> bytes:
 
 def _texts(batches):
     for b in batches:
-        yield b, b.column(b.num_columns - 1).to_pylist()
+        if b.num_rows:
+            yield b, b.column(b.num_columns - 1).to_pylist()
 
 
-def _set_rows(n: int, percent: int):
-    """(doc_id, n, fp, sketch, prefix) per document; prefix: its first tokens by hash."""
+def _head_rows(n: int, percent: int):
     def rows(batches):
-        for b, texts in _texts(batches):
-            size, fp, sk, pre = [], [], [], []
-            for t in texts:
-                s = token_set(t, n)
-                size.append(len(s))
-                fp.append(xxh3_128_digest(s.tobytes()) if len(s) else None)
-                sk.append(sketch(s) if len(s) else None)
-                pre.append(s[:misses(len(s), percent) + 1].view(np.int64) if len(s) else [])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).cast(pa.int64()), pa.array(size, pa.int64()), pa.array(fp, pa.binary()),
-                 pa.array(sk, pa.binary()), pa.array(pre, pa.list_(pa.int64()))],
-                ["doc_id", "n", "fp", "sketch", "prefix"])
+        for _, texts in _texts(batches):
+            heads = [head(token_set(t, n), percent) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads).view(np.int64))], ["token"])
     return rows
 
 
-def _signature_rows(n: int, percent: int, shared):
-    def rows(batches):
-        bits = shared.value
-        for _, texts in _texts(batches):
-            for t in texts:
-                s = token_set(t, n)
-                if len(s):
-                    sig = signatures(s, bits[(s % np.uint64(len(bits))).astype(np.int64)], percent)
-                    fp = pa.scalar(xxh3_128_digest(s.tobytes()), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(sig), pa.repeat(fp, len(sig))], ["sig", "fp"])
-    return rows
+_SET = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp", pa.binary()), ("sigs", pa.list_(pa.int64())),
+                  ("sketch", pa.binary()), ("tokens", pa.binary())])
 
 
-def _wanted_sets(n: int, shared):
-    """(fp, tokens) of the documents whose class the bitmap holds."""
+def _set_rows(n: int, percent: int, shared):
+    """A row per document; signatures, sketch and tokens where it may link."""
     def rows(batches):
-        bits = shared.value
-        for _, texts in _texts(batches):
-            fps, sets = [], []
-            for t in texts:
+        shared_bits, frequent_bits = shared.value
+        for b, texts in _texts(batches):
+            out = []
+            for doc, t in zip(b.column(0).to_pylist(), texts, strict=True):
                 s = token_set(t, n)
-                if len(s):
-                    fp = xxh3_128_digest(s.tobytes())
-                    if bits[int.from_bytes(fp[:4], "big") % len(bits)]:
-                        fps.append(fp)
-                        sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), pa.array(sets, pa.binary())],
-                                             ["fp", "tokens"])
+                fp = xxh3_128_digest(s.tobytes()) if len(s) else None
+                sigs = signatures(s, shared_bits, frequent_bits, percent) if len(s) else None
+                may = sigs is not None
+                out.append((doc, len(s), fp, sigs, sketch(s) if may else None, s.tobytes() if may else None))
+            cols = list(zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _SET, strict=True)], schema=_SET)
     return rows
 
 
@@ -205,48 +210,34 @@ def _linked(percent: int):
     return rows
 
 
-def _bitmap(spark, slots: DataFrame, bits: int):
-    """Broadcast flags of the slots; at most ``bits`` rows of one number reach the driver."""
-    flags = np.zeros(bits, bool)
-    got = slots.distinct().toArrow().column(0).to_numpy()
-    flags[got] = True
-    return spark.sparkContext.broadcast(flags)
-
-
-def frequent_tokens(sets: DataFrame):
-    """Bitmap of the tokens in more prefixes than the threshold."""
-    spark = sets.sparkSession
-    counts = written(sets.where("n > 0").dropDuplicates(["fp"]).select(F.explode("prefix").alias("token"))
-                     .groupBy("token").count().where(F.col("count") > LEAST_FREQUENT), "tokens")
-    by_size = counts.groupBy(F.floor(F.log2("count")).alias("k")).count().collect()  # 64 rows at most
-    least = LEAST_FREQUENT
-    while sum(r["count"] for r in by_size if 2 ** (r["k"] + 1) > least) > BITMAP_BITS // 8:
-        least *= 2
-    # slot of a token: its unsigned value modulo the bitmap's size (a power of two)
-    slots = counts.where(F.col("count") > least).select(F.col("token").bitwiseAND(F.lit(BITMAP_BITS - 1)))
-    return _bitmap(spark, slots, BITMAP_BITS)
+def _bits(tokens: DataFrame) -> np.ndarray:
+    """Packed bitmap of the tokens' slots, built by the executors in pieces of 4 kB."""
+    slot = F.col("token").bitwiseAND(F.lit(BITMAP_BITS - 1)) + 1  # the SQL functions count from 1
+    rows = tokens.groupBy(F.bitmap_bucket_number(slot).alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    out = np.zeros(BITMAP_BITS >> 3, np.uint8)
+    for r in rows:  # BITMAP_BITS / 2^15 at most
+        out[(r["b"] - 1) << 12:r["b"] << 12] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
 
 def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     spark = docs.sparkSession
     ship_package(spark)
-    docs = docs.select("doc_id", "text")
-    sets = written(docs.mapInArrow(_set_rows(n, percent), "doc_id long, n long, fp binary, sketch binary, "
-                                   "prefix array<long>"), "sets")
-    frequent = frequent_tokens(sets)
-    sigs = written(docs.select("text").mapInArrow(_signature_rows(n, percent, frequent), "sig long, fp binary")
-                   .distinct(), "signatures")
-    several = sigs.groupBy("sig").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("sig")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    counts = written(docs.select("text").mapInArrow(_head_rows(n, percent), "token long")
+                     .groupBy("token").count().where("count > 1"), "tokens")
+    bits = spark.sparkContext.broadcast((_bits(counts), _bits(counts.where(F.col("count") > FREQUENT))))
+    sets = written(docs.mapInArrow(_set_rows(n, percent, bits), "doc_id long, n long, fp binary, sigs array<long>, "
+                                   "sketch binary, tokens binary"), "sets")
+    classes = written(sets.where("sigs IS NOT NULL").select("fp", "n", "sigs", "sketch", "tokens")
+                      .dropDuplicates(["fp"]), "classes")
+    tokens = classes.select("fp", "tokens")
+    sigs = classes.select("fp", F.explode("sigs").alias("sig"))
+    several = sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("sig")
     groups = written(sigs.join(several, "sig"), "groups")  # signatures of two classes or more
 
-    slot = F.conv(F.hex(F.substring("fp", 1, 4)), 16, 10).cast("long") % BITMAP_BITS
-    wanted = _bitmap(spark, groups.select("fp").distinct().select(slot), BITMAP_BITS)
-    tokens = written(docs.select("text").mapInArrow(_wanted_sets(n, wanted), "fp binary, tokens binary")
-                     .dropDuplicates(["fp"]), "tokens")
-    classes = written(sets.where("n > 0").dropDuplicates(["fp"]).select("fp", "n", "sketch")
-                      .join(groups.select("fp").distinct(), "fp", "left_semi"), "classes")
-
     def verified(pairs: DataFrame) -> DataFrame:
         a, b = (classes.select(F.col("fp").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"x{x}"))
                 for x in ("a", "b"))
