@@ -6,7 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.llm import chat, decontam, jaccard, linedup, mixing, sharding, tokenids, toxicity, winnow
+from featurekit.llm import (
+    chat,
+    decontam,
+    jaccard,
+    linedup,
+    mixing,
+    secretscan,
+    sharding,
+    tokenids,
+    toxicity,
+    winnow,
+)
 from featurekit.llm.common import read, utf8_bytes, written
 from featurekit.session import fresh_dir
 
@@ -157,3 +168,13 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                        winnow.as_string("hashes", "positions").alias("fingerprint"),
                        winnow.as_string("edited_hashes", "edited_positions").alias("edited_fingerprint"),
                        winnow.likeness("hashes", "edited_hashes").alias("near_edited"), "near_next")
+
+
+@register("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates for secrets in every document, and which of them are."""
+    found = secretscan.findings(read(spark, sf_dir, "documents"))
+    rows = secretscan.classified(found, secretscan.weak_labels(found))
+    return rows.select("doc_id", "start", "end", "name", "sha256", F.col("weak").alias("form_label"),
+                       toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                       F.round("probability", 6).alias("probability"), "is_secret")
