@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from featurekit.llm.common import written
+from featurekit.llm.common import free_name, written
 from featurekit.llm.components import connected
 from featurekit.session import ship_package
 
@@ -284,6 +284,7 @@ def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     """The document with the smallest doc_id of each group, columns unchanged; documents
     with a null doc_id or without words are in no group and stay. Of rows that repeat a
     doc_id whose group it names, all stay: they are one document."""
+    key = free_name(docs, "_kept")
     kept = components(docs, n, percent).where(
-        "n_shingles = 0 OR doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").unionByName(docs.where("doc_id IS NULL"))
+        "n_shingles = 0 OR doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(kept, F.col("doc_id") == F.col(key), "left_semi").unionByName(docs.where("doc_id IS NULL"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from featurekit.llm.common import written
+from featurekit.llm.common import free_name, written
 from featurekit.session import ship_package
 
 RARE_DOCS = 8
@@ -172,14 +172,16 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` without the duplicate blocks, with ``dropped_lines`` (how many) and
     ``aligned_with`` (doc_ids)."""
     names = [c for c in docs.columns if c not in ("dropped_lines", "aligned_with")]
+    d, t, h, gone, by = (free_name(docs, c) for c in ("_d", "_t", "_h", "_gone", "_by"))
     found = written(duplicate_lines(docs), "duplicate-lines").select(
-        F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "dropped", "partners")
-    rows = docs.select(*names).withColumn("_h", F.xxhash64("text"))
-    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_t")), "left")
-    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(
-        F.pandas_udf(_cut, "string")(F.when(F.col("dropped").isNotNull(), F.col("text")).otherwise(F.lit("")), "dropped"))
+        F.col("doc_id").alias(d), F.col("th").alias(t), F.col("dropped").alias(gone), F.col("partners").alias(by))
+    rows = docs.select(*names).withColumn(h, F.xxhash64("text"))
+    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(h) == F.col(t)), "left")
+    lost = F.col(gone).isNotNull()
+    text = F.when(lost, F.pandas_udf(_cut, "string")(F.when(lost, F.col("text")).otherwise(F.lit("")), gone)).otherwise(
+        F.col("text"))
     rows = rows.withColumn("text", text)
     if "n_chars" in names:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*names, F.coalesce(F.size("dropped"), F.lit(0)).alias("dropped_lines"),
-                       F.coalesce("partners", F.array().cast("array<bigint>")).alias("aligned_with"))
+    return rows.select(*names, F.coalesce(F.size(gone), F.lit(0)).alias("dropped_lines"),
+                       F.coalesce(by, F.array().cast("array<bigint>")).alias("aligned_with"))

@@ -105,12 +105,13 @@ def likeness(a: str, b: str) -> Column:
 
 
 def with_next(docs: DataFrame, cols: list[str], derive) -> DataFrame:
-    """``derive(docs)`` with ``next_<c>`` for each of ``cols``: the value in the next
+    """``derive(docs)``, which must keep all columns, with ``next_<c>`` for each of ``cols``: the value in the next
     document by descending doc_id (nulls last; equal ids by text hash), after the last
     the first. Documents are dealt to buckets by doc_id range (quantiles, split evenly),
     each bucket also gets the first row of the one after it, and ``lead`` runs within
     buckets: the texts are shuffled once and no task sees them all."""
-    keyed = docs.withColumn("_th", F.xxhash64("text"))
+    th, b, end, hb, hid, hth = (free_name(docs, x) for x in ("_th", "_b", "_end", "_hb", "_hid", "_hth"))
+    keyed = docs.withColumn(th, F.xxhash64("text"))
     n, lo, hi = docs.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
     n_cells = min(QUANTILES, max(1, math.ceil(n / BUCKET_DOCS)))
     split = max(1, math.ceil(n / BUCKET_DOCS / n_cells))
@@ -121,25 +122,25 @@ def with_next(docs: DataFrame, cols: list[str], derive) -> DataFrame:
     if lo is None:
         bucket = F.lit(0).cast("long")
     else:
-        edges = F.array(*[F.lit(b).cast("long") for b in [lo, *bounds, hi + 1]])
-        cell = F.size(F.filter(edges, lambda b: b <= F.col("doc_id")))  # 1 to len(edges) - 1, 0 for a null
+        edges = F.array(*[F.lit(e).cast("long") for e in [lo, *bounds, hi + 1]])
+        cell = F.size(F.filter(edges, lambda e: e <= F.col("doc_id")))  # 1 to len(edges) - 1, 0 for a null
         first, after = F.get(edges, cell - 1), F.get(edges, cell)
         share = (F.col("doc_id") - first).cast("double") / (after - first).cast("double")
         sub = F.least(F.floor(share * split), F.lit(split - 1))
         bucket = F.coalesce(cell * split + sub, F.lit(0)).cast("long")
-    keyed = keyed.withColumn("_b", bucket)
-    heads = keyed.groupBy("_b").agg(F.max_by(F.struct("doc_id", "_th"), F.struct(
-        F.col("doc_id").isNotNull(), "doc_id", "_th")).alias("head"))
-    down = Window.orderBy(F.desc("_b"))  # one row per bucket
-    heads = written(heads.select(F.col("_b"), F.coalesce(F.lead("head").over(down), F.first("head").over(
+    keyed = keyed.withColumn(b, bucket)
+    heads = keyed.groupBy(F.col(b).alias("b")).agg(F.max_by(F.struct(F.col("doc_id").alias("id"), F.col(th).alias("th")), F.struct(
+        F.col("doc_id").isNotNull(), "doc_id", th)).alias("head"))
+    down = Window.orderBy(F.desc("b"))  # one row per bucket
+    heads = written(heads.select("b", F.coalesce(F.lead("head").over(down), F.first("head").over(
         down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("h")), "bucket-heads")
-    small = heads.select(F.col("_b").alias("_hb"), F.col("h.doc_id").alias("_hid"), F.col("h._th").alias("_hth"))
+    small = heads.select(F.col("b").alias(hb), F.col("h.id").alias(hid), F.col("h.th").alias(hth))
     if heads.count() <= BROADCAST_BUCKETS:
         small = F.broadcast(small)
-    ends = (keyed.drop("_b").join(small, F.col("doc_id").eqNullSafe(F.col("_hid")) & F.col("_th").eqNullSafe(F.col("_hth")))
-            .withColumnRenamed("_hb", "_b").drop("_hid", "_hth").dropDuplicates(["_b"]))
-    rows = keyed.withColumn("_end", F.lit(0)).unionByName(ends.withColumn("_end", F.lit(1)))
-    order = Window.partitionBy("_b").orderBy("_end", F.col("doc_id").desc_nulls_last(), F.desc("_th"))
+    ends = (keyed.drop(b).join(small, F.col("doc_id").eqNullSafe(F.col(hid)) & F.col(th).eqNullSafe(F.col(hth)))
+            .withColumnRenamed(hb, b).drop(hid, hth).dropDuplicates([b]))
+    rows = keyed.withColumn(end, F.lit(0)).unionByName(ends.withColumn(end, F.lit(1)))
+    order = Window.partitionBy(b).orderBy(end, F.col("doc_id").desc_nulls_last(), F.desc(th))
     rows = derive(rows)
     return (rows.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in cols])
-            .where("_end = 0").drop("_end", "_b", "_th"))
+            .where(F.col(end) == 0).drop(end, b, th))
