@@ -1,12 +1,11 @@
 """Token ids as a static range asymmetric numeral system (rANS).
 
-Two passes over the documents. The first tokenises and counts every id; the counts,
-one row per id of the vocabulary, are scaled to one frequency table that sums to 2^20
-and is shared by all blocks. The second deals the documents to ranges of doc_id,
-tokenises them in order and encodes them in blocks of whole documents, each
-independent of the others: id i of a block belongs to lane i mod ``LANES``, every lane
-has a 64-bit state, and a step codes one id of all lanes at once; lanes that overflow
-emit 32-bit words in lane order.
+The documents are dealt to ranges of doc_id, tokenised in order and written once as
+plain ids, in blocks of whole documents. All ids are counted; the counts, one row per
+id of the vocabulary, are scaled to one frequency table that sums to 2^20 and is shared by
+all blocks. Then every block is encoded, independently of the others: id i of a block belongs to
+lane i mod ``LANES``, every lane has a 64-bit state, and a step codes one id of all
+lanes at once; lanes that overflow emit 32-bit words in lane order.
 
 File format: a folder of two Parquet tables. ``frequencies``: (id, count, freq). ``blocks``:
 part and block (their order is that of the ids), doc_ids and lengths of the documents
@@ -15,9 +14,9 @@ the lanes' states before the step and the number of words read by then, so that
 block can be decoded from there, in parallel), and crc32 of the ids as little-endian unsigned
 32-bit integers. Reading checks that crc and raises on a mismatch.
 
-Tokenising: the pre-tokeniser never joins a blank that precedes a visible character
-with what stands before it, so a text is cut at such blanks and pieces seen before
-are taken from a bounded cache; a text where a blank meets other white space, or with the
+Tokenising: a batch of texts is cut where the pre-tokeniser cuts as well, the distinct
+stretches that a bounded cache does not know go to the tokeniser together, and every text
+is gathered from the ids of its stretches. A text with two blanks in a row, or with the
 special token in it, goes to the tokeniser whole. The ids are those of the whole text.
 
 Defined results: null texts are empty and have the end id alone; documents are ordered
@@ -32,6 +31,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,12 +39,12 @@ from pyspark.sql import functions as F
 from featurekit.session import ship_package
 
 LANES = 1024
-BLOCK_IDS = 1 << 18
-CHECK_STEPS = 64
+BLOCK_IDS = 1 << 19
+CHECK_STEPS = 256
 SCALE_BITS = 20
 END_ID = 2
-#: Pieces kept per worker.
-CACHE = 400_000
+#: Stretches a worker remembers before it starts anew.
+CACHE = 900_000
 #: Text per range, in bytes.
 PART_BYTES = 16 << 20
 _LOW = np.uint64(32)
@@ -54,43 +54,80 @@ BLOCKS = ("part int, block int, doc_ids array<long>, lengths array<long>, n_ids
           "checkpoints array<struct<step:long, read:long, states:binary>>, crc32 long")
 
 
+#: Where a text is cut: before a blank, between a letter and punctuation, and around a
+#: single line feed between visible characters. The byte-level pre-tokeniser cuts there
+#: too, so a stretch between cuts has the same ids alone as in its text.
+_CUT = "\x01"
+_PUNCTUATION = r"([\pL])([!-&(-/:-@\[-`{-~])"
+_LINE = r"([!-~\pL])\n([!-~\pL])"
+
+
 class Encoder:
-    """Ids of whole texts, as little-endian uint32 bytes."""
+    """Ids of whole texts."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.heads: dict[str, bytes] = {}  # first pieces: no blank before them
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
-        known = self.known
-        pieces = text.split(" ")
-        head = pieces[0]
-        try:  # every piece seen before: the usual case once the cache is warm
-            return self.heads[head] + b"".join([known[p] for p in pieces[1:]])
-        except KeyError:
-            pass
-        if any(s in text for s in self.special) or any(not p or p[0].isspace() for p in pieces[1:]):
-            return self.whole(text)
-        if len(known) > CACHE:
-            known.clear()
-            self.heads.clear()
-        new = {p for p in pieces[1:] if p not in known}
-        if new:
-            new = list(new)
-            for p, e in zip(new, self.tokenizer.encode_batch([" " + p for p in new], add_special_tokens=False),
-                            strict=True):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-        if head not in self.heads:
-            self.heads[head] = self.whole(head)
-        return self.heads[head] + b"".join([known[p] for p in pieces[1:]])
+        self.forget()
+
+    def forget(self) -> None:
+        self.at: dict[str, int] = {}  # stretch to its place in ``flat``: start * 2^16 + length
+        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+
+    def learn(self, new: list[str]) -> None:
+        e = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(e.ids, np.uint32)
+        ends = np.searchsorted(np.array(e.word_ids), np.arange(len(new)), "right")
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+        self.flat[self.used:self.used + len(ids)] = ids
+        start = np.concatenate([[0], ends[:-1]])
+        self.at.update(zip(new, (((start + self.used) << 16) | (ends - start)).tolist(), strict=True))
+        self.used += len(ids)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def batch(self, texts: pa.Array):
+        """Ids of each text of a batch."""
+        if len(self.at) > CACHE:
+            self.forget()
+        odd = np.zeros(len(texts), bool)  # these go to the tokeniser whole
+        for s in [*self.special, _CUT, "  "]:
+            odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        cut = pc.replace_substring(texts, " ", f"{_CUT} ")
+        cut = pc.replace_substring_regex(cut, _PUNCTUATION, f"\\1{_CUT}\\2")
+        cut = pc.replace_substring_regex(cut, _LINE, f"\\1{_CUT}\n{_CUT}\\2")
+        cut = pc.split_pattern(cut, _CUT)
+        coded = cut.flatten().dictionary_encode()
+        ends, every = cut.offsets.to_numpy(), coded.indices.to_numpy()
+        parts = coded.dictionary.to_pylist()  # each stretch of the batch once
+        at = self.at
+        self.learn_all([p for p in parts if p not in at])
+        place = np.fromiter(map(at.__getitem__, parts), np.int64, len(parts))
+        start, length = place >> 16, place & 0xFFFF
+        for row, (lo, hi) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+            if odd[row]:
+                yield self.whole(texts[row].as_py())
+                continue
+            part = every[lo:hi]
+            n = length[part]
+            if (n == 0xFFFF).any():
+                yield self.whole(texts[row].as_py())
+                continue
+            last = np.cumsum(n)
+            yield self.flat[np.repeat(start[part] - last + n, n) + np.arange(last[-1])]
+
+    def learn_all(self, new: list[str]) -> None:
+        """Learns stretches; one of 2^16 ids or more is marked, its texts go whole."""
+        long = [p for p in new if len(p) >= 1 << 14]
+        for p in long:
+            self.at[p] = 0xFFFF
+        short = [p for p in new if len(p) < 1 << 14 and p]
+        self.at[""] = 0
+        for i in range(0, len(short), 1 << 16):
+            self.learn(short[i:i + (1 << 16)])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -180,45 +217,31 @@ def decode(words: np.ndarray, checkpoint: tuple[int, int, np.ndarray], n_ids: in
     return out
 
 
-def _counter(path: str):
-    def count(batches):
-        enc, total, n = _encoder(path), np.zeros(0, np.int64), 0
-        for b in batches:
-            ids = np.frombuffer(b"".join([enc.ids(t) for t in b.column(0).to_pylist()]), "<u4")
-            n += b.num_rows
-            got = np.bincount(ids)
-            if len(got) > len(total):
-                total, got = got, total
-            total[:len(got)] += got
-        if n:
-            total = np.append(total, np.zeros(max(0, END_ID + 1 - len(total)), np.int64))
-            total[END_ID] += n
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "count"])
-    return count
+PLAIN = "part int, block int, doc_ids array<long>, lengths array<long>, n_ids long, planes binary"
+_PLAIN_ARROW = pa.schema([
+    ("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
+    ("n_ids", pa.int64()), ("planes", pa.binary())])
 
 
-def _block_writer(path: str, shared):
+def _tokeniser(path: str):
     def rows(batches):
-        enc, tables = _encoder(path), shared.value
-        part, end = TaskContext.get().partitionId(), np.array([END_ID], "<u4").tobytes()
+        enc = _encoder(path)
+        part, end = TaskContext.get().partitionId(), np.array([END_ID], np.uint32)
         block, docs, parts, size = 0, [], [], 0
 
         def made():
-            raw = b"".join(parts)
-            ids = np.frombuffer(raw, "<u4")
-            words, checkpoints = encode(ids, tables)
+            # byte by byte of the ids, which compresses better
+            ids = np.concatenate([x for p in parts for x in (p, end)]).astype("<u4")
+            planes = ids.view(np.uint8).reshape(-1, 4).T.tobytes()
             return pa.RecordBatch.from_pylist([{
-                "part": part, "block": block, "doc_ids": docs, "lengths": [len(p) // 4 for p in parts],
-                "n_ids": len(ids), "words": words.tobytes(),
-                "checkpoints": [{"step": s, "read": r, "states": x.astype("<u8").tobytes()} for s, r, x in checkpoints],
-                "crc32": zlib.crc32(raw)}], schema=_BLOCK_ARROW)
+                "part": part, "block": block, "doc_ids": docs, "lengths": [len(p) + 1 for p in parts],
+                "n_ids": len(planes) // 4, "planes": planes}], schema=_PLAIN_ARROW)
 
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                parts.append(enc.ids(text) + end)
+            for doc, ids in zip(b.column(0).to_pylist(), enc.batch(b.column(1)), strict=True):
+                parts.append(ids)
                 docs.append(doc)
-                size += len(parts[-1]) // 4
+                size += len(ids) + 1
                 if size >= BLOCK_IDS:
                     yield made()
                     block, docs, parts, size = block + 1, [], [], 0
@@ -227,6 +250,35 @@ def _block_writer(path: str, shared):
     return rows
 
 
+def _ids(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _count(batches):
+    total = np.zeros(0, np.int64)
+    for b in batches:
+        for planes in b.column(0).to_pylist():
+            got = np.bincount(_ids(planes))
+            if len(got) > len(total):
+                total, got = got, total
+            total[:len(got)] += got
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "count"])
+
+
+def _block_encoder(shared):
+    def rows(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                ids = _ids(r.pop("planes"))
+                words, checkpoints = encode(ids, shared.value)
+                yield pa.RecordBatch.from_pylist([r | {
+                    "words": words.tobytes(), "crc32": zlib.crc32(ids.tobytes()),
+                    "checkpoints": [{"step": s, "read": n, "states": x.astype("<u8").tobytes()}
+                                    for s, n, x in checkpoints]}], schema=_BLOCK_ARROW)
+    return rows
+
+
 _BLOCK_ARROW = pa.schema([
     ("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
     ("n_ids", pa.int64()), ("words", pa.binary()),
@@ -238,22 +290,24 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str) -> None:
     """Writes the ids of every text, in ascending doc_id order, to ``folder``."""
     spark = docs.sparkSession
     ship_package(spark)
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counts = (docs.select("text").mapInArrow(_counter(tokenizer_path), "id long, count long")
-              .groupBy("id").agg(F.sum("count").alias("count")))
-    rows = counts.collect()  # one row per id of the vocabulary
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    n_bytes = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    plain = f"{folder}/plain"
+    (docs.repartitionByRange(max(1, math.ceil(n_bytes / PART_BYTES)), F.col("doc_id").asc_nulls_first(),
+                             F.xxhash64("text"))
+     .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+     .mapInArrow(_tokeniser(tokenizer_path), PLAIN).write.option("compression", "zstd").parquet(plain))
+    blocks = spark.read.schema(PLAIN).parquet(plain)
+    rows = blocks.select("planes").mapInArrow(_count, "id long, count long").groupBy("id").agg(
+        F.sum("count").alias("count")).collect()  # one row per id of the vocabulary
     total = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
     for r in rows:
         total[r["id"]] = r["count"]
     freq = scaled(total)
     spark.createDataFrame([(int(i), int(total[i]), int(freq[i])) for i in np.flatnonzero(total)],
                           "id long, count long, freq long").coalesce(1).write.parquet(f"{folder}/frequencies")
-    n_bytes = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     shared = spark.sparkContext.broadcast(Tables(freq))
-    (docs.repartitionByRange(max(1, math.ceil(n_bytes / PART_BYTES)), F.col("doc_id").asc_nulls_first(),
-                             F.xxhash64("text"))
-     .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-     .mapInArrow(_block_writer(tokenizer_path, shared), BLOCKS).write.parquet(f"{folder}/blocks"))
+    blocks.mapInArrow(_block_encoder(shared), BLOCKS).write.parquet(f"{folder}/blocks")
 
 
 def tables(spark: SparkSession, folder: str) -> Tables:
