@@ -54,6 +54,8 @@ from featurekit.session import ship_package
 #: Bits of each bitmap (packed: 16 MB).
 BITMAP_BITS = 1 << 27
 FREQUENT = 32
+#: Texts whose sets are held at a time.
+STEP = 500
 SMALL = 16
 SKETCH_BITS = 512
 PIVOT_KINDS = 8
@@ -150,8 +152,9 @@ def sketch(tokens: np.ndarray) -> bytes:
 
 
 def _texts(batches):
-    for b in batches:
-        if b.num_rows:
+    for whole in batches:
+        for at in range(0, whole.num_rows, STEP):
+            b = whole.slice(at, STEP)
             yield b, b.column(b.num_columns - 1).to_pylist()
 
 
