@@ -148,11 +148,12 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
         F.filter(F.arrays_zip("lines", "words"), lambda x: x["words"] > 0), lambda x: x["lines"]))).alias("line"))
     held = written(held, "held-lines")
     per = held.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first")).where("n > 1")
-    held = held.join(per, "line")
-    star = held.where((F.col("n") > RARE_DOCS) & (F.col("key") > F.col("first"))).select(
-        F.col("key").alias("later"), F.col("first").alias("earlier"))
-    # at most RARE_DOCS keys per list
-    rare = held.where(F.col("n") <= RARE_DOCS).groupBy("line").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    star = (held.join(per.where(F.col("n") > RARE_DOCS), "line").where(F.col("key") > F.col("first"))
+            .select(F.col("key").alias("later"), F.col("first").alias("earlier")))
+    # at most RARE_DOCS keys per list; the repartition leaves the join free to split the
+    # partition of a line that is not rare
+    rare = (held.join(per.where(F.col("n") <= RARE_DOCS).select("line"), "line").repartition("line")
+            .groupBy("line").agg(F.sort_array(F.collect_list("key")).alias("keys")))
     rare = rare.select("keys", F.posexplode("keys").alias("at", "later")).select(
         "later", F.explode(F.slice("keys", F.lit(1), F.col("at"))).alias("earlier"))
     pairs = star.unionByName(rare).distinct()
