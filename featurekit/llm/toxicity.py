@@ -24,6 +24,7 @@ equal rows score alike; further columns travel along.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -61,29 +62,40 @@ def features(word: str) -> list[str]:
 
 def train(rows: list[tuple[str, int, float]]) -> tuple[float, dict[str, float]]:
     """(bias, weights) from (text, label, weight) rows."""
-    seen: dict[str, int] = {}
-    bags = []
+    known: dict[str, int] = {}  # feature to number
+    of_word: dict[str, tuple] = {}
+    cols, lengths, bag_of, bags = array("i"), array("i"), array("i"), []
+    n_docs = np.zeros(0, np.int32)
     for text, label, weight in rows:
-        bag = [sorted({f for w in words for f in features(w)}) for _, _, words in sentences(text)]
-        if bag:
-            bags.append((bag, label, weight))
-            for f in {f for s in bag for f in s}:
-                seen[f] = seen.get(f, 0) + 1
-    if len({y for _, y, _ in bags}) < 2:
+        first = len(cols)
+        for _, _, words in sentences(text):
+            own: set = set()
+            for w in words:
+                if w not in of_word:
+                    of_word[w] = tuple(known.setdefault(f, len(known)) for f in features(w))
+                own.update(of_word[w])
+            cols.extend(sorted(own))
+            lengths.append(len(own))
+            bag_of.append(len(bags))
+        if len(cols) > first:
+            bags.append((label, weight))
+            if len(known) > len(n_docs):
+                n_docs = np.concatenate([n_docs, np.zeros(len(known), np.int32)])
+            n_docs[np.unique(np.array(cols[first:]))] += 1
+    if len({y for y, _ in bags}) < 2:
         return -50.0, {}
-    ids = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= MIN_DOCS))}
-    cols, sent_of, bag_of = [], [], []
-    for d, (bag, _, _) in enumerate(bags):
-        for s in bag:
-            own = [ids[f] for f in s if f in ids]
-            cols.extend(own)
-            sent_of.extend([len(bag_of)] * len(own))
-            bag_of.append(d)
-    cols, sent_of, bag_of = (np.array(x, np.int64) for x in (cols, sent_of, bag_of))
-    y = np.array([b[1] for b in bags], float)
-    weight = np.array([b[2] for b in bags])
+    kept = np.flatnonzero(n_docs >= MIN_DOCS)
+    number = np.full(len(n_docs), -1, np.int32)
+    number[kept] = np.arange(len(kept))
+    cols = number[np.frombuffer(cols, np.int32)]
+    sent_of = np.repeat(np.arange(len(lengths), dtype=np.int32), np.frombuffer(lengths, np.int32))[cols >= 0]
+    cols, bag_of = cols[cols >= 0], np.frombuffer(bag_of, np.int32)
+    names = {number[i]: f for f, i in known.items() if number[i] >= 0}
+    del known, of_word
+    y = np.array([b[0] for b in bags], float)
+    weight = np.array([b[1] for b in bags])
     weight = weight * np.where(y == 1, 0.5 / weight[y == 1].sum(), 0.5 / weight[y == 0].sum())
-    n, n_sent = len(ids), len(bag_of)
+    n, n_sent = len(kept), len(bag_of)
     w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
     w[n] = -4.0
     for t in range(1, STEPS + 1):
@@ -96,7 +108,7 @@ def train(rows: list[tuple[str, int, float]]) -> tuple[float, dict[str, float]]:
         rate = 0.3 * (1 - t / (STEPS + 1)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-5)
         w = w - rate * m / (1 - 0.9 ** t)
         w[:n] = np.sign(w[:n]) * np.maximum(np.abs(w[:n]) - rate[:n] * L1, 0)
-    return float(w[n]), {f: float(w[i]) for f, i in ids.items() if w[i]}
+    return float(w[n]), {f: float(w[i]) for i, f in names.items() if w[i]}
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_bytes: int = TRAIN_BYTES):
