@@ -17,7 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pyspark.errors import AnalysisException, ParseException
+
 from featurekit import schemas
+from featurekit.functions.labels import escaped
 from featurekit.functions import timeutil as tu
 from featurekit.operators import metrics as M
 
@@ -82,12 +85,28 @@ def tick_aggregates(metrics: DataFrame, tick_seconds: int = 3600) -> DataFrame:
 
 
 def conditions(ticks: DataFrame, rules: DataFrame) -> DataFrame:
-    """L1: (rule, t, cond) for every rule and tick. Rule predicates are SQL
-    text, compiled into one projection (the rule list is metadata)."""
-    rs = rules.select("name", "condition").collect()
-    arr = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.expr(r.condition).cast("boolean").alias("cond"))
-                    for r in rs])
-    return ticks.select("t", F.inline(arr)).select("rule", "t", "cond")
+    """(rule, t, cond) for every rule and tick. Rule predicates are SQL text,
+    compiled into one projection (the rule list is metadata).
+
+    A rule that errs harms no other: one that does not parse or names an unknown column
+    has a NULL condition on every tick, and arithmetic errors (division by zero,
+    overflow, bad casts) give NULL on the ticks they happen; NULL neither fires nor resolves."""
+    conf = ticks.sparkSession.conf
+    ansi = conf.get("spark.sql.ansi.enabled")
+    # an expression keeps the arithmetic of the time it was analysed
+    conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        conds = []
+        for r in rules.select("name", "condition").collect():
+            cond = F.expr(r.condition).cast("boolean")
+            try:
+                ticks.select(cond)
+            except (AnalysisException, ParseException):
+                cond = F.lit(None).cast("boolean")
+            conds.append(F.struct(F.lit(r.name).alias("rule"), cond.alias("cond")))
+        return ticks.select("t", F.inline(F.array(*conds))).select("rule", "t", "cond")
+    finally:
+        conf.set("spark.sql.ansi.enabled", ansi)
 
 
 def condition_since(conds: DataFrame) -> DataFrame:
@@ -190,25 +209,21 @@ def fingerprint(name: Column, labels: Column) -> Column:
     """First 12 hex chars of md5(``name:json(labels, sorted keys)``), with
     the JSON text laid out like Python's ``json.dumps`` (", " and ": ")."""
     body = F.concat_ws(", ", F.transform(F.array_sort(F.map_entries(labels)),
-                                         lambda e: F.concat(F.lit('"'), e["key"], F.lit('": "'), e["value"],
-                                                            F.lit('"'))))
+                                         lambda e: F.concat(F.lit('"'), escaped(e["key"]), F.lit('": "'),
+                                                            escaped(e["value"]), F.lit('"'))))
     js = F.concat(F.lit("{"), body, F.lit("}"))
     return F.substring(F.md5(F.concat(name, F.lit(":"), js)), 1, 12)
 
 
 def enrich(events: DataFrame, rules: DataFrame) -> DataFrame:
-    """Alert rows: severity, message, labels and fingerprint from the rule."""
-    r = rules.select(F.col("name").alias("rule_name"), "severity", "message",
+    """Alert rows: severity, message, description, labels and fingerprint from the rule."""
+    r = rules.select(F.col("name").alias("rule_name"), "severity", "message", "description", "labels",
                      fingerprint(F.col("name"), F.col("labels")).alias("fingerprint"))
     return events.join(F.broadcast(r), "rule_name")
 
 
-def history_seq(events: DataFrame, rules: DataFrame) -> DataFrame:
-    """A deterministic history order: event time, then rule, firing before resolution."""
-    names = [r.name for r in rules.select("name").orderBy("name").collect()]
-    idx = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("rule_name"))
-    return events.withColumn("seq", F.col("event_ts") * 1000 + idx * 2 +
-                             F.when(F.col("status") == "resolved", 1).otherwise(0))
+#: The order of the history: event time, then rule, firing before resolution.
+HISTORY_ORDER = ("event_ts", "rule_name", "status")
 
 
 def active(events: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # PSI share floor and drift flag threshold (published convention).
@@ -24,35 +24,44 @@ def long_form(df: DataFrame, features: Sequence[str], window_col: str) -> DataFr
 
 
 def psi(long_df: DataFrame, group: str = "feature", bins: int = 10) -> DataFrame:
-    """PSI per group of a (window ∈ baseline|current, group, x) table."""
+    """PSI per group of a (window ∈ baseline|current, group, x) table.
+
+    A group without a current window has every share there at the floor; one without
+    a baseline has no bins, so its PSI and flag are NULL. A constant baseline is one bin.
+    Two passes: the baseline's range per group, then counts per bin (map-side
+    combined, at most ``bins`` rows a group after it). Bins empty on both sides add
+    nothing to the sum."""
     x = long_df.filter(F.col("x").isNotNull())
-    base = x.filter(F.col("window") == "baseline")
-    # bin edges per group: one tiny aggregate row per group, kept as literals
-    edges = {r[0]: (r[1], r[2]) for r in base.groupBy(group).agg(F.min("x"), F.max("x")).collect()}
-    lo = F.create_map(*[v for g, (a, _) in edges.items() for v in (F.lit(g), F.lit(a))])
-    hi = F.create_map(*[v for g, (_, b) in edges.items() for v in (F.lit(g), F.lit(b))])
-    lo_c, hi_c = lo[F.col(group)], hi[F.col(group)]
-    raw = F.floor((F.col("x") - lo_c) / (hi_c - lo_c) * bins)
-    b = F.when(hi_c == lo_c, F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))).cast("int")
-    counts = (x.filter(F.col(group).isin(list(edges)))
+    in_base = F.col("window") == "baseline"
+    edges = x.groupBy(F.col(group).alias("_g")).agg(F.min(F.when(in_base, F.col("x"))).alias("_lo"),
+                                                    F.max(F.when(in_base, F.col("x"))).alias("_hi"))
+    raw = F.floor(F.try_divide(F.col("x") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * bins)
+    b = (F.when(F.col("_lo").isNull(), F.lit(None).cast("int")).when(F.col("_hi") == F.col("_lo"), F.lit(0))
+         .otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))).cast("int"))
+    counts = (x.join(edges, F.col(group).eqNullSafe(F.col("_g")))
               .groupBy(group, b.alias("bin"))
-              .agg(F.count_if(F.col("window") == "baseline").alias("nb"),
-                   F.count_if(F.col("window") == "current").alias("nc")))
-    totals = x.groupBy(group).agg(F.count_if(F.col("window") == "baseline").alias("tb"),
-                                  F.count_if(F.col("window") == "current").alias("tc"))
-    # all bins per group (an explode of a fixed sequence), so empty bins count
-    grid = totals.select(group, "tb", "tc", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    j = grid.join(counts, [group, "bin"], "left").fillna(0, ["nb", "nc"])
-    pb = F.greatest(F.col("nb") / F.col("tb"), F.lit(PSI_FLOOR))
-    pc = F.greatest(F.col("nc") / F.col("tc"), F.lit(PSI_FLOOR))
-    return (j.groupBy(group).agg(F.sum((pc - pb) * F.log(pc / pb)).alias("psi"))
+              .agg(F.count_if(in_base).alias("nb"), F.count_if(F.col("window") == "current").alias("nc")))
+    per = counts.groupBy(group).agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"),
+                                    F.collect_list(F.struct("bin", "nb", "nc")).alias("bins"))
+
+    def share(n: Column, total: str) -> Column:
+        return F.greatest(F.coalesce(F.try_divide(n, F.col(total)), F.lit(0.0)), F.lit(PSI_FLOOR))
+
+    def term(r: Column) -> Column:
+        pb, pc = share(r["nb"], "tb"), share(r["nc"], "tc")
+        return (pc - pb) * F.log(pc / pb)
+
+    total = F.aggregate(F.transform(F.array_sort("bins"), term), F.lit(0.0), lambda a, t: a + t)
+    return (per.select(group, F.when(F.col("tb") > 0, total).alias("psi"))
             .withColumn("drift_detected", F.col("psi") > PSI_THRESHOLD))
 
 
 def mean_shift(long_df: DataFrame, group: str = "feature") -> DataFrame:
-    """A11 (second score): |mean_current − mean_baseline| / stddev_baseline."""
+    """A11 (second score): |mean_current − mean_baseline| / stddev_baseline; NULL where
+    a window is missing or the baseline does not vary."""
     g = long_df.groupBy(group).agg(
         F.avg(F.when(F.col("window") == "baseline", F.col("x"))).alias("mean_baseline"),
         F.stddev_samp(F.when(F.col("window") == "baseline", F.col("x"))).alias("stddev_baseline"),
         F.avg(F.when(F.col("window") == "current", F.col("x"))).alias("mean_current"))
-    return g.withColumn("shift", F.abs(F.col("mean_current") - F.col("mean_baseline")) / F.col("stddev_baseline"))
+    return g.withColumn("shift", F.try_divide(F.abs(F.col("mean_current") - F.col("mean_baseline")),
+                                              F.col("stddev_baseline")))

@@ -29,7 +29,7 @@ class UserFeaturesDaily:
     """
 
     name = "user_features_daily"
-    description = "Daily user activity aggregates"
+    description = "Events and summed value per user and day"
     source_count_column = "event_count"  # sum over groups = source rows read
 
     def compute(self, source_df: DataFrame) -> DataFrame:

@@ -34,13 +34,13 @@ def list_files(spark, path: str, glob: str = "*.parquet") -> DataFrame:
 
 
 def _snapshot_of_path(path_col) -> F.Column:
-    return F.regexp_extract(path_col, rf"{SNAPSHOT_COL}=(\d+)", 1).cast("long")
+    return F.regexp_extract(path_col, rf"{SNAPSHOT_COL}=(\d+)", 1).try_cast("long")
 
 
 def live_data_ids(table: VersionedTable) -> set[int]:
     table._load()
     heads = {table.head(r.name) for r in table._refs} - {None}
-    return {d for h in heads for d, _ in table._parts(h)}
+    return {d for h in heads for d, *_ in table._parts(h)}
 
 
 def expire_plan(table: VersionedTable, older_than: dt.datetime, retain_last: int = 1) -> DataFrame:
@@ -74,7 +74,7 @@ def orphan_files(table: VersionedTable, older_than: dt.datetime | None = None) -
 
 
 def visible_files(table: VersionedTable, ref: str = "main") -> DataFrame:
-    ids = sorted({d for d, _ in table._parts(table.head(ref))})
+    ids = sorted({d for d, *_ in table._parts(table.head(ref))})
     paths = [f"{table.data_path}/{SNAPSHOT_COL}={i}" for i in ids]
     if not paths:
         return table.spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")

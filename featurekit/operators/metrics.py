@@ -108,7 +108,8 @@ def running_total(metrics: DataFrame, chunk_seconds: int = 3600, max_chunk_rows:
 
 
 def fmt(v: Column) -> Column:
-    return F.format_string("%.6f", v)
+    """Ten significant digits, whatever the magnitude."""
+    return F.format_string("%.9e", v)
 
 
 def prometheus_lines(metrics: DataFrame, buckets: Sequence[float] = DEFAULT_BUCKETS) -> DataFrame:

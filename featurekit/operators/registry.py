@@ -115,8 +115,8 @@ def lineage(mv: DataFrame) -> DataFrame:
         md["pipeline_user"].alias("pipeline_user"),
         snap.alias("feature_snapshot_id"),
         md["training_data_path"].alias("training_data_path"),
-        F.when(snap.isNotNull(), F.concat(F.lit("SELECT * FROM features FOR SYSTEM_VERSION AS OF "), snap))
-        .alias("time_travel_query"),
+        F.map_from_entries(F.array_sort(F.map_entries(F.col("metrics")))).alias("metrics"),
+        F.map_from_entries(F.array_sort(F.map_entries(md["custom_tags"]))).alias("custom_tags"),
         md["framework"].alias("framework"),
         F.col("model_path").alias("artifact_path"),
         F.col("model_format").alias("artifact_format"),

@@ -8,6 +8,7 @@ sorted inside one task.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,10 +29,9 @@ _FIXED = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType, T.Fl
 
 
 def packed_order(df: DataFrame, order: Sequence[str]) -> Column | None:
-    """One ``long`` that sorts like the ``order`` tuple, when that is exact:
-    a single integral/date column, or (date, non-negative id < 2^31); else None.
-    NULLs sort first (as in struct ordering); an id outside the range fails the
-    job rather than mis-order rows."""
+    """One number that sorts like the ``order`` tuple, when that is exact: a ``long``
+    for a single integral/date column, a ``decimal(33)`` for (date, any 64-bit id);
+    else None. NULLs sort first (as in struct ordering)."""
     types = [df.schema[c].dataType for c in order]
     lowest = F.lit(-(2**63)).cast("long")  # a NULL sorts first, as in struct ordering
     if len(order) == 1 and isinstance(types[0], (T.LongType, T.IntegerType, T.ShortType, T.DateType)):
@@ -40,11 +40,9 @@ def packed_order(df: DataFrame, order: Sequence[str]) -> Column | None:
         return F.coalesce(v, lowest)
     if (len(order) == 2 and isinstance(types[0], T.DateType)
             and isinstance(types[1], (T.LongType, T.IntegerType))):
-        sid = F.col(order[1]).cast("long")
-        sid = F.when(sid.between(0, 2**31 - 1) | sid.isNull(), F.coalesce(sid, F.lit(0).cast("long"))) \
-            .otherwise(F.raise_error(F.lit(f"{order[1]} out of range for packed ordering")).cast("long"))
+        sid = F.coalesce(F.col(order[1]).cast("long"), lowest).cast("decimal(19,0)")
         day = F.coalesce(F.unix_date(F.col(order[0])).cast("long"), F.lit(-(2**31)).cast("long"))
-        return day * F.lit(2**31).cast("long") + sid
+        return day.cast("decimal(10,0)") * F.lit(Decimal(2**64)) + sid
     return None
 
 
@@ -52,7 +50,7 @@ def latest_per_key(df: DataFrame, key: str, order: Sequence[str], with_keys: Seq
     """The row with the greatest ``order`` tuple per key (last write wins).
 
     When every column is fixed-width and the order packs exactly into one
-    ``long`` (``packed_order``), each column is taken with ``max_by(col,
+    number (``packed_order``), each column is taken with ``max_by(col,
     packed)`` — fixed-width buffers, so Spark plans a hash aggregate; rows are
     assumed unique per (key, order), as for feature rows (a repeated row is
     identical, so columns cannot mix). Otherwise the whole row is kept with

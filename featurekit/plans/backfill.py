@@ -59,7 +59,10 @@ def run_backfill(table: VersionedTable, events: DataFrame, start: dt.date, end:
         src_obs = Observation(f"source_{run_id}")
         features = features.observe(src_obs, F.sum(count_col).alias("rows"))
         observed["source-records"] = (src_obs, "rows")
-    branch = f"audit_{run_id}"
+    branch, attempt = f"audit_{run_id}", 1
+    while table.has_ref(branch) and not table.is_published(branch):  # rejected rows stay on their own branch
+        attempt += 1
+        branch = f"audit_{run_id}.{attempt}"
     props = {"code-version": code_version, "run-id": run_id, "pipeline-user": user}
     table.create_branch(branch, "main", committed_at)
     sid = table.write(features, branch, "overwrite" if idempotent else "append", committed_at, props,

@@ -53,18 +53,25 @@ def run(features: DataFrame, model, cfg: PredictionConfig, output_path: str, run
     """Score and write; returns the job summary (``empty`` when nothing to score)."""
     scored = score(features, model, cfg, run_id, prediction_date)
     out = scoring.select_existing(scored, [cfg.entity_column if c == "user_id" else c for c in OUTPUT_COLUMNS])
+    if out.isEmpty():  # nothing to score: no files are written
+        return {"status": "empty", "run_id": run_id, "model": f"{cfg.model_name}:{cfg.model_version}",
+                "feature_snapshot_id": cfg.feature_snapshot,
+                "prediction_date": None if prediction_date is None else str(prediction_date),
+                "rows_processed": 0, "count": 0, "mean": None, "stddev": None, "min": None, "max": None}
     obs = Observation(f"predict_{run_id}")
     observed = out.observe(obs, *scoring.stats_exprs(cfg.prediction_column),
                            F.count(F.lit(1)).alias("rows"))
     w = observed.write.mode("append")
     if cfg.output_mode == "overwrite":
         w = observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if cfg.partition_by:
-        w = w.partitionBy(*cfg.partition_by)
+    # an overwrite replaces the dates it holds, never the whole output
+    partition_by = cfg.partition_by or (["date"] if cfg.output_mode == "overwrite" and "date" in out.columns else [])
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     w.parquet(output_path)
     m = obs.get
     rows = int(m["rows"])
-    return {"status": "success" if rows else "empty", "run_id": run_id,
+    return {"status": "success", "run_id": run_id,
             "model": f"{cfg.model_name}:{cfg.model_version}", "feature_snapshot_id": cfg.feature_snapshot,
             "prediction_date": None if prediction_date is None else str(prediction_date),
             "rows_processed": rows, "count": int(m["count"]), "mean": m["mean"], "stddev": m["stddev"],

@@ -5,10 +5,11 @@ upsert reads only the buckets its updates touch, merges them (latest record
 per key, computed by the executors) and writes those buckets as a new version
 folder ``v=<n>/bucket=<b>/``; untouched buckets keep pointing at the version
 that last wrote them. A metadata log row per (version, bucket) publishes the
-write, so readers never see a half-written version, and a retried upsert of
-the same version number overwrites its own folder (idempotent). The cost of
-an upsert is therefore proportional to the touched buckets, not the whole
-store. Any external store can instead implement a ``foreachPartition``
+write, so readers never see a half-written version. Versions only grow; an
+upsert can carry a ``token`` (a stream's query id and epoch), and one whose token is in the
+log is not applied again. The bucket count is written with the store: an existing
+store is opened with its own count and refuses another. The cost of an upsert
+is proportional to the touched buckets, not the whole store. Any external store can instead implement a ``foreachPartition``
 writer over ``merge_latest`` output.
 """
 
@@ -23,16 +24,27 @@ from pyspark.sql import types as T
 from featurekit.operators import serving
 from featurekit.sources import metalog
 
-VERSIONS = T.StructType([T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType())])
+VERSIONS = T.StructType([T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType()),
+                         T.StructField("token", T.StringType())])
+LAYOUT = T.StructType([T.StructField("buckets", T.IntegerType())])
+DEFAULT_BUCKETS = 16
 
 
 class ParquetOnlineStore:
     store_type = "parquet"
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "user_id",
-                 order: Sequence[str] = ("date", "_snapshot_id"), buckets: int = 16):
+                 order: Sequence[str] = ("date", "_snapshot_id"), buckets: int | None = None):
+        """``buckets``: state files and write tasks of a new store (size it to the keys:
+        a bucket is one task); None takes the stored count."""
         self.spark, self.path, self.schema, self.key, self.order = spark, path.rstrip("/"), schema, key, list(order)
-        self.buckets = buckets
+        stored = None
+        if metalog.exists(spark, f"{self.path}/_layout"):
+            stored = metalog.read(spark, f"{self.path}/_layout", LAYOUT).first().buckets
+        if stored and buckets and stored != buckets:
+            raise ValueError(f"the store at {self.path} has {stored} buckets, not {buckets}")
+        self.buckets = stored or buckets or DEFAULT_BUCKETS
+        self._is_new = stored is None
         self._cache: list[Row] | None = None
 
     def _log(self) -> list[Row]:
@@ -68,37 +80,49 @@ class ParquetOnlineStore:
         """The whole state (or as it was before version ``before``)."""
         return self._read(self._layout(before))
 
-    def upsert(self, updates: DataFrame, version: int | None = None) -> int:
-        """Merge ``updates`` into the touched buckets; returns the new version."""
+    def upsert(self, updates: DataFrame, token: str | None = None) -> int:
+        """Merge ``updates`` into the touched buckets; returns the version written (with
+        a token that is in the log: the version that applied it)."""
+        if token is not None:
+            applied = [r.version for r in self._log() if r.token == token]
+            if applied:
+                return applied[0]
+        if self._is_new:
+            metalog.append(self.spark, f"{self.path}/_layout", [Row(buckets=self.buckets)], LAYOUT)
+            self._is_new = False
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in updates.columns
                 else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         u = serving.valid_keys(updates.select(*cols), self.key).withColumn("_bucket", self._bucket_of(self.key))
-        # updates are reduced to one row per key first (partial aggregation, so a
-        # hot key costs one row per task), then merged with the touched state
-        u = serving.latest_per_key(u, self.key, self.order, with_keys=["_bucket"])
-        v = version if version is not None else (self.version() or 0) + 1
-        layout = self._layout(before=v)
-        if layout:  # read back only the buckets the updates touch (at most `buckets` ints to the driver)
-            touched = sorted(r[0] for r in u.select("_bucket").distinct().collect())
-            if not touched:
-                return v
-            base = self._read(layout, set(touched)).withColumn("_bucket", self._bucket_of(self.key))
-            both = base.unionByName(u)
-        else:
-            both = u
-        # the state takes one shuffle: hash-partition by bucket, then the
-        # latest-per-key aggregate (grouped by bucket and key) runs without
-        # another exchange, and each bucket is written by exactly one task
-        merged = serving.latest_per_key(both.repartition("_bucket"), self.key, self.order, with_keys=["_bucket"])
+        # updates are reduced to one row per key first (partial aggregation, so a hot key
+        # costs one row per task) and written once by bucket: the folders name the
+        # touched buckets, and the merge reads them back
+        v = (self.version() or 0) + 1
+        staged = f"{self.path}/_updates/v={v}"
+        (serving.latest_per_key(u, self.key, self.order, with_keys=["_bucket"])
+         .withColumnRenamed("_bucket", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(staged))
+        touched = self._written_buckets(staged)
+        if not touched:
+            return v - 1
+        layout = self._layout()
+        u = self.spark.read.schema(self.schema).parquet(*[f"{staged}/bucket={b}" for b in touched])
+        both = self._read(layout, set(touched)).unionByName(u) if layout else u
+        # one shuffle by bucket, then the latest-per-key aggregate (grouped by bucket and
+        # key) runs without another, and each bucket is written by exactly one task
+        both = both.withColumn("_bucket", self._bucket_of(self.key)).repartition("_bucket")
+        merged = serving.latest_per_key(both, self.key, self.order, with_keys=["_bucket"])
         out = f"{self.path}/v={v}"
         merged.withColumnRenamed("_bucket", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
-        if not layout:
-            touched = self._written_buckets(out)
-        rows = [Row(version=v, bucket=b) for b in touched]
+        rows = [Row(version=v, bucket=b, token=token) for b in touched]
         metalog.append(self.spark, f"{self.path}/_versions", rows, VERSIONS)
         self._log().extend(rows)
+        self._remove(staged)
         return v
 
+    def _remove(self, folder: str) -> None:
+        """Deletes an intermediate folder of this store."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
     def _written_buckets(self, out: str) -> list[int]:
         """Bucket folders of a written version (a metadata listing, no data read)."""
         sc = self.spark.sparkContext

@@ -19,6 +19,7 @@ of the whole table) and keep ``_snapshot_id IN (...)`` as a partition filter.
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 from dataclasses import dataclass, field
 
@@ -30,6 +31,11 @@ from featurekit import schemas
 from featurekit.sources import metalog
 
 SNAPSHOT_COL = "_snapshot_id"
+_DAY = dt.timedelta(days=1)
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now().replace(microsecond=0)
 
 
 @dataclass
@@ -51,6 +57,49 @@ class Commit:
         return int(self.summary.get("added-records", "0"))
 
 
+    @property
+    def replaced(self) -> tuple[dt.date, dt.date] | None:
+        """The dates an overwrite replaces."""
+        if "replace-from" not in self.summary:
+            return None
+        return tuple(dt.date.fromisoformat(self.summary[k][:10]) for k in ("replace-from", "replace-to"))
+
+
+class Intervals:
+    """Disjoint date intervals (both ends included), merged where they touch."""
+
+    def __init__(self):
+        self._spans: list[tuple[dt.date, dt.date]] = []
+
+    def spans(self) -> list[tuple[dt.date, dt.date]]:
+        return list(self._spans)
+
+    def outside(self, lo: dt.date, hi: dt.date) -> list[tuple[dt.date, dt.date]]:
+        """The parts of [lo, hi] that no interval covers."""
+        out = []
+        for a, b in self._spans[max(0, bisect.bisect_left(self._spans, (lo, lo)) - 1):]:
+            if a > hi:
+                break
+            if b < lo:
+                continue
+            if a > lo:
+                out.append((lo, a - _DAY))
+            lo = b + _DAY if b < dt.date.max else None
+            if lo is None or lo > hi:
+                return out
+        return [*out, (lo, hi)]
+
+    def add(self, lo: dt.date, hi: dt.date) -> None:
+        first = last = bisect.bisect_left(self._spans, (lo, lo))
+        if first and self._spans[first - 1][1] >= lo - _DAY:
+            first -= 1
+        while last < len(self._spans) and self._spans[last][0] <= hi + _DAY:
+            last += 1
+        if first < last:
+            lo, hi = min(lo, self._spans[first][0]), max(hi, self._spans[last - 1][1])
+        self._spans[first:last] = [(lo, hi)]
+
+
 class PublishRejected(Exception):
     """Raised when the audit of a branch fails: main stays unchanged."""
 
@@ -62,6 +111,7 @@ class VersionedTable:
         self.schema = schema
         self.date_col = date_col
         self._commits: list[Commit] | None = None
+        self._by_id: dict[int, Commit] = {}
         self._refs: list[Row] | None = None
 
     # ------------------------------------------------------------------ paths
@@ -100,6 +150,7 @@ class VersionedTable:
             self._commits = [Commit(r.snapshot_id, r.parent_id, r.source_snapshot_id, r.branch, r.operation,
                                     r.committed_at, dict(r.summary or {})) for r in rows]
             self._commits.sort(key=lambda c: c.snapshot_id)
+            self._by_id = {c.snapshot_id: c for c in self._commits}
         if self._refs is None:
             rows = self.refs().collect() if self._exists(self.refs_path) else []
             self._refs = sorted(rows, key=lambda r: r.seq)
@@ -110,10 +161,9 @@ class VersionedTable:
 
     def _commit(self, sid: int) -> Commit:
         self._load()
-        for c in self._commits:
-            if c.snapshot_id == sid:
-                return c
-        raise KeyError(f"snapshot {sid} not found")
+        if sid not in self._by_id:
+            raise KeyError(f"snapshot {sid} not found")
+        return self._by_id[sid]
 
     def head(self, ref: str = "main") -> int | None:
         self._load()
@@ -126,14 +176,17 @@ class VersionedTable:
 
     def ancestors(self, sid: int | None) -> list[int]:
         """Snapshot ids from ``sid`` back to the root, newest first."""
-        self._load()
-        by_id = {c.snapshot_id: c for c in self._commits}
         out = []
         while sid is not None:
             out.append(sid)
-            sid = by_id[sid].parent_id
+            sid = self._commit(sid).parent_id
         return out
 
+    def is_published(self, branch: str, to: str = "main") -> bool:
+        """Whether every commit of ``branch`` is on ``to``, directly or picked."""
+        on = {i for s in self.ancestors(self.head(to)) for i in (s, self._commit(s).data_id)}
+        return all(s in on for s in self.ancestors(self.head(branch)))
+
     # ----------------------------------------------------------------- writes
     def _append_meta(self, path: str, rows: list, schema: T.StructType) -> None:
         metalog.append(self.spark, path, rows, schema)
@@ -142,7 +195,7 @@ class VersionedTable:
         self._load()
         seq = (self._refs[-1].seq + 1) if self._refs else 1
         prev = self.head(name)
-        row = Row(seq=seq, name=name, snapshot_id=sid, prev_snapshot_id=prev, kind=kind, published_at=at)
+        row = Row(seq=seq, name=name, snapshot_id=sid, prev_snapshot_id=prev, kind=kind, published_at=at or _now())
         self._append_meta(self.refs_path, [row], schemas.REFS)
         self._refs.append(row)
 
@@ -151,6 +204,7 @@ class VersionedTable:
                   branch=c.branch, operation=c.operation, committed_at=c.committed_at, summary=c.summary)
         self._append_meta(self.commits_path, [row], schemas.COMMITS)
         self._commits.append(c)
+        self._by_id[c.snapshot_id] = c
 
     def _next_id(self) -> int:
         self._load()
@@ -172,12 +226,16 @@ class VersionedTable:
 
         ``operation='overwrite'`` with ``replace_range=(first_date, last_date)``
         makes the snapshot replace those dates of its ancestors (idempotent
-        backfill); ``append`` adds rows. Row count is observed during the write
-        (no second pass).
+        backfill) and must hold rows of those dates only; ``append`` adds rows.
+        The row count is observed during the write (no second pass); replaced rows
+        are only counted when a live snapshot overlaps the range. ``committed_at``
+        defaults to the current time.
         """
         self._load()
         sid = self._next_id()
         parent = self.head(branch)
+        committed_at = committed_at or _now()
+        replaced = self._rows_between(parent, *replace_range) if operation == "overwrite" and replace_range else 0
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         obs = Observation(f"write_{sid}")
         out = df.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -185,7 +243,7 @@ class VersionedTable:
          .write.mode("append").partitionBy(SNAPSHOT_COL).parquet(self.data_path))
         added = int(obs.get["rows"])
         total = added + (int(self._commit(parent).summary.get("total-records", "0"))
-                         if parent and operation != "replace" else 0)
+                         if parent and operation != "replace" else 0) - replaced
         summary = {"operation": operation, "added-records": str(added), "total-records": str(total)}
         if replace_range is not None:
             summary["replace-from"], summary["replace-to"] = str(replace_range[0]), str(replace_range[1])
@@ -221,7 +279,7 @@ class VersionedTable:
             sid = ids[k]
             added = counts.get(sid, 0)
             total += added
-            at = (committed_at or {}).get(k)
+            at = (committed_at or {}).get(k) or _now()
             summary = {"operation": "append", "added-records": str(added), "total-records": str(total),
                        "key": str(k)}
             summary.update({kk: str(v) for kk, v in (properties or {}).items()})
@@ -232,6 +290,7 @@ class VersionedTable:
                     operation="append", committed_at=c.committed_at, summary=c.summary) for c in out]
         self._append_meta(self.commits_path, rows, schemas.COMMITS)
         self._commits.extend(out)
+        self._by_id.update((c.snapshot_id, c) for c in out)
         self._add_ref(branch, out[-1].snapshot_id if out else self.head(branch), "commit",
                       out[-1].committed_at if out else None)
         return [c.snapshot_id for c in out]
@@ -241,6 +300,7 @@ class VersionedTable:
         """K7/K8: fast-forward ``to`` when its head is an ancestor of the branch
         head, else cherry-pick the branch-only commits onto it (source ids kept)."""
         src = self.head(branch)
+        published_at = published_at or _now()
         if src is None:
             raise ValueError(f"branch {branch} has no snapshot")
         dst = self.head(to)
@@ -265,7 +325,10 @@ class VersionedTable:
                             properties: dict | None = None, operation: str = "append",
                             replace_range: tuple | None = None) -> dict:
         """K2+K3+audit+K7/K8/K9 in one call. ``audit(DataFrame) -> bool`` runs on
-        the branch scan; on failure the branch stays readable and main unchanged."""
+        the branch scan; on failure the branch stays readable and main unchanged.
+        A branch with commits that are not on main (a rejected run) is not reused."""
+        if self.has_ref(branch) and not self.is_published(branch):
+            raise ValueError(f"branch {branch} holds unpublished commits; use another branch")
         self.create_branch(branch, "main", committed_at)
         sid = self.write(df, branch, operation, committed_at, properties, replace_range)
         ok = audit(self.scan(ref=branch))
@@ -276,23 +339,48 @@ class VersionedTable:
 
     # ------------------------------------------------------------------ scans
     def _parts(self, sid: int | None, stop_at: int | None = None, appends_only: bool = False):
-        """[(data_id, masked_ranges)] visible at ``sid``; newest first."""
-        parts, masks = [], []
+        """[(data_id, live, masked)] visible at ``sid``, newest first.
+
+        One sweep from the head carries the replaced dates as disjoint intervals. The
+        rows of a replacing snapshot lie in its own range: ``live`` is what of that
+        range no newer one replaced (None: all of it, no filter), and a snapshot
+        without live dates is left out. An append has no range of its own: ``masked``
+        holds the intervals replaced after it."""
+        parts, covered = [], Intervals()
         while sid is not None and sid != stop_at:
             c = self._commit(sid)
             if c.operation in ("append", "overwrite"):
-                if c.added > 0:
-                    parts.append((c.data_id, list(masks)))
-                if c.operation == "overwrite" and "replace-from" in c.summary:
-                    masks.append((c.summary["replace-from"], c.summary["replace-to"]))
+                own = c.replaced if c.operation == "overwrite" else None
+                if own is None:
+                    if c.added > 0:
+                        parts.append((c.data_id, None, covered.spans()))
+                else:
+                    live = covered.outside(*own)
+                    if c.added > 0 and live:
+                        parts.append((c.data_id, None if live == [own] else live, []))
+                    covered.add(*own)
             elif c.operation == "replace":
                 if not appends_only:
                     if c.added > 0:
-                        parts.append((c.data_id, list(masks)))
+                        parts.append((c.data_id, None, covered.spans()))
                     break
             sid = c.parent_id
         return parts
 
+    def _rows_between(self, sid: int | None, first, last) -> int:
+        """Rows visible at ``sid`` with a date in the range; no job when no live
+        snapshot can hold any."""
+        lo, hi = (dt.date.fromisoformat(str(d)[:10]) for d in (first, last))
+        parts = []
+        for p in self._parts(sid):
+            own = self._commit(p[0]).replaced
+            spans = p[1] or ([own] if own else [(dt.date.min, dt.date.max)])
+            if any(a <= hi and lo <= b for a, b in spans):
+                parts.append(p)
+        if not parts:
+            return 0
+        return self._read_parts(parts).filter(F.col(self.date_col).between(F.lit(lo), F.lit(hi))).count()
+
     def _read_parts(self, parts) -> DataFrame:
         if not parts:
             return self.spark.createDataFrame([], self.schema)
@@ -301,13 +389,19 @@ class VersionedTable:
         paths = [f"{self.data_path}/{SNAPSHOT_COL}={i}" for i in ids]
         df = (self.spark.read.schema(full).option("basePath", self.data_path).parquet(*paths)
               .filter(F.col(SNAPSHOT_COL).isin(ids)))
-        masked = [p for p in parts if p[1]]
-        if masked:
-            cond: Column = ~F.col(SNAPSHOT_COL).isin([p[0] for p in masked])
-            for i, ranges in masked:
-                keep = F.lit(True)
-                for lo, hi in ranges:
-                    keep = keep & ~F.col(self.date_col).between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))
+
+        def between(spans) -> Column:
+            cond = F.lit(False)
+            for lo, hi in spans:
+                cond = cond | F.col(self.date_col).between(F.lit(lo), F.lit(hi))
+            return cond
+
+        cut = [p for p in parts if p[1] is not None or p[2]]
+        if cut:
+            cond: Column = ~F.col(SNAPSHOT_COL).isin([p[0] for p in cut])
+            for i, live, masked in cut:
+                # a row without a date is in no replaced range
+                keep = between(live) if live is not None else ~F.coalesce(between(masked), F.lit(False))
                 cond = cond | ((F.col(SNAPSHOT_COL) == i) & keep)
             df = df.filter(cond)
         return df
@@ -346,11 +440,11 @@ class VersionedTable:
         ref (direct commit, fast-forward or cherry-pick). Built from metadata,
         one row per commit, so it is safe to broadcast."""
         rows = []
-        for data_id, _ in self._parts(self.head(ref)):
+        on = set(self.ancestors(self.head(ref)))
+        picked = {c.source_snapshot_id for c in self._commits if c.snapshot_id in on}
+        for data_id, *_ in self._parts(self.head(ref)):
             c = self._commit(data_id)
-            picked = any(x.source_snapshot_id == data_id and x.snapshot_id in self.ancestors(self.head(ref))
-                         for x in self._commits)
-            how = "cherry_pick" if picked else ("direct" if c.branch == ref else "fast_forward")
+            how = "cherry_pick" if data_id in picked else ("direct" if c.branch == ref else "fast_forward")
             rows.append((data_id, c.summary.get("run-id"), how))
         schema = "_snapshot_id bigint, run_id string, published string"
         return F.broadcast(self.spark.createDataFrame(rows, schema))

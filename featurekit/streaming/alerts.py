@@ -2,8 +2,8 @@
 
 ``applyInPandasWithState`` keyed by rule keeps (first_true, last_fired,
 active) between micro-batches; inside a batch a rule's rows are processed in
-time order. Input files arrive in time order (one file per chunk of days),
-read one file per trigger.
+time order. Input folders arrive in time order, one per
+chunk, and are read one chunk per trigger.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def _evaluate(key, pdfs: Iterator[pd.DataFrame], state):
 
 
 def run_alert_stream(spark: SparkSession, conds: DataFrame, rules: DataFrame, root: str,
-                     chunks: int = 3, timeout_s: int = 600) -> DataFrame:
+                     chunks: int = 3, timeout_s: float | None = None) -> DataFrame:
     """Feed ``conds`` (rule, t, cond) as a file stream in time chunks and
     return the emitted alert events."""
     from featurekit.session import ship_package
@@ -43,7 +43,7 @@ def run_alert_stream(spark: SparkSession, conds: DataFrame, rules: DataFrame, ro
     span = (hi - lo + 1) / chunks
     for i in range(chunks):  # arrive in time order, one file per chunk
         part = c.filter((F.col("ts") >= lo + i * span) & (F.col("ts") < lo + (i + 1) * span))
-        part.select("rule", "ts", "cond").coalesce(1).write.mode("append").parquet(f"{root}/input")
+        part.select("rule", "ts", "cond").write.mode("append").parquet(f"{root}/input")
     src = (spark.readStream.schema("rule string, ts long, cond boolean").option("maxFilesPerTrigger", 1)
            .parquet(f"{root}/input"))
     r = F.broadcast(rules.select(F.col("name").alias("rule"), "for_duration", "cooldown"))
@@ -52,7 +52,7 @@ def run_alert_stream(spark: SparkSession, conds: DataFrame, rules: DataFrame, ro
               .applyInPandasWithState(_evaluate, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
     q = (events.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
          .outputMode("append").trigger(availableNow=True).start(f"{root}/output"))
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.isActive:
         q.stop()
         raise TimeoutError("alert stream did not finish")

@@ -28,7 +28,7 @@ def daily_features_stream(source: DataFrame, watermark: str = "2 days") -> DataF
 
 
 def run_daily_features_stream(spark: SparkSession, input_path: str, schema, out_path: str, checkpoint: str,
-                              timeout_s: int = 600) -> None:
+                              timeout_s: float | None = None) -> None:
     src = spark.readStream.schema(schema).parquet(input_path)
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
@@ -36,7 +36,7 @@ def run_daily_features_stream(spark: SparkSession, input_path: str, schema, out_
 
     q = (daily_features_stream(src).writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.isActive:
         q.stop()
         raise TimeoutError("feature stream did not finish")

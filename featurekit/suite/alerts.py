@@ -217,55 +217,78 @@ def alert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history(spark, sf_dir) -> DataFrame:
-    """Alert events appended as JSON lines (firings, then resolutions)."""
+    """Alert events with all fields of their rules, written once as JSON lines."""
     rules, conds = _ctx(spark, sf_dir)
-    ev = A.history_seq(A.enrich(A.fold_events(conds, rules), rules), rules)
+    ev = A.enrich(A.fold_events(conds, rules), rules)
     path = fresh_dir(spark, "alert_history")
-    cols = ["seq", "rule_name", "severity", "status", "message", "fired_at", "resolved_at", "fingerprint"]
-    ev.filter(F.col("status") == "firing").select(*cols).write.mode("append").json(path)
-    ev.filter(F.col("status") == "resolved").select(*cols).write.mode("append").json(path)
-    schema = ("seq bigint, rule_name string, severity string, status string, message string, "
-              "fired_at timestamp_ntz, resolved_at timestamp_ntz, fingerprint string")
+    cols = ["event_ts", "rule_name", "severity", "status", "message", "description", "labels", "fired_at",
+            "resolved_at", "fingerprint"]
+    ev.select(*cols).write.mode("append").json(path)
+    schema = ("event_ts bigint, rule_name string, severity string, status string, message string, description string, "
+              "labels map<string,string>, fired_at timestamp_ntz, resolved_at timestamp_ntz, fingerprint string")
     return spark.read.schema(schema).json(path)
 
 
-def _seq_sql() -> str:
-    names = sorted(r[0] for r in A.DEFAULT_RULES)
-    idx = "CASE rule_name " + " ".join(f"WHEN '{n}' THEN {i + 1}" for i, n in enumerate(names)) + " END"
-    return f"ev_t * 1000 + {idx} * 2 + CASE WHEN status = 'resolved' THEN 1 ELSE 0 END"
+HISTORY_SQL = f"""SELECT f.*, r.severity, ev_t AS event_ts, {FINGERPRINT_SQL} AS fingerprint
+FROM ({FIRINGS}) f JOIN ({RULES_SQL}) r ON r.name = f.rule_name"""
 
 
-HISTORY_SQL = f"SELECT f.*, r.severity, {_seq_sql()} AS seq FROM ({FIRINGS}) f JOIN ({RULES_SQL}) r ON r.name = f.rule_name"
+def _newest(h: DataFrame, n: int) -> DataFrame:
+    return h.orderBy(*[F.col(c).desc() for c in A.HISTORY_ORDER]).limit(n)
 
 
 @register("alert_history_tail", f"""
-SELECT seq, rule_name, severity, status, CAST(fired_at AS VARCHAR) AS fired_at,
-       CAST(resolved_at AS VARCHAR) AS resolved_at
-FROM ({HISTORY_SQL}) ORDER BY seq DESC LIMIT 100""")
+SELECT event_ts, rule_name, severity, status, CAST(fired_at AS VARCHAR) AS fired_at,
+       CAST(resolved_at AS VARCHAR) AS resolved_at, fingerprint
+FROM ({HISTORY_SQL}) ORDER BY event_ts DESC, rule_name DESC, status DESC LIMIT 100""")
 def alert_history_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S12/T-3: the last 100 alert history rows in insertion order (top-k)."""
-    h = _history(spark, sf_dir)
-    return (h.orderBy(F.col("seq").desc()).limit(100)
-            .select("seq", "rule_name", "severity", "status", "fired_at", "resolved_at"))
+    return _newest(_history(spark, sf_dir), 100).select(
+        "event_ts", "rule_name", "severity", "status", "fired_at", "resolved_at", "fingerprint")
 
 
 @register("alert_summary", f"""
-WITH h AS (SELECT * FROM ({HISTORY_SQL}) ORDER BY seq DESC LIMIT 1000),
+WITH h AS (SELECT * FROM ({HISTORY_SQL}) ORDER BY event_ts DESC, rule_name DESC, status DESC LIMIT 1000),
 a AS (SELECT rule_name, arg_max(status, ev_t) AS last_status FROM ({FIRINGS}) GROUP BY 1)
 SELECT 'history' AS scope, severity, CAST(count(*) AS BIGINT) AS alerts FROM h GROUP BY severity
 UNION ALL
 SELECT 'active', r.severity, CAST(count(*) AS BIGINT) FROM a JOIN ({RULES_SQL}) r ON r.name = a.rule_name
-WHERE a.last_status = 'firing' GROUP BY r.severity""")
+WHERE a.last_status = 'firing' GROUP BY r.severity
+UNION ALL SELECT 'all_history', severity, CAST(count(*) AS BIGINT) FROM ({HISTORY_SQL}) GROUP BY severity
+UNION ALL SELECT 'rules', severity, CAST(count(*) AS BIGINT) FROM ({RULES_SQL}) GROUP BY severity
+UNION ALL SELECT 'silenced_rules', r.severity, CAST(count(DISTINCT s.rule_name) AS BIGINT)
+FROM ({SILENCES_SQL}) s JOIN ({RULES_SQL}) r ON r.name = s.rule_name GROUP BY r.severity""")
 def alert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts by severity over the last 1000 history rows, and active
-    alerts by severity."""
-    rules, conds = _ctx(spark, sf_dir)
-    ev = A.fold_events(conds, rules)
-    h = _history(spark, sf_dir).orderBy(F.col("seq").desc()).limit(1000)
-    hist = h.groupBy(F.lit("history").alias("scope"), "severity").agg(F.count(F.lit(1)).alias("alerts"))
-    act = (A.enrich(A.active(ev), rules).groupBy(F.lit("active").alias("scope"), "severity")
-           .agg(F.count(F.lit(1)).alias("alerts")))
-    return hist.unionByName(act)
+    """By severity: the last 1000 history rows, active alerts, the whole history,
+    rules, and rules with a silence. The history is written once and serves them all."""
+    rules, _ = _ctx(spark, sf_dir)
+    h = _history(spark, sf_dir)
+
+    def by_severity(df: DataFrame, scope: str) -> DataFrame:
+        return df.groupBy(F.lit(scope).alias("scope"), "severity").agg(F.count(F.lit(1)).alias("alerts"))
+
+    silenced = rules.join(silences(spark, sf_dir).select("rule_name").distinct(),
+                          F.col("name") == F.col("rule_name"), "left_semi")
+    return (by_severity(_newest(h, 1000), "history").unionByName(by_severity(A.enrich(A.active(h), rules), "active"))
+            .unionByName(by_severity(h, "all_history")).unionByName(by_severity(rules, "rules"))
+            .unionByName(by_severity(silenced, "silenced_rules")))
+
+
+BROKEN_RULES = [("divides_by_zero", "failures / (failures - failures) > 1", "info", "Errs on every tick", {}, 0.0, 0.0),
+                ("unknown_column", "no_such_metric > 1", "info", "Cannot be analysed", {}, 0.0, 0.0)]
+
+
+@register("alert_erring_rules", f"""
+SELECT rule, CAST(count(*) AS BIGINT) AS ticks, CAST(count(cond) AS BIGINT) AS evaluated,
+       CAST(count(*) FILTER (WHERE cond) AS BIGINT) AS true_ticks
+FROM ({CONDS_SQL} UNION ALL SELECT 'divides_by_zero', t, NULL FROM ({TICKS_SQL})
+      UNION ALL SELECT 'unknown_column', t, NULL FROM ({TICKS_SQL})) GROUP BY rule""")
+def alert_erring_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that err are skipped, every other rule is evaluated as ever."""
+    rules = A.rules_df(spark).unionByName(A.rules_df(spark, BROKEN_RULES))
+    conds = A.conditions(A.tick_aggregates(metrics_from_events(spark, sf_dir)), rules)
+    return conds.groupBy("rule").agg(F.count(F.lit(1)).alias("ticks"), F.count("cond").alias("evaluated"),
+                                     F.count_if("cond").alias("true_ticks"))
 
 
 @register("alert_stream", f"""

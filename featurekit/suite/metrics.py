@@ -223,11 +223,11 @@ def _prom_labels(col: str) -> str:
 @register("prometheus_lines", f"""
 WITH m AS ({METRICS_SQL}), h AS ({_hist_sql('NULL')})
 SELECT name || CASE WHEN labels = '' THEN '' ELSE '{{' || {_prom_labels('labels')} || '}}' END || ' '
-       || printf('%.6f', CASE WHEN type = 'counter' THEN sum(value) ELSE arg_max(value, (ts, seq)) END) AS line
+       || printf('%.9e', CASE WHEN type = 'counter' THEN sum(value) ELSE arg_max(value, (ts, seq)) END) AS line
 FROM m WHERE type IN ('counter', 'gauge') GROUP BY name, type, labels
 UNION ALL {" UNION ALL ".join(f"SELECT name || '_bucket{{le=\"{le}\"}} ' || CAST(c{i} AS VARCHAR) FROM h" for i, le in enumerate(LES))}
 UNION ALL SELECT name || '_bucket{{le="+Inf"}} ' || CAST(n AS VARCHAR) FROM h
-UNION ALL SELECT name || '_sum ' || printf('%.6f', s) FROM h
+UNION ALL SELECT name || '_sum ' || printf('%.9e', s) FROM h
 UNION ALL SELECT name || '_count ' || CAST(n AS VARCHAR) FROM h""")
 def prometheus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prometheus exposition lines with full names and labels, written

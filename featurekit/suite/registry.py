@@ -285,14 +285,15 @@ def registry_metric_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT model_name || ':' || version AS model, created_at, 'c0ffee1' AS git_commit,
        'run_' || CAST(date AS VARCHAR) AS training_run_id, 'featurekit' AS pipeline_user, feature_snapshot_id,
        'user_features_daily' AS training_data_path,
-       'SELECT * FROM features FOR SYSTEM_VERSION AS OF ' || feature_snapshot_id AS time_travel_query,
+       round(auc, 6) AS auc, round(f1, 6) AS f1,
        'sklearn' AS framework, 'models/' || model_name || '/' || version || '/model.json' AS artifact_path,
        'json' AS artifact_format
 FROM ({STAGED}) WHERE stage = 'production'""")
 def registry_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineage record (code, data, environment, artifact) of production versions."""
     mv, _ = model_versions(spark, sf_dir)
-    return reg.lineage(reg.production(mv))
+    rows = reg.lineage(reg.production(mv))
+    return (rows.withColumns({m: F.element_at("metrics", m) for m in ("auc", "f1")}).drop("metrics", "custom_tags"))
 
 
 @register("model_age_hours", f"""

@@ -10,10 +10,17 @@ from pyspark.sql import functions as F
 from featurekit import schemas
 from featurekit.operators.features import UserFeaturesDaily
 from featurekit.plans import history
-from featurekit.plans.backfill import filter_dates
+from featurekit.plans.backfill import filter_dates, run_backfill
 from featurekit.session import fresh_dir
 from featurekit.sources import tables
-from featurekit.suite.common import registrar, FEATURES_NULLS_SQL, batched_sql, feature_cols_sql
+from featurekit.suite.common import (
+    BOUNDS_SQL,
+    FEATURES_NULLS_SQL,
+    FEATURES_SQL,
+    batched_sql,
+    feature_cols_sql,
+    registrar,
+)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -196,22 +203,66 @@ def create_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("backfill_idempotent", f"""
-SELECT {FC}, CASE batch WHEN 0 THEN 'a2' ELSE 'b' END AS run_id FROM ({B}) WHERE batch IN (0, 1)""")
+SELECT {FC}, CASE batch WHEN 0 THEN 'a2' WHEN 1 THEN 'b' ELSE 'c' END AS run_id FROM ({B})""")
 def backfill_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: re-running the backfill of a date range replaces those dates (no
     duplicates); the newest run of each date wins."""
     h = history.History(spark, sf_dir)
-    a, b, _ = h.batches
+    a, b, c = h.batches
     h.run(a, "a")
     h.run(b, "b")
     h.run(a, "a2", publish_at=b.published_at + dt.timedelta(hours=1))
+    h.run(c, "c")
     t = h.table
     return t.scan(with_snapshot_id=True).join(t.provenance("main"), "_snapshot_id") \
         .drop("_snapshot_id", "published")
 
 
+@register("backfill_every_day", f"""
+WITH b AS ({BOUNDS_SQL})
+SELECT {feature_cols_sql('f')}, CASE WHEN date_diff('day', b.lo, f.date) % 3 = 0 THEN 'rerun' ELSE 'first' END AS run,
+       CAST(count(*) OVER () AS BIGINT) AS total_records
+FROM ({FEATURES_SQL}) f, b""")
+def backfill_every_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 over many runs: one idempotent run per event date, then every third date
+    again; each date is live once, from its newest run, and the commit's
+    total-records is the row count."""
+    h = history.History(spark, sf_dir)
+    lo, hi = h.batches[0].start, h.batches[-1].end
+    days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
+    for name, dates in (("first", days), ("rerun", days[::3])):
+        for d in dates:
+            h.run(history.Batch(0, d, d), f"{name}_{d}")
+    t = h.table
+    total = int(t.commit_list()[-1].summary["total-records"])
+    return (t.scan(with_snapshot_id=True).join(t.provenance("main"), "_snapshot_id").drop("_snapshot_id", "published")
+            .withColumn("run", F.substring_index("run_id", "_", 1)).drop("run_id")
+            .withColumn("total_records", F.lit(total).cast("long")))
+
+
+@register("wap_retry_after_rejection", f"SELECT {FC} FROM ({B}) WHERE batch IN (0, 1)")
+def wap_retry_after_rejection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: a run is rejected for its NULLs, then retried under the same run id for the
+    next date range: nothing of the rejected rows reaches main."""
+    h = history.History(spark, sf_dir)
+    a, b, c = h.batches
+    h.run(a, "a")
+    assert h.run(c, "b", with_nulls=True)["status"] == "rejected"
+    h.run(b, "b")
+    return h.table.scan()
+
+
+@register("time_travel_default_times", f"SELECT {FC} FROM ({B})")
+def time_travel_default_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 without given times: commits and publishes carry the current time, so main as
+    of tomorrow is the whole table."""
+    h = history.History(spark, sf_dir)
+    run_backfill(h.table, h.events, h.batches[0].start, h.batches[-1].end, "a")
+    return h.table.as_of_time(dt.datetime.now() + dt.timedelta(days=1))
+
+
 @register("overwrite_partitions", f"""
-SELECT {FC} FROM ({B}) WHERE batch = 0
+SELECT {FC} FROM ({B}) WHERE batch <> 1
 UNION ALL SELECT {FC} FROM ({BN}) WHERE batch = 1""")
 def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: dynamic partition overwrite of a date-partitioned Parquet table:
@@ -221,7 +272,7 @@ def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     bs = history.batches(ev)
     path = fresh_dir(spark, "predictions_overwrite")
     g = UserFeaturesDaily()
-    first = g.compute(filter_dates(ev, bs[0].start, bs[1].end))
+    first = g.compute(filter_dates(ev, bs[0].start, bs[-1].end))
     first.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
     again = g.compute(filter_dates(evn, bs[1].start, bs[1].end))
     again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from featurekit.operators import scoring, serving
@@ -70,14 +71,18 @@ def test_online_store_touches_only_updated_buckets(spark, tmp_table_dir):
     d = dt.date(2024, 1, 1)
     store.upsert(spark.createDataFrame([(i, d, i) for i in range(200)], schema))
     assert store.size() == 200
-    v2 = store.upsert(spark.createDataFrame([(7, d + dt.timedelta(1), -7), (None, d, 0)], schema))
+    v2 = store.upsert(spark.createDataFrame([(7, d + dt.timedelta(1), -7), (None, d, 0)], schema), token="q:1")
     touched = {r.bucket for r in store._log() if r.version == v2}
     assert len(touched) == 1  # one key → one bucket rewritten
     assert store.size() == 200
     state = {r.user_id: r.x for r in store.current().collect()}
     assert state[7] == -7 and state[8] == 8 and None not in state
-    # a retried upsert of the same version is idempotent
-    store.upsert(spark.createDataFrame([(7, d + dt.timedelta(1), -7)], schema), version=v2)
+    # a replayed upsert is not applied again, and versions only grow
+    assert store.upsert(spark.createDataFrame([(7, d + dt.timedelta(9), -9)], schema), token="q:1") == v2
+    again = ParquetOnlineStore(spark, tmp_table_dir, store.schema, order=["date"])
+    assert again.buckets == 8 and again.size() == 200
+    with pytest.raises(ValueError, match="8 buckets"):
+        ParquetOnlineStore(spark, tmp_table_dir, store.schema, order=["date"], buckets=16)
     assert store.size() == 200 and {r.user_id: r.x for r in store.current().collect()}[7] == -7
     found = {r.user_id: r.found for r in store.lookup(spark.createDataFrame([(7,), (999,)], "user_id long")).collect()}
     assert found == {7: True, 999: False}

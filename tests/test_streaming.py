@@ -50,7 +50,7 @@ def test_sync_stream_survives_a_crash_after_the_upsert(spark):
     schema = schemas.with_field(schemas.USER_FEATURES_DAILY, "_snapshot_id", schemas.T.LongType())
     store = ParquetOnlineStore(spark, fresh_dir(spark, "crash_store"), schema)
     ckpt = fresh_dir(spark, "crash_ckpt")
-    real = so.sync_batch_fn(h.table, store)
+    real = so.sync_batch_fn(h.table, store, ckpt)
     crashed = []
 
     def flaky(batch, epoch_id):
