@@ -4,7 +4,8 @@ Candidates are the maximal runs of ``A-Za-z0-9+/_.@=-`` with a digit and at leas
 ``MIN_CHARS`` characters (after ``name=``, if the run starts so). The forest sees, per
 candidate: length; character classes and their transitions, entropy, and the mean log
 probability of its letter pairs in the corpus; how much of it dictionary words cover
-(the most frequent words of the corpus, counted over all documents); path and address
+(the most frequent words of the corpus, ``DICTIONARY_WORDS`` at most, counted over all
+documents); path and address
 marks; and the neighbouring words (name it is assigned to, hashed words before and
 after). It is trained with Spark ML on labelled findings, a sample bounded by
 ``TRAIN_ROWS``, and scores every finding.
@@ -142,9 +143,19 @@ def _words(batches):
 def dictionary(docs: DataFrame) -> tuple[frozenset, np.ndarray]:
     """The corpus's most frequent words of 3 to 12 letters, and log probabilities of the
     letter pairs in them (the 27th letter is anything else)."""
-    rows = (docs.select("text").mapInArrow(_words, "word binary, n long")
-            .where(F.length("word").between(3, 12)).groupBy("word").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS).collect())
+    counts = written(docs.select("text").mapInArrow(_words, "word binary, n long")
+                     .where(F.length("word").between(3, 12)).groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # the least count that at most DICTIONARY_WORDS words reach, on a logarithmic scale: a
+    # sorted limit would send that many words per task to the driver
+    step = F.floor(F.log2("n") * 16)
+    sizes = {r["k"]: r["c"] for r in counts.groupBy(step.alias("k")).count().withColumnRenamed("count", "c").collect()}
+    least, have = max(sizes, default=0) + 1, 0
+    for k in sorted(sizes, reverse=True):
+        have += sizes[k]
+        if have > DICTIONARY_WORDS:
+            break
+        least = k
+    rows = counts.where(step >= least).orderBy("word").collect()
     pairs = np.ones((27, 27))
     words = []
     for r in rows:
