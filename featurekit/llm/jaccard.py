@@ -5,7 +5,7 @@ sets form a class; only classes are joined. Two sets link when
 100 * intersection >= percent * union.
 
 1. Head. A set of n tokens can lack at most e = n - ceil(percent * n / 100) of them in a
-   set it links with, so of its first c = e + 1 + n/8 tokens by hash at least c - e stand
+   set it links with, so of its first c = e + 1 + n/4 tokens by hash at least c - e stand
    in the other's head too (of the two, take the set whose head ends first). The heads'
    tokens are counted over all documents; one in a single head is in no such overlap. A
    set with too few shared head tokens links with nothing and is done: no row of it is
@@ -21,9 +21,10 @@ sets form a class; only classes are joined. Two sets link when
 3. Candidates. Sets that share a signature are not paired with each other: each
    signature's sets are compared with one pivot (chosen by hash, a few different ones per
    group), links verified, components formed, and only signatures that still span several
-   components go on: more pivots, then every pair from different components. No link that
-   would join two components is missed, and a group of m near copies costs about m
-   comparisons. A candidate is verified by size, by a 512-bit parity sketch whose distance
+   components go on: more pivots, then every pair from different components, compared by
+   size and sketch inside the tasks that hold a block of the group; only what passes becomes
+   a row. No link that would join two components is missed, and a group of m near copies
+   costs about m comparisons. A candidate is verified by size, by a 512-bit parity sketch whose distance
    never exceeds the symmetric difference, then by the sets themselves.
 
 Which tokens are shared and which frequent is read from two bitmaps of fixed size. A bit
@@ -60,6 +61,9 @@ SMALL = 16
 SKETCH_BITS = 512
 PIVOT_KINDS = 8
 STAR_ROUNDS = 2
+#: Members of a group's block, and pairs compared at a time.
+BLOCK = 1024
+PAIRS = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -97,7 +101,7 @@ def size_class(n: int, percent: int) -> int:
 
 def overlap(n: int, percent: int) -> int:
     """Tokens of a set's head that stand in the head of a set it links with, at least."""
-    return min(n - misses(n, percent), 1 + -(-n // 8))
+    return min(n - misses(n, percent), 1 + -(-n // 4))
 
 
 def head(tokens: np.ndarray, percent: int) -> np.ndarray:
@@ -190,17 +194,80 @@ def _set_rows(n: int, percent: int, shared):
 def _near_sketch(percent: int):
     def rows(batches):
         for b in batches:
-            na, nb = (np.asarray(b.column(c), np.int64) for c in ("na", "nb"))
-            xa, xb = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH_BITS // 8)
-                      for c in ("xa", "xb"))
-            apart = np.bitwise_count(xa ^ xb).sum(axis=1, dtype=np.int64)
-            total = na + nb
-            least = -(-percent * total // (100 + percent))  # the smallest intersection that links
-            ok = (np.minimum(na, nb) >= least) & (apart <= total - 2 * least)
+            xa, xb = _words(b.column("xa")), _words(b.column("xb"))
+            ok = _near(np.asarray(b.column("na"), np.int64), np.asarray(b.column("nb"), np.int64),
+                       xa.__getitem__, xb.__getitem__, percent)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
     return rows
 
 
+def _near(na, nb, xa, xb, percent: int) -> np.ndarray:
+    """Whether sizes and sketches allow a link."""
+    total = na + nb
+    least = -(-percent * total // (100 + percent))  # the smallest intersection that links
+    ok = np.minimum(na, nb) >= least
+    at = np.flatnonzero(ok)
+    apart = np.bitwise_count(xa(at) ^ xb(at)).sum(axis=1, dtype=np.int64)
+    ok[at] = apart <= (total - 2 * least)[at]
+    return ok
+
+
+def _words(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
+
+
+def _cross_pairs(percent: int):
+    """Near pairs of different components within each run of equal (sig, i, j); rows come
+    sorted by them. Of blocks i and j only pairs across are compared."""
+    def pairs(t: pa.Table):
+        key = np.arange(t.num_rows)
+        change = np.ones(t.num_rows, bool)
+        for c in ("sig", "i", "j"):
+            v = np.asarray(t[c])
+            change[1:] &= v[1:] == v[:-1]
+        change[0] = False
+        start = np.flatnonzero(~change)
+        size = np.diff(np.append(start, t.num_rows))
+        follow = np.repeat(start + size, size) - key - 1  # rows after this one in its run
+        n, side, across = (np.asarray(t[c], np.int64) for c in ("n", "side", "across"))
+        root = t["root"].combine_chunks().dictionary_encode().indices.to_numpy()
+        words = _words(t["sketch"])
+        ends, lo = np.cumsum(follow), 0
+        while lo < t.num_rows:
+            base = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, base + PAIRS, "right")))
+            left = np.repeat(np.arange(lo, hi), follow[lo:hi])
+            right = left + 1 + np.arange(len(left)) - np.repeat(ends[lo:hi] - follow[lo:hi] - base, follow[lo:hi])
+            ok = (root[left] != root[right]) & ((across[left] == 0) | (side[left] != side[right]))
+            left, right = left[ok], right[ok]
+            ok = _near(n[left], n[right], lambda at, x=left: words[x[at]], lambda at, x=right: words[x[at]], percent)
+            if ok.any():
+                a, b = (t["fp"].take(pa.array(x[ok])).to_pylist() for x in (left, right))
+                both = {(x, y) if x < y else (y, x) for x, y in zip(a, b, strict=True)}
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in both], pa.binary()),
+                                                  pa.array([y for _, y in both], pa.binary())], ["a", "b"])
+            lo = hi
+
+    def rows(batches):
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            last = np.ones(t.num_rows, bool)
+            for c in ("sig", "i", "j"):
+                v = np.asarray(t[c])
+                last &= v == v[-1]
+            cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+            if cut:
+                yield from pairs(t.slice(0, cut).combine_chunks())
+            held = t.slice(cut)
+        if held is not None and held.num_rows:
+            yield from pairs(held.combine_chunks())
+    return rows
+
+
 def _linked(percent: int):
     def rows(batches):
         for b in batches:
@@ -251,6 +318,19 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     def pair(x, y):
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
+    def cross(members: DataFrame) -> DataFrame:
+        """Pairs of different components, a group in blocks of about ``BLOCK`` members:
+        every two blocks meet in one place, so a large group is spread over many tasks."""
+        sizes = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
+        rows = members.join(sizes, "sig").join(classes.select("fp", "n", "sketch"), "fp").withColumn(
+            "own", F.pmod(F.xxhash64("fp"), "k").cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+        rows = rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                           (F.col("own") > F.col("other")).cast("int").alias("side"),
+                           (F.col("own") != F.col("other")).cast("int").alias("across"), "fp", "n", "root", "sketch")
+        return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(
+            _cross_pairs(percent), "a binary, b binary")
+
     links, roots, open_ = None, None, groups
     for r in range(STAR_ROUNDS + 1):
         if r < STAR_ROUNDS:
@@ -258,8 +338,7 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             pivots = open_.groupBy("sig").agg(F.min_by("fp", F.struct(chosen, "fp")).alias("p"))
             pairs = open_.join(pivots, "sig").where("fp != p").select(*pair(F.col("fp"), F.col("p")))
         else:
-            other = open_.select("sig", F.col("fp").alias("fp2"), F.col("root").alias("root2"))
-            pairs = open_.join(other, "sig").where("root < root2").select(*pair(F.col("fp"), F.col("fp2")))
+            pairs = cross(open_)
         found = written(verified(pairs.distinct()), "links")
         links = found if links is None else links.union(found)
         roots = connected(links)
