@@ -124,13 +124,17 @@ def prometheus_lines(metrics: DataFrame, buckets: Sequence[float] = DEFAULT_BUCK
     cg = agg.select(F.concat(with_labels(F.col("name"), F.col("pl")), F.lit(" "),
                              fmt(F.when(F.col("type") == "counter", F.col("total")).otherwise(F.col("last"))))
                     .alias("line"))
-    h = histogram(metrics, ["name"], buckets)
-    b = bucket_rows(h, ["name"], buckets).select(
-        F.concat(F.col("name"), F.lit('_bucket{le="'), F.col("le"), F.lit('"} '),
-                 F.col("cum_count").cast("string")).alias("line"))
+    # histograms per series and, without labels, over all series of a name
+    h = histogram(metrics.withColumn("pl", prometheus_labels()), buckets=buckets, grouping_sets=[["name", "pl"], ["name"]])
+    b = bucket_rows(h, ["name", "pl"], buckets).select(
+        F.concat(F.col("name"), F.lit("_bucket{"),
+                 F.when(F.coalesce("pl", F.lit("")) == "", "").otherwise(F.concat("pl", F.lit(","))),
+                 F.lit('le="'), F.col("le"), F.lit('"} '), F.col("cum_count").cast("string")).alias("line"))
+    pl = F.coalesce("pl", F.lit(""))
     sc = h.select(F.inline(F.array(
-        F.struct(F.concat(F.col("name"), F.lit("_sum "), fmt(F.col("sum"))).alias("line")),
-        F.struct(F.concat(F.col("name"), F.lit("_count "), F.col("count").cast("string")).alias("line")))))
+        F.struct(F.concat(with_labels(F.concat("name", F.lit("_sum")), pl), F.lit(" "), fmt(F.col("sum"))).alias("line")),
+        F.struct(F.concat(with_labels(F.concat("name", F.lit("_count")), pl), F.lit(" "),
+                          F.col("count").cast("string")).alias("line")))))
     return cg.unionByName(b).unionByName(sc)
 
 
@@ -143,9 +147,10 @@ def metrics_json(metrics: DataFrame) -> DataFrame:
           .select("name", F.to_json(F.struct("name", "type", "labels",
                                              F.when(F.col("type") == "counter", F.col("total"))
                                              .otherwise(F.col("last")).alias("value"))).alias("json")))
-    h = histogram(metrics, ["name"])
+    # per series and, without labels, over all series of a name
+    h = histogram(metrics.withColumn("series", labels_key()), grouping_sets=[["name", "series"], ["name"]])
     hj = h.select("name", F.to_json(F.struct(
-        "name", F.lit("histogram").alias("type"), "count", "sum",
+        "name", F.lit("histogram").alias("type"), F.col("series").alias("labels"), "count", "sum",
         F.when(F.col("count") > 0, F.col("sum") / F.col("count")).otherwise(F.lit(0.0)).alias("mean"),
         percentile_from_buckets(F.col("cum"), F.col("count"), 0.5).alias("p50"),
         percentile_from_buckets(F.col("cum"), F.col("count"), 0.95).alias("p95"),

@@ -66,6 +66,20 @@ def production(mv: DataFrame) -> DataFrame:
     return mv.filter(F.col("stage") == "production")
 
 
+class ModelNotFound(Exception):
+    """No such version, or no production version of the model."""
+
+
+def resolve(mv: DataFrame, model_name: str, version: str | None = None):
+    """G1: the row of the version a job is to use: the one asked for, else the one in
+    production; ``ModelNotFound`` when there is none."""
+    of_model = mv.filter(F.col("model_name") == model_name)
+    rows = (production(of_model) if version is None else of_model.filter(F.col("version") == version)).limit(1).collect()
+    if not rows:
+        raise ModelNotFound(f"{model_name}: " + ("no production version" if version is None else f"no version {version}"))
+    return rows[0]
+
+
 def metrics_long(mv: DataFrame) -> DataFrame:
     return mv.select("model_name", "version", F.explode("metrics").alias("metric", "value"))
 
@@ -186,6 +200,10 @@ class RegistryTable:
                      .select("model_name", "version", seq.alias("seq"), kind.alias("kind")))
 
     def promote(self, events: DataFrame) -> None:
-        """Append promotion events (model_name, version, seq, kind)."""
+        """Append promotion events (model_name, version, seq, kind); a version that
+        is not registered cannot be promoted."""
+        unknown = events.join(self.raw_versions(), ["model_name", "version"], "left_anti").limit(1).collect()
+        if unknown:
+            raise ModelNotFound(f"{unknown[0].model_name}: no version {unknown[0].version}")
         events.select("model_name", "version", F.col("seq").cast("long"), "kind") \
             .write.mode("append").parquet(f"{self.path}/promotions")

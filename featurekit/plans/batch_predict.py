@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from featurekit.operators import scoring
+from featurekit.operators import registry, scoring
 from featurekit.operators.features import feature_columns, with_feature_vector
 
 OUTPUT_COLUMNS = ["user_id", "date", "prediction", "_prediction_run_id", "_model_name", "_model_version",
@@ -33,6 +33,13 @@ class PredictionConfig:
     output: str = "value"  # value | probability
 
 
+def config_for(versions: DataFrame, model_name: str, version: str | None = None, **options) -> PredictionConfig:
+    """The job's configuration with model version and feature snapshot from the registry
+    (the version asked for, else the one in production, else an error)."""
+    r = registry.resolve(versions, model_name, version)
+    return PredictionConfig(model_name, r.version, r.metadata["feature_snapshot_id"], **options)
+
+
 def prepare(features: DataFrame, cfg: PredictionConfig, prediction_date=None):
     df = features
     if prediction_date is not None and "date" in df.columns:

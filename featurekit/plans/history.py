@@ -87,6 +87,14 @@ def standard(spark: SparkSession, sf_dir: str) -> History:
     return h
 
 
+def recovered(spark: SparkSession, sf_dir: str) -> History:
+    """``standard``, then run d writes batch 2 anew (snapshot 4) and passes: main holds
+    every event's features, the rejected rows stay on ``audit_c``."""
+    h = standard(spark, sf_dir)
+    h.run(h.batches[2], "d")
+    return h
+
+
 def diverged(spark: SparkSession, sf_dir: str) -> History:
     """Run a publishes; branches b and c are both created at a's head; b
     publishes by fast-forward, so c can only be published by cherry-pick."""

@@ -220,15 +220,19 @@ def _prom_labels(col: str) -> str:
     return f"""regexp_replace({col}, '([a-z_]+)=([^,]*)', '\\1="\\2"', 'g')"""
 
 
+_SERIES = "CASE WHEN model IS NULL THEN '' ELSE 'model=\"' || model || '\",' END"
+_SERIES_ONLY = "CASE WHEN model IS NULL THEN '' ELSE '{model=\"' || model || '\"}' END"
+
+
 @register("prometheus_lines", f"""
-WITH m AS ({METRICS_SQL}), h AS ({_hist_sql('NULL')})
+WITH m AS ({METRICS_SQL}), h AS ({HIST_SQL})
 SELECT name || CASE WHEN labels = '' THEN '' ELSE '{{' || {_prom_labels('labels')} || '}}' END || ' '
        || printf('%.9e', CASE WHEN type = 'counter' THEN sum(value) ELSE arg_max(value, (ts, seq)) END) AS line
 FROM m WHERE type IN ('counter', 'gauge') GROUP BY name, type, labels
-UNION ALL {" UNION ALL ".join(f"SELECT name || '_bucket{{le=\"{le}\"}} ' || CAST(c{i} AS VARCHAR) FROM h" for i, le in enumerate(LES))}
-UNION ALL SELECT name || '_bucket{{le="+Inf"}} ' || CAST(n AS VARCHAR) FROM h
-UNION ALL SELECT name || '_sum ' || printf('%.9e', s) FROM h
-UNION ALL SELECT name || '_count ' || CAST(n AS VARCHAR) FROM h""")
+UNION ALL {" UNION ALL ".join(f"SELECT name || '_bucket{{' || {_SERIES} || 'le=\"{le}\"}} ' || CAST(c{i} AS VARCHAR) FROM h" for i, le in enumerate(LES))}
+UNION ALL SELECT name || '_bucket{{' || {_SERIES} || 'le="+Inf"}} ' || CAST(n AS VARCHAR) FROM h
+UNION ALL SELECT name || '_sum' || {_SERIES_ONLY} || ' ' || printf('%.9e', s) FROM h
+UNION ALL SELECT name || '_count' || {_SERIES_ONLY} || ' ' || CAST(n AS VARCHAR) FROM h""")
 def prometheus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prometheus exposition lines with full names and labels, written
     as a text file set and read back."""
@@ -239,10 +243,19 @@ def prometheus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.read_prometheus(spark, path)
 
 
-@register("metrics_json")
+@register("metrics_json", f"""
+WITH m AS ({METRICS_SQL}), h AS ({HIST_SQL})
+SELECT name, type, labels, round(CASE WHEN type = 'counter' THEN sum(value) ELSE arg_max(value, (ts, seq)) END, 6) AS value,
+       CAST(NULL AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS sum, CAST(NULL AS DOUBLE) AS mean,
+       CAST(NULL AS DOUBLE) AS p50, CAST(NULL AS DOUBLE) AS p95, CAST(NULL AS DOUBLE) AS p99
+FROM m WHERE type IN ('counter', 'gauge') GROUP BY name, type, labels
+UNION ALL
+SELECT name, 'histogram', 'model=' || model, NULL, n, round(s, 6), round(CASE WHEN n > 0 THEN s / n ELSE 0.0 END, 6),
+       {_pct_sql(0.5)}, {_pct_sql(0.95)}, {_pct_sql(0.99)}
+FROM h""")
 def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON document per series, written as JSON lines and read back
-    (rows-only check: JSON number formatting differs between engines)."""
+    """One JSON document per series, histograms also over all series of a name,
+    written as JSON lines and read back as typed columns."""
     from featurekit.session import fresh_dir
     from featurekit.sinks import exports
     path = fresh_dir(spark, "metrics_json")

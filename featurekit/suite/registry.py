@@ -324,30 +324,31 @@ def model_training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("prediction_lineage", f"""
-WITH p AS (SELECT * FROM ({STAGED}) WHERE stage = 'production'),
-f AS (SELECT * FROM ({batched_sql()}) WHERE batch IN (0, 1))
+WITH p AS (SELECT *, row_number() OVER (ORDER BY model_name) - 1 AS i, count(*) OVER () AS n
+           FROM ({STAGED}) WHERE stage = 'production')
 SELECT f.user_id, CAST(f.date AS VARCHAR) AS date, p.model_name AS _model_name, p.version AS _model_version,
        p.feature_snapshot_id, 'run_' || CAST(p.date AS VARCHAR) AS training_run_id,
        CASE p.feature_snapshot_id WHEN '1' THEN 'a' WHEN '2' THEN 'b' ELSE 'c' END AS snapshot_run_id
-FROM f CROSS JOIN p""")
+FROM ({batched_sql()}) f JOIN p ON f.user_id % p.n = p.i""")
 def prediction_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prediction rows → model version → bound feature snapshot → the
-    commit (run) that wrote it; both lookup sides are size-checked broadcasts."""
+    """Prediction rows → the model version that scored them → bound feature
+    snapshot → the commit (run) that wrote it. Users are dealt to the production
+    models, so every prediction has one."""
     mv, _ = model_versions(spark, sf_dir)
-    h = history.standard(spark, sf_dir)
-    # every row is scored by each production model: the production list is
-    # registry metadata (one row per model), expanded with an explode, no join
-    prod = [(r.model_name, r.version) for r in reg.production(mv).select("model_name", "version").collect()]
+    h = history.all_published(spark, sf_dir)
+    # the production list is registry metadata, one row per model
+    prod = sorted((r.model_name, r.version) for r in reg.production(mv).select("model_name", "version").collect())
     models = F.array(*[F.struct(F.lit(n).alias("_model_name"), F.lit(v).alias("_model_version")) for n, v in prod])
     preds = (scoring.rule_score(h.table.scan())
-             .select("*", F.inline(models)))
+             .withColumn("_m", F.get(models, F.pmod("user_id", F.lit(len(prod))).cast("int")))
+             .select("*", "_m._model_name", "_m._model_version"))
     versions = mv.select(F.col("model_name").alias("_model_name"), F.col("version").alias("_model_version"),
                          F.col("metadata")["feature_snapshot_id"].alias("feature_snapshot_id"),
                          F.col("metadata")["training_run_id"].alias("training_run_id"))
     commits = h.table.commits().select(F.col("snapshot_id").cast("string").alias("feature_snapshot_id"),
                                        F.col("summary")["run-id"].alias("snapshot_run_id"))
-    return (preds.join(broadcast_if_small(versions), ["_model_name", "_model_version"], "left")
-            .join(broadcast_if_small(commits), "feature_snapshot_id", "left")
+    return (preds.join(versions, ["_model_name", "_model_version"], "left")
+            .join(commits, "feature_snapshot_id", "left")
             .select("user_id", "date", "_model_name", "_model_version", "feature_snapshot_id",
                     "training_run_id", "snapshot_run_id"))
 
@@ -362,19 +363,29 @@ def artifact_hashes(spark: SparkSession, root: str) -> DataFrame:
                         F.substring(F.sha2(F.col("content"), 256), 1, 12).alias("sha256_12"))
 
 
-@register("artifact_hash_audit")
+_TAMPERED = "view_ctr_model"
+
+
+@register("artifact_hash_audit", f"""
+SELECT event_type || '_ctr_model' AS model_name, event_type || '_ctr_model' <> '{_TAMPERED}' AS verified
+FROM (SELECT DISTINCT event_type FROM events)""")
 def artifact_hash_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model artifacts (one JSON file of version metrics per model, written
-    by Spark) are hashed at registration and the hashes recorded; the audit
-    re-hashes the stored files and compares with the record."""
+    """Model artifacts (one JSON file of version metrics per model) are hashed at
+    registration and the hashes recorded; then one model's file is replaced. The
+    audit re-hashes the stored files and reports which still match their record."""
     from featurekit.session import fresh_dir
     mv, _ = model_versions(spark, sf_dir)
     root = fresh_dir(spark, "artifacts")
-    (mv.select("model_name", "version", F.to_json("metrics").alias("metrics"))
-     .repartition(1, "model_name").sortWithinPartitions("model_name", "version")
-     .write.partitionBy("model_name").json(f"{root}/files"))
+
+    def write(rows: DataFrame, mode: str) -> None:
+        (rows.repartition("model_name").sortWithinPartitions("model_name", "version")
+         .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("model_name").json(f"{root}/files"))
+
+    rows = mv.select("model_name", "version", F.to_json("metrics").alias("metrics"))
+    write(rows, "append")
     artifact_hashes(spark, f"{root}/files").write.parquet(f"{root}/recorded")
+    write(rows.filter(F.col("model_name") == _TAMPERED).withColumn("metrics", F.lit("{}")), "overwrite")
     recorded = spark.read.parquet(f"{root}/recorded").select("model_name", F.col("sha256_12").alias("recorded"))
     now = artifact_hashes(spark, f"{root}/files")
     return (now.join(recorded, "model_name", "full_outer")
-            .withColumn("verified", F.coalesce(F.col("sha256_12") == F.col("recorded"), F.lit(False))))
+            .select("model_name", F.coalesce(F.col("sha256_12") == F.col("recorded"), F.lit(False)).alias("verified")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,12 +78,12 @@ _RUN = "run_0001"
 @register("predictions_with_lineage", f"""
 SELECT user_id, CAST(date AS VARCHAR) AS date, round({RULE_SQL}, 6) AS prediction,
        '{_RUN}' AS _prediction_run_id, 'mock_ctr_model' AS _model_name, '1.0.0' AS _model_version,
-       '2' AS _feature_snapshot, TRUE AS has_predicted_at
-FROM ({batched_sql()}) WHERE batch IN (0, 1)""")
+       '4' AS _feature_snapshot, TRUE AS has_predicted_at
+FROM ({batched_sql()})""")
 def predictions_with_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5: scores of main's rows carry run id, model name and version, the
     feature snapshot they were read from and the prediction time."""
-    t = history.standard(spark, sf_dir).table
+    t = history.recovered(spark, sf_dir).table
     df = scoring.with_lineage(scoring.rule_score(t.scan()), _RUN, "mock_ctr_model", "1.0.0", str(t.head()))
     return df.select("user_id", "date", "prediction", "_prediction_run_id", "_model_name", "_model_version",
                      "_feature_snapshot", F.col("_predicted_at").isNotNull().alias("has_predicted_at"))
@@ -94,29 +96,40 @@ class _Precomputed:
         return F.col("_rule_score")
 
 
-def _rule_job(spark, sf_dir, dates, mode="append"):
-    f = scoring.rule_score(UserFeaturesDaily().compute(tables.raw_events(spark, sf_dir)), out="_rule_score")
+_MODEL = "purchase_ctr_model"
+
+
+def _rule_job(spark, sf_dir, mode="append"):
+    """A scoring run per event date and one for the day after the last; the model version
+    and its feature snapshot come from the registry."""
+    from featurekit.suite.registry import model_versions
+    versions, _ = model_versions(spark, sf_dir)
+    cfg = batch_predict.config_for(versions, _MODEL, feature_columns=["total_value"], output_mode=mode)
+    ev = tables.raw_events(spark, sf_dir)
+    f = scoring.rule_score(UserFeaturesDaily().compute(ev), out="_rule_score")
     out = fresh_dir(spark, "batch_predictions")
-    summaries = []
-    for i, d in enumerate(dates):
-        cfg = batch_predict.PredictionConfig("mock_ctr_model", "1.0.0", "1", feature_columns=["total_value"],
-                                             output_mode=mode)
-        summaries.append(batch_predict.run(f, _Precomputed(), cfg, out, f"run_{i}", d))
-    return out, summaries
+    bs = history.batches(ev)
+    n = (bs[-1].end - bs[0].start).days + 2
+    days = [bs[0].start + dt.timedelta(days=i) for i in range(n)]
+    return out, [batch_predict.run(f, _Precomputed(), cfg, out, f"run_{i}", d) for i, d in enumerate(days)]
+
+
+def _production_sql(column: str) -> str:
+    from featurekit.suite.registry import STAGED
+    return f"(SELECT {column} FROM ({STAGED}) WHERE stage = 'production' AND model_name = '{_MODEL}')"
 
 
 @register("append_predictions", f"""
-WITH f AS ({FEATURES_SQL}), d AS (SELECT min(date) AS d0, max(date) AS d1 FROM f)
+WITH f AS ({FEATURES_SQL}), d AS (SELECT min(date) AS d0 FROM f)
 SELECT user_id, CAST(date AS VARCHAR) AS date, round({RULE_SQL}, 6) AS prediction,
-       CASE WHEN date = d.d0 THEN 'run_0' ELSE 'run_1' END AS _prediction_run_id,
-       'mock_ctr_model' AS _model_name, '1.0.0' AS _model_version, '1' AS _feature_snapshot
-FROM f, d WHERE date = d.d0 OR date = d.d1""")
+       'run_' || CAST(date_diff('day', d0, date) AS VARCHAR) AS _prediction_run_id,
+       '{_MODEL}' AS _model_name, {_production_sql("version")} AS _model_version,
+       {_production_sql("feature_snapshot_id")} AS _feature_snapshot
+FROM f, d""")
 def append_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two job runs (first and last date) append to one predictions
-    table; only the output columns that exist are written."""
-    ev = tables.raw_events(spark, sf_dir)
-    bs = history.batches(ev)
-    out, _ = _rule_job(spark, sf_dir, [bs[0].start, bs[-1].end])
+    """A job run per event date, all appending to one predictions table; only
+    the output columns that exist are written."""
+    out, _ = _rule_job(spark, sf_dir)
     return spark.read.parquet(out).drop("_predicted_at")
 
 
@@ -146,18 +159,20 @@ def prediction_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("prediction_job_summary", f"""
 WITH f AS ({FEATURES_SQL}), d AS (SELECT min(date) AS d0, max(date) AS d1 FROM f),
-p AS (SELECT f.date, {RULE_SQL} AS p FROM f, d WHERE f.date = d.d0 OR f.date = d.d1)
-SELECT CASE WHEN date = (SELECT d0 FROM d) THEN 'run_0' ELSE 'run_1' END AS run_id, 'success' AS status,
-       'mock_ctr_model:1.0.0' AS model, '1' AS feature_snapshot_id, CAST(date AS VARCHAR) AS prediction_date,
-       count(*) AS rows_processed, round(avg(p), 6) AS mean, round(stddev_samp(p), 6) AS stddev,
+k AS (SELECT CAST(unnest(generate_series(CAST(d0 AS TIMESTAMP), CAST(d1 AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY))
+             AS DATE) AS day, d0 FROM d),
+p AS (SELECT f.date, {RULE_SQL} AS p FROM f)
+SELECT 'run_' || CAST(date_diff('day', d0, day) AS VARCHAR) AS run_id,
+       CASE WHEN count(p) = 0 THEN 'empty' ELSE 'success' END AS status,
+       '{_MODEL}:' || {_production_sql("version")} AS model,
+       {_production_sql("feature_snapshot_id")} AS feature_snapshot_id, CAST(day AS VARCHAR) AS prediction_date,
+       count(p) AS rows_processed, round(avg(p), 6) AS mean, round(stddev_samp(p), 6) AS stddev,
        round(min(p), 6) AS min, round(max(p), 6) AS max
-FROM p GROUP BY date""")
+FROM k LEFT JOIN p ON p.date = k.day GROUP BY day, d0""")
 def prediction_job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job summary rows (status, model, snapshot, rows, stats) of two
-    runs, with statistics observed during the write."""
-    ev = tables.raw_events(spark, sf_dir)
-    bs = history.batches(ev)
-    _, sums = _rule_job(spark, sf_dir, [bs[0].start, bs[-1].end])
+    """The summary rows (status, model, snapshot, rows, stats) of a run per event
+    date and of an empty one, with statistics observed during the writes."""
+    _, sums = _rule_job(spark, sf_dir)
     rows = [(s["run_id"], s["status"], s["model"], s["feature_snapshot_id"], s["prediction_date"],
              s["rows_processed"], s["mean"], s["stddev"], s["min"], s["max"]) for s in sums]
     return spark.createDataFrame(rows, "run_id string, status string, model string, feature_snapshot_id string, "

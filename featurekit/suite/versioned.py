@@ -39,10 +39,12 @@ def _n(i: int) -> str:
     return f"(SELECT coalesce(sum(n), 0) FROM ({COUNTS}) WHERE batch = {i})"
 
 
-@register("table_head", f"SELECT {FC}, CAST(batch + 1 AS BIGINT) AS _snapshot_id FROM ({B}) WHERE batch IN (0, 1)")
+@register("table_head", f"""
+SELECT {FC}, CAST(CASE batch WHEN 2 THEN 4 ELSE batch + 1 END AS BIGINT) AS _snapshot_id FROM ({B})""")
 def table_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows at the head of main (runs a and b published, run c rejected)."""
-    return history.standard(spark, sf_dir).table.scan(with_snapshot_id=True)
+    """Rows at the head of main (runs a and b published, run c rejected, run d
+    published in its place)."""
+    return history.recovered(spark, sf_dir).table.scan(with_snapshot_id=True)
 
 
 @register("branch_scan", f"""
@@ -76,13 +78,13 @@ def _main_with_provenance(t) -> DataFrame:
 
 
 @register("wap_publish_fast_forward", f"""
-SELECT {FC}, CASE batch WHEN 0 THEN 'a' ELSE 'b' END AS run_id, 'fast_forward' AS published
-FROM ({B}) WHERE batch IN (0, 1)""")
+SELECT {FC}, CASE batch WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS run_id, 'fast_forward' AS published
+FROM ({B})""")
 def wap_publish_fast_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K7 (flagship): two backfill runs, each written to its audit branch,
+    """K7 (flagship): three backfill runs, each written to its audit branch,
     audited in one aggregate and published by fast-forward; main's rows with
     the run that produced them."""
-    return _main_with_provenance(history.standard(spark, sf_dir).table)
+    return _main_with_provenance(history.all_published(spark, sf_dir).table)
 
 
 @register("wap_publish_cherry_pick", f"""
@@ -111,18 +113,18 @@ def wap_branch_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(t.scan(ref="audit_b").select(F.lit("audit_b").alias("ref"), "*")))
 
 
-@register("incremental_changes", f"SELECT {FC}, 'incremental' AS mode FROM ({B}) WHERE batch = 1")
+@register("incremental_changes", f"SELECT {FC}, 'incremental' AS mode FROM ({B}) WHERE batch IN (1, 2)")
 def incremental_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows appended to main after snapshot 1 (exclusive) up to its head."""
-    df, mode = history.standard(spark, sf_dir).table.incremental(1)
+    df, mode = history.recovered(spark, sf_dir).table.incremental(1)
     return df.withColumn("mode", F.lit(mode))
 
 
-@register("incremental_fallback_full", f"SELECT {FC}, 'full' AS mode FROM ({B}) WHERE batch IN (0, 1)")
+@register("incremental_fallback_full", f"SELECT {FC}, 'full' AS mode FROM ({B})")
 def incremental_fallback_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The start snapshot (3, on the rejected branch) is not an ancestor of
     main's head, so the read falls back to a full load."""
-    df, mode = history.standard(spark, sf_dir).table.incremental(3)
+    df, mode = history.recovered(spark, sf_dir).table.incremental(3)
     return df.withColumn("mode", F.lit(mode))
 
 

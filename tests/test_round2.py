@@ -60,6 +60,29 @@ def test_erring_rule_harms_no_other(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
 
 
+def test_model_resolution(spark):
+    import pytest
+
+    from featurekit.operators import registry as reg
+    mv = spark.createDataFrame([("m", "1.0.0", "production"), ("m", "1.1.0", "none"), ("n", "1.0.0", "staging")],
+                               "model_name string, version string, stage string")
+    assert reg.resolve(mv, "m").version == "1.0.0" and reg.resolve(mv, "m", "1.1.0").version == "1.1.0"
+    for name, version in (("n", None), ("m", "9.9.9"), ("x", None)):
+        with pytest.raises(reg.ModelNotFound):
+            reg.resolve(mv, name, version)
+
+
+def test_unknown_version_cannot_be_promoted(spark, tmp_table_dir):
+    import pytest
+
+    from featurekit.operators import registry as reg
+    r = reg.RegistryTable(spark, tmp_table_dir)
+    r.register(spark.createDataFrame([("m", "1.0.0")], "model_name string, version string"))
+    r.promote(spark.createDataFrame([("m", "1.0.0", 1, "production")], reg.PROMOTIONS))
+    with pytest.raises(reg.ModelNotFound):
+        r.promote(spark.createDataFrame([("m", "2.0.0", 2, "production")], reg.PROMOTIONS))
+
+
 def test_no_checks_pass(spark):
     assert quality.validate(spark.range(3).toDF("x"), {}) is True
 
