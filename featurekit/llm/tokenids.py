@@ -38,13 +38,17 @@ from pyspark.sql import functions as F
 
 from featurekit.session import ship_package
 
-LANES = 1024
+LANES = 2048
 BLOCK_IDS = 1 << 19
-CHECK_STEPS = 256
+CHECK_STEPS = 128
 SCALE_BITS = 20
 END_ID = 2
 #: Stretches a worker remembers before it starts anew.
 CACHE = 900_000
+#: Texts cut at a time, and gathered at a time.
+STEP, ROWS = 5000, 32
+#: Blocks (rows of 24 bytes) whose starts are broadcast to the readers; beyond it they are joined.
+BROADCAST_BLOCKS = 1_000_000
 #: Text per range, in bytes.
 PART_BYTES = 16 << 20
 _LOW = np.uint64(32)
@@ -107,17 +111,19 @@ class Encoder:
         self.learn_all([p for p in parts if p not in at])
         place = np.fromiter(map(at.__getitem__, parts), np.int64, len(parts))
         start, length = place >> 16, place & 0xFFFF
-        for row, (lo, hi) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
-            if odd[row]:
-                yield self.whole(texts[row].as_py())
-                continue
-            part = every[lo:hi]
+        for first in range(0, len(texts), ROWS):
+            edge = ends[first:first + ROWS + 1]
+            part = every[edge[0]:edge[-1]]
             n = length[part]
+            whole = odd[first:first + ROWS]
             if (n == 0xFFFF).any():
-                yield self.whole(texts[row].as_py())
-                continue
+                whole = whole | np.array([(length[every[a:b]] == 0xFFFF).any() for a, b in zip(edge, edge[1:], strict=False)])
+                n = np.where(n == 0xFFFF, 0, n)
             last = np.cumsum(n)
-            yield self.flat[np.repeat(start[part] - last + n, n) + np.arange(last[-1])]
+            ids = self.flat[np.repeat(start[part] - last + n, n) + np.arange(last[-1])]
+            cut = np.concatenate([[0], last])[edge - edge[0]].tolist()
+            for row, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
+                yield self.whole(texts[first + row].as_py()) if whole[row] else ids[a:b]
 
     def learn_all(self, new: list[str]) -> None:
         """Learns stretches; one of 2^16 ids or more is marked, its texts go whole."""
@@ -228,16 +234,22 @@ def _tokeniser(path: str):
         enc = _encoder(path)
         part, end = TaskContext.get().partitionId(), np.array([END_ID], np.uint32)
         block, docs, parts, size = 0, [], [], 0
+        total = np.zeros(0, np.int64)
 
         def made():
+            nonlocal total
             # byte by byte of the ids, which compresses better
             ids = np.concatenate([x for p in parts for x in (p, end)]).astype("<u4")
             planes = ids.view(np.uint8).reshape(-1, 4).T.tobytes()
+            got = np.bincount(ids)
+            if len(got) > len(total):
+                total, got = got, total
+            total[:len(got)] += got
             return pa.RecordBatch.from_pylist([{
                 "part": part, "block": block, "doc_ids": docs, "lengths": [len(p) + 1 for p in parts],
                 "n_ids": len(planes) // 4, "planes": planes}], schema=_PLAIN_ARROW)
 
-        for b in batches:
+        for b in (whole.slice(at, STEP) for whole in batches for at in range(0, whole.num_rows, STEP)):
             for doc, ids in zip(b.column(0).to_pylist(), enc.batch(b.column(1)), strict=True):
                 parts.append(ids)
                 docs.append(doc)
@@ -247,6 +259,11 @@ def _tokeniser(path: str):
                     block, docs, parts, size = block + 1, [], [], 0
         if docs:
             yield made()
+        at = np.flatnonzero(total)
+        if len(at):  # the counts of the range: ids and how often, in the row of block -1
+            yield pa.RecordBatch.from_pylist([{
+                "part": part, "block": -1, "doc_ids": at.tolist(), "lengths": total[at].tolist(), "n_ids": 0,
+                "planes": b""}], schema=_PLAIN_ARROW)
     return rows
 
 
@@ -254,18 +271,6 @@ def _ids(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _count(batches):
-    total = np.zeros(0, np.int64)
-    for b in batches:
-        for planes in b.column(0).to_pylist():
-            got = np.bincount(_ids(planes))
-            if len(got) > len(total):
-                total, got = got, total
-            total[:len(got)] += got
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "count"])
-
-
 def _block_encoder(shared):
     def rows(batches):
         for b in batches:
@@ -298,8 +303,9 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str) -> None:
      .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
      .mapInArrow(_tokeniser(tokenizer_path), PLAIN).write.option("compression", "zstd").parquet(plain))
     blocks = spark.read.schema(PLAIN).parquet(plain)
-    rows = blocks.select("planes").mapInArrow(_count, "id long, count long").groupBy("id").agg(
-        F.sum("count").alias("count")).collect()  # one row per id of the vocabulary
+    counts = blocks.where("block < 0").select(F.explode(F.arrays_zip("doc_ids", "lengths")).alias("c"))
+    rows = counts.groupBy(F.col("c.doc_ids").alias("id")).agg(
+        F.sum("c.lengths").alias("count")).collect()  # one row per id of the vocabulary
     total = np.zeros(max((r["id"] for r in rows), default=0) + 1, np.int64)
     for r in rows:
         total[r["id"]] = r["count"]
@@ -307,7 +313,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str) -> None:
     spark.createDataFrame([(int(i), int(total[i]), int(freq[i])) for i in np.flatnonzero(total)],
                           "id long, count long, freq long").coalesce(1).write.parquet(f"{folder}/frequencies")
     shared = spark.sparkContext.broadcast(Tables(freq))
-    blocks.mapInArrow(_block_encoder(shared), BLOCKS).write.parquet(f"{folder}/blocks")
+    blocks.where("block >= 0").mapInArrow(_block_encoder(shared), BLOCKS).write.parquet(f"{folder}/blocks")
 
 
 def tables(spark: SparkSession, folder: str) -> Tables:
@@ -350,6 +356,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).select(
         "part", F.expr("sum(n) OVER (ORDER BY part) - n").alias("base"))
     starts = within.join(parts, "part").select("part", "block", (F.col("inside") + F.col("base")).alias("before"))
+    if blocks.count() <= BROADCAST_BLOCKS:
+        starts = F.broadcast(starts)
     return blocks.join(starts, ["part", "block"]).select(
         "part", "block", "before", "doc_ids", "lengths", "n_ids", "words",
         F.slice("checkpoints", 1, 1).alias("checkpoints"), "crc32").mapInArrow(
