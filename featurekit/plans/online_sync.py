@@ -10,6 +10,7 @@ plus an idempotent upsert = exactly-once state).
 from __future__ import annotations
 
 from pyspark.sql import Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featurekit.sinks.online_store import ParquetOnlineStore
@@ -33,6 +34,27 @@ class SyncState:
                        SYNC_STATE)
 
 
+def apply_changes(table: VersionedTable, store: ParquetOnlineStore, last: int | None, end: int,
+                  token: str | None = None) -> tuple[int, str]:
+    """Brings the store from snapshot ``last`` to ``end``; (store version, mode).
+
+    Appended and replacing rows are merged. A record whose date a newer commit replaced
+    is retracted, and its key gets its latest record that is still in the table, or
+    leaves the store. When ``last`` is unknown or no ancestor of ``end``, the whole table replaces the state."""
+    changes, mode = table.incremental(last, end, with_snapshot_id=True)
+    if mode == "full":
+        return store.upsert(changes, token, replace=True), mode
+    ranges = table.replaced_since(last, end)
+    if not ranges:
+        return store.upsert(changes, token), mode
+    stale = F.lit(False)
+    for lo, hi in ranges:
+        stale = stale | F.col(table.date_col).between(F.lit(lo), F.lit(hi))
+    gone = store.current().filter(stale & (F.col("_snapshot_id") <= last)).select(store.key).distinct()
+    refill = table.scan(snapshot_id=end, with_snapshot_id=True).join(gone, store.key, "left_semi")
+    return store.upsert(changes.unionByName(refill), token, retract=gone), mode
+
+
 def run_online_sync(table: VersionedTable, store: ParquetOnlineStore, state: SyncState,
                     table_name: str = "user_features_daily") -> dict:
     last = state.get(table_name)
@@ -41,7 +63,6 @@ def run_online_sync(table: VersionedTable, store: ParquetOnlineStore, state: Syn
         return {"status": "empty"}
     if last == end:
         return {"status": "up_to_date", "snapshot_id": end}
-    changes, mode = table.incremental(last, end, with_snapshot_id=True)
-    v = store.upsert(changes)
+    v, mode = apply_changes(table, store, last, end)
     state.set(table_name, end)
     return {"status": "synced", "mode": mode, "from": last, "to": end, "store_version": v}

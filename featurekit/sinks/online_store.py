@@ -25,7 +25,7 @@ from featurekit.operators import serving
 from featurekit.sources import metalog
 
 VERSIONS = T.StructType([T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType()),
-                         T.StructField("token", T.StringType())])
+                         T.StructField("token", T.StringType()), T.StructField("empty", T.BooleanType())])
 LAYOUT = T.StructType([T.StructField("buckets", T.IntegerType())])
 DEFAULT_BUCKETS = 16
 
@@ -60,6 +60,7 @@ class ParquetOnlineStore:
         for r in sorted(self._log(), key=lambda r: r.version):
             if before is None or r.version < before:
                 out[r.bucket] = r
+        out = {b: r for b, r in out.items() if not r.empty}
         return out
 
     def version(self) -> int | None:
@@ -80,9 +81,11 @@ class ParquetOnlineStore:
         """The whole state (or as it was before version ``before``)."""
         return self._read(self._layout(before))
 
-    def upsert(self, updates: DataFrame, token: str | None = None) -> int:
+    def upsert(self, updates: DataFrame, token: str | None = None, retract: DataFrame | None = None,
+               replace: bool = False) -> int:
         """Merge ``updates`` into the touched buckets; returns the version written (with
-        a token that is in the log: the version that applied it)."""
+        a token that is in the log: the version that applied it). The state of the keys
+        in ``retract`` is dropped first; ``replace`` drops the whole state."""
         if token is not None:
             applied = [r.version for r in self._log() if r.token == token]
             if applied:
@@ -100,19 +103,32 @@ class ParquetOnlineStore:
         staged = f"{self.path}/_updates/v={v}"
         (serving.latest_per_key(u, self.key, self.order, with_keys=["_bucket"])
          .withColumnRenamed("_bucket", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(staged))
-        touched = self._written_buckets(staged)
+        new = self._written_buckets(staged)
+        layout = self._layout()
+        touched = set(new)
+        if replace:
+            touched |= set(layout)
+        elif retract is not None:  # bucket numbers only
+            gone = retract.select(self.key).distinct().withColumn("_bucket", self._bucket_of(self.key))
+            touched |= {r[0] for r in gone.select("_bucket").distinct().collect()} & set(layout)
         if not touched:
             return v - 1
-        layout = self._layout()
-        u = self.spark.read.schema(self.schema).parquet(*[f"{staged}/bucket={b}" for b in touched])
-        both = self._read(layout, set(touched)).unionByName(u) if layout else u
+        touched = sorted(touched)
+        both = (self.spark.read.schema(self.schema).parquet(*[f"{staged}/bucket={b}" for b in new]) if new
+                else self.spark.createDataFrame([], self.schema))
+        if layout and not replace:
+            state = self._read(layout, set(touched))
+            if retract is not None:
+                state = state.join(gone.select(self.key), self.key, "left_anti").select(*self.schema.names)
+            both = state.unionByName(both)
         # one shuffle by bucket, then the latest-per-key aggregate (grouped by bucket and
         # key) runs without another, and each bucket is written by exactly one task
         both = both.withColumn("_bucket", self._bucket_of(self.key)).repartition("_bucket")
         merged = serving.latest_per_key(both, self.key, self.order, with_keys=["_bucket"])
         out = f"{self.path}/v={v}"
         merged.withColumnRenamed("_bucket", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(out)
-        rows = [Row(version=v, bucket=b, token=token) for b in touched]
+        kept = set(self._written_buckets(out))
+        rows = [Row(version=v, bucket=b, token=token, empty=b not in kept) for b in touched]
         metalog.append(self.spark, f"{self.path}/_versions", rows, VERSIONS)
         self._log().extend(rows)
         self._remove(staged)

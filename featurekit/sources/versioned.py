@@ -367,6 +367,22 @@ class VersionedTable:
             sid = c.parent_id
         return parts
 
+    def replaced_since(self, start_exclusive: int, end: int) -> list[tuple[dt.date, dt.date]]:
+        """Date ranges that commits after ``start_exclusive`` up to ``end`` replaced and that
+        were live at the start."""
+        ranges = Intervals()
+        for sid in self.ancestors(end):
+            if sid == start_exclusive:
+                break
+            c = self._commit(sid)
+            if c.operation == "overwrite" and c.replaced:
+                ranges.add(*c.replaced)
+        before = []
+        for data_id, live, _ in self._parts(start_exclusive):
+            own = self._commit(data_id).replaced
+            before += live or [own or (dt.date.min, dt.date.max)]
+        return [(a, b) for a, b in ranges.spans() if any(lo <= b and a <= hi for lo, hi in before)]
+
     def _rows_between(self, sid: int | None, first, last) -> int:
         """Rows visible at ``sid`` with a date in the range; no job when no live
         snapshot can hold any."""

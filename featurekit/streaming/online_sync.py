@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurekit import schemas
+from featurekit.plans.online_sync import apply_changes
 from featurekit.sinks.online_store import ParquetOnlineStore
 from featurekit.sources.versioned import VersionedTable
 
@@ -31,8 +32,7 @@ def sync_batch_fn(table: VersionedTable, store: ParquetOnlineStore, checkpoint:
             return
         start, end = moves[0].prev_snapshot_id, moves[-1].snapshot_id
         table._commits = table._refs = None  # re-read metadata written since the last batch
-        changes, _ = table.incremental(start, end, with_snapshot_id=True)
-        store.upsert(changes, token=f"{query_id(table.spark, checkpoint)}:{epoch_id}")
+        apply_changes(table, store, start, end, token=f"{query_id(table.spark, checkpoint)}:{epoch_id}")
     return fn
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from featurekit import schemas
 from featurekit.operators.features import UserFeaturesDaily
 from featurekit.plans import history
-from featurekit.plans.backfill import filter_dates
+from featurekit.plans.backfill import filter_dates, run_backfill
 from featurekit.plans.online_sync import SyncState, run_online_sync
 from featurekit.session import fresh_dir
 from featurekit.sinks.online_store import ParquetOnlineStore
@@ -81,7 +81,7 @@ def online_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sync_rounds(spark, sf_dir, stream: bool):
     h = history.History(spark, sf_dir)
-    a, b, _ = h.batches
+    a, b, c = h.batches
     store = _store(spark)
     state = SyncState(spark, fresh_dir(spark, "sync_state"))
     ckpt = fresh_dir(spark, "sync_checkpoint")
@@ -92,18 +92,46 @@ def _sync_rounds(spark, sf_dir, stream: bool):
     h.run(b, "b")
     sync()
     sync()  # nothing new: a no-op
+    h.run(c, "c")
+    sync()
     return store
 
 
-@register("online_sync_two_rounds", latest_sql("batch IN (0, 1)"))
+@register("online_sync_two_rounds", latest_sql())
 def online_sync_two_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full sync after run a, incremental (1, 2] after run b, then an
     up-to-date no-op; the store equals latest-per-user of main."""
     return _sync_rounds(spark, sf_dir, stream=False).current().drop("_snapshot_id")
 
 
-@register("online_sync_stream", latest_sql("batch IN (0, 1)"))
+@register("online_sync_stream", latest_sql())
 def online_sync_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same sync as an ``availableNow`` Structured Streaming query over
     main's refs log (three runs: full, incremental, nothing)."""
     return _sync_rounds(spark, sf_dir, stream=True).current().drop("_snapshot_id")
+
+
+@register("online_sync_after_rerun", latest_sql("NOT (batch = 2 AND user_id % 5 = 0)"))
+def online_sync_after_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After a first sync the last date range is backfilled again without some
+    users; the next sync retracts their replaced records and falls back to the latest
+    that are still in the table."""
+    h = history.all_published(spark, sf_dir)
+    store, state = _store(spark), SyncState(spark, fresh_dir(spark, "sync_state"))
+    run_online_sync(h.table, store, state)
+    b = h.batches[2]
+    run_backfill(h.table, h.events.filter(F.col("user_id") % 5 != 0), b.start, b.end, "c2")
+    run_online_sync(h.table, store, state)
+    return store.current().drop("_snapshot_id")
+
+
+@register("online_sync_new_checkpoint", latest_sql())
+def online_sync_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sync stream is started anew with an empty checkpoint, so its epochs count
+    from 0 again; versions go on growing and no key is lost."""
+    h = history.History(spark, sf_dir)
+    store = _store(spark)
+    for b, run_id in zip(h.batches, "abc"):
+        h.run(b, run_id)
+        run_sync_stream(h.table, store, fresh_dir(spark, "sync_checkpoint"))
+    return store.current().drop("_snapshot_id")
