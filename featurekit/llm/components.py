@@ -15,17 +15,12 @@ def connected(edges: DataFrame) -> DataFrame:
     rounds are logarithmic. Every step is a join of written tables."""
     edges = written(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct(), "edges")
     done = None
-    while True:
+    while done is None or not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         point = written(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m"))
                         .select("v", F.least("v", "m").alias("root")), "hooks")
-        if point.isEmpty():
-            return done if done is not None else point
         while True:
-            up = point.select(F.col("v").alias("u"), F.col("root").alias("next"))
-            step = point.join(up, point.root == up.u, "left").select(
-                "v", F.coalesce("next", "root").alias("root"), (F.col("next") < F.col("root")).alias("moved"))
-            step = written(step, "jumps")
+            step = written(_jump(_jump(point)), "jumps")
             point = step.select("v", "root")
             if step.where("moved").isEmpty():
                 break
@@ -38,3 +33,11 @@ def connected(edges: DataFrame) -> DataFrame:
         a, b = (point.select(F.col("v").alias(x), F.col("root").alias(f"r{x}")) for x in ("a", "b"))
         edges = written(edges.join(a, "a").join(b, "b").where("ra != rb")
                         .select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "edges")
+    return done
+
+
+def _jump(point: DataFrame) -> DataFrame:
+    """Every pointer moved on to where its target points."""
+    up = point.select(F.col("v").alias("u"), F.col("root").alias("next"))
+    return point.join(up, point.root == up.u, "left").select(
+        "v", F.coalesce("next", "root").alias("root"), F.coalesce(F.col("next") < F.col("root"), F.lit(False)).alias("moved"))

@@ -21,10 +21,10 @@ sets form a class; only classes are joined. Two sets link when
 3. Candidates. Sets that share a signature are not paired with each other: each
    signature's sets are compared with one pivot (chosen by hash, a few different ones per
    group), links verified, components formed, and only signatures that still span several
-   components go on: more pivots, then every pair from different components, compared by
-   size and sketch inside the tasks that hold a block of the group; only what passes becomes
-   a row. No link that would join two components is missed, and a group of m near copies
-   costs about m comparisons. A candidate is verified by size, by a 512-bit parity sketch whose distance
+   components go on. Their sets are compared by size and sketch inside the tasks that hold a
+   block of the group, and only what passes becomes a row: first as many pairs as would
+   join the components, and at last, of components still apart, every pair. No link that
+   would join two components is missed. A candidate is verified by size, by a 512-bit parity sketch whose distance
    never exceeds the symmetric difference, then by the sets themselves.
 
 Which tokens are shared and which frequent is read from two bitmaps of fixed size. A bit
@@ -60,7 +60,6 @@ STEP = 500
 SMALL = 16
 SKETCH_BITS = 512
 PIVOT_KINDS = 8
-STAR_ROUNDS = 2
 #: Members of a group's block, and pairs compared at a time.
 BLOCK = 1024
 PAIRS = 1 << 19
@@ -216,9 +215,28 @@ def _words(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
 
 
-def _cross_pairs(percent: int):
-    """Near pairs of different components within each run of equal (sig, i, j); rows come
-    sorted by them. Of blocks i and j only pairs across are compared."""
+def _spanning(run: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Indexes of pairs (a, b) that join components within each run, as in a forest."""
+    order = np.unique(np.stack([run, np.minimum(a, b), np.maximum(a, b)]), axis=1, return_index=True)[1]
+    kept, now, up = [], -1, {}
+    for k in order.tolist():
+        if run[k] != now:
+            now, up = run[k], {}
+        x, y = int(a[k]), int(b[k])
+        while up.get(x, x) != x:
+            x = up[x]
+        while up.get(y, y) != y:
+            y = up[y]
+        if x != y:
+            up[x] = y
+            kept.append(k)
+    return kept
+
+
+def _cross_pairs(percent: int, forest: bool):
+    """Near pairs of different components within each run of equal (sig, i, j), all or as
+    many as would join the components; rows come sorted by (sig, i, j). Of blocks i and j
+    only pairs across are compared."""
     def pairs(t: pa.Table):
         key = np.arange(t.num_rows)
         change = np.ones(t.num_rows, bool)
@@ -229,6 +247,7 @@ def _cross_pairs(percent: int):
         start = np.flatnonzero(~change)
         size = np.diff(np.append(start, t.num_rows))
         follow = np.repeat(start + size, size) - key - 1  # rows after this one in its run
+        run = np.cumsum(~change)
         n, side, across = (np.asarray(t[c], np.int64) for c in ("n", "side", "across"))
         root = t["root"].combine_chunks().dictionary_encode().indices.to_numpy()
         words = _words(t["sketch"])
@@ -242,7 +261,11 @@ def _cross_pairs(percent: int):
             left, right = left[ok], right[ok]
             ok = _near(n[left], n[right], lambda at, x=left: words[x[at]], lambda at, x=right: words[x[at]], percent)
             if ok.any():
-                a, b = (t["fp"].take(pa.array(x[ok])).to_pylist() for x in (left, right))
+                left, right = left[ok], right[ok]
+                if forest:
+                    few = _spanning(run[left], root[left], root[right])
+                    left, right = left[few], right[few]
+                a, b = (t["fp"].take(pa.array(x)).to_pylist() for x in (left, right))
                 both = {(x, y) if x < y else (y, x) for x, y in zip(a, b, strict=True)}
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in both], pa.binary()),
                                                   pa.array([y for _, y in both], pa.binary())], ["a", "b"])
@@ -318,7 +341,7 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     def pair(x, y):
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    def cross(members: DataFrame) -> DataFrame:
+    def cross(members: DataFrame, forest: bool) -> DataFrame:
         """Pairs of different components, a group in blocks of about ``BLOCK`` members:
         every two blocks meet in one place, so a large group is spread over many tasks."""
         sizes = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
@@ -329,20 +352,20 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
                            (F.col("own") > F.col("other")).cast("int").alias("side"),
                            (F.col("own") != F.col("other")).cast("int").alias("across"), "fp", "n", "root", "sketch")
         return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(
-            _cross_pairs(percent), "a binary, b binary")
+            _cross_pairs(percent, forest), "a binary, b binary")
 
     links, roots, open_ = None, None, groups
-    for r in range(STAR_ROUNDS + 1):
-        if r < STAR_ROUNDS:
-            chosen = F.xxhash64("fp", F.lit(r), F.pmod("sig", F.lit(PIVOT_KINDS)))
+    for step in ("pivots", "forest", "all"):
+        if step == "pivots":
+            chosen = F.xxhash64("fp", F.pmod("sig", F.lit(PIVOT_KINDS)))
             pivots = open_.groupBy("sig").agg(F.min_by("fp", F.struct(chosen, "fp")).alias("p"))
             pairs = open_.join(pivots, "sig").where("fp != p").select(*pair(F.col("fp"), F.col("p")))
         else:
-            pairs = cross(open_)
+            pairs = cross(open_, step == "forest")
         found = written(verified(pairs.distinct()), "links")
         links = found if links is None else links.union(found)
         roots = connected(links)
-        if r == STAR_ROUNDS:
+        if step == "all":
             break
         rooted = groups.join(roots.select(F.col("v").alias("fp"), "root"), "fp", "left").withColumn(
             "root", F.coalesce("root", "fp"))
