@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException, ParseException
 
 from featurekit import schemas
-from featurekit.functions.labels import escaped
+from featurekit.functions.labels import escaped, labels_key
 from featurekit.functions import timeutil as tu
 from featurekit.operators import metrics as M
 
@@ -49,39 +49,43 @@ def rules_df(spark: SparkSession, rules=DEFAULT_RULES) -> DataFrame:
 
 
 def tick_aggregates(metrics: DataFrame, tick_seconds: int = 3600) -> DataFrame:
-    """Per-tick aggregate columns the rule predicates refer to.
+    """Per-tick aggregate columns the rule predicates refer to: what a collector would
+    show at the end of the tick. Counters and histograms are summed since the start,
+    a gauge keeps its last value until it is set again.
 
-    One scan: metrics are first reduced to one row per (tick, series) — sum,
-    last value, histogram bucket counts — with partial aggregation, then
-    folded per tick from that small table. Gauges use their last value per
-    series inside the tick; counters are summed; the latency p99 is the bucket
-    estimate of the tick's histogram.
+    Metrics are first reduced to one row per (tick, series) with partial aggregation.
+    The running sums go over the ticks (one row each); a gauge is repeated for the
+    ticks it is not set in, so that part is (series x ticks), never metric rows.
     """
     v, name, typ = F.col("value"), F.col("name"), F.col("type")
     m = metrics.withColumn("_tick", F.floor(tu.epoch_seconds("ts") / tick_seconds))
     lat = (name == "prediction_latency_seconds") & (typ == "histogram")
-    # counters and histograms: one hash aggregate per tick (fixed-width buffers)
-    sums = m.filter(typ != "gauge").groupBy("_tick").agg(
+    bounds = list(enumerate(M.DEFAULT_BUCKETS))
+    sums = m.groupBy("_tick").agg(
         F.coalesce(F.sum(F.when((typ == "counter") & name.contains("failure"), v)), F.lit(0.0)).alias("failures"),
-        F.array(*[F.count_if(lat & (v <= F.lit(b))) for b in M.DEFAULT_BUCKETS]).alias("_cum"),
-        F.count_if(lat).alias("_n"))
-    # gauges: last value per (tick, series) — the (ts, seq) order needs a struct
-    # buffer (sort-based aggregate), so only gauge rows take that path
-    last = (m.filter(typ == "gauge").groupBy("_tick", "name", "labels")
-            .agg(F.max_by(v, F.struct("ts", "seq")).alias("last"))
-            .groupBy("_tick").agg(
-                F.max(F.when(name.contains("null_rate"), F.col("last"))).alias("max_null_rate"),
-                F.max(F.when(name.contains("drift_detected"), F.col("last"))).alias("max_drift_detected"),
-                F.max(F.when(name.contains("model_age_hours"), F.col("last"))).alias("max_model_age"),
-                F.count_if(name.contains("online_store_keys") & (F.col("last") == 0)).alias("store_zero")))
-    per_tick = (sums.join(last, "_tick", "full_outer")
-                .withColumn("failures", F.coalesce("failures", F.lit(0.0)))
+        *[F.count_if(lat & (v <= F.lit(b))).alias(f"_c{i}") for i, b in bounds], F.count_if(lat).alias("_n"))
+    so_far = Window.orderBy("_tick").rowsBetween(Window.unboundedPreceding, 0)
+    sums = sums.select("_tick", *[F.sum(c).over(so_far).alias(c) for c in sums.columns if c != "_tick"])
+    # last value per (tick, series): the (ts, seq) order needs a struct buffer, so only
+    # gauge rows take that path
+    last = (m.filter(typ == "gauge").groupBy("_tick", "name", labels_key().alias("series"))
+            .agg(F.max_by(v, F.struct("ts", "seq")).alias("last")))
+    # the same tick bound on both sides: no series runs past the last tick
+    end = sums.agg(F.max("_tick").alias("_end"))
+    until = F.lead("_tick").over(Window.partitionBy("name", "series").orderBy("_tick"))
+    held = (last.withColumn("_until", until).join(F.broadcast(end))  # one row
+            .withColumn("_tick", F.explode(F.sequence("_tick", F.coalesce(F.col("_until") - 1, "_end")))))
+    gauges = held.groupBy("_tick").agg(
+        F.max(F.when(name.contains("null_rate"), F.col("last"))).alias("max_null_rate"),
+        F.max(F.when(name.contains("drift_detected"), F.col("last"))).alias("max_drift_detected"),
+        F.max(F.when(name.contains("model_age_hours"), F.col("last"))).alias("max_model_age"),
+        F.count_if(name.contains("online_store_keys") & (F.col("last") == 0)).alias("store_zero"))
+    per_tick = (sums.join(gauges, "_tick", "left")
                 .withColumn("store_zero", F.coalesce("store_zero", F.lit(0)).cast("long"))
-                .withColumn("_n", F.coalesce("_n", F.lit(0)).cast("long"))
-                .withColumn("_cum", F.coalesce("_cum", F.array(*[F.lit(0).cast("long")] * len(M.DEFAULT_BUCKETS)))))
+                .withColumn("_cum", F.array(*[F.col(f"_c{i}") for i, _ in bounds])))
     return (per_tick.withColumn("p99_latency", M.percentile_from_buckets(F.col("_cum"), F.col("_n"), 0.99))
             .withColumn("t", tu.from_epoch_seconds(F.col("_tick") * tick_seconds))
-            .drop("_cum", "_n", "_tick"))
+            .drop("_cum", "_n", "_tick", *[f"_c{i}" for i, _ in bounds]))
 
 
 def conditions(ticks: DataFrame, rules: DataFrame) -> DataFrame:

@@ -54,18 +54,22 @@ _P99 = ("CASE WHEN n = 0 THEN 0.0 " + " ".join(
     f"WHEN c{i} >= n * 0.99 THEN {([BOUNDS[0] / 2] + [(BOUNDS[j - 1] + BOUNDS[j]) / 2 for j in range(1, len(BOUNDS))])[i]!r}"
     for i in range(len(BOUNDS))) + f" ELSE {BOUNDS[-1]!r} END")
 
+_SO_FAR = "OVER (ORDER BY t ROWS UNBOUNDED PRECEDING)"
 TICKS_SQL = f"""
 WITH m AS (SELECT date_trunc('hour', ts) AS t, * FROM ({METRICS_SQL})),
 g AS (SELECT t, name, labels, arg_max(value, (ts, seq)) AS last FROM m WHERE type = 'gauge' GROUP BY 1, 2, 3),
-ga AS (SELECT t, max(last) FILTER (WHERE contains(name, 'null_rate')) AS max_null_rate,
+gi AS (SELECT *, lead(t) OVER (PARTITION BY name, labels ORDER BY t) AS until FROM g),
+ga AS (SELECT k.t, max(last) FILTER (WHERE contains(name, 'null_rate')) AS max_null_rate,
               max(last) FILTER (WHERE contains(name, 'drift_detected')) AS max_drift_detected,
               max(last) FILTER (WHERE contains(name, 'model_age_hours')) AS max_model_age,
               count(*) FILTER (WHERE contains(name, 'online_store_keys') AND last = 0) AS store_zero
-       FROM g GROUP BY t),
-ca AS (SELECT t, coalesce(sum(value) FILTER (WHERE type = 'counter' AND contains(name, 'failure')), 0) AS failures,
+       FROM (SELECT DISTINCT t FROM m) k JOIN gi ON k.t >= gi.t AND (gi.until IS NULL OR k.t < gi.until) GROUP BY k.t),
+ch AS (SELECT t, coalesce(sum(value) FILTER (WHERE type = 'counter' AND contains(name, 'failure')), 0) AS failures,
               {", ".join(f"count(*) FILTER (WHERE name = 'prediction_latency_seconds' AND type = 'histogram' AND value <= {b}) AS c{i}" for i, b in enumerate(BOUNDS))},
               count(*) FILTER (WHERE name = 'prediction_latency_seconds' AND type = 'histogram') AS n
-       FROM m GROUP BY t)
+       FROM m GROUP BY t),
+ca AS (SELECT t, sum(failures) {_SO_FAR} AS failures, sum(n) {_SO_FAR} AS n,
+              {", ".join(f"sum(c{i}) {_SO_FAR} AS c{i}" for i in range(len(BOUNDS)))} FROM ch)
 SELECT ca.t, failures, CAST(({_P99}) AS DOUBLE) AS p99_latency, max_null_rate, max_drift_detected, max_model_age,
        coalesce(store_zero, 0) AS store_zero
 FROM ca LEFT JOIN ga ON ca.t = ga.t"""

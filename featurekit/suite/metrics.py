@@ -4,9 +4,11 @@ Metrics table derivation from ``events`` (one narrow explode, identical in the
 oracle SQL): every event increments ``events_total{event_type}``; error events
 increment ``job_failure_total{job_type,error_type}``, others
 ``job_success_total{job_type}``; clicks and views observe
-``prediction_latency_seconds{model}`` = value / 1000; purchases increment
-``predictions_total{model}``; signups set ``feature_null_rate{feature}`` =
-value / 1000; views set ``online_store_keys{store_type}`` = floor(value).
+``prediction_latency_seconds{model}`` = value / 1000 (every tenth event: value / 100);
+purchases increment ``predictions_total{model}`` and set ``model_age_hours{model}`` =
+3 * value; signups set ``feature_null_rate{feature}`` = value / 1000 and
+``feature_drift_detected{feature}`` = 1 where value > 50; views set
+``online_store_keys{store_type}`` = floor(value).
 """
 
 from __future__ import annotations
@@ -51,12 +53,15 @@ def metrics_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         m(1, "job_failure_total", "counter",
           F.create_map(F.lit("job_type"), jt, F.lit("error_type"), er), F.lit(1.0), et == "error"),
         m(1, "job_success_total", "counter", F.create_map(F.lit("job_type"), jt), F.lit(1.0), et != "error"),
-        m(2, "prediction_latency_seconds", "histogram", F.create_map(F.lit("model"), model), v / 1000.0,
-          et.isin("click", "view")),
+        m(2, "prediction_latency_seconds", "histogram", F.create_map(F.lit("model"), model),
+          F.when(eid % 10 == 0, v / 100.0).otherwise(v / 1000.0), et.isin("click", "view")),
         m(3, "predictions_total", "counter", F.create_map(F.lit("model"), model), F.lit(1.0), et == "purchase"),
         m(4, "feature_null_rate", "gauge", F.create_map(F.lit("feature"), feat), v / 1000.0, et == "signup"),
         m(5, "online_store_keys", "gauge", F.create_map(F.lit("store_type"), F.lit("parquet")), F.floor(v),
           et == "view"),
+        m(6, "model_age_hours", "gauge", F.create_map(F.lit("model"), model), v * 3.0, et == "purchase"),
+        m(7, "feature_drift_detected", "gauge", F.create_map(F.lit("feature"), feat), (v > 50).cast("double"),
+          et == "signup"),
     )
     # inline + null filter instead of a filter() lambda: stays in generated code
     return (ev.select(F.col("timestamp").alias("ts"), eid, F.inline(rows))
@@ -78,13 +83,18 @@ UNION ALL SELECT ts, event_id * 10 + 1, 'job_failure_total', 'counter',
 UNION ALL SELECT ts, event_id * 10 + 1, 'job_success_total', 'counter', 'job_type=' || {_JT}, 1.0, {_JT}, NULL
        FROM events WHERE event_type <> 'error'
 UNION ALL SELECT ts, event_id * 10 + 2, 'prediction_latency_seconds', 'histogram', 'model=' || {_MODEL},
-       value / 1000.0, {_MODEL}, NULL FROM events WHERE event_type IN ('click', 'view')
+       CASE WHEN event_id % 10 = 0 THEN value / 100.0 ELSE value / 1000.0 END, {_MODEL}, NULL
+       FROM events WHERE event_type IN ('click', 'view')
 UNION ALL SELECT ts, event_id * 10 + 3, 'predictions_total', 'counter', 'model=' || {_MODEL}, 1.0, {_MODEL}, NULL
        FROM events WHERE event_type = 'purchase'
 UNION ALL SELECT ts, event_id * 10 + 4, 'feature_null_rate', 'gauge', 'feature=' || {_FEAT}, value / 1000.0,
        {_FEAT}, NULL FROM events WHERE event_type = 'signup'
 UNION ALL SELECT ts, event_id * 10 + 5, 'online_store_keys', 'gauge', 'store_type=parquet', floor(value),
-       'parquet', NULL FROM events WHERE event_type = 'view'"""
+       'parquet', NULL FROM events WHERE event_type = 'view'
+UNION ALL SELECT ts, event_id * 10 + 6, 'model_age_hours', 'gauge', 'model=' || {_MODEL}, value * 3.0, {_MODEL}, NULL
+       FROM events WHERE event_type = 'purchase'
+UNION ALL SELECT ts, event_id * 10 + 7, 'feature_drift_detected', 'gauge', 'feature=' || {_FEAT},
+       CASE WHEN value > 50 THEN 1.0 ELSE 0.0 END, {_FEAT}, NULL FROM events WHERE event_type = 'signup'"""
 
 BOUNDS = M.DEFAULT_BUCKETS
 LES = [repr(float(b)) for b in BOUNDS]
