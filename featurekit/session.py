@@ -8,6 +8,7 @@ create one ourselves.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -67,9 +68,31 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared root for one job run."""
-    return f"{shared_root(spark)}/featurekit/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique folder below the shared root for one job run. Results may read it
+    for as long as the application lives; it is removed when the application ends."""
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    path = f"{shared_root(spark)}/featurekit/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def _remove_scratch() -> None:
+    """Deletes this application's run folders, if its session is still up."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    for path in _SCRATCH:
+        try:
+            p = sc._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001 - the JVM may be gone already; nothing is lost
+            return
 
 
 _SHIPPED: set = set()
