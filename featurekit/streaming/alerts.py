@@ -2,8 +2,8 @@
 
 ``applyInPandasWithState`` keyed by rule keeps (first_true, last_fired,
 active) between micro-batches; inside a batch a rule's rows are processed in
-time order. Input folders arrive in time order, one per
-chunk, and are read one chunk per trigger.
+time order. Input arrives in time order, a chunk of files
+at a time, and each run of the stream takes what has arrived as one batch.
 """
 
 from __future__ import annotations
@@ -41,21 +41,21 @@ def run_alert_stream(spark: SparkSession, conds: DataFrame, rules: DataFrame, ro
     c = conds.withColumn("ts", tu.epoch_seconds("t"))
     lo, hi = c.agg(F.min("ts"), F.max("ts")).first()
     span = (hi - lo + 1) / chunks
-    for i in range(chunks):  # arrive in time order, one file per chunk
+    for i in range(chunks):  # a chunk of time arrives, then a run takes all its files as one batch
         part = c.filter((F.col("ts") >= lo + i * span) & (F.col("ts") < lo + (i + 1) * span))
         part.select("rule", "ts", "cond").write.mode("append").parquet(f"{root}/input")
-    src = (spark.readStream.schema("rule string, ts long, cond boolean").option("maxFilesPerTrigger", 1)
-           .parquet(f"{root}/input"))
-    r = F.broadcast(rules.select(F.col("name").alias("rule"), "for_duration", "cooldown"))
-    events = (src.join(r, "rule")
-              .groupBy("rule")
-              .applyInPandasWithState(_evaluate, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
-    q = (events.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
-         .outputMode("append").trigger(availableNow=True).start(f"{root}/output"))
-    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("alert stream did not finish")
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
+        if i == 0:  # the folder exists now
+            src = spark.readStream.schema("rule string, ts long, cond boolean").parquet(f"{root}/input")
+            r = F.broadcast(rules.select(F.col("name").alias("rule"), "for_duration", "cooldown"))
+            events = (src.join(r, "rule")
+                      .groupBy("rule")
+                      .applyInPandasWithState(_evaluate, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
+        q = (events.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+             .outputMode("append").trigger(availableNow=True).start(f"{root}/output"))
+        q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+        if q.isActive:
+            q.stop()
+            raise TimeoutError("alert stream did not finish")
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
     return spark.read.schema(OUT_SCHEMA).parquet(f"{root}/output")
