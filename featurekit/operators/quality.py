@@ -26,16 +26,23 @@ class Rule:
         return f"{self.kind}:{self.column}" if self.column else self.kind
 
 
-KINDS = ("not_null", "range", "accepted_values", "unique", "min_rows", "null_rate", "mean_within")
+#: Rule kinds and the parameters each needs.
+KINDS = {"not_null": (), "range": ("min", "max"), "accepted_values": ("values",), "unique": (), "min_rows": ("min",),
+         "null_rate": ("max",), "mean_within": ("mean", "k", "stddev")}
 
 
 def rules_from_checks(checks: dict) -> list[Rule]:
-    """The reference check dict ``{column: requirement}``; unknown requirements raise."""
+    """The check dict ``{column: requirement}``: a kind without parameters by name, any
+    other as ``(kind, {parameter: value})``. Unknown kinds and missing parameters raise."""
     out = []
     for col, req in checks.items():
-        if req not in KINDS:
-            raise ValueError(f"unknown quality requirement {req!r} for column {col!r}")
-        out.append(Rule(req, col))
+        kind, params = (req, {}) if isinstance(req, str) else req
+        if kind not in KINDS:
+            raise ValueError(f"unknown quality requirement {kind!r} for column {col!r}")
+        missing = [p for p in KINDS[kind] if p not in params]
+        if missing:
+            raise ValueError(f"requirement {kind!r} for column {col!r} needs {', '.join(missing)}")
+        out.append(Rule(kind, col, dict(params)))
     return out
 
 

@@ -147,6 +147,19 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.evaluate(f, QUALITY_RULES)
 
 
+@register("quality_accepted_values", """
+SELECT 'accepted_values:event_type' AS rule, 'accepted_values' AS kind, 'event_type' AS "column",
+       round(CAST(count(*) FILTER (WHERE event_type NOT IN ('click', 'purchase', 'signup', 'view')) AS DOUBLE), 6) AS observed,
+       count(*) FILTER (WHERE event_type NOT IN ('click', 'purchase', 'signup', 'view')) AS failures,
+       count(*) FILTER (WHERE event_type NOT IN ('click', 'purchase', 'signup', 'view')) = 0 AS passed
+FROM events""")
+def quality_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values outside an accepted set, counted over the raw events."""
+    rules = quality.rules_from_checks(
+        {"event_type": ("accepted_values", {"values": ["click", "purchase", "signup", "view"]})})
+    return quality.evaluate(tables.raw_events(spark, sf_dir), rules)
+
+
 _PROFILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -218,3 +231,20 @@ def schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     v2 = v1.select("user_id", "date", F.col("event_count").cast("double"),
                    (F.col("total_value") / F.col("event_count")).alias("avg_value"))
     return quality.schema_changes(spark, v1.schema, v2.schema, "user_features_daily")
+
+
+@register("quality_check_last", f"""
+WITH f AS ({FEATURES_NULLS_SQL}),
+p AS (SELECT date, count(*) FILTER (WHERE user_id IS NULL) AS b0,
+             count(*) FILTER (WHERE total_value IS NULL) AS b1 FROM f GROUP BY date),
+o AS (SELECT 'not_null:user_id' AS "check", date, CASE WHEN b0 = 0 THEN 'passed' ELSE 'failed' END AS result FROM p
+      UNION ALL
+      SELECT 'not_null:total_value', date, CASE WHEN b1 = 0 THEN 'passed' ELSE 'failed' END FROM p)
+SELECT 'user_features_daily' AS "table", "check", CAST(max(date) AS VARCHAR) AS last_date, arg_max(result, date) AS result
+FROM o GROUP BY 2""")
+def quality_check_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last value of every quality check, by partition date."""
+    f = feat.UserFeaturesDaily().compute(tables.raw_events(spark, sf_dir, null_errors=True))
+    o = quality.check_outcomes_by_partition(f, {"user_id": "not_null", "total_value": "not_null"}, "date")
+    return (o.groupBy(F.lit("user_features_daily").alias("table"), "check")
+            .agg(F.max("date").alias("last_date"), F.max_by("result", "date").alias("result")))

@@ -83,6 +83,14 @@ def test_unknown_version_cannot_be_promoted(spark, tmp_table_dir):
         r.promote(spark.createDataFrame([("m", "2.0.0", 2, "production")], reg.PROMOTIONS))
 
 
+def test_checks_need_their_parameters():
+    import pytest
+    assert quality.rules_from_checks({"x": ("range", {"min": 0, "max": 1})})[0].params == {"min": 0, "max": 1}
+    for req in ("range", ("null_rate", {}), "nonsense"):
+        with pytest.raises(ValueError):
+            quality.rules_from_checks({"x": req})
+
+
 def test_no_checks_pass(spark):
     assert quality.validate(spark.range(3).toDF("x"), {}) is True
 
