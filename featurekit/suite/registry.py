@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featurekit.functions import timeutil as tu
-from featurekit.functions.sizing import broadcast_if_small
 from featurekit.operators import registry as reg
 from featurekit.operators import scoring
 from featurekit.operators.features import date_bounds
