@@ -24,7 +24,7 @@ sets form a class; only classes are joined. Two sets link when
    components go on. Their sets are compared by size and sketch inside the tasks that hold a
    block of the group, and only what passes becomes a row: first as many pairs as would
    join the components, and at last, of components still apart, every pair. No link that
-   would join two components is missed. A candidate is verified by size, by a 512-bit parity sketch whose distance
+   would join two components is missed. A candidate is verified by size, by a parity sketch whose distance
    never exceeds the symmetric difference, then by the sets themselves.
 
 Which tokens are shared and which frequent is read from two bitmaps of fixed size. A bit
@@ -58,7 +58,8 @@ FREQUENT = 32
 #: Texts whose sets are held at a time.
 STEP = 500
 SMALL = 16
-SKETCH_BITS = 512
+#: Bits of the shortest and the longest sketch.
+SKETCH_BITS = (512, 8192)
 PIVOT_KINDS = 8
 #: Members of a group's block, and pairs compared at a time.
 BLOCK = 1024
@@ -149,11 +150,46 @@ def flagged(tokens: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Bit i: whether an odd number of tokens fall on i."""
-    odd = np.bincount((_mix(tokens) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    """Bit i: whether an odd number of tokens fall on i, of as many bits as tokens (a power of
+    two within ``SKETCH_BITS``). A longer one folds to a shorter: its halves combine by xor."""
+    bits = SKETCH_BITS[0]
+    while bits < min(len(tokens), SKETCH_BITS[1]):
+        bits *= 2
+    odd = np.bincount((_mix(tokens) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+class Sketches:
+    """Sketches of many sets, folded to every length that they have or exceed."""
+
+    def __init__(self, column):
+        raw = column.to_pylist()
+        self.words = np.array([len(x) >> 3 for x in raw], np.int64)
+        self.at, self.row, rows, longer = {}, {}, np.zeros(0, np.int64), None
+        size = SKETCH_BITS[1] >> 6
+        while size >= SKETCH_BITS[0] >> 6:
+            own = np.flatnonzero(self.words == size)
+            m = np.frombuffer(b"".join([raw[i] for i in own.tolist()]), np.uint64).reshape(-1, size)
+            if longer is not None:
+                m = np.concatenate([longer[:, :size] ^ longer[:, size:], m])
+            rows = np.concatenate([rows, own])
+            self.at[size], self.row[size] = m, np.full(len(raw), -1, np.int64)
+            self.row[size][rows] = np.arange(len(rows))
+            longer, size = m, size // 2
+
+    def apart(self, i: np.ndarray, other: Sketches, j: np.ndarray) -> np.ndarray:
+        """Distances of the sketches i of these and j of the others, at the shorter's length."""
+        size, out = np.minimum(self.words[i], other.words[j]), np.zeros(len(i), np.int64)
+        for w in np.unique(size).tolist():
+            pairs = np.flatnonzero(size == w)
+            step = max(1, (1 << 22) // w)
+            for lo in range(0, len(pairs), step):
+                k = pairs[lo:lo + step]
+                x = self.at[w][self.row[w][i[k]]] ^ other.at[w][other.row[w][j[k]]]
+                out[k] = np.bitwise_count(x).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def _texts(batches):
     for whole in batches:
         for at in range(0, whole.num_rows, STEP):
@@ -193,28 +229,23 @@ def _set_rows(n: int, percent: int, shared):
 def _near_sketch(percent: int):
     def rows(batches):
         for b in batches:
-            xa, xb = _words(b.column("xa")), _words(b.column("xb"))
-            ok = _near(np.asarray(b.column("na"), np.int64), np.asarray(b.column("nb"), np.int64),
-                       xa.__getitem__, xb.__getitem__, percent)
+            each = np.arange(b.num_rows)
+            ok = _near(np.asarray(b.column("na"), np.int64), Sketches(b.column("xa")), each,
+                       np.asarray(b.column("nb"), np.int64), Sketches(b.column("xb")), each, percent)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
     return rows
 
 
-def _near(na, nb, xa, xb, percent: int) -> np.ndarray:
-    """Whether sizes and sketches allow a link."""
-    total = na + nb
+def _near(n, x: Sketches, i, m, y: Sketches, j, percent: int) -> np.ndarray:
+    """Whether sizes (n of i, m of j) and sketches allow a link."""
+    total = n[i] + m[j]
     least = -(-percent * total // (100 + percent))  # the smallest intersection that links
-    ok = np.minimum(na, nb) >= least
+    ok = np.minimum(n[i], m[j]) >= least
     at = np.flatnonzero(ok)
-    apart = np.bitwise_count(xa(at) ^ xb(at)).sum(axis=1, dtype=np.int64)
-    ok[at] = apart <= (total - 2 * least)[at]
+    ok[at] = x.apart(i[at], y, j[at]) <= (total - 2 * least)[at]
     return ok
 
 
-def _words(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
-
-
 def _spanning(run: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
     """Indexes of pairs (a, b) that join components within each run, as in a forest."""
     order = np.unique(np.stack([run, np.minimum(a, b), np.maximum(a, b)]), axis=1, return_index=True)[1]
@@ -250,7 +281,7 @@ def _cross_pairs(percent: int, forest: bool):
         run = np.cumsum(~change)
         n, side, across = (np.asarray(t[c], np.int64) for c in ("n", "side", "across"))
         root = t["root"].combine_chunks().dictionary_encode().indices.to_numpy()
-        words = _words(t["sketch"])
+        sketches = Sketches(t["sketch"])
         ends, lo = np.cumsum(follow), 0
         while lo < t.num_rows:
             base = ends[lo - 1] if lo else 0
@@ -259,7 +290,7 @@ def _cross_pairs(percent: int, forest: bool):
             right = left + 1 + np.arange(len(left)) - np.repeat(ends[lo:hi] - follow[lo:hi] - base, follow[lo:hi])
             ok = (root[left] != root[right]) & ((across[left] == 0) | (side[left] != side[right]))
             left, right = left[ok], right[ok]
-            ok = _near(n[left], n[right], lambda at, x=left: words[x[at]], lambda at, x=right: words[x[at]], percent)
+            ok = _near(n, sketches, left, n, sketches, right, percent)
             if ok.any():
                 left, right = left[ok], right[ok]
                 if forest:

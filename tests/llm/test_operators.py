@@ -212,6 +212,17 @@ def test_jaccard_odd_rows(odd, clashing, empty):
     assert jaccard.components(empty).count() == 0
 
 
+def test_sketches_never_exceed_the_difference():
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 500, 513, 1000, 1030, 5000, 9000, 20000)]
+    sets += [np.unique(np.concatenate([s, rng.integers(0, 2**63, 40).astype(np.uint64)])) for s in sets]
+    x = jaccard.Sketches(pa.array([jaccard.sketch(s) for s in sets]))
+    i, j = (v.ravel() for v in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    for a, b, d in zip(i, j, x.apart(i, x, j), strict=True):
+        assert d <= len(np.setxor1d(sets[a], sets[b])) and (d == 0 if a == b else d > 0)
+
+
 def test_components_on_a_path(spark):
     n = 70
     edges = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(n) if i != 40], "a string, b string")
