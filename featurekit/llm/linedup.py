@@ -2,8 +2,10 @@
 
 Documents that share a line are found through the line's hash. A rare line (in at most
 ``RARE_DOCS`` documents) pairs each of its documents with every earlier one, at most
-``RARE_DOCS - 1``; a line in more documents pairs each with its first holder only, so no
-line makes pairs by the square and every shared line is aligned with some earlier document.
+``RARE_DOCS - 1``; a line in more documents pairs each with its first holder only, and so
+does a run of adjacent lines that just reaches ``MIN_WORDS`` words. Nothing makes pairs by
+the square, and as such runs cover every block of that many words, every block that an
+earlier document holds is aligned with some earlier holder.
 Each pair is aligned by patience diff on the line hashes: lines unique in both are
 matched along their longest increasing run, the gaps between are aligned in turn, and
 matches grow over equal neighbours. An aligned block of at least ``MIN_WORDS`` words is
@@ -35,6 +37,8 @@ from featurekit.session import ship_package
 
 RARE_DOCS = 8
 MIN_WORDS = 12
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def line_hashes(text: str) -> tuple[list[int], list[int]]:
@@ -47,6 +51,35 @@ def line_hashes(text: str) -> tuple[list[int], list[int]]:
     return hashes, words
 
 
+def spans(words, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the shortest runs of ``min_words`` words from each line on and up
+    to each line; they cover every longer block."""
+    total = np.concatenate([[0], np.cumsum(np.asarray(words, dtype=np.int64))])
+    at = np.arange(len(total))
+    ends = np.searchsorted(total, total + min_words, "left")
+    starts = np.searchsorted(total, total - min_words, "right") - 1
+    on, up = ends < len(total), starts >= 0
+    return np.concatenate([at[on], starts[up]]), np.concatenate([ends[on], at[up]])
+
+
+def span_hashes(hashes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the lines of each run, by differences of prefix sums (signed 64 bits)."""
+    n = len(hashes)
+    up, down = (np.cumprod(np.concatenate([[1], np.full(n, x, dtype=np.uint64)]).astype(np.uint64)) for x in (_BASE, _INVERSE))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.asarray(hashes, dtype=np.int64).view(np.uint64) * up[:n])])
+    return ((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)).view(np.int64)
+
+
+def run_keys(hashes, words) -> list[int]:
+    """Hashes of the runs of several lines that start and end with a word."""
+    starts, ends = spans(words)
+    w = np.asarray(words, dtype=np.int64)
+    if not len(starts):
+        return []
+    several = (ends - starts > 1) & (w[starts] > 0) & (w[ends - 1] > 0)
+    return np.unique(span_hashes(hashes, starts[several], ends[several])).tolist()
+
+
 def patience(a, b) -> list[tuple[int, int]]:
     """Aligned positions of equal elements, ascending in both (patience diff)."""
     out: list[tuple[int, int]] = []
@@ -124,6 +157,10 @@ def _lines(batches):
                                           pa.array(ws, pa.list_(pa.int32()))], ["doc_id", "th", "lines", "words"])
 
 
+def _run_keys(lines: pd.Series, words: pd.Series) -> pd.Series:
+    return pd.Series([run_keys(a, w) for a, w in zip(lines, words, strict=True)])
+
+
 def _align(later: pd.Series, words: pd.Series, earlier: pd.Series) -> pd.Series:
     return pd.Series([common_blocks(a.tolist(), w.tolist(), b.tolist())
                       for a, w, b in zip(later, words, earlier, strict=True)])
@@ -156,7 +193,12 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
             .groupBy("line").agg(F.sort_array(F.collect_list("key")).alias("keys")))
     rare = rare.select("keys", F.posexplode("keys").alias("at", "later")).select(
         "later", F.explode(F.slice("keys", F.lit(1), F.col("at"))).alias("earlier"))
-    pairs = star.unionByName(rare).distinct()
+    runs = written(lines.where(F.size("lines") > 1).select(key, F.explode(
+        F.pandas_udf(_run_keys, "array<long>")("lines", "words")).alias("run")), "held-runs")
+    of = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first")).where("n > 1")
+    blocks = (runs.join(of, "run").where(F.col("key") > F.col("first"))
+              .select(F.col("key").alias("later"), F.col("first").alias("earlier")))
+    pairs = star.unionByName(rare).unionByName(blocks).distinct()
 
     whole = lines.select(key, "lines", "words")
     first = whole.select(F.col("key").alias("earlier"), F.col("lines").alias("from"))

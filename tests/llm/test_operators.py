@@ -391,6 +391,16 @@ def test_line_dedup(spark, odd, clashing, empty):
     assert linedup.deduplicated(empty).count() == 0
 
 
+def test_line_dedup_block_of_short_frequent_lines(spark):
+    a, b = "the first line has seven words here", "and the other one has seven too"
+    rows = [(0, f"{a}\nown zero", None, None, 1), (1, f"{b}\nown one", None, None, 1)]
+    rows += [(i, f"own start {i}\n{a}\n\n{b}\nown end {i}", None, None, 1) for i in range(2, 22)]
+    out = {r["doc_id"]: r for r in linedup.deduplicated(frame(spark, rows).repartition(4)).collect()}
+    assert [out[i]["dropped_lines"] for i in range(3)] == [0, 0, 0]
+    for i in range(3, 22):
+        assert out[i]["text"] == f"own start {i}\nown end {i}" and out[i]["aligned_with"] == [2]
+
+
 # ------------------------------------------------------------------- toxicity
 def test_toxicity_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
