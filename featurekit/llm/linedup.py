@@ -8,8 +8,10 @@ the square, and as such runs cover every block of that many words, every block t
 earlier document holds is aligned with some earlier holder.
 Each pair is aligned by patience diff on the line hashes: lines unique in both are
 matched along their longest increasing run, the gaps between are aligned in turn, and
-matches grow over equal neighbours. An aligned block of at least ``MIN_WORDS`` words is
-deleted from the later document (by doc_id, then text hash); its first occurrence stays.
+matches grow over equal neighbours. What that leaves (lines that repeat, or stand in
+another order) is looked up by runs of lines. A block of at least ``MIN_WORDS`` words that
+the earlier document holds is deleted from the later one (by doc_id, then text hash),
+wherever and however often it stands there; its first occurrence stays.
 
 Pairs carry line hashes, not texts: the arrays of lines are joined to the pairs by key,
 and the texts are only read again, in one join, by documents that lose lines.
@@ -65,7 +67,7 @@ def spans(words, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
 def span_hashes(hashes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of the lines of each run, by differences of prefix sums (signed 64 bits)."""
     n = len(hashes)
-    up, down = (np.cumprod(np.concatenate([[1], np.full(n, x, dtype=np.uint64)]).astype(np.uint64)) for x in (_BASE, _INVERSE))
+    up, down = (np.cumprod(np.array([1] + [x] * n, dtype=np.uint64)) for x in (_BASE, _INVERSE))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.asarray(hashes, dtype=np.int64).view(np.uint64) * up[:n])])
     return ((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)).view(np.int64)
 
@@ -133,17 +135,40 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def common_blocks(later, later_words, earlier, min_words: int = MIN_WORDS) -> list[int]:
-    """Lines of the later document in aligned blocks of at least ``min_words`` words."""
-    out, run, at = [], [], None
+def common_blocks(later, later_words, earlier, earlier_words, min_words: int = MIN_WORDS) -> list[int]:
+    """Lines of the later document in blocks of at least ``min_words`` words that the
+    earlier one holds: aligned ones, and then those that repeat or cross."""
+    out, run, at = set(), [], None
     for i, j in [*patience(later, earlier), (-5, -5)]:
         if at is None or (i, j) != (at[0] + 1, at[1] + 1):
             if sum(later_words[x] for x in run) >= min_words:
-                out.extend(run)
+                out.update(run)
             run = []
         run.append(i)
         at = (i, j)
-    return out
+    held = set(earlier)
+    if _left(later, later_words, held, out, min_words):
+        starts, ends = spans(later_words, min_words)
+        found = np.isin(span_hashes(later, starts, ends), span_hashes(earlier, *spans(earlier_words, min_words)))
+        edges = np.zeros(len(later) + 1, np.int64)
+        np.add.at(edges, starts[found], 1)
+        np.add.at(edges, ends[found], -1)
+        out.update(np.flatnonzero(np.cumsum(edges[:-1])).tolist())
+    return sorted(out)
+
+
+def _left(later, words, held: set, gone: set, min_words: int) -> bool:
+    """Whether a stretch of lines that the earlier document holds has enough words and a
+    line that is not gone."""
+    total, more = 0, False
+    for i, (x, n) in enumerate(zip(later, words, strict=True)):
+        if x not in held:
+            total, more = 0, False
+            continue
+        total, more = total + n, more or i not in gone
+        if more and total >= min_words:
+            return True
+    return False
 
 
 def _lines(batches):
@@ -161,9 +186,9 @@ def _run_keys(lines: pd.Series, words: pd.Series) -> pd.Series:
     return pd.Series([run_keys(a, w) for a, w in zip(lines, words, strict=True)])
 
 
-def _align(later: pd.Series, words: pd.Series, earlier: pd.Series) -> pd.Series:
-    return pd.Series([common_blocks(a.tolist(), w.tolist(), b.tolist())
-                      for a, w, b in zip(later, words, earlier, strict=True)])
+def _align(later: pd.Series, words: pd.Series, earlier: pd.Series, earlier_words: pd.Series) -> pd.Series:
+    return pd.Series([common_blocks(a.tolist(), w.tolist(), b.tolist(), v.tolist())
+                      for a, w, b, v in zip(later, words, earlier, earlier_words, strict=True)])
 
 
 def _cut(text: pd.Series, dropped: pd.Series) -> pd.Series:
@@ -201,9 +226,9 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     pairs = star.unionByName(rare).unionByName(blocks).distinct()
 
     whole = lines.select(key, "lines", "words")
-    first = whole.select(F.col("key").alias("earlier"), F.col("lines").alias("from"))
+    first = whole.select(F.col("key").alias("earlier"), F.col("lines").alias("from"), F.col("words").alias("from_words"))
     aligned = (pairs.join(first, "earlier").join(whole.withColumnRenamed("key", "later"), "later")
-               .withColumn("gone", F.pandas_udf(_align, "array<int>")("lines", "words", "from"))
+               .withColumn("gone", F.pandas_udf(_align, "array<int>")("lines", "words", "from", "from_words"))
                .where(F.size("gone") > 0).select("later", "earlier", "gone"))
     # a document's lines: bounded by its text; its partners: by its lines times RARE_DOCS
     return (aligned.groupBy("later").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("dropped"),

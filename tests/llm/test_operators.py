@@ -401,6 +401,32 @@ def test_line_dedup_block_of_short_frequent_lines(spark):
         assert out[i]["text"] == f"own start {i}\nown end {i}" and out[i]["aligned_with"] == [2]
 
 
+def held_before(texts, i):
+    """Lines with a word of text i in a block of MIN_WORDS that an earlier text holds."""
+    new, out = texts[i].split("\n"), set()
+    for old in (t.split("\n") for t in texts[:i]):
+        for s in range(len(new)):
+            for p in range(len(old)):
+                n = 0
+                while s + n < len(new) and p + n < len(old) and new[s + n] == old[p + n]:
+                    n += 1
+                if sum(len(x.split()) for x in new[s:s + n]) >= linedup.MIN_WORDS:
+                    out.update(x for x in range(s, s + n) if new[x].split())
+    return out
+
+
+def test_line_dedup_leaves_no_block(spark):
+    rng = np.random.default_rng(5)
+    pool = ["", " ", *(" ".join([f"w{i}"] * n) for i, n in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 9, 12, 13, 20]))]
+    texts = ["\n".join(rng.choice(pool, rng.integers(1, 25))) for _ in range(120)]
+    rows = [(i, t, None, None, 1) for i, t in enumerate(texts)]
+    out = {r["doc_id"]: r["text"] for r in linedup.deduplicated(frame(spark, rows).repartition(4)).collect()}
+    for i, t in enumerate(texts):
+        lost = held_before(texts, i)
+        want = [x for n, x in enumerate(t.split("\n")) if n not in lost and x.split()]
+        assert [x for x in out[i].split("\n") if x.split()] == want
+
+
 # ------------------------------------------------------------------- toxicity
 def test_toxicity_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
