@@ -1,7 +1,11 @@
 """Secret scan with a random forest that removes false positives.
 
 Candidates are the maximal runs of ``A-Za-z0-9+/_.@=-`` with a digit and at least
-``MIN_CHARS`` characters (after ``name=``, if the run starts so). The forest sees, per
+``MIN_CHARS`` characters (after ``name=``, if the run starts so), and whatever follows a
+credential name and ``=`` or ``:``, or starts with a provider's prefix: any characters, at
+any length, up to white space or the closing quote (unquoted values also end before
+``&name=`` and leave closing punctuation out). Of two that start together the longer
+counts. The forest sees, per
 candidate: length; character classes and their transitions, entropy, and the mean log
 probability of its letter pairs in the corpus; how much of it dictionary words cover
 (the most frequent words of the corpus, ``DICTIONARY_WORDS`` at most, counted over all
@@ -48,7 +52,11 @@ FLUSH = 400_000
 
 _DIGIT = re.compile(r"[0-9]")
 _RUN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.@=-")
-_ASSIGNED = re.compile(r"([A-Za-z_][\w.\-]*)\s{0,2}[:=]\s{0,2}[\"']?$")
+_ASSIGNED = re.compile(r"([A-Za-z_][\w.\-]*)[\"']?\s{0,2}(?::=|=>|[:=])\s{0,2}(?:(?:Bearer|Basic)\s)?[\"'`]?$")
+_GIVEN = re.compile(r"(?::=|=>|[:=])\s{0,2}(?:(?:Bearer|Basic)\s)?([\"'`]?)")
+_PREFIX = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA|gh[pousr]_|sk-|xox[abp]-)(?=[^\s\"'`])")
+_UNQUOTED = re.compile(r"(?:(?!&[\w.\-]+=)[^\s\"'`]|(?<=\w)[\"'`](?=\w))+")
+_QUOTED = {q: re.compile(rf"[^\s{q}]+") for q in "\"'`"}
 _NAMED = re.compile(r"([A-Za-z_][A-Za-z0-9_.\-]*)=(.+)", re.DOTALL)
 _CREDENTIAL = re.compile(r"passw|pwd|secret|token|api_?key|access_?key|credential|auth", re.IGNORECASE)
 _PROVIDER = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{20,}$|sk-[A-Za-z0-9]{20,}$|xox[abp]-[\w-]{10,}$")
@@ -58,8 +66,8 @@ _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 el
 FINDINGS = ("doc_id long, start long, end long, name string, sha256 string, weak int, features array<double>")
 
 
-def runs(text: str):
-    """(start, end) of the candidates of a text, in order."""
+def digit_runs(text: str):
+    """(start, end) of the runs with a digit and ``MIN_CHARS`` characters, in order."""
     at, n = 0, len(text)
     while m := _DIGIT.search(text, at):
         lo, hi = m.start(), m.end()
@@ -79,6 +87,39 @@ def runs(text: str):
             yield lo, end
 
 
+def given_values(text: str):
+    """(start, end) of the values of credential names and of what has a provider's prefix."""
+    for sign in _GIVEN.finditer(text):
+        before = text[max(0, sign.start() - CONTEXT):sign.end()]
+        if not _CREDENTIAL.search(before) or not (m := _ASSIGNED.search(before)) or not _CREDENTIAL.search(m.group(1)):
+            continue
+        if found := _value(text, sign.end(), sign.group(1)):
+            yield found
+    for m in _PREFIX.finditer(text):
+        if found := _value(text, m.start(), text[m.start() - 1:m.start()]):
+            yield found
+
+
+def _value(text: str, lo: int, before: str):
+    quoted = _QUOTED.get(before)
+    m = (quoted or _UNQUOTED).match(text, lo)
+    if not m:
+        return None
+    hi = m.end()
+    if not quoted:
+        while hi > lo and text[hi - 1] in ".,;:)]}>":
+            hi -= 1
+    return (lo, hi) if hi > lo else None
+
+
+def runs(text: str):
+    """(start, end) of the candidates of a text, in order."""
+    ends: dict[int, int] = {}
+    for lo, hi in (*digit_runs(text), *given_values(text)):
+        ends[lo] = max(hi, ends.get(lo, 0))
+    return sorted(ends.items())
+
+
 def covered(value: str, words: frozenset) -> float:
     """Share of the characters in dictionary words, the longest first from the left."""
     low, at, got = value.lower(), 0, 0
@@ -168,8 +209,10 @@ def dictionary(docs: DataFrame) -> tuple[frozenset, np.ndarray]:
 
 
 def weak_label(value: str, name: str) -> int | None:
-    if _PROVIDER.match(value) or _CREDENTIAL.search(name):
+    if _PROVIDER.match(value):
         return 1
+    if _CREDENTIAL.search(name):
+        return 1 if len(value) >= MIN_CHARS and _DIGIT.search(value) else None
     return 0 if _HARMLESS.match(value) else None
 
 

@@ -474,3 +474,14 @@ def test_secret_scan(spark, odd, empty):
     assert {r["probability"] for r in none} == {0.5}
     assert list(secretscan.runs("x 12 ab1 key=abcdefgh12. ")) == [(13, 23)]
     assert list(secretscan.runs("")) == [] and label == {}
+
+
+def test_secret_candidates_of_any_characters():
+    key = "AKIA" + "QWERTYUIOPASDFGH"
+    for text, value in (("password=correcthorse now", "correcthorse"), ("the pwd: 'a!b#c$d%e' is", "a!b#c$d%e"),
+                        ("secret = x1&y2*z3~q4:r5!, ok", "x1&y2*z3~q4:r5!"), (f"found {key}, twice", key),
+                        ('{"api_key": "no-digits/here"}', "no-digits/here"), ("u?token=abcdefgh&user=bob", "abcdefgh"),
+                        ("Authorization: Bearer abcDEFghi", "abcDEFghi"), ("passwd := `Ünïcode!`", "Ünïcode!")):
+        assert [text[lo:hi] for lo, hi in secretscan.runs(text)] == [value], text
+    assert list(secretscan.runs("the colour: red, a desk-top and 12:30")) == []
+    assert secretscan.weak_label(key, "") == 1 and secretscan.weak_label("please", "password") is None
