@@ -8,8 +8,8 @@ any length, up to white space or the closing quote (unquoted values also end bef
 counts. The forest sees, per
 candidate: length; character classes and their transitions, entropy, and the mean log
 probability of its letter pairs in the corpus; how much of it dictionary words cover
-(the most frequent words of the corpus, ``DICTIONARY_WORDS`` at most, counted over all
-documents); path and address
+(all words seen ``LEAST_COUNT`` times in the corpus, looked up in a bitmap of fixed size
+that takes a few others for words: under one in 100 with ten million words); path and address
 marks; and the neighbouring words (name it is assigned to, hashed words before and
 after). It is trained with Spark ML on labelled findings, a sample bounded by
 ``TRAIN_ROWS``, and scores every finding.
@@ -39,12 +39,14 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
+from featurekit.llm import jaccard
 from featurekit.llm.common import written
 from featurekit.session import ship_package
 
 MIN_CHARS = 8
-DICTIONARY_WORDS = 20_000
+LEAST_COUNT = 3
 TRAIN_ROWS = 50_000
 HASHED_WORDS = 16
 CONTEXT = 64
@@ -120,16 +122,33 @@ def runs(text: str):
     return sorted(ends.items())
 
 
-def covered(value: str, words: frozenset) -> float:
+class Words:
+    """Set of words as a bitmap: each sets the bits of some parts of its hash."""
+
+    SHIFTS = (0, 18, 37)
+
+    def __init__(self, bits: bytes):
+        self.bits = bits
+
+    def __contains__(self, word: str) -> bool:
+        h = xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42)  # Spark's xxhash64
+        slots = [h >> s & (jaccard.BITMAP_BITS - 1) for s in self.SHIFTS]
+        return all(self.bits[x >> 3] >> (x & 7) & 1 for x in slots)
+
+
+def covered(value: str, words) -> float:
     """Share of the characters in dictionary words, the longest first from the left."""
-    low, at, got = value.lower(), 0, 0
+    low, at, got, stop = value.lower(), 0, 0, 0
     while at < len(low):
-        for n in range(min(12, len(low) - at), 2, -1):
+        while stop < len(low) and ("a" <= low[stop] <= "z" or low[stop] >= "\x80"):
+            stop += 1
+        for n in range(min(12, stop - at), 2, -1):
             if low[at:at + n] in words:
                 got, at = got + n, at + n
                 break
         else:
             at += 1
+            stop = max(stop, at)
     return got / max(1, len(low))
 
 
@@ -141,7 +160,7 @@ def _letter(c: str) -> int:
     return ord(c) - 97 if "a" <= c <= "z" else 26
 
 
-def vector(text: str, lo: int, hi: int, name: str, words: frozenset, pairs: np.ndarray) -> list[float]:
+def vector(text: str, lo: int, hi: int, name: str, words, pairs: np.ndarray) -> list[float]:
     value = text[lo:hi]
     n = len(value)
     kinds = [_kind(c) for c in value]
@@ -181,38 +200,39 @@ def _words(batches):
         yield out()
 
 
-def dictionary(docs: DataFrame) -> tuple[frozenset, np.ndarray]:
-    """The corpus's most frequent words of 3 to 12 letters, and log probabilities of the
-    letter pairs in them (the 27th letter is anything else)."""
+def _pairs(batches):
+    seen = np.zeros((27, 27), np.int64)
+    for b in batches:
+        for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            codes = [_letter(c) for c in word.decode("utf-8", "replace")]
+            for x, y in zip(codes, codes[1:], strict=False):
+                seen[x, y] += n
+    at = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen.ravel()[at], pa.int64())], ["pair", "n"])
+
+
+def dictionary(docs: DataFrame) -> tuple[Words, np.ndarray]:
+    """The corpus's words of 3 to 12 letters seen ``LEAST_COUNT`` times, and log
+    probabilities of the letter pairs in all of that length (the 27th letter is anything
+    else). The driver gets the bitmap and at most 27 x 27 rows."""
     counts = written(docs.select("text").mapInArrow(_words, "word binary, n long")
                      .where(F.length("word").between(3, 12)).groupBy("word").agg(F.sum("n").alias("n")), "words")
-    # the least count that at most DICTIONARY_WORDS words reach, on a logarithmic scale: a
-    # sorted limit would send that many words per task to the driver
-    step = F.floor(F.log2("n") * 16)
-    sizes = {r["k"]: r["c"] for r in counts.groupBy(step.alias("k")).count().withColumnRenamed("count", "c").collect()}
-    least, have = max(sizes, default=0) + 1, 0
-    for k in sorted(sizes, reverse=True):
-        have += sizes[k]
-        if have > DICTIONARY_WORDS:
-            break
-        least = k
-    rows = counts.where(step >= least).orderBy("word").collect()
+    h = F.xxhash64("word")
+    bits = jaccard._bits(counts.where(F.col("n") >= LEAST_COUNT).select(
+        F.explode(F.array(*[F.shiftrightunsigned(h, s) for s in Words.SHIFTS])).alias("token")))
     pairs = np.ones((27, 27))
-    words = []
-    for r in rows:
-        w = bytes(r["word"]).decode("utf-8", "replace")
-        words.append(w)
-        codes = [_letter(c) for c in w]
-        for a, b in zip(codes, codes[1:], strict=False):
-            pairs[a, b] += r["n"]
-    return frozenset(words), np.log(pairs / pairs.sum(axis=1, keepdims=True))
+    for r in counts.mapInArrow(_pairs, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        pairs[divmod(r["pair"], 27)] += r["n"]
+    return Words(bits.tobytes()), np.log(pairs / pairs.sum(axis=1, keepdims=True))
 
 
-def weak_label(value: str, name: str) -> int | None:
+def weak_label(value: str, name: str, words=frozenset()) -> int | None:
     if _PROVIDER.match(value):
         return 1
     if _CREDENTIAL.search(name):
-        return 1 if len(value) >= MIN_CHARS and _DIGIT.search(value) else None
+        if len(value) >= MIN_CHARS and _DIGIT.search(value):
+            return 1
+        return 0 if value.isalpha() and value.lower() in words else None  # "author: Smith"
     return 0 if _HARMLESS.match(value) else None
 
 
@@ -227,7 +247,7 @@ def _scanner(shared):
                     name = m.group(1) if m else ""
                     value = text[lo:hi]
                     for c, v in zip(cols, (doc, lo, hi, name, hashlib.sha256(value.encode("utf-8", "replace")).hexdigest(),
-                                           weak_label(value, name), vector(text, lo, hi, name, words, pairs)), strict=True):
+                                           weak_label(value, name, words), vector(text, lo, hi, name, words, pairs)), strict=True):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
                 pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.list_(pa.float64())),

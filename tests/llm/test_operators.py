@@ -485,3 +485,19 @@ def test_secret_candidates_of_any_characters():
         assert [text[lo:hi] for lo, hi in secretscan.runs(text)] == [value], text
     assert list(secretscan.runs("the colour: red, a desk-top and 12:30")) == []
     assert secretscan.weak_label(key, "") == 1 and secretscan.weak_label("please", "password") is None
+
+
+def test_secret_dictionary_has_every_frequent_word(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [f"q{letters[i % 26]}{letters[i // 26 % 26]}u{letters[i // 676 % 26]}{letters[i // 17576]}e" for i in range(25_000)]
+    docs = frame(spark, [(i, " ".join(words), None, None, 0) for i in range(3)] + [(9, "zebra zürich zürich zürich", None, None, 0)])
+    known, pairs = secretscan.dictionary(docs)
+    assert all(w in known for w in words) and "zürich" in known and "zebra" not in known
+    assert sum(f"x{w}" in known for w in words) < 10
+    want = np.ones((27, 27))
+    for w in words * 3 + ["zebra"] + ["zürich"] * 3:
+        for a, b in zip(w, w[1:], strict=False):
+            want[secretscan._letter(a), secretscan._letter(b)] += 1
+    assert np.allclose(pairs, np.log(want / want.sum(axis=1, keepdims=True)))
+    assert secretscan.covered("12zürich+zzz", known) == 0.5
+    assert secretscan.weak_label("Zürich", "author", known) == 0
