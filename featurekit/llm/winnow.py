@@ -4,7 +4,10 @@ Words (runs of non-white-space) are hashed; a rolling (cyclic polynomial) hash o
 k words is built by doubling; of every window of w successive hashes the smallest is
 kept, ties going to the rightmost, with its word position. Guarantee: two texts that
 share k + w - 1 words in a row share a fingerprint, and nothing shorter than k words
-is ever matched.
+is ever matched. ``full_fingerprint`` adds the same over code points (with single blanks
+between words) where words are too few or too long for that: all of a text of fewer than
+``FEW_WORDS`` words, and the words of more than ``LONG_WORD`` code points of any other. Texts
+that share ``K_POINTS + POINT_WINDOW - 1`` code points there share a fingerprint.
 
 All steps are array expressions on the row, so a text needs no shuffle. A window keeps
 (hash without its last 5 bits, position mod 32) in one long; as a window has at most 32
@@ -27,11 +30,16 @@ from featurekit.llm.common import free_name, written
 
 K_WORDS = 5
 WINDOW = 16
+FEW_WORDS, LONG_WORD = 64, 32
+K_POINTS, POINT_WINDOW = 5, 4
 #: Documents per layout bucket when neighbours are looked up, and the largest bucket
 #: table (rows of 24 bytes) that is broadcast; beyond it the join is a shuffle.
 BUCKET_DOCS, BROADCAST_BUCKETS, QUANTILES = 2000, 100_000, 1000
 
 
+_SPACE = r"[\x20\x09-\x0D]+"
+
+
 def _rotl(x: Column, r: int) -> Column:
     return F.shiftleft(x, r).bitwiseOR(F.shiftrightunsigned(x, 64 - r)) if r % 64 else x
 
@@ -53,15 +61,16 @@ def _later_min(a: Column, b: Column) -> Column:
 
 
 def fingerprint(df: DataFrame, text: str, hashes: str, positions: str,
-                k: int = K_WORDS, window: int = WINDOW) -> DataFrame:
-    """``df`` with ``hashes`` array<bigint> and ``positions`` array<int>, in text order."""
+                k: int = K_WORDS, window: int = WINDOW, points: bool = False) -> DataFrame:
+    """``df`` with ``hashes`` array<bigint> and ``positions`` array<int>, in text order; of
+    the words, or with ``points`` of the code points of the trimmed text."""
     if not 1 <= window <= 32:
         raise ValueError("window must be between 1 and 32")
     h, g, m, at = (free_name(df, c) for c in ("_h", "_g", "_m", "_at"))
     none = F.array().cast("array<bigint>")
     bare = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     df = df.withColumn(h, F.when(bare == "", none).otherwise(
-        F.transform(F.split(bare, r"[\x20\x09-\x0D]+"), lambda w: F.xxhash64(w))))
+        F.transform(F.split(bare, "" if points else _SPACE), lambda w: F.xxhash64(w))))
     df, have = df.withColumn(g, F.col(h)), 1
     for bit in bin(k)[3:]:
         left, right = _ahead(g, have)
@@ -93,6 +102,18 @@ def fingerprint(df: DataFrame, text: str, hashes: str, positions: str,
     return df.drop(h, g, m, at)
 
 
+def full_fingerprint(df: DataFrame, text: str, hashes: str, positions: str) -> DataFrame:
+    """``fingerprint`` by words, followed by that of the code points of what has too few or
+    too long words; positions count words, then code points of those words joined by blanks."""
+    part, h, p = (free_name(df, c) for c in ("_part", "_ph", "_pp"))
+    words = F.split(F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(" \t\n\x0b\x0c\r")), _SPACE)
+    df = df.withColumn(part, words).withColumn(part, F.array_join(F.when(F.size(part) < FEW_WORDS, F.col(part)).otherwise(
+        F.filter(part, lambda w: F.length(w) > LONG_WORD)), " "))
+    df = fingerprint(df, part, h, p, K_POINTS, POINT_WINDOW, points=True)
+    df = fingerprint(df, text, hashes, positions)
+    return (df.withColumn(hashes, F.concat(hashes, h)).withColumn(positions, F.concat(positions, p)).drop(part, h, p))
+
+
 def as_string(hashes: str, positions: str) -> Column:
     """``hash:position`` pairs, blank between, in text order."""
     return F.array_join(F.zip_with(hashes, positions, lambda a, b: F.concat(F.lower(F.hex(a)), F.lit(":"), b)), " ")

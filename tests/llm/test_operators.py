@@ -501,3 +501,22 @@ def test_secret_dictionary_has_every_frequent_word(spark):
     assert np.allclose(pairs, np.log(want / want.sum(axis=1, keepdims=True)))
     assert secretscan.covered("12zürich+zzz", known) == 0.5
     assert secretscan.weak_label("Zürich", "author", known) == 0
+
+
+def test_winnow_short_texts_and_texts_without_blanks(spark):
+    rng = np.random.default_rng(3)
+    chinese = "".join(chr(0x4E00 + x) for x in rng.integers(0, 5000, 3000))
+    few = "a short note of ten words for the near test"
+    prose = " ".join(f"w{i}" for i in range(80))
+    pairs = [(chinese, chinese[:2000] + "改" + chinese[2001:]), (few, few[:30] + "something else"), ("hello world", "hello worlds"),
+             (f"{prose} {chinese}", f"changed {chinese[:2000]}😀{chinese[2001:]} {prose[::-1]}"), (few, few.replace(" ", " \n ")),
+             (chinese, few)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    df = winnow.full_fingerprint(winnow.full_fingerprint(df, "a", "h", "p"), "b", "g", "q")
+    rows = {r["i"]: r for r in df.withColumn("near", winnow.likeness("h", "g")).collect()}
+    near = [rows[i]["near"] for i in range(len(pairs))]
+    assert near[0] > 0.9 and near[1] > 0.3 and near[2] > 0.3 and near[3] > 0.9 and near[4] == 1 and near[5] == 0
+    assert set(df.columns) == {"i", "a", "b", "h", "p", "g", "q"}
+    assert all(len(r["h"]) == len(r["p"]) for r in rows.values())
+    blank = winnow.full_fingerprint(spark.createDataFrame([(None,), ("",), (" \n",)], "t string"), "t", "h", "p").collect()
+    assert all(r["h"] == r["p"] == [] for r in blank)
