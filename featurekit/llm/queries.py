@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from featurekit.llm import (
     chat,
+    crosstok,
     decontam,
     jaccard,
     linedup,
+    minhash,
     mixing,
     secretscan,
     sharding,
+    strtree,
     tokenids,
     toxicity,
     winnow,
@@ -178,3 +181,43 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "end", "name", "sha256", F.col("weak").alias("form_label"),
                        toxicity.held_out(F.col("doc_id")).alias("held_out"),
                        F.round("probability", 6).alias("probability"), "is_secret")
+
+
+OP11_SQL = r"""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+        CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+        AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""
+
+
+@register("op11_hard_negatives", OP11_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding, among all of them."""
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return strtree.hard_negatives(rows.select("vec_id", label.alias("label"), F.col("embedding").alias("vector")))
+
+
+@register("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tokenizers' ids of all texts aligned by their bytes, and how often the aligned ids are linked."""
+    import public_tokenizers
+
+    return crosstok.document_alignment(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op13_minhash")
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 4-word shingles have a Jaccard similarity of 0.8, found by MinHash."""
+    return minhash.components(read(spark, sf_dir, "documents"), n=4, percent=80)
