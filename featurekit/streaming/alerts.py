@@ -1,57 +1,229 @@
-"""Stateful alert evaluation on a stream of per-tick rule conditions.
+"""Alert evaluation on the raw metric stream.
 
-``applyInPandasWithState`` keyed by rule keeps (first_true, last_fired,
-active) between micro-batches; inside a batch a rule's rows are processed in
-time order. Input arrives in time order, a chunk of files
-at a time, and each run of the stream takes what has arrived as one batch.
+Three stateful steps, all driven by the event time of the metric rows:
+
+1. ``TickTotals``, keyed by a shard of the series, keeps what a collector keeps: counters and histogram
+   buckets summed since the start, and every gauge until it is set again. Rows wait in the state under their tick; a timer
+   at the tick's end adds them to the totals and emits one row per shard and tick. The timer goes on without new
+   rows, so a shard has a row for every tick up to the watermark.
+2. A windowed aggregate adds the shards' rows up to one row per tick, and the rules' SQL conditions become one
+   projection over it (``conditions``).
+3. ``RuleState``, keyed by rule, keeps (first true, last fired, active) and runs ``run_rule`` over the
+   ticks as they close: firing and resolution events.
+
+With ``every_tick`` a tick without metric rows is evaluated as well, as an evaluation loop does: a condition that stays true
+fires once ``for_duration`` has passed though no further row arrives. Without it only ticks that hold rows are
+evaluated, as ``tick_aggregates`` does, and the events equal the batch evaluation's.
+
+State lies in RocksDB. It grows with the gauges and the ticks still open, never with the rows; what the
+rules see per tick is one row per shard. Rows later than the watermark's delay are dropped; rows of
+type ``heartbeat`` only move event time (and so close ticks).
 """
 
 from __future__ import annotations
 
-from typing import Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from featurekit.functions import timeutil as tu
-from featurekit.operators.alerts import events_frame, run_rule
+from featurekit.functions.labels import labels_key
+from featurekit.operators import metrics as M
+from featurekit.operators.alerts import conditions, events_frame, run_rule
 
 OUT_SCHEMA = "rule_name string, status string, fired_at timestamp_ntz, resolved_at timestamp_ntz"
-STATE_SCHEMA = "first_true long, last_fired long, active boolean"
+#: The gauges that rules look at (parts of their names), and the columns of their greatest value.
+GAUGES = {"null_rate": "max_null_rate", "drift_detected": "max_drift_detected", "model_age_hours": "max_model_age"}
+#: Its series at zero are counted.
+STORE = "online_store_keys"
+BOUNDS = tuple(M.DEFAULT_BUCKETS)
+SHARDS = 8
+
+_COUNTS = [f"_c{i}" for i in range(len(BOUNDS))] + ["_n"]
+TICK_ROW = ("emitted timestamp, tick long, n_rows long, failures double, counts array<long>, "
+            + ", ".join(f"{c} double" for c in GAUGES.values()) + ", store_zero long")
+
+
+def raw_ticks(metrics: DataFrame, tick_seconds: int, shards: int = SHARDS) -> DataFrame:
+    """A metric row as ``TickTotals`` reads it. A series has one shard; what is added up is dealt over all."""
+    series = F.concat_ws("\x01", "name", labels_key())
+    # a filter on the type would be pushed below the watermark, which then would not see heartbeats
+    kind = (F.when(F.col("type") == "heartbeat", "heartbeat")
+            .when((F.col("type") == "counter") & F.col("name").contains("failure"), "failure")
+            .when((F.col("type") == "histogram") & (F.col("name") == "prediction_latency_seconds"), "latency")
+            .when((F.col("type") == "gauge") & F.col("name").rlike("|".join([*GAUGES, STORE])), "gauge"))
+    spread = F.when(F.col("type") == "gauge", F.xxhash64(series)).otherwise(F.xxhash64("name", "ts", "seq"))
+    return metrics.select(
+        F.pmod(spread, F.lit(shards)).cast("int").alias("shard"), "event_time",
+        F.floor(tu.epoch_seconds("ts") / tick_seconds).cast("long").alias("tick"),
+        F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts")).alias("at"), "seq",
+        series.alias("series"), "name", kind.alias("kind"), "value")
+
+
+class TickTotals(StatefulProcessor):
+    """Running totals and held gauges of a shard, a row per closed tick."""
+
+    def __init__(self, tick_seconds: int):
+        self.tick_ms = tick_seconds * 1000
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.totals = handle.getValueState(
+            "totals", "next long, failures double, counts array<long>, most array<double>, zero long")
+        self.waiting = handle.getMapState(
+            "waiting", "tick long", "n long, failures double, counts array<long>, series array<string>, name array<string>, "
+            "at array<long>, seq array<long>, value array<double>")
+        self.held = handle.getMapState("held", "series string", "name string, value double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows))
+        batch = batch[batch["kind"] != "heartbeat"]
+        if batch.empty:
+            return iter(())
+        first = None
+        for tick, g in batch.groupby("tick"):
+            k = (int(tick),)
+            old = self.waiting.getValue(k) if self.waiting.containsKey(k) else None
+            n, failures, counts = (old[0], old[1], list(old[2])) if old else (0, 0.0, [0] * (len(BOUNDS) + 1))
+            last = {s: (a, q, nm, v) for s, nm, a, q, v in zip(*old[3:], strict=True)} if old else {}
+            latency = g.loc[g["kind"] == "latency", "value"]
+            failures += float(g.loc[g["kind"] == "failure", "value"].sum())
+            counts = [c + int((latency <= b).sum()) for c, b in zip(counts, [*BOUNDS, float("inf")], strict=True)]
+            for s, nm, a, q, v in g.loc[g["kind"] == "gauge", ["series", "name", "at", "seq", "value"]].itertuples(index=False):
+                if s not in last or (a, q) > last[s][:2]:
+                    last[s] = (int(a), int(q), nm, float(v))
+            self.waiting.updateValue(k, (n + len(g), failures, counts, list(last), [x[2] for x in last.values()],
+                                         [x[0] for x in last.values()], [x[1] for x in last.values()],
+                                         [x[3] for x in last.values()]))
+            first = k[0] if first is None else min(first, k[0])
+        if not self.totals.exists():
+            self.totals.update((first, 0.0, [0] * (len(BOUNDS) + 1), [None] * len(GAUGES), 0))
+            self.handle.registerTimer((first + 1) * self.tick_ms)
+        elif first < self.totals.get()[0]:  # an earlier tick than the shard's first, which has not closed
+            old = self.totals.get()
+            self.handle.deleteTimer((old[0] + 1) * self.tick_ms)
+            self.totals.update((first, *old[1:]))
+            self.handle.registerTimer((first + 1) * self.tick_ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        tick, failures, counts, most, zero = self.totals.get()
+        counts, most, out = list(counts), list(most), []
+        while (tick + 1) * self.tick_ms <= now:
+            n = 0
+            if self.waiting.containsKey((tick,)):
+                n, more, add, series, names, _, _, values = self.waiting.getValue((tick,))
+                failures, counts = failures + more, [a + b for a, b in zip(counts, add, strict=True)]
+                for s, nm, v in zip(series, names, values, strict=True):
+                    self.held.updateValue((s,), (nm, v))
+                if len(series):
+                    most, zero = self._gauges()
+                self.waiting.removeKey((tick,))
+            out.append((pd.Timestamp(now, unit="ms"), tick, n, failures, counts, *most, zero))
+            tick += 1
+        self.totals.update((tick, failures, counts, most, zero))
+        self.handle.registerTimer((tick + 1) * self.tick_ms)
+        if out:
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in TICK_ROW.split(", ")])
+
+    def _gauges(self):
+        """Of the gauges held: the greatest value of each kind, and the stores at zero."""
+        most, zero = [None] * len(GAUGES), 0
+        for name, value in self.held.values():
+            for i, part in enumerate(GAUGES):
+                if part in name and (most[i] is None or value > most[i]):
+                    most[i] = value
+            zero += STORE in name and value == 0
+        return most, zero
+
+    def close(self) -> None:
+        pass
+
+
+class RuleState(StatefulProcessor):
+    """The alert state machine of a rule, from tick to tick."""
+
+    def init(self, handle) -> None:
+        self.state = handle.getValueState("state", "first_true long, last_fired long, active boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values("tick_at")
+        state = tuple(self.state.get()) if self.state.exists() else (None, 0, False)
+        events, state = run_rule(batch["tick_at"].tolist(), batch["cond"].tolist(), float(batch["for_duration"].iloc[0]),
+                                 float(batch["cooldown"].iloc[0]), state)
+        self.state.update(state)
+        yield events_frame(key[0], events).drop(columns=["event_ts"])
+
+    def close(self) -> None:
+        pass
+
+
+def tick_stream(metrics: DataFrame, tick_seconds: int = 3600, delay: str = "1 hour", every_tick: bool = False) -> DataFrame:
+    """Per-tick aggregate columns (as ``tick_aggregates``) of a metric stream, as the ticks close."""
+    timed = metrics.withColumn("event_time", tu.as_utc_instant("ts")).withWatermark("event_time", delay)
+    shards = raw_ticks(timed, tick_seconds).groupBy("shard").transformWithStateInPandas(
+        TickTotals(tick_seconds), TICK_ROW, "append", "EventTime", eventTimeColumnName="emitted")
+    sums = shards.groupBy("emitted", "tick").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("failures").alias("failures"),
+        *[F.sum(F.get("counts", F.lit(i))).alias(c) for i, c in enumerate(_COUNTS)],
+        *[F.max(c).alias(c) for c in GAUGES.values()], F.sum("store_zero").alias("store_zero"))
+    cum = F.array(*[F.col(c) for c in _COUNTS[:-1]])
+    ticks = sums.where(F.lit(every_tick) | (F.col("n_rows") > 0))
+    return ticks.withColumn("p99_latency", M.percentile_from_buckets(cum, F.col("_n"), 0.99)).withColumn(
+        "t", tu.from_epoch_seconds(F.col("tick") * tick_seconds)).drop(*_COUNTS, "n_rows", "tick", "emitted")
+
+
+def alert_events(metrics: DataFrame, rules: DataFrame, **ticks) -> DataFrame:
+    """Firing and resolution events (``OUT_SCHEMA``) of a metric stream; ``ticks``: see ``tick_stream``."""
+    r = rules.select(F.col("name").alias("rule"), "for_duration", "cooldown")
+    conds = conditions(tick_stream(metrics, **ticks), rules).select("rule", tu.epoch_seconds("t").alias("tick_at"), "cond")
+    return conds.join(F.broadcast(r), "rule").groupBy("rule").transformWithStateInPandas(  # a row per rule
+        RuleState(), OUT_SCHEMA, "append", "None")
 
 
-def _evaluate(key, pdfs: Iterator[pd.DataFrame], state):
-    prev = state.get if state.exists else (None, 0, False)
-    first = None if prev[0] is None or pd.isna(prev[0]) else int(prev[0])
-    rows = pd.concat(list(pdfs)).sort_values("ts")
-    events, new = run_rule(rows["ts"].tolist(), rows["cond"].tolist(), float(rows["for_duration"].iloc[0]),
-                           float(rows["cooldown"].iloc[0]), (first, int(prev[1]), bool(prev[2])))
-    state.update(new)
-    yield events_frame(key[0], events).drop(columns=["event_ts"])
+def streaming_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for a stream: state in RocksDB, wall clock as UTC, the caller's partitions."""
+    s = spark.newSession()
+    for k in ("spark.sql.shuffle.partitions",):
+        s.conf.set(k, spark.conf.get(k))
+    s.conf.set("spark.sql.session.timeZone", "UTC")
+    s.conf.set("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return s
 
 
-def run_alert_stream(spark: SparkSession, conds: DataFrame, rules: DataFrame, root: str,
-                     chunks: int = 3, timeout_s: float | None = None) -> DataFrame:
-    """Feed ``conds`` (rule, t, cond) as a file stream in time chunks and
-    return the emitted alert events."""
+def run_alert_stream(spark: SparkSession, metrics: DataFrame, rules: DataFrame, root: str, chunks: int = 3,
+                     timeout_s: float | None = None, close_s: int = 2 * 86400, **ticks) -> DataFrame:
+    """Feeds metric rows as files, a span of time after the other, to the stream, takes what has arrived in
+    each run, ends with a heartbeat ``close_s`` after the last row, and returns the events emitted."""
     from featurekit.session import ship_package
     ship_package(spark)
-    c = conds.withColumn("ts", tu.epoch_seconds("t"))
-    lo, hi = c.agg(F.min("ts"), F.max("ts")).first()
-    span = (hi - lo + 1) / chunks
-    for i in range(chunks):  # a chunk of time arrives, then a run takes all its files as one batch
-        part = c.filter((F.col("ts") >= lo + i * span) & (F.col("ts") < lo + (i + 1) * span))
-        part.select("rule", "ts", "cond").write.mode("append").parquet(f"{root}/input")
-        if i == 0:  # the folder exists now
-            src = spark.readStream.schema("rule string, ts long, cond boolean").parquet(f"{root}/input")
-            r = F.broadcast(rules.select(F.col("name").alias("rule"), "for_duration", "cooldown"))
-            events = (src.join(r, "rule")
-                      .groupBy("rule")
-                      .applyInPandasWithState(_evaluate, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
-        q = (events.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
-             .outputMode("append").trigger(availableNow=True).start(f"{root}/output"))
+    s = streaming_session(spark)
+    lo, hi = metrics.agg(F.min("ts"), F.max("ts")).first()
+    if lo is None:
+        return spark.createDataFrame([], OUT_SCHEMA)
+    span = (hi - lo) / chunks
+    rules = s.createDataFrame(rules.collect(), rules.schema)  # rules are metadata
+    at = [tu.ntz(lo + i * span) for i in range(1, chunks)]
+    for i in range(chunks):  # a chunk of time arrives, then a run takes all its files
+        part = metrics
+        if i:
+            part = part.where(F.col("ts") >= at[i - 1])
+        if i < chunks - 1:
+            part = part.where(F.col("ts") < at[i])
+        if i == chunks - 1:
+            part = part.unionByName(metrics.limit(1).select(
+                (tu.ntz(hi) + F.make_dt_interval(secs=F.lit(close_s))).alias("ts"), "seq", F.lit("heartbeat").alias("name"),
+                F.lit("heartbeat").alias("type"), "labels", "value"))
+        part.write.mode("append").parquet(f"{root}/input")
+        source = s.readStream.schema(metrics.schema).parquet(f"{root}/input")
+        q = (alert_events(source, rules, **ticks).writeStream.format("parquet")
+             .option("checkpointLocation", f"{root}/checkpoint").outputMode("append").trigger(availableNow=True)
+             .start(f"{root}/output"))
         q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
         if q.isActive:
             q.stop()

@@ -299,7 +299,6 @@ def alert_erring_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT rule_name, status, CAST(fired_at AS VARCHAR) AS fired_at, CAST(resolved_at AS VARCHAR) AS resolved_at
 FROM ({FIRINGS})""")
 def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same evaluation as a stateful stream: per-day condition files
-    feed ``applyInPandasWithState`` keyed by rule."""
-    rules, conds = _ctx(spark, sf_dir)
-    return run_alert_stream(spark, conds, rules, fresh_dir(spark, "alert_stream"))
+    """The same evaluation on the raw metric stream: totals per shard and tick, ticks closed by
+    event-time timers, conditions per tick, and a state machine keyed by rule."""
+    return run_alert_stream(spark, metrics_from_events(spark, sf_dir), A.rules_df(spark), fresh_dir(spark, "alert_stream"))

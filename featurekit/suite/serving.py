@@ -10,7 +10,9 @@ from featurekit.operators.features import UserFeaturesDaily
 from featurekit.plans import history
 from featurekit.plans.backfill import filter_dates, run_backfill
 from featurekit.plans.online_sync import SyncState, run_online_sync
-from featurekit.session import fresh_dir
+from featurekit.operators.serving import latest_per_key
+from featurekit.session import fresh_dir, ship_package
+from featurekit.sinks.kv_source import KeyValueDataSource
 from featurekit.sinks.online_store import ParquetOnlineStore
 from featurekit.sources import tables
 from featurekit.streaming.online_sync import run_sync_stream
@@ -52,6 +54,30 @@ def online_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.current().drop("_snapshot_id")
 
 
+@register("online_store_plugin", latest_sql())
+def online_store_plugin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store as a plug-in behind a data source. The first date range is written in one batch, the
+    rest by a stream, and the records are read back through the same plug-in."""
+    ship_package(spark)
+    spark.dataSource.register(KeyValueDataSource)
+    ev = tables.raw_events(spark, sf_dir)
+    bs = history.batches(ev)
+    g, root = UserFeaturesDaily(), fresh_dir(spark, "plugin")
+    options = {"client": "featurekit.sinks.kv_source:FileClient", "path": f"{root}/store", "key": "user_id"}
+    first = latest_per_key(g.compute(filter_dates(ev, bs[0].start, bs[0].end)), "user_id", ["date"])
+    first.write.format("keyvalue").options(**options, version="load").mode("append").save()
+    g.compute(filter_dates(ev, bs[1].start, bs[-1].end)).write.parquet(f"{root}/arriving")
+    q = (spark.readStream.schema(schemas.USER_FEATURES_DAILY).parquet(f"{root}/arriving").writeStream.format("keyvalue")
+         .options(**options, version="sync", checkpointLocation=f"{root}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    text = schemas.T.StructType([schemas.T.StructField(f.name, schemas.T.StringType() if isinstance(
+        f.dataType, schemas.T.DateType) else f.dataType) for f in schemas.USER_FEATURES_DAILY])
+    back = spark.read.format("keyvalue").options(**options).schema(text).load()
+    return latest_per_key(back.withColumn("date", F.col("date").cast("date")), "user_id", ["date"])
+
+
 @register("online_store_size", f"""
 SELECT 'parquet' AS store_type, CAST(count(DISTINCT user_id) AS BIGINT) AS keys FROM ({FEATURES_SQL})""")
 def online_store_size(spark: SparkSession, sf_dir: str) -> DataFrame:
