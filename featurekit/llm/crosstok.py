@@ -9,12 +9,11 @@ sentencepiece calls its immutable proto ``proto``). They hold for tokens of whol
 neighbouring tokens share a character (A), or spans are empty (B's byte fallback), the cuts within are
 refined with the lengths of the tokens' decoded bytes. The tokens' joined bytes are compared with the text's.
 
-Stretches. Neither tokenizer has a token across the border of a visible character and a blank (A's
-pre-tokeniser cuts there; B has no piece with a blank after another sign, which is checked when it is
-loaded, and neither changes a text before encoding it). So a text is cut there, every distinct stretch
-is aligned once and remembered in a bounded cache, and a text's alignment is that of its
-stretches in order. A text where two blanks meet or a blank follows another white space is cut elsewhere
-only.
+Stretches. Neither tokenizer has a token across the border of a visible character and white space, nor of a letter
+or digit and an ASCII punctuation mark other than the apostrophe: A's pre-tokeniser cuts there, and that no piece of
+B crosses it is checked when B is loaded (characters and white space that some piece has across it, as a carriage return, are left together). So a
+text is cut there, every distinct stretch is aligned once and remembered in a bounded cache, and a text's
+alignment is that of its stretches in order.
 
 Corpus counts. Documents are dealt to chunks of bounded size. A chunk's row holds its distinct id pairs, in how
 many of its documents each is linked, and every document's pairs as places in that list. The
@@ -31,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +43,17 @@ from featurekit.session import ship_package
 
 #: Documents and bytes of text of a chunk (a longer text is a chunk of its own).
 CHUNK_DOCS, CHUNK_BYTES = 500, 2 << 20
-#: Stretches that a worker remembers before it starts anew, their characters and their groups', and
+#: Stretches that a worker remembers before it forgets the rarer ones, their characters and their groups', and
 #: stretches aligned at a time.
 CACHE, CACHE_CHARS, LEARN = 500_000, 64_000_000, 20_000
 _BLANK = "▁"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>\Z")
-_CUT = re.compile(r"(?<=\S) (?=.)", re.S)
+#: Marks before which a stretch may begin (as a class of regular expressions), and the stretches of a text.
+_MARK = r"!-&(-/:-@\[-`{-~"
+_STRETCH = re.compile(rf"\s*[{_MARK}]*[^\s{_MARK}]*")
+_OPEN = re.compile(rf"[^\s{_MARK}]\Z")
+#: White space of Python's that is none to A's pre-tokeniser.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 #: Columns of a stretch's numbers; bytes equal: 1 where the tokens' bytes are the stretch's.
 _NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "bytes equal", "first pair")
 
@@ -78,8 +83,12 @@ class Aligner:
         for i, p in enumerate(pieces):
             m = _BYTE.match(p) if self.b.is_byte(i) else None
             self.bytes_b.append(bytes([int(m[1], 16)]) if m else p.replace(_BLANK, " ").encode())
-        if any(_BLANK in p.lstrip(_BLANK) for p in pieces):
-            raise ValueError("a piece holds a blank after another sign: texts cannot be cut at blanks")
+        pieces = [p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
+        if any(re.search(r"\S[ \n]", p.replace(_BLANK, " ")) for p in pieces):
+            raise ValueError("a piece holds a blank or line feed after another sign: texts cannot be cut there")
+        #: white space that a token may hold after a visible character, and characters before marks
+        self.glue = {*_SEPARATORS, *(c for p in pieces for c in re.findall(r"\S(\s)", p))}
+        self.crossing = {c for p in pieces for c in re.findall(rf"([^\s{_MARK}])[{_MARK}]", p.replace(_BLANK, " "))}
         self.size_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(max(self.bytes_a) + 1)], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
         ids = max(len(self.size_a), len(self.size_b))
@@ -87,17 +96,43 @@ class Aligner:
         self.forget()
 
     def forget(self) -> None:
-        self.at: dict[str, int] = {}  # a stretch without its first blank to its number
-        self.chars, self.groups, self.joint = 0, [], []
+        self.at: dict[str, int] = {}  # a stretch to its number
+        self.chars, self.groups, self.open = 0, [], []
+        self.uses = np.zeros(1 << 12, np.int64)  # chunks that have held the stretch
         self.numbers = np.zeros((1 << 12, len(_NUMBERS)), np.int64)
         self.pairs = np.zeros(1 << 14, np.int64)  # the linked id pairs of all stretches, a * 2^32 + b
         self.used = 0
 
+    def forget_rare(self) -> None:
+        """Keeps the stretches of two chunks or more; if these are over half the cache, of more."""
+        stretches, groups, open_, numbers, pairs = list(self.at), self.groups, self.open, self.numbers, self.pairs
+        uses, least = self.uses[:len(groups)], 2
+        while (uses >= least).sum() > CACHE // 2:
+            least *= 2
+        kept = np.flatnonzero(uses >= least)
+        numbers, uses = numbers[kept], uses[kept]
+        self.forget()
+        if self.kept_chars(stretches, groups, kept) > CACHE_CHARS // 2:
+            return
+        self.at = {stretches[i]: k for k, i in enumerate(kept.tolist())}
+        self.groups, self.open = [groups[i] for i in kept.tolist()], [open_[i] for i in kept.tolist()]
+        self.chars = self.kept_chars(stretches, groups, kept)
+        self.pairs = pairs[_ranges(numbers[:, 5], numbers[:, 3])]
+        self.used, numbers[:, 5] = len(self.pairs), np.cumsum(numbers[:, 3]) - numbers[:, 3]
+        self.pairs = np.append(self.pairs, np.zeros(1 << 14, np.int64))
+        self.numbers = np.concatenate([numbers, np.zeros_like(self.numbers)])
+        self.uses = np.append(uses, np.zeros(len(self.uses), np.int64))
+
+    @staticmethod
+    def kept_chars(stretches: list[str], groups: list[str], kept: np.ndarray) -> int:
+        return sum(len(stretches[i]) + len(groups[i]) for i in kept.tolist())
+
     def encoded(self, new: list[str]):
-        """Of stretches (blank first), one after another: (ids, byte ends in the stretches' joined
+        """Of stretches, one after another: (ids, byte ends in the stretches' joined
         bytes, tokens of each stretch) under A and B, the stretches' byte ends, and which equal their tokens' bytes."""
         x = self.a.encode(new, is_pretokenized=True, add_special_tokens=False)
-        y = self.b.encode([s[1:] for s in new], return_type="proto", num_threads=1)
+        # a line feed, always a token of its own, parts each stretch from the blank that B puts first
+        y = [p.pieces[2:] for p in self.b.encode(["\n" + s for s in new], return_type="proto", num_threads=1)]
         raw, joined = [s.encode() for s in new], "".join(new)
         stop = np.cumsum([len(r) for r in raw])
         start = stop - [len(r) for r in raw]
@@ -106,16 +141,15 @@ class Aligner:
         chars = np.cumsum([len(s) for s in new])
         points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         at = np.concatenate([[0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))])
-        spans = np.array(x.offsets, np.int64).reshape(-1, 2) + (chars - [len(s) for s in new])[word, None]
+        spans = np.fromiter(chain.from_iterable(x.offsets), np.int64).reshape(-1, 2) + (chars - [len(s) for s in new])[word, None]
         ids_a = np.array(x.ids, np.int64)
         ends_a = _refined(at[spans[:, 1]], np.append(spans[1:, 0] < spans[:-1, 1], False), self.size_a[ids_a], word, start)
-        # under B: byte spans of the text without the first blank, empty ones before the last byte of a character
-        n_b = np.array([len(p.pieces) for p in y], np.int64)
+        # under B: byte spans after that line feed, empty ones before the last byte of a character
+        n_b = np.array([len(p) for p in y], np.int64)
         of = np.repeat(np.arange(len(new)), n_b)
-        flat = [(t.id, t.begin, t.end) for p in y for t in p.pieces]
-        flat = np.array(flat, np.int64).reshape(-1, 3)
+        flat = np.fromiter((v for p in y for t in p for v in (t.id, t.begin, t.end)), np.int64).reshape(-1, 3)
         ids_b = flat[:, 0]
-        ends_b = _refined(flat[:, 2] + 1 + start[of], flat[:, 1] == flat[:, 2], self.size_b[ids_b], of, start)
+        ends_b = _refined(flat[:, 2] - 1 + start[of], flat[:, 1] == flat[:, 2], self.size_b[ids_b], of, start)
         n_a = np.bincount(word, minlength=len(new))
         ok = np.ones(len(new), bool)
         for ids, n, table in ((ids_a, n_a, self.bytes_a), (ids_b, n_b, self.bytes_b)):
@@ -130,7 +164,7 @@ class Aligner:
             self._learn(new[lo:lo + LEARN])
 
     def _learn(self, new: list[str]) -> None:
-        (a, ends_a, n_a), (b, ends_b, n_b), stop, ok = self.encoded([" " + x for x in new])
+        (a, ends_a, n_a), (b, ends_b, n_b), stop, ok = self.encoded(new)
         fine = np.repeat(ok, n_a), np.repeat(ok, n_b)
         (a, ends_a), (b, ends_b) = ((x[f], e[f]) for x, e, f in ((a, ends_a, fine[0]), (b, ends_b, fine[1])))
         cuts = np.intersect1d(ends_a, ends_b)
@@ -155,11 +189,12 @@ class Aligner:
         for s, end in zip(new, to, strict=True):
             self.at[s] = len(self.groups)
             self.groups.append("".join(text[at:end]))
-            self.joint.append(not s or s[-1].isspace())
+            self.open.append(self.unfinished(s))
             self.chars += len(s) + len(self.groups[-1])
             at = end
         while base + len(new) > len(self.numbers):
             self.numbers = np.concatenate([self.numbers, np.zeros_like(self.numbers)])
+            self.uses = np.append(self.uses, np.zeros(len(self.numbers) - len(self.uses), np.int64))
         while self.used + len(pairs) > len(self.pairs):
             self.pairs = np.concatenate([self.pairs, np.zeros_like(self.pairs)])
         self.numbers[base:base + len(new)] = np.stack(
@@ -167,17 +202,35 @@ class Aligner:
         self.pairs[self.used:self.used + len(pairs)] = pairs
         self.used += len(pairs)
 
+    def unfinished(self, stretch: str) -> bool:
+        """Whether what follows a stretch may belong to it: a token might cross to a mark, or it
+        holds white space that may stand inside a token."""
+        last = stretch[-1:]
+        return bool(_OPEN.search(stretch)) and (not last.isalnum() or last in self.crossing) or any(
+            c in stretch for c in self.glue)
+
+    def stretches(self, text: str) -> list[str]:
+        """The stretches of a text with a blank before it; where one may belong to the next, they are one."""
+        out, join = [], False
+        for s in _STRETCH.findall(" " + text)[:-1]:  # the last match is empty
+            if join and not s[0].isspace() or s[0] in self.glue or out and out[-1][-1] in self.glue:
+                out[-1] += s
+            else:
+                out.append(s)
+            join = self.unfinished(out[-1])
+        return out
+
     def codes(self, texts: list[str]) -> list[list[int]]:
         """The numbers of each text's stretches, which are aligned where they are new."""
         if self.chars > CACHE_CHARS or len(self.groups) > CACHE:
-            self.forget()
-        parts = [t.split(" ") for t in texts]
+            self.forget_rare()
+        parts = [_STRETCH.findall(" " + t)[:-1] for t in texts]
         at = self.at
         self.learn(list({s for p in parts for s in p if s not in at}))
         out = [list(map(at.__getitem__, p)) for p in parts]
         for k, codes in enumerate(out):
-            if any(map(self.joint.__getitem__, codes)):
-                p = stretches(texts[k])
+            if any(map(self.open.__getitem__, codes)):
+                p = self.stretches(texts[k])
                 self.learn(list({s for s in p if s not in at}))
                 out[k] = list(map(at.__getitem__, p))
         return out
@@ -186,15 +239,10 @@ class Aligner:
         """Ids and byte ends of a whole text (a blank first) under A and B, and the cuts (the groups' byte ends)."""
         if not text:
             return [], [], [], [], []
-        (a, ends_a, _), (b, ends_b, _), _, ok = self.encoded([" " + s for s in stretches(text)])
+        (a, ends_a, _), (b, ends_b, _), _, ok = self.encoded(self.stretches(text))
         return (a, ends_a, b, ends_b, np.intersect1d(ends_a, ends_b)) if ok.all() else ([], [], [], [], [])
 
 
-def stretches(text: str) -> list[str]:
-    """The text cut at blanks after a visible character; the blank of each cut is left out."""
-    return _CUT.split(text)
-
-
 def _refined(coarse: np.ndarray, shared: np.ndarray, size: np.ndarray, of: np.ndarray, start: np.ndarray) -> np.ndarray:
     """The tokens' byte ends: coarse cuts, but within a character the decoded bytes of the stretch's tokens so far."""
     so_far = np.cumsum(size)
@@ -248,6 +296,7 @@ def _chunk(aligner: Aligner, number: int, ids: list, texts: list[str]) -> pa.Rec
            for x, h in zip(codes, has.tolist(), strict=True)]
     keep = has[doc]
     used, flat = np.unique(flat[keep], return_inverse=True)
+    aligner.uses[used] += 1
     key, mult = np.unique(doc[keep] * max(1, len(used)) + flat, return_counts=True)
     doc, code = np.divmod(key, max(1, len(used)))
     # the stretches' pairs as places in the chunk's distinct ones
