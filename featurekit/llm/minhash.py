@@ -16,7 +16,7 @@ probability of their Jaccard similarity.
    pivot of a class being tried; then components are formed, and only lists that still span
    several go on. Their classes are compared in the tasks that hold a block of the list.
    Collisions are counted a few coordinates at a time, and a pair that cannot reach
-   ``matches`` with the coordinates left is skipped.
+   ``matches`` with the coordinates left is skipped. Of the lists that a pair shares, one gives it.
 4. Check. A pair kept is compared by size and by a parity sketch, whose distance never
    exceeds the symmetric difference, and then by the whole sets, which alone decide.
 
@@ -55,6 +55,7 @@ PIVOT_ROUNDS = 2
 BLOCK, PAIRS, STRIDE = 1024, 1 << 17, 8
 _RNG = np.random.default_rng(13)
 _ODD = _RNG.integers(0, 1 << 63, (2, COORDINATES), np.uint64) * np.uint64(2) + np.uint64(1)
+_BIT = np.uint64(1) << np.arange(COORDINATES, dtype=np.uint64)
 _SALT = _RNG.integers(0, 1 << 63, COORDINATES, np.uint64)
 
 
@@ -165,6 +166,7 @@ def _block_pairs(percent: int, matches: int):
         end = np.repeat(np.append(start[1:], t.num_rows), np.diff(np.append(start, t.num_rows)))
         x, root, cid = _Classes(t), np.asarray(t["root"]), np.asarray(t["cid"])
         side, across = np.asarray(t["side"]), np.asarray(t["across"])
+        prefix, own = np.asarray(t["prefix"]).view(np.uint64), x.sig == np.asarray(t["p"])[:, None]
         follow = end - np.arange(t.num_rows) - 1  # rows of the run after this one
         ends, lo = np.cumsum(follow), 0
         while lo < t.num_rows:
@@ -175,7 +177,12 @@ def _block_pairs(percent: int, matches: int):
             differ = (root[left] != root[right]) & ((across[left] == 0) | (side[left] != side[right]))
             left, right = left[differ], right[differ]
             at, _ = _colliding(x, left, x, right, percent, matches)
-            both = np.unique(np.sort(np.stack([cid[left[at]], cid[right[at]]]), axis=0), axis=1)
+            left, right = left[at], right[at]
+            # a pair stands in every list that both have in their prefixes: the one of the lowest coordinate gives it
+            common = ((x.sig[left] == x.sig[right]) * _BIT).sum(axis=1, dtype=np.uint64) & prefix[left] & prefix[right]
+            this = (own[left] * _BIT).sum(axis=1, dtype=np.uint64)
+            lowest = common & (~common + np.uint64(1)) == this
+            both = np.sort(np.stack([cid[left[lowest]], cid[right[lowest]]]), axis=0)
             if both.size:
                 yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
             lo = hi
@@ -224,13 +231,15 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     classes = written(sets.where("n > 0").dropDuplicates(["fp"]).select(
         F.monotonically_increasing_id().alias("cid"), "fp", "n", "sig", "sketch"), "minhash-classes")
 
-    posts = classes.select("cid", F.explode("sig").alias("p"))
+    posts = classes.select("cid", F.posexplode("sig").alias("c", "p"))
     lists = written(posts.groupBy("p").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "minhash-lists")
     shared = posts.join(lists, "p").groupBy("cid").agg(
-        F.sort_array(F.collect_list(F.struct("k", "p"))).alias("posts"))  # COORDINATES at most
+        F.sort_array(F.collect_list(F.struct("k", "p", "c"))).alias("posts"))  # COORDINATES at most
+    first = F.slice("posts", F.lit(1), F.size("posts") - matches + 1)
+    bits = F.aggregate(first, F.lit(0).cast("long"), lambda x, y: x.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), y["c"])))
     prefix = written(shared.where(F.size("posts") >= matches).select(
-        "cid", F.slice("posts", F.lit(1), F.size("posts") - matches + 1)["p"].alias("ps")), "minhash-prefixes")
-    posted = prefix.select("cid", F.explode("ps").alias("p"))
+        "cid", first["p"].alias("ps"), bits.alias("prefix")), "minhash-prefixes")
+    posted = prefix.select("cid", "prefix", F.explode("ps").alias("p"))
     several = posted.groupBy("p").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("p")
     lists = written(posted.join(several, "p"), "minhash-prefix-lists")
 
@@ -299,6 +308,6 @@ def _in_blocks(open_: DataFrame, classes: DataFrame, percent: int, matches: int)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     rows = rows.select("p", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                        (F.col("own") > F.col("other")).cast("int").alias("side"),
-                       (F.col("own") != F.col("other")).cast("int").alias("across"), "cid", "root", "n", "sig", "sketch")
+                       (F.col("own") != F.col("other")).cast("int").alias("across"), "cid", "root", "prefix", "n", "sig", "sketch")
     return rows.repartition("p", "i", "j").sortWithinPartitions("p", "i", "j").mapInArrow(
         _block_pairs(percent, matches), "a long, b long")
