@@ -3,17 +3,19 @@
 * rules are rows with a SQL predicate over per-tick aggregate columns (L1/L8);
 * the per-tick conditions are computed with grouped aggregates (one row per
   tick), NULL conditions are dropped (an evaluation error neither fires nor
-  resolves, L5) and silenced ticks are removed with a bucketed range anti-join
-  (J7/L4);
+  resolves, L5) and silenced ticks are removed with an anti-join on dyadic
+  intervals (J7/L4);
 * firing/resolution semantics (``for_duration``, ``cooldown``, last firing
-  surviving resolution) are sequential, so one small state machine runs per
-  rule over that rule's ticks (``applyInPandas``; the streaming evaluator
-  keeps the same state between micro-batches) — linear in the number of
-  ticks, never touching metric rows (L2/L3).
+  surviving resolution) are sequential. A rule's ticks are cut into chunks of time: every
+  chunk is summarised as a function from the state it starts in to the state it ends in,
+  the functions are composed in order, and each chunk is then run from its own start
+  (the streaming evaluator keeps the same state between micro-batches) — linear in the
+  number of ticks, no task holds a rule's history, and metric rows are never touched (L2/L3).
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -113,33 +115,61 @@ def conditions(ticks: DataFrame, rules: DataFrame) -> DataFrame:
         conf.set("spark.sql.ansi.enabled", ansi)
 
 
-def condition_since(conds: DataFrame) -> DataFrame:
-    """For each true tick, the time the condition has been true since
-    (gaps-and-islands: island id = running count of false ticks)."""
-    c = conds.filter(F.col("cond").isNotNull())
-    w = Window.partitionBy("rule").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    isl = c.withColumn("_island", F.sum(F.when(~F.col("cond"), 1).otherwise(0)).over(w))
-    wi = Window.partitionBy("rule", "_island")
-    return (isl.filter("cond").withColumn("first_true", F.min("t").over(wi))
+def condition_since(conds: DataFrame, chunk_seconds: int = 7 * 86400) -> DataFrame:
+    """For each true tick, the time the condition has been true since.
+
+    Gaps and islands in two levels: inside a chunk of (rule, time) the first true tick after the chunk's last
+    false one so far; a run of true ticks that reaches back over the chunk's start takes what the chunks
+    before it end in, a window over one row per chunk."""
+    c = conds.filter(F.col("cond").isNotNull()).withColumn("_chunk", F.floor(tu.epoch_seconds("t") / chunk_seconds))
+    inside = Window.partitionBy("rule", "_chunk").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    c = c.withColumn("_island", F.sum(F.when(~F.col("cond"), 1).otherwise(0)).over(inside))
+    c = c.withColumn("_own", F.min(F.when(F.col("cond"), F.col("t"))).over(Window.partitionBy("rule", "_chunk", "_island")))
+    ends = c.groupBy("rule", "_chunk").agg(F.max(F.struct("_island", "_own")).alias("_end"))
+    before = Window.partitionBy("rule").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # the last chunk before with a false tick, and the first true tick since: its trailing run's, or a later chunk's first
+    fell = F.max(F.when(F.col("_end._island") > 0, F.col("_chunk"))).over(before)
+    ends = ends.withColumn("_fell", fell)
+    runs = ends.groupBy("rule", "_fell").agg(F.min(F.struct("_chunk", "_end._own")).alias("_first"))
+    trail = ends.filter(F.col("_end._island") > 0).select("rule", F.col("_chunk").alias("_fell"), F.col("_end._own").alias("_trail"))
+    starts = (ends.join(runs.withColumnRenamed("_fell", "_f"), ["rule"]).filter(F.col("_fell").eqNullSafe(F.col("_f")))
+              .join(trail, ["rule", "_fell"], "left")
+              .select("rule", "_chunk", F.coalesce("_trail", F.when(F.col("_first._chunk") < F.col("_chunk"), F.col("_first._own"))).alias("_start")))
+    since = F.when(F.col("_island") == 0, F.coalesce("_start", "_own")).otherwise(F.col("_own"))
+    return (c.filter("cond").join(starts, ["rule", "_chunk"]).withColumn("first_true", since)
             .select("rule", "t", "first_true"))
 
 
+#: Levels of dyadic intervals: of one bucket to of 2^40.
+LEVELS = 41
+
+
 def remove_silenced(conds: DataFrame, silences: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
     """Drop evaluations inside a silence (rule equal, from <= t <= until).
 
-    Range join made equi-join: each silence is exploded into the time buckets
-    it covers (bounded by its length), joined on (rule, bucket), then the exact
-    range is checked — no pairs beyond one bucket per silence are formed."""
+    The buckets that a silence covers are a union of dyadic intervals, two a level at most, so a silence of any
+    length is a few dozen rows. A tick looks up the interval that holds it on each level that some silence
+    uses; the join is on (rule, level, interval), and the exact range is checked after it."""
     def bucket(c: Column) -> Column:
         return F.floor(tu.epoch_seconds(c) / bucket_seconds).cast("long")
 
+    size = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_k"))
     s = silences.select(F.col("rule_name").alias("rule"), F.col("from").alias("_from"), F.col("until").alias("_until"),
-                        F.explode(F.sequence(bucket(F.col("from")), bucket(F.col("until")))).alias("_b"))
-    c = conds.withColumn("_b", bucket(F.col("t")))
-    hit = (c.join(s, ["rule", "_b"])
+                        bucket(F.col("from")).alias("_lo"), bucket(F.col("until")).alias("_hi"),
+                        F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("_k"))
+    s = s.withColumn("_l", F.ceil(F.col("_lo") / size)).withColumn("_h", F.floor((F.col("_hi") + 1) / size) - 1)
+    # what the next level cannot cover: an odd first interval, an even last one
+    ends = F.array(F.when(F.col("_l") % 2 != 0, F.col("_l")), F.when(F.col("_h") % 2 == 0, F.col("_h")))
+    s = s.filter("_l <= _h").select("rule", "_from", "_until", "_k", F.explode(F.array_compact(ends)).alias("_node"))
+    used = [r["_k"] for r in s.select("_k").distinct().collect()]  # LEVELS at most
+    if not used:
+        return conds
+    c = conds.select("rule", "t", F.explode(F.array(*[F.lit(k) for k in sorted(used)])).alias("_k"))
+    c = c.withColumn("_node", F.floor(bucket(F.col("t")) / size))
+    hit = (c.join(s, ["rule", "_k", "_node"])
            .filter((F.col("t") >= F.col("_from")) & (F.col("t") <= F.col("_until")))
            .select("rule", "t").distinct())
-    return c.join(hit, ["rule", "t"], "left_anti").drop("_b")
+    return conds.join(hit, ["rule", "t"], "left_anti")
 
 
 EVENTS_SCHEMA = "rule_name string, status string, fired_at timestamp_ntz, resolved_at timestamp_ntz, event_ts long"
@@ -184,29 +214,107 @@ def events_frame(rule: str, events: list):
     return df
 
 
-def _fold_group(pdf):
-    pdf = pdf.sort_values("ts")
-    events, _ = run_rule(pdf["ts"].tolist(), pdf["cond"].tolist(),
-                         float(pdf["for_duration"].iloc[0]), float(pdf["cooldown"].iloc[0]))
-    return events_frame(pdf["rule"].iloc[0], events)
+_SUMMARY = ("rule string, chunk long, all_true boolean, trail_first long, first_tick long, for_duration double, cooldown double, "
+            "lead array<long>, lead_last array<long>, rest array<long>, rest_last array<long>")
+_ENTRY = "rule string, chunk long, first_true long, last_fired long, active boolean"
+
+
+def _summary(ts: np.ndarray, cond: np.ndarray, for_duration: float, cooldown: float, start: float) -> dict:
+    """What a chunk does to the state it starts in.
+
+    Where an alert may fire first is known but for that state: on a tick of the leading run of true ticks, or on a
+    later one that has been true for ``for_duration``. From each such tick the firings follow one another, so the
+    chunk is a table of (first firing, last firing). A state from before the chunk delays the first firing by
+    less than ``for_duration`` or ``cooldown``; the table ends with the first entries beyond that."""
+    false = np.flatnonzero(~cond)
+    lead = int(false[0]) if len(false) else len(ts)
+    at = np.arange(len(ts))
+    last_false = np.maximum.accumulate(np.where(cond, -1, at)) if len(ts) else at
+    first = ts[np.minimum(last_false + 1, len(ts) - 1)]  # of the run that a true tick stands in
+    later = cond & (at >= lead) & (ts - first >= for_duration)
+    may = np.concatenate([ts[:lead], ts[later]])
+    to = np.maximum(np.searchsorted(may, may + cooldown, "left"), np.arange(len(may)) + 1)
+    end = np.arange(len(may))  # the last firing, by doubling
+    jump = np.append(to, len(may))
+    while len(may) and (jump[:-1] < len(may)).any():
+        end = np.where(jump[:-1] < len(may), end[np.minimum(jump[:-1], len(may) - 1)], end)
+        jump = np.append(jump[jump[:-1]], len(may))
+    reach = start + max(for_duration, cooldown)
+    k, r = (int(np.searchsorted(x, reach, "left")) + 1 for x in (may[:lead], may[lead:]))
+    trail = len(ts) and (int(ts[false[-1] + 1]) if len(false) and false[-1] + 1 < len(ts) else None)
+    return {"all_true": not len(false), "trail_first": trail if len(false) else None, "first_tick": int(ts[0]),
+            "for_duration": for_duration, "cooldown": cooldown,
+            "lead": may[:lead][:k], "lead_last": may[end[:lead][:k]], "rest": may[lead:][:r], "rest_last": may[end[lead:][:r]]}
+
+
+def _summaries(batches):
+    import pandas as pd
+    for pdf in batches:
+        rows = []
+        for r in pdf.itertuples(index=False):
+            ts, cond = np.asarray(r.ts, np.int64), np.asarray(r.cond, bool)
+            rows.append({"rule": r.rule, "chunk": r.chunk} | _summary(ts, cond, r.for_duration, r.cooldown, r.chunk * r.span))
+        yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SUMMARY.split(", ")])
 
 
-def fold_events(conds: DataFrame, rules: DataFrame) -> DataFrame:
+def _entries(pdf):
+    """The state each chunk of a rule starts in: the chunks' functions composed in order."""
+    import pandas as pd
+    state, out = (None, 0, False), []
+    for r in pdf.sort_values("chunk").itertuples(index=False):
+        first, last, active = state
+        out.append((r.rule, r.chunk, first, last, active))
+        since = r.first_tick if first is None else first
+        k = int(np.searchsorted(r.lead, max(since + r.for_duration, last + r.cooldown), "left"))
+        j = int(np.searchsorted(r.rest, last + r.cooldown, "left"))
+        fired = True
+        if k < len(r.lead):
+            last = int(r.lead_last[k])
+        elif j < len(r.rest):
+            last = int(r.rest_last[j])
+        else:
+            fired = False
+        if r.all_true:
+            state = since, last, active or fired
+        else:
+            trail = None if pd.isna(r.trail_first) else int(r.trail_first)
+            state = trail, last, fired and trail is not None and last >= trail
+    return pd.DataFrame(out, columns=[c.split()[0] for c in _ENTRY.split(", ")]).astype({"first_true": "Int64"})
+
+
+def _replay(batches):
+    import pandas as pd
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples(index=False):
+            state = (None if pd.isna(r.first_true) else int(r.first_true), int(r.last_fired), bool(r.active))
+            events, _ = run_rule(r.ts.tolist(), r.cond.tolist(), r.for_duration, r.cooldown, state)
+            if events:
+                out.append(events_frame(r.rule, events))
+        if out:
+            yield pd.concat(out)
+
+
+def fold_events(conds: DataFrame, rules: DataFrame, chunk_seconds: int = 7 * 86400) -> DataFrame:
     """Firing and resolution events per rule.
 
-    Spark reduces metrics to one row per (rule, tick) first; the sequential
-    state machine (``run_rule``) then runs once per rule over its ticks in an
-    ``applyInPandas`` group — linear in ticks (a fold that accumulates an
-    array of events would copy it at every step, quadratic for long
-    histories). Only ticks reach Python, never metric rows.
+    A rule's ticks are packed by chunk of time (of ``chunk_seconds``, or four times the rule's ``for_duration`` or
+    cooldown if that is longer). Each chunk is summarised alone, the summaries, a row per chunk, are
+    composed per rule, and each chunk is run from the state it starts in (``run_rule``). A task holds
+    a chunk's ticks or a rule's summaries, never its history. Only ticks reach Python, never metric rows.
     """
     from featurekit.session import ship_package
     ship_package(conds.sparkSession)
-    r = rules.select(F.col("name").alias("rule"), "for_duration", "cooldown")
-    c = (conds.filter(F.col("cond").isNotNull())
-         .select("rule", tu.epoch_seconds("t").alias("ts"), "cond")
-         .join(F.broadcast(r), "rule"))  # rules: one row per rule
-    return c.groupBy("rule").applyInPandas(_fold_group, EVENTS_SCHEMA)
+    span = F.greatest(F.lit(chunk_seconds), F.ceil(4 * F.greatest("for_duration", "cooldown"))).cast("long")
+    r = rules.select(F.col("name").alias("rule"), "for_duration", "cooldown", span.alias("span"))
+    ticks = (conds.filter(F.col("cond").isNotNull())
+             .select("rule", tu.epoch_seconds("t").alias("ts"), "cond")
+             .join(F.broadcast(r), "rule")  # rules: one row per rule
+             .groupBy("rule", F.floor(F.col("ts") / F.col("span")).alias("chunk"), "for_duration", "cooldown", "span")
+             .agg(F.sort_array(F.collect_list(F.struct("ts", "cond"))).alias("k"))
+             .select("rule", "chunk", "for_duration", "cooldown", "span", F.col("k.ts").alias("ts"), F.col("k.cond").alias("cond")))
+    entries = ticks.mapInPandas(_summaries, _SUMMARY).groupBy("rule").applyInPandas(_entries, _ENTRY)
+    return ticks.join(entries, ["rule", "chunk"]).mapInPandas(_replay, EVENTS_SCHEMA)
 
 
 def fingerprint(name: Column, labels: Column) -> Column:

@@ -103,3 +103,78 @@ def test_feature_stream_with_a_new_checkpoint_wins_over_older_batches(spark):
     events(1).write.mode("append").parquet(f"{root}/in2")
     sf.run_daily_features_stream(spark, f"{root}/in2", schemas.RAW_EVENTS, f"{root}/out", f"{root}/c2")
     assert [(r.event_count, r.total_value) for r in sf.current_features(spark, f"{root}/out").collect()] == [(2, 6.0)]
+
+
+# ------------------------------------------------- the alert fold in chunks
+def _whole_history(conds, rules):
+    """The state machine over each rule's whole history."""
+    out = []
+    for name, fd, cd in rules:
+        ticks = sorted((t, c) for n, t, c in conds if n == name and c is not None)
+        events, _ = A.run_rule([t for t, _ in ticks], [c for _, c in ticks], fd, cd)
+        out += [(name, s, f, r) for s, f, r, _ in events]
+    return sorted(out, key=str)
+
+
+def _condition_rows(spark, conds):
+    return spark.createDataFrame([(n, t, c) for n, t, c in conds], "rule string, s long, cond boolean").selectExpr(
+        "rule", "timestampadd(SECOND, s, timestamp_ntz'1970-01-01 00:00:00') AS t", "cond")
+
+
+def _random_conditions(seed, rules, n=400):
+    import random
+    rng = random.Random(seed)
+    out = []
+    for name, *_ in rules:
+        t, state = rng.randint(0, 50), True
+        for _ in range(n):
+            t += rng.choice([1, 1, 1, 3, 40])
+            state = state if rng.random() < 0.93 else not state
+            out.append((name, t, None if rng.random() < 0.05 else state))
+    return out
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 60, 10_000])
+def test_alert_fold_in_chunks_equals_the_whole_history(spark, chunk):
+    rules = [(f"r{i}", float(fd), float(cd)) for i, (fd, cd) in enumerate(
+        [(0, 0), (0, 1), (5, 0), (0, 30), (12, 7), (3, 200), (100, 3), (2.5, 0.5)])]
+    conds = _random_conditions(chunk, rules)
+    frame = A.rules_df(spark, [(n, "true", "info", "", {}, fd, cd) for n, fd, cd in rules])
+    got = A.fold_events(_condition_rows(spark, conds), frame, chunk_seconds=chunk).selectExpr(
+        "rule_name", "status", "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', fired_at) f",
+        "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', resolved_at) r").collect()
+    assert sorted(map(tuple, got), key=str) == _whole_history(conds, rules)
+
+
+@pytest.mark.parametrize("chunk", [1, 9, 100_000])
+def test_condition_since_in_chunks(spark, chunk):
+    conds = _random_conditions(chunk, [("a",), ("b",)])
+    want = []
+    for name in ("a", "b"):
+        first = None
+        for n, t, c in sorted((x for x in conds if x[0] == name and x[2] is not None), key=lambda x: x[1]):
+            first = (t if first is None else first) if c else None
+            if c:
+                want.append((n, t, first))
+    got = A.condition_since(_condition_rows(spark, conds), chunk).selectExpr(
+        "rule", "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', t) t",
+        "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', first_true) f").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_silences_of_any_length(spark):
+    import random
+    rng = random.Random(5)
+    t = lambda s: T0 + dt.timedelta(seconds=s)
+    spans = [("a", t(-10**7), dt.datetime(1999, 1, 1)), ("b", t(86400 * 300), dt.datetime(9999, 12, 31)), ("c", t(50), t(40))]
+    for _ in range(60):
+        lo = rng.randint(0, 86400 * 40)
+        spans.append((rng.choice("abc"), t(lo), t(lo + rng.choice([0, 1, 3599, 3600, 7200, 86400 * 3]))))
+    ticks = [(n, t(rng.randint(0, 86400 * 400))) for n in "abcd" for _ in range(400)]
+    conds = spark.createDataFrame([(n, x, True) for n, x in ticks], "rule string, t timestamp_ntz, cond boolean")
+    sil = spark.createDataFrame(spans, "rule_name string, from timestamp_ntz, until timestamp_ntz")
+    want = sorted((n, x) for n, x in ticks if not any(m == n and lo <= x <= hi for m, lo, hi in spans))
+    for bucket in (3600, 1, 7 * 86400):
+        got = A.remove_silenced(conds, sil, bucket).select("rule", "t").collect()
+        assert sorted(map(tuple, got)) == want
+    assert A.remove_silenced(conds, sil.limit(0)).count() == len(ticks)
