@@ -50,14 +50,38 @@ def rules_df(spark: SparkSession, rules=DEFAULT_RULES) -> DataFrame:
     return spark.createDataFrame(rows, schemas.ALERT_RULES)
 
 
-def tick_aggregates(metrics: DataFrame, tick_seconds: int = 3600) -> DataFrame:
+#: Levels of dyadic intervals: of one unit to of 2^40. An open end is the last unit of them.
+LEVELS = 41
+OPEN_END = (1 << (LEVELS - 1)) - 1
+
+
+def dyadic_nodes(df: DataFrame, lo: str, hi: str, levels: int = LEVELS) -> DataFrame:
+    """The rows of ``df`` with (_k, _node) for each dyadic interval [node * 2^k, node * 2^k + 2^k) of the
+    fewest that make up the whole numbers from ``lo`` to ``hi``: two a level at most. A number lies in
+    one of them only, so sums over the intervals that hold it count each row once."""
+    size = _level_size()
+    s = df.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))))
+    s = s.withColumn("_l", F.ceil(F.col(lo) / size)).withColumn("_h", F.floor((F.col(hi) + 1) / size) - 1)
+    # what the next level cannot cover: an odd first interval, an even last one; on the last level, all
+    top = F.col("_k") == levels - 1
+    ends = F.array(F.when((F.col("_l") % 2 != 0) | top, F.col("_l")),
+                   F.when(((F.col("_h") % 2 == 0) | top) & ~(top & (F.col("_l") == F.col("_h"))), F.col("_h")))
+    return s.filter("_l <= _h").withColumn("_node", F.explode(F.array_compact(ends))).drop("_l", "_h")
+
+
+def _level_size() -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_k"))
+
+
+def tick_aggregates(metrics: DataFrame, tick_seconds: int = 3600, chunk_ticks: int = 4096) -> DataFrame:
     """Per-tick aggregate columns the rule predicates refer to: what a collector would
     show at the end of the tick. Counters and histograms are summed since the start,
     a gauge keeps its last value until it is set again.
 
-    Metrics are first reduced to one row per (tick, series) with partial aggregation.
-    The running sums go over the ticks (one row each); a gauge is repeated for the
-    ticks it is not set in, so that part is (series x ticks), never metric rows.
+    Metrics are first reduced to one row per tick, or per (tick, series) for gauges, with partial aggregation.
+    Sums since the start go in two levels: inside chunks of ``chunk_ticks`` ticks, and over one row per chunk. A
+    gauge's value holds for the ticks until it is replaced; these are a few dozen dyadic intervals at most, whatever their
+    length, which are reduced per interval, and a tick looks up the intervals it lies in.
     """
     v, name, typ = F.col("value"), F.col("name"), F.col("type")
     m = metrics.withColumn("_tick", F.floor(tu.epoch_seconds("ts") / tick_seconds))
@@ -66,22 +90,29 @@ def tick_aggregates(metrics: DataFrame, tick_seconds: int = 3600) -> DataFrame:
     sums = m.groupBy("_tick").agg(
         F.coalesce(F.sum(F.when((typ == "counter") & name.contains("failure"), v)), F.lit(0.0)).alias("failures"),
         *[F.count_if(lat & (v <= F.lit(b))).alias(f"_c{i}") for i, b in bounds], F.count_if(lat).alias("_n"))
-    so_far = Window.orderBy("_tick").rowsBetween(Window.unboundedPreceding, 0)
-    sums = sums.select("_tick", *[F.sum(c).over(so_far).alias(c) for c in sums.columns if c != "_tick"])
+    added = [c for c in sums.columns if c != "_tick"]
+    sums = sums.withColumn("_chunk", F.floor(F.col("_tick") / chunk_ticks))
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)  # a row per chunk
+    chunks = sums.groupBy("_chunk").agg(*[F.sum(c).alias(c) for c in added]).select(
+        "_chunk", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_b{c}") for c in added])
+    so_far = Window.partitionBy("_chunk").orderBy("_tick").rowsBetween(Window.unboundedPreceding, 0)
+    sums = sums.select("_tick", "_chunk", *[F.sum(c).over(so_far).alias(c) for c in added]).join(chunks, "_chunk").select(
+        "_tick", *[(F.col(c) + F.col(f"_b{c}")).alias(c) for c in added])
     # last value per (tick, series): the (ts, seq) order needs a struct buffer, so only
     # gauge rows take that path
-    last = (m.filter(typ == "gauge").groupBy("_tick", "name", labels_key().alias("series"))
+    kinds = ["null_rate", "drift_detected", "model_age_hours", "online_store_keys"]
+    last = (m.filter((typ == "gauge") & name.rlike("|".join(kinds))).groupBy("_tick", "name", labels_key().alias("series"))
             .agg(F.max_by(v, F.struct("ts", "seq")).alias("last")))
-    # the same tick bound on both sides: no series runs past the last tick
-    end = sums.agg(F.max("_tick").alias("_end"))
     until = F.lead("_tick").over(Window.partitionBy("name", "series").orderBy("_tick"))
-    held = (last.withColumn("_until", until).join(F.broadcast(end))  # one row
-            .withColumn("_tick", F.explode(F.sequence("_tick", F.coalesce(F.col("_until") - 1, "_end")))))
-    gauges = held.groupBy("_tick").agg(
-        F.max(F.when(name.contains("null_rate"), F.col("last"))).alias("max_null_rate"),
-        F.max(F.when(name.contains("drift_detected"), F.col("last"))).alias("max_drift_detected"),
-        F.max(F.when(name.contains("model_age_hours"), F.col("last"))).alias("max_model_age"),
-        F.count_if(name.contains("online_store_keys") & (F.col("last") == 0)).alias("store_zero"))
+    held = last.select("_tick", "name", "last", F.coalesce(until - 1, F.lit(OPEN_END)).alias("_last_tick"))
+    nodes = dyadic_nodes(held, "_tick", "_last_tick").groupBy("_k", "_node").agg(
+        *[F.max(F.when(name.contains(kind), F.col("last"))).alias(f"_g{i}") for i, kind in enumerate(kinds[:3])],
+        F.count_if(name.contains("online_store_keys") & (F.col("last") == 0)).alias("_g3"))
+    up = sums.select("_tick", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("_k")).withColumn(
+        "_node", F.floor(F.col("_tick") / _level_size()))
+    gauges = up.join(nodes, ["_k", "_node"]).groupBy("_tick").agg(
+        F.max("_g0").alias("max_null_rate"), F.max("_g1").alias("max_drift_detected"), F.max("_g2").alias("max_model_age"),
+        F.sum("_g3").alias("store_zero"))
     per_tick = (sums.join(gauges, "_tick", "left")
                 .withColumn("store_zero", F.coalesce("store_zero", F.lit(0)).cast("long"))
                 .withColumn("_cum", F.array(*[F.col(f"_c{i}") for i, _ in bounds])))
@@ -140,10 +171,6 @@ def condition_since(conds: DataFrame, chunk_seconds: int = 7 * 86400) -> DataFra
             .select("rule", "t", "first_true"))
 
 
-#: Levels of dyadic intervals: of one bucket to of 2^40.
-LEVELS = 41
-
-
 def remove_silenced(conds: DataFrame, silences: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
     """Drop evaluations inside a silence (rule equal, from <= t <= until).
 
@@ -153,19 +180,15 @@ def remove_silenced(conds: DataFrame, silences: DataFrame, bucket_seconds: int =
     def bucket(c: Column) -> Column:
         return F.floor(tu.epoch_seconds(c) / bucket_seconds).cast("long")
 
-    size = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_k"))
-    s = silences.select(F.col("rule_name").alias("rule"), F.col("from").alias("_from"), F.col("until").alias("_until"),
-                        bucket(F.col("from")).alias("_lo"), bucket(F.col("until")).alias("_hi"),
-                        F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("_k"))
-    s = s.withColumn("_l", F.ceil(F.col("_lo") / size)).withColumn("_h", F.floor((F.col("_hi") + 1) / size) - 1)
-    # what the next level cannot cover: an odd first interval, an even last one
-    ends = F.array(F.when(F.col("_l") % 2 != 0, F.col("_l")), F.when(F.col("_h") % 2 == 0, F.col("_h")))
-    s = s.filter("_l <= _h").select("rule", "_from", "_until", "_k", F.explode(F.array_compact(ends)).alias("_node"))
+    s = dyadic_nodes(silences.select(
+        F.col("rule_name").alias("rule"), F.col("from").alias("_from"), F.col("until").alias("_until"),
+        bucket(F.col("from")).alias("_lo"), bucket(F.col("until")).alias("_hi")), "_lo", "_hi")
+    s = s.select("rule", "_from", "_until", "_k", "_node")
     used = [r["_k"] for r in s.select("_k").distinct().collect()]  # LEVELS at most
     if not used:
         return conds
     c = conds.select("rule", "t", F.explode(F.array(*[F.lit(k) for k in sorted(used)])).alias("_k"))
-    c = c.withColumn("_node", F.floor(bucket(F.col("t")) / size))
+    c = c.withColumn("_node", F.floor(bucket(F.col("t")) / _level_size()))
     hit = (c.join(s, ["rule", "_k", "_node"])
            .filter((F.col("t") >= F.col("_from")) & (F.col("t") <= F.col("_until")))
            .select("rule", "t").distinct())

@@ -178,3 +178,25 @@ def test_silences_of_any_length(spark):
         got = A.remove_silenced(conds, sil, bucket).select("rule", "t").collect()
         assert sorted(map(tuple, got)) == want
     assert A.remove_silenced(conds, sil.limit(0)).count() == len(ticks)
+
+
+def test_ticks_hold_gauges_and_sums_over_chunks(spark):
+    import random
+    rng = random.Random(9)
+    rows = []
+    for _ in range(300):
+        kind, name = rng.choice([("counter", "job_failure"), ("gauge", "null_rate"), ("gauge", "online_store_keys"),
+                                 ("gauge", "model_age_hours"), ("histogram", "prediction_latency_seconds")])
+        rows.append((rng.randint(0, 60 * 24 * 60), name, kind, {"f": rng.choice("abcd")}, rng.choice([0, 1, 2, 0.25])))
+    metrics = _metrics(spark, rows)
+    want, ticks = {}, sorted({m // 60 for m, *_ in rows})
+    for t in ticks:
+        seen = sorted((m, i) for i, (m, *_) in enumerate(rows) if m // 60 <= t)
+        held = {(rows[i][1], rows[i][3]["f"]): rows[i][4] for _, i in seen if rows[i][2] == "gauge"}
+        greatest = lambda n: max((v for (k, _), v in held.items() if k == n), default=None)  # noqa: E731, B023
+        want[t] = (sum(rows[i][4] for _, i in seen if rows[i][2] == "counter"), greatest("null_rate"), greatest("model_age_hours"),
+                   sum(v == 0 for (k, _), v in held.items() if k == "online_store_keys"))
+    for chunk in (1, 5, 4096):
+        got = A.tick_aggregates(metrics, chunk_ticks=chunk).collect()
+        assert {int((r.t - T0).total_seconds() // 3600): (r.failures, r.max_null_rate, r.max_model_age, r.store_zero)
+                for r in got} == want
