@@ -355,6 +355,7 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     bits = spark.sparkContext.broadcast((_bits(counts), _bits(counts.where(F.col("count") > FREQUENT))))
     sets = written(docs.mapInArrow(_set_rows(n, percent, bits), "doc_id long, n long, fp binary, sigs array<long>, "
                                    "sketch binary, tokens binary"), "sets")
+    bits.destroy()  # the sets are written
     classes = written(sets.where("sigs IS NOT NULL").select("fp", "n", "sigs", "sketch", "tokens")
                       .dropDuplicates(["fp"]), "classes")
     tokens = classes.select("fp", "tokens")

@@ -41,6 +41,8 @@ L1 = 1e-3
 THRESHOLD = 0.7
 PREFIXES = (3, 4, 5)
 CACHE = 200_000
+#: Features of sentences looked at together in a step of the training.
+PART = 1 << 18
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)*")
@@ -90,25 +92,34 @@ def train(rows: list[tuple[str, int, float]]) -> tuple[float, dict[str, float]]:
     cols = number[np.frombuffer(cols, np.int32)]
     sent_of = np.repeat(np.arange(len(lengths), dtype=np.int32), np.frombuffer(lengths, np.int32))[cols >= 0]
     cols, bag_of = cols[cols >= 0], np.frombuffer(bag_of, np.int32)
-    names = {number[i]: f for f, i in known.items() if number[i] >= 0}
-    del known, of_word
+    # one text holds the names meanwhile, so that the words' memory is given back
+    held = sorted((int(number[i]), f) for f, i in known.items() if number[i] >= 0)
+    names = "\n".join(f for _, f in held)
+    del known, of_word, held
     y = np.array([b[0] for b in bags], float)
     weight = np.array([b[1] for b in bags])
     weight = weight * np.where(y == 1, 0.5 / weight[y == 1].sum(), 0.5 / weight[y == 0].sum())
     n, n_sent = len(kept), len(bag_of)
     w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
     w[n] = -4.0
+    parts = [slice(lo, lo + PART) for lo in range(0, len(cols), PART)]
     for t in range(1, STEPS + 1):
-        z = w[n] + np.bincount(sent_of, w[cols], n_sent)
+        z = np.zeros(n_sent)
+        for p in parts:
+            np.add.at(z, sent_of[p], w[cols[p]])
+        z += w[n]
         a = np.maximum(np.bincount(bag_of, np.logaddexp(0, z), len(y)), 1e-12)
         slope = weight * np.where(y == 1, -1 / np.expm1(np.minimum(a, 500)), 1.0)
         g = slope[bag_of] / (1 + np.exp(-z))
-        grad = np.append(np.bincount(cols, g[sent_of], n), g.sum())
+        grad = np.zeros(n + 1)
+        for p in parts:
+            np.add.at(grad, cols[p], g[sent_of[p]])
+        grad[n] = g.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         rate = 0.3 * (1 - t / (STEPS + 1)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-5)
         w = w - rate * m / (1 - 0.9 ** t)
         w[:n] = np.sign(w[:n]) * np.maximum(np.abs(w[:n]) - rate[:n] * L1, 0)
-    return float(w[n]), {f: float(w[i]) for i, f in names.items() if w[i]}
+    return float(w[n]), {f: float(x) for f, x in zip(names.split("\n"), w[:n].tolist(), strict=True) if x} if n else {}
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_bytes: int = TRAIN_BYTES):
