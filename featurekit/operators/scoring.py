@@ -1,12 +1,12 @@
-"""Batch scoring: models as native expressions or Arrow-batched pandas UDFs.
+"""Batch scoring: models as native expressions or Arrow UDFs.
 
 ``predict`` picks the cheapest correct path:
 
 * a model exposing ``to_column(cols)`` (e.g. ``LinearModel``) becomes a plain
   Catalyst expression — whole-stage codegen, no Python;
 * a model with ``predict`` / ``predict_proba`` (any sklearn-like object) runs
-  in an iterator pandas UDF: the model is broadcast once, unpickled once per
-  task and applied to Arrow batches of rows as one matrix;
+  in an iterator Arrow UDF: the model is broadcast once, unpickled once per
+  task and applied to each batch as one matrix over the list's value buffer;
 * a model with neither scores the mean of the features (native expression);
 * no model scores 0.0.
 """
@@ -16,10 +16,9 @@ from __future__ import annotations
 from typing import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 
 class LinearModel:
@@ -52,23 +51,30 @@ def mean_of(arr: Column) -> Column:
     return F.when(F.size(arr) > 0, total / F.size(arr)).otherwise(F.lit(0.0))
 
 
+def _feature_matrix(vectors: pa.Array) -> np.ndarray:
+    """The batch's feature vectors as a matrix over the list's value buffer; a null component is NaN."""
+    sizes = np.diff(vectors.offsets.to_numpy())
+    if vectors.null_count or (sizes != sizes[:1]).any():
+        raise ValueError("feature vectors must not be null and must be of one length")
+    flat = vectors.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    return flat.reshape(len(vectors), -1) if len(vectors) else flat.reshape(0, 0)
+
+
 def _udf_for(df: DataFrame, model, use_proba: bool):
     from featurekit.session import ship_package
     ship_package(df.sparkSession)  # the broadcast model may be a featurekit class
     bc = df.sparkSession.sparkContext.broadcast(model)
 
-    @pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = bc.value
-        for s in batches:
-            if len(s) == 0:
-                yield pd.Series([], dtype="float64")
+        for a in batches:
+            X = _feature_matrix(a)
+            if not len(X):
+                yield pa.array([], pa.float64())
                 continue
-            X = np.array(s.tolist(), dtype="float64")
-            if X.ndim == 1:
-                X = X.reshape(len(s), -1)
             y = m.predict_proba(X)[:, 1] if use_proba else m.predict(X)
-            yield pd.Series(np.asarray(y, dtype="float64"))
+            yield pa.array(np.asarray(y, dtype="float64"))
 
     return score
 

@@ -200,3 +200,20 @@ def test_ticks_hold_gauges_and_sums_over_chunks(spark):
         got = A.tick_aggregates(metrics, chunk_ticks=chunk).collect()
         assert {int((r.t - T0).total_seconds() // 3600): (r.failures, r.max_null_rate, r.max_model_age, r.store_zero)
                 for r in got} == want
+
+
+# ------------------------------------------------------------- model scoring
+def test_feature_matrix_of_sliced_and_null_components():
+    import numpy as np
+    import pyarrow as pa
+
+    from featurekit.operators.scoring import _feature_matrix
+    a = pa.array([[1, 2], [3, None], [5, 6], [7, 8]], pa.list_(pa.float64()))
+    assert _feature_matrix(a.slice(2)).tolist() == [[5, 6], [7, 8]]
+    got = _feature_matrix(a)
+    assert got.shape == (4, 2) and np.isnan(got[1, 1])
+    assert _feature_matrix(pa.array([[1], [2]], pa.list_(pa.int32()))).tolist() == [[1.0], [2.0]]
+    assert len(_feature_matrix(a.slice(0, 0))) == 0
+    for bad in ([[1.0], None], [[1.0], [1.0, 2.0]]):
+        with pytest.raises(ValueError, match="one length"):
+            _feature_matrix(pa.array(bad, pa.list_(pa.float64())))
