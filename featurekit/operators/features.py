@@ -6,10 +6,15 @@ A feature group is any object with ``name``, ``description`` and
 
 from __future__ import annotations
 
-from typing import Protocol, Sequence
+from typing import Iterator, Protocol, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from featurekit.functions import ranged
 
 
 class FeatureGroup(Protocol):
@@ -80,66 +85,81 @@ def spine_join(spine: DataFrame, features: DataFrame, keys: Sequence[str] = ("us
     return spine.join(features, list(keys), "left")
 
 
+def _last_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The label rows with the last feature row of their key so far, then the edge row."""
+    pid = ranged.partition_id()
+    head = last = carried = payload = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key, label, feature = b.column(0), b.column(4), b.column(5)
+        at = np.arange(b.num_rows)
+        is_feature = b.column(2).to_numpy(zero_copy_only=False) == 1
+        begun = np.maximum.accumulate(np.where(ranged.changes(key, last), at, -1))
+        seen = np.maximum.accumulate(np.where(is_feature, at, -1))
+        none = pa.nulls(1, feature.type)
+        pool = pa.concat_arrays([none, none if carried is None else carried, feature])
+        # 0: no feature yet, 1: the one carried over from the batch before, else a row of this batch
+        pick = np.where((seen >= 0) & (seen >= begun), seen + 2, np.where(begun < 0, 1, 0))
+        match = pool.take(pa.array(pick))
+        head = key.slice(0, 1) if head is None else head
+        last, carried, payload = key.slice(b.num_rows - 1), match.slice(b.num_rows - 1), label.type
+        keep = pa.array(~is_feature)
+        n = int((~is_feature).sum())
+        if n:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([pid] * n, pa.int32()), pa.array([False] * n), pa.nulls(n, key.type), key.filter(keep),
+                 label.filter(keep), match.filter(keep)], ["pid", "edge", "head", "_k", "_l", "_f"])
+    if head is not None:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([pid], pa.int32()), pa.array([True]), head, last, pa.nulls(1, payload), carried],
+            ["pid", "edge", "head", "_k", "_l", "_f"])
+
+
 def asof_join(labels: DataFrame, features: DataFrame, key: str = "user_id",
               label_time: str = "label_date", feature_time: str = "date",
-              feature_cols: Sequence[str] | None = None, bucket_days: int = 7) -> DataFrame:
-    """Point-in-time join, latest feature row strictly before the label time.
+              feature_cols: Sequence[str] | None = None) -> DataFrame:
+    """Point-in-time join, latest feature row strictly before the label time; every
+    label row stays, one without a key, a time or an earlier feature row with nulls.
 
     Equals ``labels ASOF LEFT JOIN features ON key = key AND label_time > feature_time``.
 
-    Skew-safe plan without emitting pairs: (1) union both sides and take the
-    last feature seen so far inside (key, time bucket) with a window; labels at
-    equal time sort before features, so the match is strictly earlier.
-    (2) For labels with no earlier feature inside their bucket, carry the last
-    feature of earlier buckets: one row per (key, bucket) aggregated with
-    ``max_by`` and forward-filled over buckets. Labels enter the windows as
-    distinct (key, time) pairs and the matches are joined back, so repeated
-    labels of a hot key never pile up in one window partition; work per
-    window partition is bounded by one bucket of one key's distinct times.
+    One sorted merge (``functions.ranged``): both sides are range-partitioned together by
+    (key, time), labels before features of the same time, so a hot key is split, and each
+    partition carries the last feature row along. The key that a partition starts with takes
+    the last feature row that the partitions before ended with: a window over one row per
+    partition. No pairs are emitted and neither side is read twice. Labels equal in all
+    columns stay in one partition, which is streamed.
     """
     if feature_cols is None:
         feature_cols = [c for c in features.columns if c not in (key, feature_time)]
-    fcols = list(feature_cols)
-
-    def bucket_of(c: str) -> Column:
-        return F.floor(F.unix_date(F.to_date(c)) / bucket_days).cast("long")
-
-    fstruct = F.struct(*[F.col(c) for c in [feature_time] + fcols])
-    ftype = features.select(fstruct.alias("_f")).schema["_f"].dataType
-    lab = (labels.select(F.col(key).alias("_k"), F.col(label_time).alias("_t")).distinct()
-           .select("_k", "_t", F.lit(0).alias("_side"), F.lit(None).cast(ftype).alias("_f")))
-    feat = features.select(F.col(key).alias("_k"), F.col(feature_time).alias("_t"),
-                           F.lit(1).alias("_side"), fstruct.alias("_f"))
-    u = lab.unionByName(feat, allowMissingColumns=True).withColumn("_b", bucket_of("_t"))
-
-    # (1) inside (key, bucket): labels sort before features of the same time.
-    w = (Window.partitionBy("_k", "_b").orderBy("_t", "_side")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    within = (u.withColumn("_m", F.last("_f", ignorenulls=True).over(w))
-              .filter(F.col("_side") == 0))
-
-    # (2) last feature of each (key, bucket), forward-filled to the buckets that
-    # need it; a window over buckets of one key is bounded by the time range.
-    per_bucket = (feat.withColumn("_b", bucket_of("_t"))
-                  .groupBy("_k", "_b").agg(F.max_by("_f", "_t").alias("_c"))
-                  .withColumn("_side", F.lit(1)))
-    # every label bucket gets its carry row (computed from the labels' keys, not
-    # from the window above, so that window runs once)
-    need = (lab.select("_k", bucket_of("_t").alias("_b")).distinct()
-            .withColumn("_c", F.lit(None).cast(ftype)).withColumn("_side", F.lit(0)))
-    wb = Window.partitionBy("_k").orderBy("_b", "_side").rowsBetween(Window.unboundedPreceding, -1)
-    fallback = (need.unionByName(per_bucket)
-                .withColumn("_fb", F.last("_c", ignorenulls=True).over(wb))
-                .filter(F.col("_side") == 0)
-                .select("_k", "_b", "_fb"))
-    matches = (within.join(fallback, ["_k", "_b"], "left")
-               .select("_k", "_t", F.coalesce("_m", "_fb").alias("_match")))
-    out = (labels.withColumn("_k", F.col(key)).withColumn("_t", F.col(label_time))
-           .join(matches, ["_k", "_t"], "left"))
-    sel = [F.col(c) for c in labels.columns]
-    sel += [F.col("_match")[c].alias(f"feature_{c}" if c == feature_time else c)
-            for c in [feature_time] + fcols]
-    return out.select(*sel)
+    cols = [feature_time, *feature_cols]
+    # payload fields by position: the sides may use the same names
+    lab = labels.select(F.col(key).alias("_k"), F.col(label_time).alias("_t"), F.lit(0).alias("_side"),
+                        F.xxhash64(*labels.columns).alias("_h"),
+                        F.struct(*[F.col(c).alias(f"l{i}") for i, c in enumerate(labels.columns)]).alias("_l"))
+    feat = (features.filter(F.col(key).isNotNull() & F.col(feature_time).isNotNull())
+            .select(F.col(key).alias("_k"), F.col(feature_time).alias("_t"), F.lit(1).alias("_side"),
+                    F.lit(0).cast("long").alias("_h"),
+                    F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(cols)]).alias("_f")))
+    both = lab.unionByName(feat, allowMissingColumns=True).select("_k", "_t", "_side", "_h", "_l", "_f")
+    of = {f.name: f.dataType for f in both.schema}
+    schema = T.StructType([T.StructField("pid", T.IntegerType()), T.StructField("edge", T.BooleanType()),
+                           T.StructField("head", of["_k"]), T.StructField("_k", of["_k"]),
+                           T.StructField("_l", of["_l"]), T.StructField("_f", of["_f"])])
+    t = ranged.scanned(both, ["_k", "_t", "_side", "_h"], _last_features, schema, "asof_join")
+
+    edges = t.filter("edge")
+    ends = edges.select("pid", "_k", "_f", F.lit(False).alias("start"))
+    starts = edges.select("pid", F.col("head").alias("_k"), F.lit(None).cast(of["_f"]).alias("_f"), F.lit(True).alias("start"))
+    before = Window.partitionBy("_k").orderBy("pid").rangeBetween(Window.unboundedPreceding, -1)
+    carried = (ends.unionByName(starts).withColumn("_carried", F.last("_f", ignorenulls=True).over(before))
+               .filter("start").select("pid", "_k", "_carried"))
+    match = F.coalesce("_f", "_carried")
+    sel = [F.col("_l")[f"l{i}"].alias(c) for i, c in enumerate(labels.columns)]
+    sel += [match[f"f{i}"].alias(f"feature_{c}" if c == feature_time else c) for i, c in enumerate(cols)]
+    return (t.filter("NOT edge").join(F.broadcast(carried), ["pid", "_k"], "left")  # one row per partition of the scan
+            .select(*sel))
 
 
 def label_spine(events: DataFrame, event_type: str = "purchase") -> DataFrame:

@@ -7,17 +7,23 @@ aggregation, so a single hot series costs one partial row per task.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from featurekit.functions import timeutil as tu
+from featurekit.functions import ranged
 from featurekit.functions.labels import labels_key, prometheus_labels
 
 # Default latency histogram upper bounds (seconds), in order.
 DEFAULT_BUCKETS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0]
 
+MAX_BROADCAST_RANKS = 200_000  # ranks that exact_percentiles broadcasts; beyond it they are joined
+
 
 def counter_totals(metrics: DataFrame) -> DataFrame:
     """A5: total of increments per (name, labels)."""
@@ -69,42 +75,74 @@ def percentile_from_buckets(cum: Column, count: Column, p: float,
             .otherwise(F.lit(float(buckets[-1]))))
 
 
-def running_total(metrics: DataFrame, chunk_seconds: int = 3600, max_chunk_rows: int = 2_000_000) -> DataFrame:
-    """Running total of each counter series in (ts, seq) order.
+_SCANNED_TOTALS = ("pid int, edge boolean, head_name string, head_labels string, name string, labels string, "
+                   "ts timestamp_ntz, seq long, value double, total double, n long")
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the non-null values of each series since the partition's start, then the edge row."""
+    pid = ranged.partition_id()
+    head: list[pa.Array] = []
+    last: list[pa.Array | None] = [None, None]
+    total, n, names = 0.0, 0, [f.split()[0] for f in _SCANNED_TOTALS.split(", ")]
+    types = [pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.string(), pa.timestamp("us"),
+             pa.int64(), pa.float64(), pa.float64(), pa.int64()]
+
+    def out(columns, rows):
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(rows, t) if c is None else pa.array(c, t) if not isinstance(c, pa.Array) else c.cast(t)
+             for c, t in zip(columns, types, strict=True)], names)
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        series = [b.column(0), b.column(1)]
+        group = np.cumsum(ranged.changes(series[0], last[0]) | ranged.changes(series[1], last[1]))
+        head = head or [c.slice(0, 1) for c in series]
+        value = b.column(4).to_numpy(zero_copy_only=False)
+        present = np.asarray(b.column(4).is_valid())
+        sums = pd.DataFrame({"v": np.where(present, value, 0.0), "n": present.astype(np.int64)}).groupby(group).cumsum()
+        going_on = group == 0
+        sums.loc[going_on, "v"] += total
+        sums.loc[going_on, "n"] += n
+        total, n = float(sums["v"].iat[-1]), int(sums["n"].iat[-1])
+        last = [c.slice(b.num_rows - 1) for c in series]
+        yield out([[pid] * b.num_rows, [False] * b.num_rows, None, None, *series, b.column(2), b.column(3),
+                   b.column(4), sums["v"].to_numpy(), sums["n"].to_numpy()], b.num_rows)
+    if head:
+        yield out([[pid], [True], *head, *last, None, None, None, [total], [n]], 1)
+
 
-    Two-level prefix sum so a hot series is never one window partition:
-    (1) rows are cut into time chunks per series — an hour, or finer for the
-    (series, hour) pairs holding more than ``max_chunk_rows`` rows (their chunk
-    width shrinks so each part holds about that many rows; only those hot pairs
-    are looked up, a size-checked broadcast); (2) per-chunk sums and their
-    exclusive prefix over chunks — a window over chunk rows only; (3) the
-    running sum inside each chunk, partitioned by (series, chunk), plus the
-    chunk offset.
+def running_total(metrics: DataFrame) -> DataFrame:
+    """Running total of each counter series in (ts, seq) order; a null value adds
+    nothing, and before the first value the total is null.
+
+    A scan by physical range partition (``functions.ranged``): the rows are range-partitioned
+    by (series, ts, seq), each partition sums its series from its own start, and only the
+    series a partition starts with needs an offset, the sum of what the partitions before
+    ended with: a window over one row per partition. A series is split however its rows
+    lie in time; only rows equal in all four columns stay together.
     """
-    from featurekit.functions.sizing import broadcast_if_small
-    e = tu.epoch_seconds("ts")
     c = (metrics.filter(F.col("type") == "counter")
-         .withColumn("labels_key", labels_key())
-         .withColumn("_e", e)
-         .withColumn("_hour", F.floor(F.col("_e") / chunk_seconds)))
-    hot = (c.groupBy("name", "labels_key", "_hour").agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > max_chunk_rows)
-           .select("name", "labels_key", "_hour",
-                   F.greatest(F.lit(1), F.floor(F.lit(chunk_seconds).cast("double") * max_chunk_rows / F.col("_n")))
-                   .cast("long").alias("_w")))
-    cs = F.lit(chunk_seconds).cast("long")
-    width = F.coalesce("_w", cs)
-    c = (c.join(broadcast_if_small(hot, 100_000), ["name", "labels_key", "_hour"], "left")
-         .withColumn("_chunk", F.col("_hour") * cs + F.floor((F.col("_e") - F.col("_hour") * cs) / width) * width))
-    per_chunk = c.groupBy("name", "labels_key", "_chunk").agg(F.sum("value").alias("_s"))
-    wc = Window.partitionBy("name", "labels_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select("name", "labels_key", "_chunk",
-                               F.coalesce(F.sum("_s").over(wc), F.lit(0.0)).alias("_off"))
-    wi = Window.partitionBy("name", "labels_key", "_chunk").orderBy("ts", "seq") \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    return (c.join(offsets, ["name", "labels_key", "_chunk"])
-            .withColumn("running_total", F.col("_off") + F.sum("value").over(wi))
-            .select("ts", "seq", "name", F.col("labels_key").alias("labels"), "value", "running_total"))
+         .select("name", labels_key().alias("labels"), "ts", "seq", F.col("value").cast("double").alias("value")))
+    t = ranged.scanned(c, ["name", "labels", "ts", "seq"], _totals, _SCANNED_TOTALS, "running_total")
+    edges = t.filter("edge")
+    ends = edges.select("pid", "name", "labels", "total", "n", F.lit(False).alias("start"))
+    starts = edges.select("pid", F.col("head_name").alias("name"), F.col("head_labels").alias("labels"),
+                          F.lit(None).cast("double").alias("total"), F.lit(0).cast("long").alias("n"),
+                          F.lit(True).alias("start"))
+    before = Window.partitionBy("name", "labels").orderBy("pid").rangeBetween(Window.unboundedPreceding, -1)
+    offsets = (ends.unionByName(starts)
+               .withColumn("_off", F.coalesce(F.sum("total").over(before), F.lit(0.0)))
+               .withColumn("_off_n", F.coalesce(F.sum("n").over(before), F.lit(0)))
+               .filter("start").select("pid", F.col("name").alias("_name"), F.col("labels").alias("_labels"), "_off", "_off_n"))
+    rows = t.filter("NOT edge")
+    return (rows.join(F.broadcast(offsets),  # one row per partition of the scan
+                      (rows["pid"] == offsets["pid"]) & rows["name"].eqNullSafe(F.col("_name"))
+                      & rows["labels"].eqNullSafe(F.col("_labels")), "left")
+            .select("ts", "seq", "name", "labels", "value",
+                    F.when(F.col("n") + F.coalesce("_off_n", F.lit(0)) > 0,
+                           F.col("total") + F.coalesce("_off", F.lit(0.0))).alias("running_total")))
 
 
 def fmt(v: Column) -> Column:
@@ -158,65 +196,85 @@ def metrics_json(metrics: DataFrame) -> DataFrame:
     return cg.unionByName(hj)
 
 
-def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, ps: Sequence[float],
-                      accuracy: int = 10_000, delta: float | None = None) -> DataFrame:
-    """A10 (exact, scale-safe): linearly interpolated percentiles, equal to
-    ``percentile`` / DuckDB ``quantile_cont``, without holding a whole group.
-
-    1. ``percentile_approx`` (fixed-size sketch, rank error ≤ n/accuracy)
-       brackets each target rank: [q(p − δ), q(p + δ)];
-    2. one pass counts the rows below each bracket and pre-aggregates the rows
-       inside it to (value, count) — the bracket holds about 2δ·n rows, and
-       repeated values collapse;
-    3. a window over the small bracket table finds the exact values at ranks
-       floor/ceil of p·(n − 1) and interpolates.
-    A bracket that misses its rank (not expected from the sketch guarantee) is
-    recomputed with the full value range, so the result is always exact.
+_LOW_BITS = np.int64(0x7FFFFFFFFFFFFFFF)
+
+
+@F.arrow_udf(T.LongType())
+def _ordered_bits(v: pa.Array) -> pa.Array:
+    """Longs in the order of the doubles: both zeros are equal, NaN is the largest."""
+    x = v.to_numpy(zero_copy_only=False) + 0.0
+    b = np.where(np.isnan(x), np.nan, x).view(np.int64)
+    return pa.array(b ^ ((b >> 63) & _LOW_BITS))
+
+
+@F.arrow_udf(T.DoubleType())
+def _of_ordered_bits(v: pa.Array) -> pa.Array:
+    b = v.to_numpy(zero_copy_only=False).astype(np.int64)
+    return pa.array((b ^ ((b >> 63) & _LOW_BITS)).view(np.float64))
+
+
+def _cell_of(cells: Column, rank: Column) -> Column:
+    """The cell that holds a rank (from 0) among sorted cells, and the rows before it."""
+    def step(acc, c):
+        further = acc["seen"] + c["n"]
+        return (F.when(acc["cell"].isNotNull(), acc)
+                .when(further > rank, F.struct(acc["seen"].alias("seen"), c["cell"].alias("cell")))
+                .otherwise(F.struct(further.alias("seen"), F.lit(None).cast("long").alias("cell"))))
+    return F.aggregate(cells, F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("cell")), step)
+
+
+def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, ps: Sequence[float]) -> DataFrame:
+    """A10 (exact): linearly interpolated percentiles, equal to ``percentile`` / DuckDB
+    ``quantile_cont``, by radix selection; nulls are left out.
+
+    A value's 64 ordered bits are read 16 at a time. Each of the four passes counts the rows
+    of every cell that still holds a wanted rank by their next 16 bits (combined on the map
+    side: at most 65,536 counts per cell, of rows that may be any number) and moves each rank
+    into the cell its count leads to. After the fourth a cell is one value. The passes are
+    one plan with four scans; nothing is sorted, kept or sampled. The ranks of all groups are
+    broadcast where the groups were counted to be few, else joined.
     Output: group columns, ``p``, ``value``.
     """
-    g = list(group)
-    v = F.col(value)
-    delta = 3.0 / accuracy if delta is None else delta  # bracket half-width in rank fraction
-    lo_ps = [max(0.0, p - delta) for p in ps]
-    hi_ps = [min(1.0, p + delta) for p in ps]
-    x = df.select(*g, v.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    sk = x.groupBy(*g).agg(F.percentile_approx("_v", lo_ps + hi_ps, accuracy).alias("_q"),
-                           F.count(F.lit(1)).alias("_n"))
-    k = len(ps)
-    br = sk.select(*g, "_n", F.inline(F.array(*[
-        F.struct(F.lit(p).alias("p"),
-                 (F.lit(float("-inf")) if lo_ps[i] == 0.0 else F.col("_q")[i]).alias("_lo"),
-                 (F.lit(float("inf")) if hi_ps[i] == 1.0 else F.col("_q")[k + i]).alias("_hi"))
-        for i, p in enumerate(ps)])))
-
-    def solve(brackets: DataFrame) -> DataFrame:
-        j = x.join(brackets, g) if g else x.crossJoin(F.broadcast(brackets))  # no group: one bracket row per p
-        below = j.groupBy(*g, "p").agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
-        inside = (j.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-                  .groupBy(*g, "p", "_v").agg(F.count(F.lit(1)).alias("_c")))
-        w = Window.partitionBy(*g, "p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-        t = (inside.join(below, g + ["p"]).join(brackets.select(*g, "p", "_n"), g + ["p"])
-             .withColumn("_cum", F.col("_below") + F.sum("_c").over(w)))
-        pos = F.col("p") * (F.col("_n") - 1)
-        r_lo, r_hi = F.floor(pos), F.ceil(pos)
-        res = (t.groupBy(*g, "p").agg(
-            F.min(F.when(F.col("_cum") >= r_lo + 1, F.col("_v"))).alias("_a"),
-            F.min(F.when(F.col("_cum") >= r_hi + 1, F.col("_v"))).alias("_b"),
-            F.first("_below").alias("_below"), F.max("_cum").alias("_top"), F.first("_n").alias("_n")))
-        pos2 = F.col("p") * (F.col("_n") - 1)
-        ok = (F.col("_below") <= F.floor(pos2)) & (F.col("_top") >= F.ceil(pos2) + 1)
-        return res.select(*g, "p", (F.col("_a") + (pos2 - F.floor(pos2)) * (F.col("_b") - F.col("_a"))).alias("value"),
-                          ok.alias("_ok"))
-
-    # the result is one row per (group, p): materialise it once in the shared
-    # checkpoint folder (cuts lineage, no recomputation for the miss check)
-    from featurekit.session import shared_root
-    shared_root(df.sparkSession)
-    first = solve(br).checkpoint(eager=True)
-    missed = first.filter(~F.col("_ok")).select(*g, "p")
-    if missed.limit(1).count() == 0:
-        return first.drop("_ok")
-    # fallback for (unexpected) misses: full-range brackets for those only
-    wide = (br.join(missed, g + ["p"], "left_semi")
-            .withColumn("_lo", F.lit(float("-inf"))).withColumn("_hi", F.lit(float("inf"))))
-    return first.filter(F.col("_ok")).drop("_ok").unionByName(solve(wide).drop("_ok"))
+    g = [f"_g{i}" for i in range(len(group))]
+    x = (df.select(*[F.col(c).alias(k) for c, k in zip(group, g, strict=True)], F.col(value).cast("double").alias("_v"))
+         .filter(F.col("_v").isNotNull()).select(*g, _ordered_bits("_v").alias("_b")))
+    most = MAX_BROADCAST_RANKS // max(1, 2 * len(ps))
+    few = not g or df.select(*group).distinct().limit(most + 1).count() <= most
+
+    def cells(rows: DataFrame, keys: Sequence[str], shift: int) -> DataFrame:
+        counts = rows.groupBy(*keys, F.shiftright("_b", shift).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+        return counts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("_cells"))
+
+    def moved(found: DataFrame) -> DataFrame:
+        """A row per cell that holds ranks, with those ranks counted from the cell's start."""
+        def place(t):
+            at = _cell_of(F.col("_cells"), t["r"])
+            return F.struct(at["cell"].alias("cell"), t["i"].alias("i"), (t["r"] - at["seen"]).alias("r"))
+        placed = found.select(*g, "_n", F.transform("_ranks", place).alias("_placed"))
+        return (placed.select(*g, "_n", "_placed", F.explode(F.array_distinct(F.col("_placed.cell"))).alias("_cell"))
+                .select(*g, "_n", "_cell", F.transform(
+                    F.filter("_placed", lambda t: t["cell"] == F.col("_cell")),
+                    lambda t: F.struct(t["i"].alias("i"), t["r"].alias("r"))).alias("_ranks")))
+
+    n = F.aggregate("_cells", F.lit(0).cast("long"), lambda a, c: a + c["n"])
+    wanted = [F.struct(F.lit(2 * j + up).alias("i"), (F.ceil if up else F.floor)(F.lit(float(p)) * (F.col("_n") - 1)).cast("long").alias("r"))
+              for j, p in enumerate(ps) for up in (0, 1)]
+    first = cells(x, g, 48) if g else cells(x, [], 48).filter(F.size("_cells") > 0)
+    state = moved(first.withColumn("_n", n).withColumn("_ranks", F.array(*wanted)))
+    for shift in (32, 16, 0):
+        held = state.select(*[F.col(k).alias(f"{k}s") for k in g], "_n", "_cell", "_ranks")
+        on = F.shiftright("_b", shift + 16) == F.col("_cell")
+        for k in g:
+            on = on & F.col(k).eqNullSafe(F.col(f"{k}s"))
+        state = moved(cells(x.join(F.broadcast(held) if few else held, on), [*g, "_n", "_ranks"], shift))
+    at = (state.select(*g, "_n", F.explode("_ranks").alias("_r"), "_cell")
+          .select(*g, "_n", F.col("_r.i").alias("_i"), _of_ordered_bits("_cell").alias("_v")))
+    both = at.groupBy(*g, "_n").agg(*[F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(f"_v{i}") for i in range(2 * len(ps))])
+
+    def between(j: int, p: float) -> Column:
+        lo, hi, pos = F.col(f"_v{2 * j}"), F.col(f"_v{2 * j + 1}"), F.lit(float(p)) * (F.col("_n") - 1)
+        return F.when(lo == hi, lo).otherwise(lo + (pos - F.floor(pos)) * (hi - lo))
+
+    return (both.select(*g, F.inline(F.array(*[F.struct(F.lit(float(p)).alias("p"), between(j, p).alias("value"))
+                                               for j, p in enumerate(ps)])))
+            .select(*[F.col(k).alias(c) for c, k in zip(group, g, strict=True)], "p", "value"))

@@ -206,10 +206,8 @@ SELECT l1 AS model, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_c
        round(quantile_cont(value, 0.99), 6) AS p99
 FROM ({METRICS_SQL}) WHERE type = 'histogram' GROUP BY 1""")
 def latency_percentiles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A10 (exact): interpolated percentiles per model. A model may hold a
-    third of all observations, so the exact values are found inside narrow
-    brackets from a fixed-size sketch (``exact_percentiles``) instead of
-    buffering every value of a group in one task."""
+    """A10 (exact): interpolated percentiles per model. A model may hold a third of all
+    observations: the ranks are found by radix selection, which counts and never sorts."""
     h = (metrics_from_events(spark, sf_dir).filter(F.col("type") == "histogram")
          .withColumn("model", F.col("labels")["model"]))
     r = M.exact_percentiles(h, ["model"], "value", [0.5, 0.95, 0.99])
@@ -222,7 +220,7 @@ SELECT CAST(ts AS VARCHAR) AS ts, seq, name, labels, value,
        round(sum(value) OVER (PARTITION BY name, labels ORDER BY ts, seq ROWS UNBOUNDED PRECEDING), 6) AS running_total
 FROM ({METRICS_SQL}) WHERE type = 'counter'""")
 def counter_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running total of every counter series (two-level prefix sum)."""
+    """Running total of every counter series (scan by range partition)."""
     return M.running_total(metrics_from_events(spark, sf_dir))
 
 

@@ -23,7 +23,7 @@ def test_asof_join_matches_pandas_with_hot_key(spark):
     f = spark.createDataFrame(feats, "user_id long, date date, v double")
     lab = spark.createDataFrame(labels, "user_id long, label_date date")
     got = {(r.user_id, r.label_date): (r.feature_date, r.v)
-           for r in asof_join(lab, f, "user_id", "label_date", "date", ["v"], bucket_days=7).collect()}
+           for r in asof_join(lab, f, "user_id", "label_date", "date", ["v"]).collect()}
     fp = pd.DataFrame(feats, columns=["user_id", "date", "v"])
     for k, ld in labels:
         prior = fp[(fp.user_id == k) & (fp.date < ld)]
@@ -129,6 +129,26 @@ def test_asof_join_keeps_duplicate_and_null_labels(spark):
     assert got == [("n", None), ("x", 5.0), ("y", 5.0), ("z", None)]
 
 
+def test_asof_join_carries_over_partitions_and_clashing_names(spark):
+    d0 = dt.date(2000, 1, 1)
+    day = lambda i: d0 + dt.timedelta(days=i)
+    feats = [(7, day(0), "first")] + [(7, day(3000), "late"), (8, day(1), None), (8, None, "no date"), (None, day(0), "no key")]
+    labels = [(7, day(i), i) for i in range(1, 3100)] + [(7, day(0), -1), (7, None, -2), (8, day(5), -3), (None, day(9), -4), (9, day(9), -5)]
+    f = spark.createDataFrame(feats, "_k long, _t date, _f string")
+    lab = spark.createDataFrame(labels, "_k long, pid date, edge int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = asof_join(lab, f, "_k", "pid", "_t", ["_f"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert out.columns == ["_k", "pid", "edge", "feature__t", "_f"] and len(out.inputFiles()) > 2
+    got = {r.edge: (r["feature__t"], r["_f"]) for r in out.collect()}
+    want = {i: (day(0), "first") if i <= 3000 else (day(3000), "late") for i in range(1, 3100)}
+    assert got == {**want, -1: (None, None), -2: (None, None), -3: (day(1), None), -4: (None, None), -5: (None, None)}
+    assert asof_join(lab.where("edge = 0"), f, "_k", "pid", "_t").count() == 0
+    assert asof_join(lab, f.where("_k = 0"), "_k", "pid", "_t").where("_f IS NOT NULL").count() == 0
+
+
 def test_latest_per_key_hash_path_equals_struct_path(spark):
     rnd = random.Random(11)
     rows = list({(rnd.randint(1, 30), dt.date(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 40)),

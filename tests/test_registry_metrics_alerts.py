@@ -158,32 +158,54 @@ def test_exact_percentiles_match_numpy_with_hot_group_and_ties(spark):
     rows += [("tiny", 5.0), ("tiny", 1.0)]
     df = spark.createDataFrame(rows, "g string, v double")
     ps = [0.0, 0.1, 0.5, 0.95, 0.99, 1.0]
-    got = {(r.g, r.p): r.value for r in M.exact_percentiles(df, ["g"], "v", ps, accuracy=100).collect()}
+    got = {(r.g, r.p): r.value for r in M.exact_percentiles(df, ["g"], "v", ps).collect()}
     for g in ("hot", "warm", "tiny"):
         vals = np.array([v for k, v in rows if k == g])
         for p in ps:
             assert abs(got[(g, p)] - np.quantile(vals, p)) < 1e-9, (g, p)
 
 
-def test_exact_percentiles_fallback_when_brackets_miss(spark):
+def test_exact_percentiles_over_the_whole_range_of_doubles(spark, monkeypatch):
     import numpy as np
-    vals = [float(i % 97) * 1.5 + i / 1000.0 for i in range(2000)]
-    df = spark.createDataFrame([("a", v) for v in vals], "g string, v double")
-    ps = [0.25, 0.5, 0.75]
-    got = {r.p: r.value for r in M.exact_percentiles(df, ["g"], "v", ps, accuracy=10, delta=0.0).collect()}
-    assert all(abs(got[p] - np.quantile(vals, p)) < 1e-9 for p in ps)
-
-
-def test_running_total_splits_hot_hours(spark):
+    rnd = np.random.default_rng(5)
+    wide = [float(v) for v in rnd.standard_normal(400) * 10.0 ** rnd.integers(-300, 300, 400)]
+    rows = [("wide", v) for v in [*wide, 0.0, -0.0, 5e-324, -5e-324]] + [("near", 1.0 + i * 2.0 ** -52) for i in range(70)]
+    rows += [(None, 2.0), (None, 4.0), ("none", None), ("one", -7.5)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    ps = [0.0, 0.25, 0.5, 0.9, 1.0]
+    few = {(r.g, r.p): r.value for r in M.exact_percentiles(df, ["g"], "v", ps).collect()}
+    monkeypatch.setattr(M, "MAX_BROADCAST_RANKS", 1)  # ranks joined, not broadcast
+    assert {(r.g, r.p): r.value for r in M.exact_percentiles(df, ["g"], "v", ps).collect()} == few
+    assert {k for k, _ in few} == {"wide", "near", None, "one"}
+    for (g, p), v in few.items():
+        vals = np.array([x for k, x in rows if k == g and x is not None])
+        assert np.isclose(v, np.quantile(vals, p), rtol=1e-12, atol=0), (g, p)
+    whole = {r.p: r.value for r in M.exact_percentiles(df.where("g = 'near'"), [], "v", ps).collect()}
+    assert whole == {p: few["near", p] for p in ps}
+    assert M.exact_percentiles(df.where("g = 'none'"), ["g"], "v", ps).count() == 0
+    assert M.exact_percentiles(df.where("g = 'none'"), [], "v", ps).count() == 0
+
+
+def test_running_total_splits_a_series_inside_one_instant(spark):
     t0 = dt.datetime(2024, 1, 1)
-    rows = [Row(ts=t0 + dt.timedelta(seconds=3 * i), seq=i, name="c", type="counter",
-                labels={"k": "hot"}, value=float(i % 5)) for i in range(2400)]
-    m = spark.createDataFrame(rows, schemas.METRICS)
-    got = {r.seq: r.running_total for r in M.running_total(m, max_chunk_rows=100).collect()}
-    run = 0.0
+    rows = [Row(ts=t0, seq=i, name="c", type="counter", labels={"k": "hot"},
+                value=None if i < 3 or i % 11 == 0 else float(i % 5)) for i in range(2400)]
+    rows += [Row(ts=t0, seq=i, name="c", type="counter", labels={"k": "z"}, value=1.0) for i in range(3)]
+    m = spark.createDataFrame(rows, schemas.METRICS).repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these few rows would become one partition
+    try:
+        out = M.running_total(m)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = {(r.labels, r.seq): r.running_total for r in out.collect()}
+    run = {}
     for r in rows:
-        run += r.value
-        assert got[r.seq] == run
+        k = "k=" + r.labels["k"]
+        if r.value is not None:
+            run[k] = run.get(k, 0.0) + r.value
+        assert got[k, r.seq] == run.get(k)
+    assert len(out.inputFiles()) > 1  # the one hot series was scanned in several partitions
+    assert M.running_total(m.where("seq < 0")).count() == 0
 
 
 def test_registry_imports_json_documents(spark, tmp_table_dir):
