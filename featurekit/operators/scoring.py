@@ -111,9 +111,9 @@ def rule_score(df: DataFrame, value_col: str = "total_value", key=("user_id", "d
     return df.withColumn(out, F.when(v > 50, 0.7 + r * 0.3).when(v > 10, 0.3 + r * 0.4).otherwise(0.1 + r * 0.2))
 
 
-def with_lineage(df: DataFrame, run_id: str, model_name: str, model_version: str,
+def with_lineage(df: DataFrame, run_id: str | Column, model_name: str, model_version: str,
                  feature_snapshot: str | None) -> DataFrame:
-    """P5: lineage literals and the prediction time on every row."""
+    """P5: lineage literals (the run id may be a column) and the prediction time on every row."""
     return df.withColumns({
         "_prediction_run_id": F.lit(run_id),
         "_model_name": F.lit(model_name),

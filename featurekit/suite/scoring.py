@@ -99,19 +99,23 @@ class _Precomputed:
 _MODEL = "purchase_ctr_model"
 
 
+_CODE = "rev-7f3a"  # code version of the test runs
+
+
 def _rule_job(spark, sf_dir, mode="append"):
-    """A scoring run per event date and one for the day after the last; the model version
-    and its feature snapshot come from the registry."""
+    """A scoring run per event date and one for the day after the last, in one job; the model
+    version and its feature snapshot come from the registry."""
     from featurekit.suite.registry import model_versions
     versions, _ = model_versions(spark, sf_dir)
-    cfg = batch_predict.config_for(versions, _MODEL, feature_columns=["total_value"], output_mode=mode)
+    cfg = batch_predict.config_for(versions, _MODEL, feature_columns=["total_value"], output_mode=mode, code_version=_CODE,
+                                   input_table="user_features_daily", output_table="batch_predictions")
     ev = tables.raw_events(spark, sf_dir)
     f = scoring.rule_score(UserFeaturesDaily().compute(ev), out="_rule_score")
     out = fresh_dir(spark, "batch_predictions")
     bs = history.batches(ev)
     n = (bs[-1].end - bs[0].start).days + 2
     days = [bs[0].start + dt.timedelta(days=i) for i in range(n)]
-    return out, [batch_predict.run(f, _Precomputed(), cfg, out, f"run_{i}", d) for i, d in enumerate(days)]
+    return out, batch_predict.run_dates(f, _Precomputed(), cfg, out, {d: f"run_{i}" for i, d in enumerate(days)})
 
 
 def _production_sql(column: str) -> str:
@@ -167,14 +171,24 @@ SELECT 'run_' || CAST(date_diff('day', d0, day) AS VARCHAR) AS run_id,
        '{_MODEL}:' || {_production_sql("version")} AS model,
        {_production_sql("feature_snapshot_id")} AS feature_snapshot_id, CAST(day AS VARCHAR) AS prediction_date,
        count(p) AS rows_processed, round(avg(p), 6) AS mean, round(stddev_samp(p), 6) AS stddev,
-       round(min(p), 6) AS min, round(max(p), 6) AS max
+       round(min(p), 6) AS min, round(max(p), 6) AS max, 'user_features_daily' AS input_table,
+       'batch_predictions' AS output_table, '{_CODE}' AS code_version, TRUE AS has_duration
 FROM k LEFT JOIN p ON p.date = k.day GROUP BY day, d0""")
 def prediction_job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The summary rows (status, model, snapshot, rows, stats) of a run per event
-    date and of an empty one, with statistics observed during the writes."""
-    _, sums = _rule_job(spark, sf_dir)
-    rows = [(s["run_id"], s["status"], s["model"], s["feature_snapshot_id"], s["prediction_date"],
-             s["rows_processed"], s["mean"], s["stddev"], s["min"], s["max"]) for s in sums]
-    return spark.createDataFrame(rows, "run_id string, status string, model string, feature_snapshot_id string, "
-                                       "prediction_date string, rows_processed bigint, mean double, "
-                                       "stddev double, min double, max double")
+    """The summary rows (status, model, snapshot, tables, rows, stats, code version) of a
+    run per event date and of an empty one, read back from the runs log."""
+    out, _ = _rule_job(spark, sf_dir)
+    return (batch_predict.runs(spark, out).withColumn("has_duration", F.col("duration_seconds") > 0)
+            .drop("count", "duration_seconds"))
+
+
+@register("prediction_lineage_runs", f"""
+WITH f AS ({FEATURES_SQL}), d AS (SELECT min(date) AS d0 FROM f)
+SELECT 'run_' || CAST(date_diff('day', d0, date) AS VARCHAR) AS run_id, '{_CODE}' AS code_version,
+       '{_MODEL}:' || {_production_sql("version")} AS model, count(*) AS rows, count(*) AS rows_processed
+FROM f, d GROUP BY date, d0""")
+def prediction_lineage_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predictions' rows per run, led to the code version and model by the runs log."""
+    out, _ = _rule_job(spark, sf_dir)
+    rows = spark.read.parquet(out).groupBy(F.col("_prediction_run_id").alias("run_id")).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(batch_predict.runs(spark, out).select("run_id", "code_version", "model", "rows_processed"), "run_id")

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from featurekit.functions import labels as L
@@ -105,3 +107,27 @@ def test_empty_prediction_writes_nothing_and_overwrite_keeps_other_dates(spark,
     batch_predict.run(df, model, cfg, out, "r1", dt.date(2024, 1, 1))
     batch_predict.run(df, model, cfg, out, "r2", dt.date(2024, 1, 2))
     assert {r.user_id for r in spark.read.parquet(out).collect()} == {1, 2}
+
+
+def test_scoring_many_dates_in_one_write_logs_every_run(spark, tmp_table_dir):
+    from featurekit.operators.scoring import LinearModel
+    rows = [(i, dt.date(2024, 1, 1 + i % 3), float(i)) for i in range(30)] + [(99, None, 1.0)]
+    df = spark.createDataFrame(rows, "user_id long, date date, x double")
+    out, days = f"{tmp_table_dir}/pred", [dt.date(2024, 1, d) for d in range(1, 5)]
+    cfg = batch_predict.PredictionConfig("m", "1.0.0", feature_columns=["x"], input_table="f", output_table="p", code_version="c1")
+    got = batch_predict.run_dates(df, LinearModel([2.0], 1.0), cfg, out, {d: f"r{d.day}" for d in days})
+    assert [(s["run_id"], s["status"], s["rows_processed"]) for s in got] == [
+        ("r1", "success", 10), ("r2", "success", 10), ("r3", "success", 10), ("r4", "empty", 0)]
+    assert got[1]["mean"] == 2 * np.mean(range(1, 30, 3)) + 1 and got[3]["mean"] is None
+    # a later run of one date appends; statistics and log are those of its own rows
+    cfg.partition_by, cfg.code_version = ["date"], "c2"
+    assert batch_predict.run(df, LinearModel([2.0], 1.0), cfg, out, "again", days[1])["rows_processed"] == 10
+    assert batch_predict.run_dates(df, LinearModel([0.0], 5.0), cfg, out, {days[1]: "third"})[0]["mean"] == 5.0
+    log = {r.run_id: r for r in batch_predict.runs(spark, out).collect()}
+    assert set(log) == {"r1", "r2", "r3", "r4", "again", "third"}
+    assert (log["again"].code_version, log["r1"].code_version, log["r1"].input_table, log["r1"].output_table) == ("c2", "c1", "f", "p")
+    assert all(r.duration_seconds > 0 for r in log.values())
+    back = spark.read.parquet(out)
+    assert back.count() == 50 and {r.date for r in back.where("_prediction_run_id = 'r2'").select("date").collect()} == {days[1]}
+    with pytest.raises(ValueError):
+        batch_predict.run_dates(df, LinearModel([0.0], 5.0), cfg, out, {days[0]: "x", days[1]: "x"})
