@@ -13,8 +13,12 @@ another order) is looked up by runs of lines. A block of at least ``MIN_WORDS``
 the earlier document holds is deleted from the later one (by doc_id, then text hash),
 wherever and however often it stands there; its first occurrence stays.
 
-Pairs carry line hashes, not texts: the arrays of lines are joined to the pairs by key,
-and the texts are only read again, in one join, by documents that lose lines.
+Pairs carry line hashes, not texts, and of those only what can match: a document is first
+shortened to its stretches of lines that some other document holds too, where a stretch has
+``MIN_WORDS`` words; what lies between two stretches becomes one break, which equals nothing.
+A block that two documents share lies within one stretch of either, so nothing is lost.
+Rare lines, runs and pairs are those of the shortened documents. The texts are only read
+again, in one join, by documents that lose lines.
 
 Lines are the text between line feeds. Lines without a word never pair, but blocks run
 across them. Defined results: null and empty texts have no lines to lose; documents with
@@ -56,7 +60,7 @@ def line_hashes(text: str) -> tuple[list[int], list[int]]:
 def spans(words, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """(starts, ends) of the shortest runs of ``min_words`` words from each line on and up
     to each line; they cover every longer block."""
-    total = np.concatenate([[0], np.cumsum(np.asarray(words, dtype=np.int64))])
+    total = np.concatenate([[0], np.cumsum(np.maximum(np.asarray(words, dtype=np.int64), 0))])
     at = np.arange(len(total))
     ends = np.searchsorted(total, total + min_words, "left")
     starts = np.searchsorted(total, total - min_words, "right") - 1
@@ -73,15 +77,33 @@ def span_hashes(hashes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def run_keys(hashes, words) -> list[int]:
-    """Hashes of the runs of several lines that start and end with a word."""
+    """Hashes of the runs of several lines, without a break, that start and end with a word."""
     starts, ends = spans(words)
     w = np.asarray(words, dtype=np.int64)
     if not len(starts):
         return []
-    several = (ends - starts > 1) & (w[starts] > 0) & (w[ends - 1] > 0)
+    breaks = np.concatenate([[0], np.cumsum(w < 0)])
+    several = (ends - starts > 1) & (w[starts] > 0) & (w[ends - 1] > 0) & (breaks[starts] == breaks[ends])
     return np.unique(span_hashes(hashes, starts[several], ends[several])).tolist()
 
 
+def shortened(lines: np.ndarray, words: np.ndarray, shared: np.ndarray, own: int,
+              min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, words, places in the document) of the stretches of shared lines, and lines
+    without a word among them, that have ``min_words`` words. A break stands before each: -1
+    words, and a hash made from ``own``, the text's."""
+    stays = (words == 0) | np.isin(lines, shared)
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], stays.astype(np.int8), [0]])))
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    at = [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if total[b] - total[a] >= min_words]
+    if not at:
+        return lines[:0], words[:0], np.zeros(0, np.int32)
+    marks = (np.full(1, own, np.int64).view(np.uint64) + np.uint64(_BASE) * np.arange(1, len(at) + 1, dtype=np.uint64)).view(np.int64)
+    pieces = [(np.concatenate([[mark], lines[a:b]]), np.concatenate([[-1], words[a:b]]), np.arange(a - 1, b))
+              for mark, (a, b) in zip(marks, at, strict=True)]
+    return tuple(np.concatenate(x) for x in zip(*pieces, strict=True))
+
+
 def patience(a, b) -> list[tuple[int, int]]:
     """Aligned positions of equal elements, ascending in both (patience diff)."""
     out: list[tuple[int, int]] = []
@@ -182,13 +204,26 @@ def _lines(batches):
                                           pa.array(ws, pa.list_(pa.int32()))], ["doc_id", "th", "lines", "words"])
 
 
+def _shortened(batches):
+    for b in batches:
+        doc, th, lines, words, shared = (b.column(i) for i in range(5))
+        ends, s_ends = lines.offsets.to_numpy(), shared.offsets.to_numpy()
+        h, w, s = (x.values.to_numpy(zero_copy_only=False) for x in (lines, words, shared))
+        kept = [shortened(h[a:z], w[a:z], s[i:j], own) for a, z, i, j, own in zip(
+            ends, ends[1:], s_ends, s_ends[1:], th.to_pylist(), strict=False)]
+        full = pa.array([len(k[0]) > 0 for k in kept], pa.bool_())
+        yield pa.RecordBatch.from_arrays(
+            [doc, th, *(pa.array([k[i] for k in kept], pa.list_(t)) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32())))],
+            ["doc_id", "th", "lines", "words", "at"]).filter(full)
+
+
 def _run_keys(lines: pd.Series, words: pd.Series) -> pd.Series:
     return pd.Series([run_keys(a, w) for a, w in zip(lines, words, strict=True)])
 
 
-def _align(later: pd.Series, words: pd.Series, earlier: pd.Series, earlier_words: pd.Series) -> pd.Series:
-    return pd.Series([common_blocks(a.tolist(), w.tolist(), b.tolist(), v.tolist())
-                      for a, w, b, v in zip(later, words, earlier, earlier_words, strict=True)])
+def _align(later: pd.Series, words: pd.Series, at: pd.Series, earlier: pd.Series, earlier_words: pd.Series) -> pd.Series:
+    return pd.Series([p[common_blocks(a.tolist(), w.tolist(), b.tolist(), v.tolist())].tolist()
+                      for a, w, p, b, v in zip(later, words, at, earlier, earlier_words, strict=True)])
 
 
 def _cut(text: pd.Series, dropped: pd.Series) -> pd.Series:
@@ -206,9 +241,20 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     lines = written(docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(
         _lines, "doc_id long, th long, lines array<long>, words array<int>").dropDuplicates(["doc_id", "th"]), "lines")
     key = F.struct(F.col("doc_id"), F.col("th")).alias("key")
-    held = lines.select(key, F.explode(F.array_distinct(F.transform(
-        F.filter(F.arrays_zip("lines", "words"), lambda x: x["words"] > 0), lambda x: x["lines"]))).alias("line"))
-    held = written(held, "held-lines")
+
+    def held_lines(rows: DataFrame) -> DataFrame:
+        return rows.select(key, F.explode(F.array_distinct(F.transform(
+            F.filter(F.arrays_zip("lines", "words"), lambda x: x["words"] > 0), lambda x: x["lines"]))).alias("line"))
+
+    every = held_lines(lines)
+    twice = every.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("line")
+    # a document's shared lines: bounded by its text
+    shared = every.join(twice, "line").groupBy("key").agg(F.collect_list("line").alias("shared"))
+    short = written(lines.join(shared.select(F.col("key").alias("_key"), "shared"),
+                               F.struct("doc_id", "th").eqNullSafe(F.col("_key")))
+                    .select("doc_id", "th", "lines", "words", "shared")
+                    .mapInArrow(_shortened, "doc_id long, th long, lines array<long>, words array<int>, at array<int>"), "short-lines")
+    held = written(held_lines(short), "held-lines")
     per = held.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first")).where("n > 1")
     star = (held.join(per.where(F.col("n") > RARE_DOCS), "line").where(F.col("key") > F.col("first"))
             .select(F.col("key").alias("later"), F.col("first").alias("earlier")))
@@ -218,17 +264,17 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
             .groupBy("line").agg(F.sort_array(F.collect_list("key")).alias("keys")))
     rare = rare.select("keys", F.posexplode("keys").alias("at", "later")).select(
         "later", F.explode(F.slice("keys", F.lit(1), F.col("at"))).alias("earlier"))
-    runs = written(lines.where(F.size("lines") > 1).select(key, F.explode(
+    runs = written(short.select(key, F.explode(
         F.pandas_udf(_run_keys, "array<long>")("lines", "words")).alias("run")), "held-runs")
     of = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first")).where("n > 1")
     blocks = (runs.join(of, "run").where(F.col("key") > F.col("first"))
               .select(F.col("key").alias("later"), F.col("first").alias("earlier")))
     pairs = star.unionByName(rare).unionByName(blocks).distinct()
 
-    whole = lines.select(key, "lines", "words")
+    whole = short.select(key, "lines", "words", "at")
     first = whole.select(F.col("key").alias("earlier"), F.col("lines").alias("from"), F.col("words").alias("from_words"))
     aligned = (pairs.join(first, "earlier").join(whole.withColumnRenamed("key", "later"), "later")
-               .withColumn("gone", F.pandas_udf(_align, "array<int>")("lines", "words", "from", "from_words"))
+               .withColumn("gone", F.pandas_udf(_align, "array<int>")("lines", "words", "at", "from", "from_words"))
                .where(F.size("gone") > 0).select("later", "earlier", "gone"))
     # a document's lines: bounded by its text; its partners: by its lines times RARE_DOCS
     return (aligned.groupBy("later").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("dropped"),
