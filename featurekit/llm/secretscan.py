@@ -57,7 +57,7 @@ _RUN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789
 _ASSIGNED = re.compile(r"([A-Za-z_][\w.\-]*)[\"']?\s{0,2}(?::=|=>|[:=])\s{0,2}(?:(?:Bearer|Basic)\s)?[\"'`]?$")
 _GIVEN = re.compile(r"(?::=|=>|[:=])\s{0,2}(?:(?:Bearer|Basic)\s)?([\"'`]?)")
 _PREFIX = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA|gh[pousr]_|sk-|xox[abp]-)(?=[^\s\"'`])")
-_UNQUOTED = re.compile(r"(?:(?!&[\w.\-]+=)[^\s\"'`]|(?<=\w)[\"'`](?=\w))+")
+_UNQUOTED = re.compile(r"(?:(?![&;,?][\w.\-]+=)[^\s\"'`]|(?<=\w)[\"'`](?=\w))+")
 _QUOTED = {q: re.compile(rf"[^\s{q}]+") for q in "\"'`"}
 _NAMED = re.compile(r"([A-Za-z_][A-Za-z0-9_.\-]*)=(.+)", re.DOTALL)
 _CREDENTIAL = re.compile(r"passw|pwd|secret|token|api_?key|access_?key|credential|auth", re.IGNORECASE)
@@ -90,15 +90,22 @@ def digit_runs(text: str):
 
 
 def given_values(text: str):
-    """(start, end) of the values of credential names and of what has a provider's prefix."""
+    """(start, end) of the values of credential names and of what has a provider's prefix;
+    of values inside one another, the outermost, so a text's values are at most its length."""
+    done = 0
     for sign in _GIVEN.finditer(text):
+        if sign.end() < done:
+            continue
         before = text[max(0, sign.start() - CONTEXT):sign.end()]
         if not _CREDENTIAL.search(before) or not (m := _ASSIGNED.search(before)) or not _CREDENTIAL.search(m.group(1)):
             continue
         if found := _value(text, sign.end(), sign.group(1)):
+            done = found[1]
             yield found
+    done = 0
     for m in _PREFIX.finditer(text):
-        if found := _value(text, m.start(), text[m.start() - 1:m.start()]):
+        if m.start() >= done and (found := _value(text, m.start(), text[m.start() - 1:m.start()])):
+            done = found[1]
             yield found
 
 

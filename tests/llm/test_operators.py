@@ -427,6 +427,30 @@ def test_line_dedup_leaves_no_block(spark):
         assert [x for x in out[i].split("\n") if x.split()] == want
 
 
+def test_line_dedup_of_shortened_documents(spark):
+    """Lines of a document's own between the shared ones: those are left out of the pairs."""
+    rng = np.random.default_rng(6)
+    pool = ["", " ", *(" ".join([f"w{i}"] * n) for i, n in enumerate([1, 2, 3, 5, 6, 7, 9, 12, 13]))]
+    texts = ["\n".join(f"own {i} {k} " + "x " * int(rng.integers(0, 14)) if rng.random() < 0.25 else str(rng.choice(pool))
+                       for k in range(rng.integers(1, 30))) for i in range(90)]
+    texts += texts[:5] + ["own 0\n" * 3]
+    rows = [(i, t, None, None, 1) for i, t in enumerate(texts)]
+    out = {r["doc_id"]: r["text"] for r in linedup.deduplicated(frame(spark, rows).repartition(4)).collect()}
+    for i, t in enumerate(texts):
+        lost = held_before(texts, i)
+        want = [x for n, x in enumerate(t.split("\n")) if n not in lost and x.split()]
+        assert [x for x in out[i].split("\n") if x.split()] == want
+
+
+def test_line_dedup_shortens_to_long_shared_stretches():
+    lines, words = np.arange(10, 18), np.array([3, 5, 4, 2, 0, 12, 9, 20], np.int32)
+    h, w, at = linedup.shortened(lines, words, np.array([10, 11, 12, 15, 17]), 99)
+    assert [x for x, n in zip(h, w, strict=True) if n >= 0] == [10, 11, 12, 14, 15, 17]
+    assert w.tolist() == [-1, 3, 5, 4, -1, 0, 12, -1, 20] and len({*h.tolist()}) == 9
+    assert [x for x, n in zip(at, w, strict=True) if n >= 0] == [0, 1, 2, 4, 5, 7]
+    assert not any(len(x) for x in linedup.shortened(lines, words, np.array([10, 11, 13]), 99))
+
+
 # ------------------------------------------------------------------- toxicity
 def test_toxicity_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
@@ -487,6 +511,14 @@ def test_secret_candidates_of_any_characters():
     assert secretscan.weak_label(key, "") == 1 and secretscan.weak_label("please", "password") is None
 
 
+def test_secret_candidates_do_not_nest():
+    for unit in ("token=a;", "token=", "sk-a;", "auth=?", "token=\"", "pwd=x,token=y&"):
+        text = unit * ((1 << 20) // len(unit))
+        assert sum(hi - lo for lo, hi in secretscan.runs(text)) <= 2 * len(text), unit
+    given = "auth=https://h/p?token=abc123defg,pwd=zz;secret=q1"
+    assert [given[lo:hi] for lo, hi in secretscan.given_values(given)] == ["https://h/p", "abc123defg", "zz", "q1"]
+
+
 def test_secret_dictionary_has_every_frequent_word(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     words = [f"q{letters[i % 26]}{letters[i // 26 % 26]}u{letters[i // 676 % 26]}{letters[i // 17576]}e" for i in range(25_000)]
