@@ -73,6 +73,11 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocab = self.tokenizer.get_vocab()  # byte-level: a character of a token is a byte of text
+        self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.n_bytes[list(vocab.values())] = [len(token) for token in vocab]
+        for i, t in self.tokenizer.get_added_tokens_decoder().items():
+            self.n_bytes[i] = len(t.content.encode())
         self.forget()
 
     def forget(self) -> None:
@@ -80,9 +85,14 @@ class Encoder:
         self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
 
     def learn(self, new: list[str]) -> None:
-        e = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(e.ids, np.uint32)
-        ends = np.searchsorted(np.array(e.word_ids), np.arange(len(new)), "right")
+        # all in one sequence, without offsets: the stretches' bytes tell where each ends
+        ids = np.array(self.tokenizer.encode_batch_fast([new], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+        size = pc.binary_length(pa.array(new, pa.string())).to_numpy(zero_copy_only=False)
+        upto = np.cumsum(size, dtype=np.int64)
+        read = np.cumsum(self.n_bytes[ids])
+        if read[-1] != upto[-1]:
+            raise ValueError("the tokens' bytes are not the texts': not a byte-level vocabulary")
+        ends = np.searchsorted(read, upto, "left") + 1
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
         self.flat[self.used:self.used + len(ids)] = ids
