@@ -142,8 +142,8 @@ class Encoder:
             self.at[p] = 0xFFFF
         short = [p for p in new if len(p) < 1 << 14 and p]
         self.at[""] = 0
-        for i in range(0, len(short), 1 << 16):
-            self.learn(short[i:i + (1 << 16)])
+        for i in range(0, len(short), 1 << 14):
+            self.learn(short[i:i + (1 << 14)])
 
 
 _encoders: dict[str, Encoder] = {}
