@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["features", "versioned", "serving", "scoring", "registry", "metrics", "alerts", "maintenance"]
+AREAS = ["features", "versioned", "serving", "scoring", "registry", "metrics", "alerts", "maintenance",
+         "distributions"]
 
 
 def all_queries() -> dict:

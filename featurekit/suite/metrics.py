@@ -308,7 +308,10 @@ SELECT CASE WHEN batch = 0 THEN 'baseline' ELSE 'current' END, 'total_value', to
 FROM ({batched_sql()}) WHERE batch IN (0, 2) AND total_value IS NOT NULL"""
 
 
-@register("feature_drift_psi", _psi_sql(_FEAT_LONG_SQL, "feature"))
+FEATURE_PSI_SQL = _psi_sql(_FEAT_LONG_SQL, "feature")
+
+
+@register("feature_drift_psi", FEATURE_PSI_SQL)
 def feature_drift_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PSI of each daily feature, first third of the dates (baseline) vs
     the last third (current), with the drift flag."""
