@@ -10,6 +10,11 @@ uses every block at most once and no target exceeds two passes, so no document i
 taken more than twice. The last slot of a source is cut to the words still missing, so
 the words taken equal the target to within one word.
 
+The mix is written as a folder of blocks per output shard (``write_blocks``): inside a
+shard the slots of all sources stand in hash order at positions gapless from 0, and a
+block names the stretches of documents it is packed of. Words taken, mixed documents and
+the blocks' texts are all derived from those files.
+
 Targets: all sources, by code point with null last, weigh 3, 1, 2, repeating, and share
 150 % of all words; a target stops at twice its source's words, the excess is shared
 again by weight (water-filling, in closed form).
@@ -27,15 +32,16 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featurekit.llm.common import word_count, written
+from featurekit.llm.common import WORD, word_count, written
+from featurekit.session import fresh_dir
 
 #: Weights by rank of the source, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
 BLOCK_WORDS = 128
 ROUNDS = 12
 #: Documents of a source are laid out by hash bucket, so that no prefix sum needs a
-#: whole source in one task.
-LAYOUT_BUCKETS = 1024
+#: whole source in one task: as many rows a bucket on average, and this many buckets at least.
+LAYOUT_ROWS, LAYOUT_BUCKETS = 1 << 14, 1024
 #: Slots made by one row of the slot generator.
 SLOT_CHUNK = 1 << 14
 
@@ -46,9 +52,10 @@ def layout(docs: DataFrame, carry: tuple = ()) -> DataFrame:
     the buckets of a source."""
     rows = docs.select("doc_id", "source", *carry, word_count(F.col("text")).alias("size"),
                        F.xxhash64("text").alias("_th"))
-    rows = rows.withColumn("_b", F.pmod(F.xxhash64("doc_id", "_th"), F.lit(LAYOUT_BUCKETS)))
     if not carry:
         rows = written(rows, "mix-sizes")  # narrow: cheaper than counting the words twice
+    n_buckets = max(LAYOUT_BUCKETS, math.ceil(rows.select("source").count() / LAYOUT_ROWS))
+    rows = rows.withColumn("_b", F.pmod(F.xxhash64("doc_id", "_th"), F.lit(n_buckets)))
     totals = rows.groupBy("source", F.col("_b").alias("_b2")).agg(F.sum("size").alias("n"))
     within = Window.partitionBy("source", "_b").orderBy("doc_id", "_th")
     rows = rows.withColumn("_before", F.sum("size").over(
@@ -95,7 +102,9 @@ def permuted(of: Column, seed: int, inverse: bool = False) -> Column:
 
 
 def slots(targets: DataFrame, n_shards: int, block_words: int, seed: int) -> DataFrame:
-    """(sid, pass, slot, shard, block, take): a row per block the mix takes."""
+    """(sid, pass, slot, shard, position, block, take): a row per block the mix takes. A
+    shard's positions follow a hash of the slot, counted within hash cells of about
+    ``SLOT_CHUNK`` slots and over the cells."""
     L = F.lit(block_words).cast("long")
     per = targets.where("words > 0").select(
         "sid", "words", F.round("target").cast("long").alias("goal"),
@@ -117,17 +126,27 @@ def slots(targets: DataFrame, n_shards: int, block_words: int, seed: int) -> Dat
     made = made.withColumn("take", F.least(
         F.col("pass_words") - F.col("have"),
         F.when(F.col("slot") == F.col("tail_slot"), F.col("tail")).otherwise(L))).where("take > 0")
-    made = made.withColumn("block", permuted(F.col("slot"), seed))
-    shard = F.pmod(F.xxhash64(F.lit(seed + 1), "sid", "pass", "slot"), F.lit(n_shards))
-    return made.select("sid", "pass", "slot", shard.cast("int").alias("shard"), "block", "take")
+    shard = F.pmod(F.xxhash64(F.lit(seed + 1), "sid", "pass", "slot"), F.lit(n_shards)).cast("int")
+    made = made.withColumn("shard", shard).withColumn("_h", F.xxhash64(F.lit(seed + 2), "sid", "pass", "slot"))
+    n_cells = max(1, math.ceil(goal / block_words / n_shards / SLOT_CHUNK))
+    made = made.withColumn("_cell", F.pmod("_h", F.lit(n_cells)))
+    counts = made.groupBy(F.col("shard").alias("_shard"), F.col("_cell").alias("_cell2")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("_shard").orderBy("_cell2").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = counts.select("_shard", "_cell2", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("shard", "_cell").orderBy("_h", "sid", "pass", "slot"))
+    placed = (made.withColumn("_at", within)
+              .join(before, (F.col("shard") == F.col("_shard")) & (F.col("_cell") == F.col("_cell2"))))
+    return placed.select("sid", "pass", "slot", "shard", (F.col("_before") + F.col("_at") - 1).alias("position"),
+                         permuted(F.col("slot"), seed).alias("block"), "take")
 
 
 def mix(docs: DataFrame, n_shards: int = 16, block_words: int = BLOCK_WORDS, seed: int = 7919,
         carry: tuple = ()) -> tuple[DataFrame, DataFrame]:
     """The mix and the documents it was drawn from.
 
-    First: (shard, sid, pass, slot, block, start, first_word, n_words), a row per
-    stretch of a document in a block taken; ``start`` names the document within ``sid``.
+    First: (shard, position, sid, pass, slot, block, n_words, segments), a row per block
+    taken; ``segments`` are its stretches of documents in order, (offset in the block,
+    start, first_word, n_words), where ``start`` names the document within ``sid``.
     Second: the layout with (sid, words, target), written once as it is read repeatedly."""
     laid = layout(docs, carry)
     laid = written(laid, "mix-layout")
@@ -143,15 +162,61 @@ def mix(docs: DataFrame, n_shards: int = 16, block_words: int = BLOCK_WORDS, see
     # both sides grow with the corpus, though the slots come from few rows: never broadcast
     pieces = (slots(targets, n_shards, L, seed).hint("merge").join(blocks.hint("merge"), ["sid", "block"])
               .withColumn("n_words", F.least(F.col("len"), F.col("take") - F.col("offset")))
-              .where("n_words > 0")
-              .select("shard", "sid", "pass", "slot", "block", "start", "first_word", "n_words"))
-    return pieces, laid
+              .where("n_words > 0"))
+    # the join's partitioning holds for the blocks: at most ``block_words`` stretches each, no shuffle
+    packed = pieces.groupBy("sid", "block", "pass", "slot", "shard", "position").agg(
+        F.sum("n_words").alias("n_words"),
+        F.sort_array(F.collect_list(F.struct("offset", "start", "first_word", "n_words"))).alias("segments"))
+    return packed.select("shard", "position", "sid", "pass", "slot", "block", "n_words", "segments"), laid
+
+
+def write_blocks(packed: DataFrame, path: str) -> DataFrame:
+    """The mix as a folder per shard, blocks by position; returns the table read back.
+    A file holds runs of ``SLOT_CHUNK`` positions, so a shard is as many files as its size asks for."""
+    (packed.repartition("shard", F.expr(f"position div {SLOT_CHUNK}")).sortWithinPartitions("shard", "position")
+     .write.partitionBy("shard").parquet(path))
+    return packed.sparkSession.read.schema(packed.schema).parquet(path)
+
+
+def _stretches(packed: DataFrame) -> DataFrame:
+    """(shard, position, sid, pass, offset, start, first_word, n_words) of the blocks written."""
+    return packed.select("shard", "position", "sid", "pass", F.inline("segments"))
+
+
+def _written_mix(docs: DataFrame, **kwargs) -> tuple[DataFrame, DataFrame]:
+    packed, laid = mix(docs, **kwargs)
+    return write_blocks(packed, fresh_dir(docs.sparkSession, "mix-blocks")), laid
+
+
+def _slices(text: Column, at: Column, word: str, sep: str, also=()) -> Column:
+    """Of each of the stretches ``at`` of a text its words joined (with the fields ``also``
+    before them); the words are bound once, not found again for every stretch."""
+    def piece(words: Column, p: Column) -> Column:
+        cut = F.array_join(F.slice(words, (p["first_word"] + 1).cast("int"), p["n_words"].cast("int")), sep)
+        return F.struct(*[p[c].alias(c) for c in also], cut.alias("piece"))
+
+    words = F.array(F.regexp_extract_all(text, F.lit(word), F.lit(0)))
+    return F.get(F.transform(words, lambda w: F.transform(at, lambda p: piece(w, p))), F.lit(0))
+
+
+def block_texts(docs: DataFrame, **kwargs) -> DataFrame:
+    """(shard, position, n_words, text): the words of every block of the mix, joined by blanks."""
+    packed, laid = _written_mix(docs.select("doc_id", "source", "text"), carry=("text",), **kwargs)
+    per = _stretches(packed).groupBy("sid", "start").agg(F.collect_list(
+        F.struct("shard", "position", "offset", "first_word", "n_words")).alias("at"))
+    cut = (laid.where("size > 0").select("sid", "start", "text").join(per, ["sid", "start"])
+           .select(F.inline(_slices(F.col("text"), F.col("at"), WORD, " ",
+                                    ("shard", "position", "offset", "n_words")))))
+    return cut.groupBy("shard", "position").agg(
+        F.sum("n_words").alias("n_words"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("offset", "piece"))), lambda p: p["piece"]), " ")
+        .alias("text"))
 
 
 def taken_words(docs: DataFrame, **kwargs) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every document."""
-    pieces, laid = mix(docs, **kwargs)
-    got = pieces.groupBy("sid", "start").agg(F.sum("n_words").alias("got"))
+    packed, laid = _written_mix(docs, **kwargs)
+    got = _stretches(packed).groupBy("sid", "start").agg(F.sum("n_words").alias("got"))
     cols = ["doc_id", "size", F.col("words").alias("source_size"), "target"]
     full = (laid.where("size > 0").join(got, ["sid", "start"], "left")
             .select(*cols, F.coalesce("got", F.lit(0)).cast("long").alias("taken")))
@@ -163,17 +228,17 @@ def mixed_documents(docs: DataFrame, **kwargs) -> DataFrame:
     (the text itself where all of it is taken), columns as those of ``docs``. Documents
     of which nothing is taken, among them all without words, are left out."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    pieces, laid = mix(docs.withColumn("_row", row).select("doc_id", "source", "text", "_row"),
-                       carry=("_row",), **kwargs)
-    per = pieces.groupBy("sid", "start", "pass").agg(
+    packed, laid = _written_mix(docs.withColumn("_row", row).select("doc_id", "source", "text", "_row"),
+                                carry=("_row",), **kwargs)
+    per = _stretches(packed).groupBy("sid", "start", "pass").agg(
         F.sum("n_words").alias("got"), F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("at"))
+    joined = laid.where("size > 0").select("sid", "start", "size", "_row").join(per, ["sid", "start"])
     # white space after a word stays with it, white space before the first word is cut
-    words = F.regexp_extract_all(F.col("_row.text"), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    joined = (laid.where("size > 0").select("sid", "start", "size", "_row").join(per, ["sid", "start"])
-              .withColumn("words_", F.when(F.col("got") < F.col("size"), words)))
-    cut = F.array_join(F.flatten(F.transform(
-        "at", lambda p: F.slice(F.col("words_"), (p["first_word"] + 1).cast("int"), p["n_words"].cast("int")))), "")
+    pieces = _slices(F.col("_row.text"), F.col("at"), WORD + r"[\x20\x09-\x0D]*", "")
+    cut = F.array_join(F.transform(pieces, lambda p: p["piece"]), "")
     text = F.when(F.col("got") < F.col("size"), cut).otherwise(F.col("_row.text"))
+    joined = joined.withColumn("_text", text)
+    text = F.col("_text")
     out = []
     for c in docs.columns:
         if c == "text":
