@@ -6,8 +6,13 @@ Pass 1 scatters the records uniformly into memory-sized buckets by a seeded hash
 the buckets end to end. The shuffled sequence is cut into shards whose row counts
 differ by at most one, and written by shard.
 
-Defined results: null doc_ids and null texts are ordinary records; equal rows land in
-one bucket and get slots of their own; an empty table gives empty shards; further
+Records that repeat both doc_id and text would all get one hash. Where those of one pair
+weigh more than a quarter of a bucket they are written with a number each, which joins
+the hash; the rest need none. So a bucket's size depends on ``bucket_bytes`` (and on
+the longest text), not on how often a record stands in the table.
+
+Defined results: null doc_ids and null texts are ordinary records; equal rows get slots
+of their own; an empty table gives empty shards; further
 columns travel along, and none of them clashes with the operator's own (those get
 names the input does not use, but for ``shard`` and ``slot``, which are replaced).
 """
@@ -19,7 +24,26 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurekit.llm.common import free_name, utf8_bytes
+from featurekit.functions.sizing import broadcast_if_small
+from featurekit.llm.common import free_name, utf8_bytes, written
+
+
+def _hashed(docs: DataFrame, seed: int, bucket_bytes: int, name: str) -> DataFrame:
+    """``docs`` with the seeded hash that deals them to buckets, as column ``name``."""
+    hid, hth, hn, hb, no = (free_name(docs, c) for c in ("_hid", "_hth", "_hn", "_hb", "_no"))
+    often = written(docs.groupBy(F.col("doc_id").alias(hid), F.xxhash64("text").alias(hth)).agg(
+        F.count(F.lit(1)).alias(hn), F.sum(utf8_bytes(F.col("text")) + 64).alias(hb))
+        .where((F.col(hn) > 1) & (F.col(hb) > bucket_bytes // 4)).select(hid, hth), "shard-repeats")
+    plain = F.xxhash64(F.lit(seed), "doc_id", "text")
+    if often.isEmpty():
+        return docs.withColumn(name, plain)
+    marked = docs.join(broadcast_if_small(often.withColumn(hn, F.lit(1))), F.col("doc_id").eqNullSafe(F.col(hid))
+                       & (F.xxhash64("text") == F.col(hth)), "left").drop(hid, hth)
+    # numbered in a table of their own: a task that runs again finds the same numbers
+    numbered = written(marked.where(F.col(hn).isNotNull()).withColumn(no, F.monotonically_increasing_id()),
+                       "shard-numbered")
+    return (marked.where(F.col(hn).isNull()).withColumn(name, plain).drop(hn).unionByName(
+        numbered.withColumn(name, F.xxhash64(F.lit(seed), "doc_id", "text", no)).drop(hn, no)))
 
 
 def external_shuffle(docs: DataFrame, n_shards: int = 16, seed: int = 20240229,
@@ -31,7 +55,7 @@ def external_shuffle(docs: DataFrame, n_shards: int = 16, seed: int = 20240229,
     bucket, rec, recs = (free_name(docs, c) for c in ("_bucket", "_rec", "_recs"))
     n_rows, n_bytes = docs.agg(F.count(F.lit(1)), F.sum(utf8_bytes(F.col("text")) + 64)).first()
     n_buckets = max(1, math.ceil((n_bytes or 0) / bucket_bytes))
-    keyed = docs.withColumn(bucket, F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(n_buckets)))
+    keyed = _hashed(docs, seed, bucket_bytes, bucket).withColumn(bucket, F.pmod(bucket, F.lit(n_buckets)))
 
     counts = keyed.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
     # one row per bucket: the offsets need a running total over the buckets only

@@ -56,6 +56,23 @@ def test_sharding_writes_all(spark, odd):
     assert back.count() == odd.count() and back.select("shard").distinct().count() == odd.count()
 
 
+def test_sharding_splits_repeated_records(spark):
+    """A third of the rows equal (and as many with null ids): no bucket holds more than a few times its share."""
+    row = "repeated text " * 8
+    docs = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") + 100).cast("long").alias("doc_id"),
+        F.when(F.col("id") % 3 < 2, F.lit(row)).otherwise(F.lit(row.upper())).alias("text"))
+    size = 1 << 14
+    keyed = sharding._hashed(docs, 5, size, "h")
+    n = docs.select(F.sum(F.octet_length("text") + 64)).first()[0] // size + 1
+    most = keyed.groupBy(F.pmod("h", F.lit(n))).count().agg(F.max("count")).first()[0]
+    assert keyed.count() == 6000 and most < 3 * 6000 / n
+    out = sharding.external_shuffle(docs, n_shards=7, bucket_bytes=size).cache()
+    assert out.count() == 6000 and out.select("shard", "slot").distinct().count() == 6000
+    assert sorted(r["count"] for r in out.groupBy("shard").count().collect())[0] == 857
+    assert Counter(map(tuple, out.select("doc_id", "text").collect())) == Counter(map(tuple, docs.collect()))
+
+
 # -------------------------------------------------------------------- mixing
 def _fill(sizes):
     """Targets by repeated resharing, as the contract says."""
@@ -95,6 +112,33 @@ def test_mixing_targets_and_takes(spark, table, request):
         assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
 
 
+def test_mixing_blocks_by_shard(spark):
+    """The blocks written: positions gapless in each shard, counts per source those of a uniform
+    draw, sources mixed along a shard, and their words those of the documents taken."""
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
+    packed, laid = mixing._written_mix(docs, n_shards=4, block_words=16)
+    rows = packed.collect()
+    by_shard, by_source = {}, Counter(r["sid"] for r in rows)
+    for r in rows:
+        by_shard.setdefault(r["shard"], {})[r["position"]] = r
+        assert 0 < r["n_words"] <= 16 and r["n_words"] == sum(s["n_words"] for s in r["segments"])
+        assert all(a["offset"] + a["n_words"] == b["offset"] for a, b in zip(r["segments"], r["segments"][1:]))
+    assert len(by_shard) == 4 and all(sorted(p) == list(range(len(p))) for p in by_shard.values())
+    assert len({(r["sid"], r["pass"], r["slot"]) for r in rows}) == len({(r["sid"], r["pass"], r["block"]) for r in rows}) == len(rows)
+    for s, blocks in by_shard.items():
+        for sid, n in by_source.items():
+            here = [p for p, r in blocks.items() if r["sid"] == sid]
+            assert abs(len(here) - n / 4) <= 5 * (n * 3 / 16) ** 0.5 + 1
+            if len(here) > 200:  # spread over the shard
+                assert abs(sum(here) / len(here) / len(blocks) - 0.5) < 0.1
+    texts = mixing.block_texts(docs, n_shards=4, block_words=16).collect()
+    assert {(r["shard"], r["position"], r["n_words"]) for r in texts} == {(r["shard"], r["position"], r["n_words"]) for r in rows}
+    words = Counter(w for r in texts for w in r["text"].split(" "))
+    assert words.total() == sum(r["n_words"] for r in rows)
+    mixed = mixing.mixed_documents(docs, n_shards=4, block_words=16)
+    assert words == Counter(w for r in mixed.collect() for w in WORD.findall(r["text"]))
+
+
 def test_mixing_permutation_is_one(spark):
     for nb in (1, 2, 3, 17, 1000):
         df = spark.range(nb).select(F.col("id").alias("x0"), F.lit(5).cast("long").alias("sid"),
