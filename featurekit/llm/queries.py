@@ -158,19 +158,21 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowing fingerprints of every document, of its edited text and of its neighbour."""
     docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = winnow.with_next(docs, ["text", "hashes"],
-                            lambda d: winnow.full_fingerprint(d, "text", "hashes", "positions"))
+    rows = winnow.with_next(docs, ["text", "hashes", "parts"],
+                            lambda d: winnow.full_fingerprint(d, "text", "hashes", "positions", "parts"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     rows = rows.withColumn("edited", F.concat(
         F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")),
         F.substring("next_text", F.lit(1), cut)))
-    rows = rows.withColumn("near_next", winnow.likeness("hashes", "next_hashes")).drop("next_text", "next_hashes", "text")
-    rows = winnow.full_fingerprint(rows, "edited", "edited_hashes", "edited_positions")
+    rows = rows.withColumn("near_next", winnow.likeness_by_parts("hashes", "parts", "next_hashes", "next_parts"))
+    rows = winnow.full_fingerprint(rows.drop("next_text", "next_hashes", "next_parts", "text"),
+                                   "edited", "edited_hashes", "edited_positions", "edited_parts")
     return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                        winnow.as_string("hashes", "positions").alias("fingerprint"),
                        winnow.as_string("edited_hashes", "edited_positions").alias("edited_fingerprint"),
-                       winnow.likeness("hashes", "edited_hashes").alias("near_edited"), "near_next")
+                       winnow.likeness_by_parts("hashes", "parts", "edited_hashes", "edited_parts").alias("near_edited"),
+                       "near_next")
 
 
 @register("op10_secret_scan")

@@ -102,15 +102,22 @@ def fingerprint(df: DataFrame, text: str, hashes: str, positions: str,
     return df.drop(h, g, m, at)
 
 
-def full_fingerprint(df: DataFrame, text: str, hashes: str, positions: str) -> DataFrame:
+def full_fingerprint(df: DataFrame, text: str, hashes: str, positions: str, parts: str | None = None) -> DataFrame:
     """``fingerprint`` by words, followed by that of the code points of what has too few or
-    too long words; positions count words, then code points of those words joined by blanks."""
+    too long words; positions count words, then code points of those words joined by blanks.
+    ``parts`` names a column for what ``likeness_by_parts`` needs: how many of the hashes are
+    of words, and whether the code points are those of the whole text."""
     part, h, p = (free_name(df, c) for c in ("_part", "_ph", "_pp"))
     words = F.split(F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(" \t\n\x0b\x0c\r")), _SPACE)
-    df = df.withColumn(part, words).withColumn(part, F.array_join(F.when(F.size(part) < FEW_WORDS, F.col(part)).otherwise(
+    df = df.withColumn(part, words)
+    if parts:
+        df = df.withColumn(parts, F.size(part) < FEW_WORDS)
+    df = df.withColumn(part, F.array_join(F.when(F.size(part) < FEW_WORDS, F.col(part)).otherwise(
         F.filter(part, lambda w: F.length(w) > LONG_WORD)), " "))
     df = fingerprint(df, part, h, p, K_POINTS, POINT_WINDOW, points=True)
     df = fingerprint(df, text, hashes, positions)
+    if parts:
+        df = df.withColumn(parts, F.struct(F.size(hashes).alias("words"), F.col(parts).alias("whole")))
     return (df.withColumn(hashes, F.concat(hashes, h)).withColumn(positions, F.concat(positions, p)).drop(part, h, p))
 
 
@@ -125,6 +132,21 @@ def likeness(a: str, b: str) -> Column:
     return F.when(either == 0, 1.0).otherwise(both / either)
 
 
+def likeness_by_parts(a: str, a_parts: str, b: str, b_parts: str) -> Column:
+    """``likeness`` of like with like: where the code points of one text are hashed as a whole and
+    those of the other are not (they lie on either side of ``FEW_WORDS``), the greater of the
+    likeness of their word hashes and that of their code-point hashes; else of all hashes."""
+    def share(x: Column, y: Column) -> Column:
+        return F.coalesce(F.try_divide(F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y))), F.lit(0.0))
+
+    def part(h: str, p: str, of_words: bool) -> Column:
+        n = F.col(p)["words"]
+        return F.slice(h, F.lit(1), n) if of_words else F.slice(h, n + 1, F.size(h) - n)
+
+    words, points = (share(part(a, a_parts, w), part(b, b_parts, w)) for w in (True, False))
+    return F.when(F.col(a_parts)["whole"] == F.col(b_parts)["whole"], likeness(a, b)).otherwise(F.greatest(words, points))
+
+
 def with_next(docs: DataFrame, cols: list[str], derive) -> DataFrame:
     """``derive(docs)``, which must keep all columns, with ``next_<c>`` for each of ``cols``: the value in the next
     document by descending doc_id (nulls last; equal ids by text hash), after the last
