@@ -22,7 +22,9 @@ sets form a class; only classes are joined. Two sets link when
    signature's sets are compared with one pivot (chosen by hash, a few different ones per
    group), links verified, components formed, and only signatures that still span several
    components go on. Their sets are compared by size and sketch inside the tasks that hold a
-   block of the group, and only what passes becomes a row: first as many pairs as would
+   block of the group, and only what passes becomes a row, once: of the signatures that two
+   sets share the lowest gives the pair (told by each set's ``LOW`` lowest ones, so that a
+   pair with none of those in common may come more often, and none is lost). First as many pairs as would
    join the components, and at last, of components still apart, every pair. No link that
    would join two components is missed. A candidate is verified by size, by a parity sketch whose distance
    never exceeds the symmetric difference, then by the sets themselves.
@@ -64,6 +66,8 @@ PIVOT_KINDS = 8
 #: Members of a group's block, and pairs compared at a time.
 BLOCK = 1024
 PAIRS = 1 << 19
+#: Lowest signatures of a set that go with it.
+LOW = 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -267,7 +271,8 @@ def _spanning(run: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[int]:
 def _cross_pairs(percent: int, forest: bool):
     """Near pairs of different components within each run of equal (sig, i, j), all or as
     many as would join the components; rows come sorted by (sig, i, j). Of blocks i and j
-    only pairs across are compared."""
+    only pairs across are compared. A pair with a signature below sig among both sets' lowest
+    is left to that one's run: there, both have the same roots and meet as well."""
     def pairs(t: pa.Table):
         key = np.arange(t.num_rows)
         change = np.ones(t.num_rows, bool)
@@ -282,7 +287,14 @@ def _cross_pairs(percent: int, forest: bool):
         n, side, across = (np.asarray(t[c], np.int64) for c in ("n", "side", "across"))
         root = t["root"].combine_chunks().dictionary_encode().indices.to_numpy()
         sketches = Sketches(t["sketch"])
+        sig, low, below = np.asarray(t["sig"]), t["low"].combine_chunks(), {}
         ends, lo = np.cumsum(follow), 0
+
+        def lower(k):
+            if k not in below:
+                below[k] = {x for x in low[k].as_py() if x < sig[k]}
+            return below[k]
+
         while lo < t.num_rows:
             base = ends[lo - 1] if lo else 0
             hi = max(lo + 1, int(np.searchsorted(ends, base + PAIRS, "right")))
@@ -291,8 +303,11 @@ def _cross_pairs(percent: int, forest: bool):
             ok = (root[left] != root[right]) & ((across[left] == 0) | (side[left] != side[right]))
             left, right = left[ok], right[ok]
             ok = _near(n, sketches, left, n, sketches, right, percent)
-            if ok.any():
-                left, right = left[ok], right[ok]
+            left, right = left[ok], right[ok]
+            first = np.fromiter((lower(x).isdisjoint(lower(y)) for x, y in zip(left.tolist(), right.tolist(), strict=True)),
+                                bool, len(left))
+            if first.any():
+                left, right = left[first], right[first]
                 if forest:
                     few = _spanning(run[left], root[left], root[right])
                     left, right = left[few], right[few]
@@ -377,12 +392,16 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         """Pairs of different components, a group in blocks of about ``BLOCK`` members:
         every two blocks meet in one place, so a large group is spread over many tasks."""
         sizes = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
-        rows = members.join(sizes, "sig").join(classes.select("fp", "n", "sketch"), "fp").withColumn(
+        # a set's signatures: bounded by its tokens
+        held = members.join(sizes, "sig").groupBy("fp", "root").agg(F.sort_array(F.collect_list(F.struct("sig", "k"))).alias("sigs"))
+        rows = held.withColumn("low", F.slice("sigs", F.lit(1), F.lit(LOW))["sig"]).join(
+            classes.select("fp", "n", "sketch"), "fp").select("fp", "root", "n", "sketch", "low", F.inline("sigs")).withColumn(
             "own", F.pmod(F.xxhash64("fp"), "k").cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
         rows = rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                            (F.col("own") > F.col("other")).cast("int").alias("side"),
-                           (F.col("own") != F.col("other")).cast("int").alias("across"), "fp", "n", "root", "sketch")
+                           (F.col("own") != F.col("other")).cast("int").alias("across"), "fp", "n", "root", "sketch",
+                           F.filter("low", lambda x: x < F.col("sig")).alias("low"))
         return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(
             _cross_pairs(percent, forest), "a binary, b binary")
 

@@ -242,6 +242,32 @@ def test_jaccard_hot_group(spark):
     assert got == _links(texts, 3, 90)
 
 
+def test_jaccard_pair_comes_from_one_of_its_signatures():
+    """Near sets that share ten signatures are one pair, not ten; where a signature stands outside
+    both sets' lowest ones, the pair is not lost."""
+    import pyarrow as pa
+    words = [f"w{i}" for i in range(100)]
+    sets = [jaccard.token_set(" ".join(words[:95] + [f"e{i}"]), 3) for i in range(4)]
+    fps = [bytes([i]) * 16 for i in range(4)]
+
+    def batch(sigs, low):
+        rows = [(s, 0, 0, 0, 0, fps[i], len(sets[i]), fps[i], jaccard.sketch(sets[i]), [x for x in low if x < s])
+                for s in sigs for i in range(4)]
+        types = [pa.int64(), *[pa.int32()] * 4, pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+        names = ["sig", "i", "j", "side", "across", "fp", "n", "root", "sketch", "low"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+    def pairs(sigs, low, forest):
+        return [(a, b) for x in jaccard._cross_pairs(90, forest)([batch(sigs, low)])
+                for a, b in zip(x["a"].to_pylist(), x["b"].to_pylist(), strict=True)]
+
+    every = {(fps[i], fps[j]) for i in range(4) for j in range(i + 1, 4)}
+    got = pairs(range(10), range(10), False)
+    assert len(got) == 6 and set(got) == every
+    assert len(pairs(range(10), range(10), True)) == 3
+    assert set(pairs(range(20, 23), [], False)) == every
+
+
 def test_jaccard_odd_rows(odd, clashing, empty):
     rows = jaccard.components(odd, 5, 80).collect()
     assert len(rows) == odd.count()
