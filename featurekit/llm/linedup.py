@@ -290,7 +290,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     found = written(duplicate_lines(docs), "duplicate-lines").select(
         F.col("doc_id").alias(d), F.col("th").alias(t), F.col("dropped").alias(gone), F.col("partners").alias(by))
     rows = docs.select(*names).withColumn(h, F.xxhash64("text"))
-    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(h) == F.col(t)), "left")
+    # the same join at every size: the texts are moved once, whether or not what was found would fit a broadcast
+    rows = rows.join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(h) == F.col(t)), "left")
     lost = F.col(gone).isNotNull()
     text = F.when(lost, F.pandas_udf(_cut, "string")(F.when(lost, F.col("text")).otherwise(F.lit("")), gone)).otherwise(
         F.col("text"))

@@ -461,6 +461,12 @@ def test_line_dedup(spark, odd, clashing, empty):
     assert linedup.deduplicated(empty).count() == 0
 
 
+def test_line_dedup_moves_texts_alike_at_every_size(odd):
+    """The join that cuts the texts does not turn from a broadcast to a shuffle as the table grows."""
+    plan = linedup.deduplicated(odd)._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_line_dedup_block_of_short_frequent_lines(spark):
     a, b = "the first line has seven words here", "and the other one has seven too"
     rows = [(0, f"{a}\nown zero", None, None, 1), (1, f"{b}\nown one", None, None, 1)]
