@@ -29,8 +29,9 @@ def psi(long_df: DataFrame, group: str = "feature", bins: int = 10) -> DataFrame
     A group without a current window has every share there at the floor; one without
     a baseline has no bins, so its PSI and flag are NULL. A constant baseline is one bin.
     Two passes: the baseline's range per group, then counts per bin (map-side
-    combined, at most ``bins`` rows a group after it). Bins empty on both sides add
-    nothing to the sum."""
+    combined, at most ``bins`` rows a group after it). The ranges, a row per group, are
+    broadcast: joined by shuffle, all rows of a group would land in one task. Bins empty
+    on both sides add nothing to the sum."""
     x = long_df.filter(F.col("x").isNotNull())
     in_base = F.col("window") == "baseline"
     edges = x.groupBy(F.col(group).alias("_g")).agg(F.min(F.when(in_base, F.col("x"))).alias("_lo"),
@@ -38,7 +39,7 @@ def psi(long_df: DataFrame, group: str = "feature", bins: int = 10) -> DataFrame
     raw = F.floor(F.try_divide(F.col("x") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * bins)
     b = (F.when(F.col("_lo").isNull(), F.lit(None).cast("int")).when(F.col("_hi") == F.col("_lo"), F.lit(0))
          .otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))).cast("int"))
-    counts = (x.join(edges, F.col(group).eqNullSafe(F.col("_g")))
+    counts = (x.join(F.broadcast(edges), F.col(group).eqNullSafe(F.col("_g")))
               .groupBy(group, b.alias("bin"))
               .agg(F.count_if(in_base).alias("nb"), F.count_if(F.col("window") == "current").alias("nc")))
     per = counts.groupBy(group).agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"),

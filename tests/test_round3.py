@@ -217,3 +217,35 @@ def test_feature_matrix_of_sliced_and_null_components():
     for bad in ([[1.0], None], [[1.0], [1.0, 2.0]]):
         with pytest.raises(ValueError, match="one length"):
             _feature_matrix(pa.array(bad, pa.list_(pa.float64())))
+
+
+# -------------------------------------------------- plans at any table size
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_psi_deals_no_group_to_one_task(spark):
+    """The ranges are broadcast where nothing else would be; joined by shuffle, a group's rows meet in one task."""
+    from featurekit.operators import drift
+    rows = [(w, f, float(i)) for w in ("baseline", "current") for f in ("a", None) for i in range(20)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = drift.psi(spark.createDataFrame(rows, "window string, feature string, x double"))
+        assert "SortMergeJoin" not in _plan(got) and "BroadcastHashJoin" in _plan(got)
+        assert {(r.feature, r.psi, r.drift_detected) for r in got.collect()} == {("a", 0.0, False), (None, 0.0, False)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tick_totals_read_no_metric_rows(spark):
+    """Metric rows are combined before the stateful step: a tick's counters and latencies are one row, a gauge its last."""
+    from featurekit.functions import timeutil as tu
+    from featurekit.streaming.alerts import raw_ticks
+    rows = ROWS + [(20, "job_failure", "counter", {"i": str(i)}, 1) for i in range(50)]
+    rows += [(30, "prediction_latency_seconds", "histogram", {}, i) for i in range(50)] + [(500, "heartbeat", "heartbeat", {}, 0)]
+    got = raw_ticks(_metrics(spark, rows).withColumn("event_time", tu.as_utc_instant("ts")), 3600).collect()
+    first = min(r.tick for r in got)
+    by = {(r.tick - first, r.name): r for r in got}
+    assert set(by) == {(0, None), (0, "drift_detected"), (2, "drift_detected")} and len(got) == 3
+    assert (by[0, None].n, by[0, None].failures, by[0, None].counts[-1]) == (102, 55.0, 50)
+    assert by[0, "drift_detected"].n == 2 and by[0, "drift_detected"].value == 1.0 and by[2, "drift_detected"].value == 0.0
